@@ -41,7 +41,7 @@ def distribution_text_fixed(spark, sf) -> DataFrame:
 
 
 @query(
-    "SELECT id, generate_subscripts(d, 1) - 1 AS pos, unnest(d) AS value "
+    "SELECT id, CAST(generate_subscripts(d, 1) - 1 AS INTEGER) AS pos, unnest(d) AS value "
     f"FROM {DISTRIBUTIONS_SQL}"
 )
 def distribution_parsed(spark, sf) -> DataFrame:
@@ -62,7 +62,7 @@ def largest_probability(spark, sf) -> DataFrame:
     return _distribution(numbers.largest, "value")(spark, sf)
 
 
-@query(f"SELECT id, {ARGMAX_SQL} AS assignment FROM {DISTRIBUTIONS_SQL}")
+@query(f"SELECT id, CAST({ARGMAX_SQL} AS BIGINT) AS assignment FROM {DISTRIBUTIONS_SQL}")
 def dominant_topic(spark, sf) -> DataFrame:
     return topics.assigned(t.fixed_distributions(spark, sf)).select("id", "assignment")
 
@@ -84,7 +84,7 @@ def topic_number(spark, sf) -> DataFrame:
 
 
 @query(
-    "SELECT id, generate_subscripts(d, 1) - 1 AS pos, "
+    "SELECT id, CAST(generate_subscripts(d, 1) - 1 AS INTEGER) AS pos, "
     f"printf('%.4f', unnest(d)) AS value FROM {DISTRIBUTIONS_SQL}"
 )
 def four_decimals(spark, sf) -> DataFrame:
@@ -131,7 +131,7 @@ def points_with_topics(spark, sf) -> DataFrame:
 
 
 @query(
-    "SELECT s.assignment, 0 AS part, 'Topic ' || s.assignment AS meta_label, "
+    "SELECT s.assignment, CAST(0 AS BIGINT) AS part, 'Topic ' || s.assignment AS meta_label, "
     "count(p.id) AS points, coalesce(string_agg(CAST(p.id AS VARCHAR), ',' ORDER BY p.id), '') AS ids, "
     "min(p.x) AS x, max(p.y) AS y "
     "FROM (SELECT unnest(range(1, 71)) AS assignment) s "

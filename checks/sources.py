@@ -72,7 +72,7 @@ def documents_from_csv(spark, sf) -> DataFrame:
     """Cleaned community texts, written without a header and read back."""
     from forumlens.functions.text import plain_text
 
-    cleaned = t.comments(spark, sf).withColumn("comments", plain_text(F.col("comments")))
+    cleaned = t.comment_texts(spark, sf).withColumn("comments", plain_text(F.col("comments")))
     path = scratch_path(spark, "documents-csv")
     writers.write_csv(com.community_text(com.drop_empty(cleaned)).select("id", "comments"), path)
     return readers.read_documents(spark, path)
@@ -109,7 +109,7 @@ def page_union_from_csv(spark, sf) -> DataFrame:
 
 
 @query(
-    "SELECT id, 0 AS part, "
+    "SELECT id, CAST(0 AS BIGINT) AS part, "
     + "array_to_string(flatten(list(tokens ORDER BY key)), '|') AS comments, "
     "CAST(sum(ups) AS BIGINT) AS ups, count(id) AS comm_count FROM (SELECT id, key, ups, "
     + t.compound_tokens_sql("comments", t.LETTER_TEST)
@@ -118,7 +118,7 @@ def page_union_from_csv(spark, sf) -> DataFrame:
 def communities_from_parquet(spark, sf) -> DataFrame:
     from forumlens.functions.text import letter_tokens
 
-    documents = com.community_documents(t.comments(spark, sf), letter_tokens(F.col("comments")))
+    documents = com.community_documents(t.comment_texts(spark, sf), letter_tokens(F.col("comments")))
     path = scratch_path(spark, "communities")
     writers.write_parquet(documents, path)
     read = readers.read_communities(spark, path)

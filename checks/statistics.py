@@ -28,7 +28,7 @@ def comments_selected(spark, sf) -> DataFrame:
     return com.select_comments(raw)
 
 
-@query("SELECT doc_id, n_chars, length(text) AS chars, length(text) - n_chars AS diff FROM documents")
+@query("SELECT doc_id, n_chars, CAST(length(text) AS INTEGER) AS chars, length(text) - n_chars AS diff FROM documents")
 def derived_columns(spark, sf) -> DataFrame:
     chars = _raw(spark, sf).select("doc_id", "n_chars", F.length("text").alias("chars"))
     return chars.withColumn("diff", F.col("chars") - F.col("n_chars"))
@@ -54,24 +54,24 @@ def columns_dropped(spark, sf) -> DataFrame:
 
 def _concat_sql(separator: str) -> str:
     return (
-        f"SELECT id, 0 AS part, string_agg(comments, '{separator}' ORDER BY key) AS comments "
+        f"SELECT id, CAST(0 AS BIGINT) AS part, string_agg(comments, '{separator}' ORDER BY key) AS comments "
         f"FROM {t.COMMENTS_SQL} GROUP BY id"
     )
 
 
 @query(_concat_sql(" "))
 def community_text(spark, sf) -> DataFrame:
-    return com.community_text(t.comments(spark, sf))
+    return com.community_text(t.comment_texts(spark, sf))
 
 
 @query(_concat_sql(", "))
 def community_text_comma_space(spark, sf) -> DataFrame:
-    return com.community_text(t.comments(spark, sf), ", ")
+    return com.community_text(t.comment_texts(spark, sf), ", ")
 
 
 @query(_concat_sql(","))
 def community_text_comma(spark, sf) -> DataFrame:
-    return com.community_text(t.comments(spark, sf), ",")
+    return com.community_text(t.comment_texts(spark, sf), ",")
 
 
 _PARTED_SQL = f"""WITH rows AS (SELECT * FROM {t.COMMENTS_SQL}),
@@ -89,37 +89,39 @@ _PARTED_SQL = f"""WITH rows AS (SELECT * FROM {t.COMMENTS_SQL}),
 )
 def community_text_in_parts(spark, sf) -> DataFrame:
     """The same text with a part size that makes all communities large."""
-    return com.community_text(t.comments(spark, sf), part_chars=20_000)
+    return com.community_text(t.comment_texts(spark, sf), part_chars=20_000)
 
 
 @query(
-    f"SELECT c.id, 0 AS part, string_agg(v.value, ' ' ORDER BY v.key) AS comments FROM "
+    f"SELECT c.id, CAST(0 AS BIGINT) AS part, string_agg(v.value, ' ' ORDER BY v.key) AS comments FROM "
     f"({CLEAN_TEXT_SQL}) v JOIN {t.COMMENTS_SQL} c ON c.key = v.key "
     "WHERE v.value <> '' GROUP BY c.id"
 )
 def community_clean_text(spark, sf) -> DataFrame:
     """Cleaned with lemmas, empties dropped, one text per community."""
-    return com.community_text(com.drop_empty(cleaning.clean_text(t.comments(spark, sf))))
+    parted = com.assign_parts(t.comment_texts(spark, sf))
+    return com.community_text(com.drop_empty(cleaning.clean_text(parted)))
 
 
 @query(
-    "SELECT id, 0 AS part, array_to_string(flatten(list(tokens ORDER BY key)), '|') AS comments, "
-    f"len(flatten(list(tokens ORDER BY key))) AS size FROM {ASCII_LISTS} GROUP BY id"
+    "SELECT id, CAST(0 AS BIGINT) AS part, array_to_string(flatten(list(tokens ORDER BY key)), '|') AS comments, "
+    f"CAST(len(flatten(list(tokens ORDER BY key))) AS INTEGER) AS size FROM {ASCII_LISTS} GROUP BY id"
 )
 def community_tokens(spark, sf) -> DataFrame:
-    tokens = com.community_tokens(cleaning.clean_tokens(t.comments(spark, sf)))
+    parted = com.assign_parts(t.comment_texts(spark, sf))
+    tokens = com.community_tokens(cleaning.clean_tokens(parted))
     return tokens.select(
         "id", "part", F.array_join("comments", "|").alias("comments"), F.size("comments").alias("size")
     )
 
 
 @query(
-    "SELECT id, 0 AS part, array_to_string(list_transform(list(tokens ORDER BY key), "
-    "lambda l: coalesce(array_to_string(l, '|'), '')), '#') AS comments, count(*) AS size "
+    "SELECT id, CAST(0 AS BIGINT) AS part, array_to_string(list_transform(list(tokens ORDER BY key), "
+    "lambda l: coalesce(array_to_string(l, '|'), '')), '#') AS comments, CAST(count(*) AS INTEGER) AS size "
     f"FROM {ASCII_LISTS} GROUP BY id"
 )
 def community_token_lists(spark, sf) -> DataFrame:
-    lists = com.community_token_lists(cleaning.clean_tokens(t.comments(spark, sf)))
+    lists = com.community_token_lists(cleaning.clean_tokens(t.comment_texts(spark, sf)))
     joined = F.transform("comments", lambda tokens: F.array_join(tokens, "|"))
     return lists.select(
         "id", "part", F.array_join(joined, "#").alias("comments"), F.size("comments").alias("size")
@@ -133,12 +135,9 @@ def community_token_lists(spark, sf) -> DataFrame:
     f"FROM {t.COMMENTS_SQL}) GROUP BY id"
 )
 def first_comment_tokens(spark, sf) -> DataFrame:
-    split = t.comments(spark, sf).withColumn(
-        "comments", text.split_single_space(F.col("comments"))
-    )
-    return com.first_comment_tokens(split).select(
-        "id", F.array_join("comments", "|").alias("comments")
-    )
+    first = com.first_comment(t.comments(spark, sf))
+    tokens = text.split_single_space(F.col("comments"))
+    return first.select("id", F.array_join(tokens, "|").alias("comments"))
 
 
 @query("SELECT key, array_to_string(flatten(l), '|') AS value FROM (SELECT doc_id AS key, "
@@ -151,12 +150,12 @@ def lists_flattened(spark, sf) -> DataFrame:
 
 
 @query(
-    "SELECT id, 0 AS part, array_to_string(flatten(list(tokens ORDER BY key)), '|') AS comments, "
+    "SELECT id, CAST(0 AS BIGINT) AS part, array_to_string(flatten(list(tokens ORDER BY key)), '|') AS comments, "
     f"CAST(sum(ups) AS BIGINT) AS ups, count(id) AS comm_count FROM {ASCII_LISTS} GROUP BY id"
 )
 def community_documents(spark, sf) -> DataFrame:
     documents = com.community_documents(
-        t.comments(spark, sf), text.ascii_tokens(F.col("comments"))
+        t.comment_texts(spark, sf), text.ascii_tokens(F.col("comments"))
     )
     return documents.withColumn("comments", F.array_join("comments", "|"))
 
@@ -173,7 +172,7 @@ def community_documents(spark, sf) -> DataFrame:
 )
 def community_documents_in_parts(spark, sf) -> DataFrame:
     documents = com.community_documents(
-        t.comments(spark, sf), text.ascii_tokens(F.col("comments")), part_chars=20_000
+        t.comment_texts(spark, sf), text.ascii_tokens(F.col("comments")), part_chars=20_000
     )
     return documents.withColumn("comments", F.array_join("comments", "|"))
 
@@ -207,7 +206,7 @@ def role_stats(spark, sf) -> DataFrame:
 
 
 @query(
-    "SELECT id, 0 AS part, string_agg(comments, ' ' ORDER BY conv_id, turn) AS comments FROM "
+    "SELECT id, CAST(0 AS BIGINT) AS part, string_agg(comments, ' ' ORDER BY conv_id, turn) AS comments FROM "
     "(SELECT role AS id, text AS comments, conv_id, turn FROM conversations) GROUP BY id"
 )
 def role_text(spark, sf) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from forumlens.functions.wordlists import ENGLISH_STOP_WORDS, SPACE_CLASS, SPACES
+from forumlens.sources.readers import spread
 
 STOP = list(ENGLISH_STOP_WORDS)
 
@@ -13,20 +14,29 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf: str, name: str = "documents") -> DataFrame:
+    """A table for text work, spread over all cores as it may come in one split."""
+    return spread(table(spark, sf, name))
+
+
 def comments(spark: SparkSession, sf: str, by_language: bool = False) -> DataFrame:
     """``id, comments, ups, key``; by language there are zero and negative sums of ups."""
+    return _comments(spark, sf, table(spark, sf, "documents"), by_language)
+
+
+def comment_texts(spark: SparkSession, sf: str, by_language: bool = False) -> DataFrame:
+    return _comments(spark, sf, texts(spark, sf), by_language)
+
+
+def _comments(spark, sf: str, documents: DataFrame, by_language: bool) -> DataFrame:
     labels = table(spark, sf, "labels")
     community = F.concat_ws("_", "source", "lang") if by_language else F.col("source")
     ups = F.coalesce("quality", F.lit(0)) - 2 * F.coalesce("toxic", F.lit(0))
-    return (
-        table(spark, sf, "documents")
-        .join(labels, "doc_id", "left")
-        .select(
-            community.alias("id"),
-            F.col("text").alias("comments"),
-            ups.cast("long").alias("ups"),
-            F.col("doc_id").alias("key"),
-        )
+    return documents.join(labels, "doc_id", "left").select(
+        community.alias("id"),
+        F.col("text").alias("comments"),
+        ups.cast("long").alias("ups"),
+        F.col("doc_id").alias("key"),
     )
 
 
@@ -66,11 +76,14 @@ def stats_sql(source: str = COMMENTS_LANG_SQL) -> str:
 
 
 def ratio_sql(source: str = COMMENTS_LANG_SQL) -> str:
-    return (
-        "(SELECT *, CASE WHEN ups <> 0 THEN "
-        "floor(CAST(comm_count AS DOUBLE) / ups * 1000 + 0.5) / 1000 ELSE 0.0 END "
-        f"AS comm_ups_ratio FROM {stats_sql(source)})"
-    )
+    """Rounded to three decimals by the exact value of the quotient, as Python rounds."""
+    return f"""(WITH quotients AS (SELECT *, CAST(comm_count AS DOUBLE) / nullif(ups, 0) AS x
+   FROM {stats_sql(source)}),
+  halves AS (SELECT *, x * 134217729 - (x * 134217729 - x) AS high, x * 1000 AS y FROM quotients),
+  errors AS (SELECT *, (high * 1000 - y) + (x - high) * 1000 AS error FROM halves)
+  SELECT id, ups, comm_count, coalesce(CASE WHEN y - floor(y) = 0.5 AND error > 0 THEN ceil(y)
+    WHEN y - floor(y) = 0.5 AND error < 0 THEN floor(y) ELSE round_even(y, 0) END / 1000, 0.0)
+    AS comm_ups_ratio FROM errors)"""
 
 
 def words_sql(text: str) -> str:

@@ -34,7 +34,7 @@ ML_STOP_WORDS = """
 def _documents(function: Callable[[Column], Column]):
     def run(spark, sf):
         value = function(F.col("text"))
-        return t.table(spark, sf, "documents").select("doc_id", value.alias("value"))
+        return t.texts(spark, sf).select("doc_id", value.alias("value"))
 
     return run
 
@@ -42,7 +42,7 @@ def _documents(function: Callable[[Column], Column]):
 def _pages(function: Callable[[Column], Column]):
     def run(spark, sf):
         value = function(F.col("html"))
-        return t.table(spark, sf, "pages").select("page_id", value.alias("value"))
+        return t.texts(spark, sf, "pages").select("page_id", value.alias("value"))
 
     return run
 
@@ -199,7 +199,7 @@ on_pages("page_text_no_lemmas", text.page_text, t.joined(_page_chain("html"), "
 )
 def default_stop_words_removed(spark, sf) -> DataFrame:
     remover = StopWordsRemover(inputCol="words", outputCol="kept")
-    words = t.table(spark, sf, "documents").select(
+    words = t.texts(spark, sf).select(
         "doc_id", text.split_whitespace(F.col("text")).alias("words")
     )
     return remover.transform(words).select("doc_id", F.array_join("kept", "|").alias("value"))
@@ -248,7 +248,7 @@ def lemmas_sql(table: str, key: str, tokens: str) -> str:
 )
 def noun_lemmas(spark, sf) -> DataFrame:
     tokens = text.plain_tokens(F.col("text"))
-    return lemma_table(word_counts(t.table(spark, sf, "documents"), tokens))
+    return lemma_table(word_counts(t.texts(spark, sf), tokens))
 
 
 def _lemmatised_sql(table: str, key: str, tokens: str, separator: str) -> str:
@@ -264,13 +264,13 @@ CLEAN_TEXT_SQL = _lemmatised_sql("documents", "doc_id", t.plain_tokens_sql("text
 
 @query(CLEAN_TEXT_SQL)
 def clean_text(spark, sf) -> DataFrame:
-    cleaned = cleaning.clean_text(t.comments(spark, sf))
+    cleaned = cleaning.clean_text(t.comment_texts(spark, sf))
     return cleaned.select("key", F.col("comments").alias("value"))
 
 
 @query(f"SELECT key, value FROM ({CLEAN_TEXT_SQL}) WHERE value <> ''")
 def empty_texts_dropped(spark, sf) -> DataFrame:
-    cleaned = communities.drop_empty(cleaning.clean_text(t.comments(spark, sf)))
+    cleaned = communities.drop_empty(cleaning.clean_text(t.comment_texts(spark, sf)))
     return cleaned.select("key", F.col("comments").alias("value"))
 
 
@@ -279,7 +279,7 @@ def empty_texts_dropped(spark, sf) -> DataFrame:
     "FROM documents"
 )
 def clean_tokens(spark, sf) -> DataFrame:
-    cleaned = cleaning.clean_tokens(t.comments(spark, sf))
+    cleaned = cleaning.clean_tokens(t.comment_texts(spark, sf))
     return cleaned.select("key", F.array_join("comments", "|").alias("value"))
 
 
@@ -287,12 +287,12 @@ def clean_tokens(spark, sf) -> DataFrame:
     _lemmatised_sql("documents", "doc_id", t.compound_tokens_sql("text", t.LETTER_TEST), "|")
 )
 def clean_tokens_lemma(spark, sf) -> DataFrame:
-    cleaned = cleaning.clean_tokens_lemma(t.comments(spark, sf))
+    cleaned = cleaning.clean_tokens_lemma(t.comment_texts(spark, sf))
     return cleaned.select("key", F.array_join("comments", "|").alias("value"))
 
 
 @query(_lemmatised_sql("pages", "page_id", _page_chain("html"), " "))
 def clean_page(spark, sf) -> DataFrame:
-    pages = t.table(spark, sf, "pages").select(F.col("page_id").alias("key"), "html")
+    pages = t.texts(spark, sf, "pages").select(F.col("page_id").alias("key"), "html")
     cleaned = cleaning.clean_page(pages, "html")
     return cleaned.select("key", F.col("html").alias("value"))

@@ -18,7 +18,7 @@ COUNTS_SQL = (
     + f") AS term FROM {t.COMMENTS_LANG_SQL}) GROUP BY id, term)"
 )
 VOCABULARY_SQL = (
-    "(SELECT row_number() OVER (ORDER BY n DESC, term) - 1 AS idx, term, n, documents FROM "
+    "(SELECT CAST(row_number() OVER (ORDER BY n DESC, term) - 1 AS INTEGER) AS idx, term, n, documents FROM "
     f"(SELECT term, CAST(sum(n) AS BIGINT) AS n, count(*) AS documents FROM {COUNTS_SQL} "
     "GROUP BY term))"
 )
@@ -43,7 +43,7 @@ def _counts(spark, sf) -> DataFrame:
         spark,
         sf,
         "counts",
-        lambda: materialise(terms.term_counts(t.comments(spark, sf, True), _tokens()), "counts"),
+        lambda: materialise(terms.term_counts(t.comment_texts(spark, sf, True), _tokens()), "counts"),
     )
 
 
@@ -70,13 +70,13 @@ def _distributions(spark, sf) -> DataFrame:
 
 @query(f"SELECT id, term, n FROM {COUNTS_SQL}")
 def term_counts(spark, sf) -> DataFrame:
-    counts = terms.term_counts(t.comments(spark, sf, True), _tokens())
+    counts = terms.term_counts(t.comment_texts(spark, sf, True), _tokens())
     return counts.filter(F.col("term").isNotNull())
 
 
 @query(f"SELECT idx, term, n, documents FROM {VOCABULARY_SQL}")
 def vocabulary(spark, sf) -> DataFrame:
-    return terms.vocabulary(terms.term_counts(t.comments(spark, sf, True), _tokens()))
+    return terms.vocabulary(terms.term_counts(t.comment_texts(spark, sf, True), _tokens()))
 
 
 @query(f"SELECT c.id, v.idx, CAST(c.n AS DOUBLE) AS n FROM {COUNTS_SQL} c JOIN {VOCABULARY_SQL} v ON v.term = c.term")
@@ -159,7 +159,7 @@ def topic_distributions(spark, sf) -> DataFrame:
     )
 
 
-@query(f"SELECT DISTINCT id, 1.0 AS total, 10 AS topics FROM {COUNTS_SQL}")
+@query(f"SELECT DISTINCT id, CAST(1 AS DOUBLE) AS total, 10 AS topics FROM {COUNTS_SQL}")
 def topic_distribution_sums(spark, sf) -> DataFrame:
     """Each distribution sums to 1, or to 0 without terms, which is left out here."""
     total = F.aggregate("topicDistribution", F.lit(0.0), lambda a, b: a + b)
@@ -214,7 +214,7 @@ def _pipeline_scores(spark, sf, name: str, make, df: DataFrame) -> DataFrame:
 
 
 def _texts(spark, sf) -> DataFrame:
-    documents = t.table(spark, sf, "documents")
+    documents = t.texts(spark, sf)
     return documents.select(F.col("doc_id").alias("id"), F.col("text").alias("comments"))
 
 

@@ -5,10 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+def round_nearest(x: Column, decimals: int) -> Column:
+    """Round by the exact binary value of a double, true ties to even.
+
+    A product that looks like a tie is decided by its rounding error, which the two
+    halves of the factor give exactly.
+    """
+    scale = F.lit(10.0**decimals)
+    scaled = x * scale
+    spread = x * F.lit(2.0**27 + 1)
+    high = spread - (spread - x)
+    error = (high * scale - scaled) + (x - high) * scale
+    tie = scaled - F.floor(scaled) == 0.5
+    nearest = (
+        F.when(tie & (error > 0), F.ceil(scaled).cast("double"))
+        .when(tie & (error < 0), F.floor(scaled).cast("double"))
+        .otherwise(F.rint(scaled))
+    )
+    return nearest / scale
+
+
 def comments_per_up(count: Column, ups: Column) -> Column:
     """Comments per upvote to three decimals; 0 when there are no upvotes."""
-    ratio = F.floor(count / F.nullif(ups, F.lit(0)) * 1000 + 0.5) / 1000
-    return F.coalesce(ratio, F.lit(0.0))
+    return F.coalesce(round_nearest(count / F.nullif(ups, F.lit(0)), 3), F.lit(0.0))
 
 
 def lurker_score(ratio: Column) -> Column:
@@ -32,27 +51,30 @@ def topic_number(topic: Column) -> Column:
 def full_digits(x: Column) -> Column:
     """A double with all its digits, written ``0.0001`` and ``1e-05`` rather than ``1.0E-5``."""
     text = x.cast("string")
-    mantissa = F.regexp_extract(text, r"^(-?\d+(?:\.\d+)?)E", 1)
-    power = F.regexp_extract(text, r"E(-?\d+)$", 1).cast("int")
-    digits = F.regexp_replace(mantissa, r"[-.]|\.0$", "")
+    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
+    power = F.substring_index(text, "E", -1).try_cast("int")
     sign = F.when(F.startswith(text, F.lit("-")), "-").otherwise("")
-    short = F.regexp_replace(mantissa, r"\.0$", "")
-    padded = F.rpad(digits, power + 1, "0")
-    tail = F.substring(digits, power + 2, F.length(digits))
+    digits = F.translate(mantissa, "-.", "")
+    whole = F.rpad(digits, F.greatest(F.length(digits), power + 1), "0")
+    fraction = F.substring(whole, power + 2, F.length(whole))
+    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    large = F.concat(
+        sign,
+        F.substring(whole, F.lit(1), power + 1),
+        F.lit("."),
+        F.when(fraction == "", "0").otherwise(fraction),
+    )
+    exponent = F.abs(power).cast("string")
+    scientific = F.concat(
+        mantissa,
+        F.when(power < 0, "e-").otherwise("e+"),
+        F.lpad(exponent, F.greatest(F.lit(2), F.length(exponent)), F.lit("0")),
+    )
     return (
         F.when(~F.contains(text, F.lit("E")), text)
-        .when((power < 0) & (power >= -4), F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -power - 1), F.regexp_replace(digits, "0+$", "")))
-        .when(
-            (power >= 0) & (power < 16),
-            F.concat(sign, padded, F.lit("."), F.when(tail == "", "0").otherwise(tail)),
-        )
-        .otherwise(
-            F.concat(
-                short,
-                F.when(power < 0, "e-").otherwise("e+"),
-                F.lpad(F.abs(power).cast("string"), F.greatest(F.lit(2), F.length(F.abs(power).cast("string"))), F.lit("0")),
-            )
-        )
+        .when(power.between(-4, -1), small)
+        .when(power.between(0, 15), large)
+        .otherwise(scientific)
     )
 
 
@@ -64,7 +86,7 @@ def distribution_text(distribution: Column) -> Column:
 def distribution_text_fixed(distribution: Column, decimals: int = 5) -> Column:
     """Comma-joined values with a fixed number of decimals."""
     return F.array_join(
-        F.transform(distribution, lambda x: F.format_string(f"%.{decimals}f", x)), ","
+        F.transform(distribution, lambda x: fixed_decimals(x, decimals)), ","
     )
 
 
@@ -73,8 +95,12 @@ def parse_distribution(text: Column) -> Column:
     return F.split(F.replace(text, F.lit('"'), F.lit("")), ",").cast("array<double>")
 
 
+def fixed_decimals(x: Column, decimals: int) -> Column:
+    return F.format_string(f"%.{decimals}f", round_nearest(x, decimals))
+
+
 def four_decimals(x: Column) -> Column:
-    return F.format_string("%.4f", x)
+    return fixed_decimals(x, 4)
 
 
 def thousands(n: Column) -> Column:

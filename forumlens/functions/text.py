@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
+from dataclasses import dataclass
 
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, functions as F
 
 from forumlens.functions.wordlists import (
@@ -17,8 +19,6 @@ from forumlens.functions.wordlists import (
 WORD_CLASS = r"\p{L}\p{N}_"  # Unicode word characters; Java's bare \w is ASCII only
 COMPOUND_MARK = ","
 
-TokenTest = Callable[[Column], Column]
-
 
 # -- whole strings ---------------------------------------------------------------------------
 
@@ -121,6 +121,11 @@ def is_stop_word(word: Column, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -
     return word.isin(*stop_words) if stop_words else F.lit(False)
 
 
+def default_stop_words() -> list[str]:
+    """The stop words of Spark's own stop-word stage."""
+    return StopWordsRemover.loadDefaultStopWords("english")
+
+
 def drop_stop_words(
     tokens: Column, stop_words: Sequence[str] = ENGLISH_STOP_WORDS, any_case: bool = False
 ) -> Column:
@@ -131,26 +136,34 @@ def drop_stop_words(
     return F.filter(tokens, lambda w: ~is_stop_word(w, stop_words))
 
 
-def token_test(
+@dataclass(frozen=True)
+class TokenRule:
+    """Which lower-case word tokens to keep: a pattern for the whole token, and stop words."""
+
+    pattern: str
+    stop_words: Sequence[str] = ENGLISH_STOP_WORDS
+
+    def keeps(self, word: Column) -> Column:
+        return word.rlike(f"^{self.pattern}$") & ~is_stop_word(word, self.stop_words)
+
+    def tokens(self, c: Column) -> Column:
+        """All kept tokens of a lower-case text, found in one pass over it."""
+        whole = f"(?<![{WORD_CLASS}])({self.pattern})(?![{WORD_CLASS}])"
+        return drop_stop_words(F.regexp_extract_all(c, F.lit(whole), 1), self.stop_words)
+
+
+def token_rule(
     stop_words: Sequence[str] = ENGLISH_STOP_WORDS,
     alpha: bool = True,
     ascii_only: bool = False,
     min_length: int = 1,
-) -> TokenTest:
-    """One test for a lower-case token, built from the separate ones."""
-
-    def test(word: Column) -> Column:
-        if alpha and ascii_only:  # in lower case, both at once are the letters a to z
-            passed = word.rlike(f"^[a-z]{{{min_length},}}$")
-        else:
-            passed = F.length(word) >= min_length
-            if alpha:
-                passed &= is_alpha(word)
-            if ascii_only:
-                passed &= is_ascii(word)
-        return passed & ~is_stop_word(word, stop_words)
-
-    return test
+) -> TokenRule:
+    """The separate tests put together; in lower case, ASCII letters are a to z."""
+    if ascii_only:
+        characters = "[a-z]" if alpha else "[a-z0-9_]"
+    else:
+        characters = r"\p{L}" if alpha else f"[{WORD_CLASS}]"
+    return TokenRule(f"{characters}{{{min_length},}}", stop_words)
 
 
 # -- profiles --------------------------------------------------------------------------------
@@ -158,7 +171,8 @@ def token_test(
 
 def plain_tokens(c: Column, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> Column:
     """Punctuation deleted, split at whitespace, stop words and non-alphabetic tokens dropped."""
-    words = split_whitespace(delete_punctuation(strip_lower(c)))
+    # The test for letters also drops the empty tokens that outer whitespace leaves.
+    words = F.split(delete_punctuation(F.lower(c)), f"[{SPACE_CLASS}]+")
     kept = F.filter(words, lambda w: is_alpha(w) & ~is_stop_word(w, stop_words))
     return F.coalesce(kept, F.array().cast("array<string>"))
 
@@ -167,31 +181,34 @@ def plain_text(c: Column, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> Col
     return join_tokens(plain_tokens(c, stop_words))
 
 
-def compound_tokens(c: Column, keep: TokenTest, split_compound: bool = False) -> Column:
+def compound_tokens(c: Column, rule: TokenRule, split_compound: bool = False) -> Column:
     """Kept word tokens of every whitespace-separated word.
 
     The tokens of one word stay together, joined by a comma (``foo-bar`` gives
     ``foo,bar``); ``split_compound`` gives them singly. A null text has no tokens.
 
-    Runs of non-word characters become one comma first. Almost every word is then
-    a single token, so that only true compounds pay for a second split.
+    A unit runs from the first to the last word character of a word. Almost every
+    unit is a single token, so that only true compounds pay for a second split.
     """
-    marked = F.regexp_replace(F.lower(c), f"[^{WORD_CLASS}{SPACE_CLASS}]+", COMPOUND_MARK)
+    lowered = F.lower(c)
     if split_compound:
-        tokens = F.filter(F.split(marked, f"[,{SPACE_CLASS}]+"), lambda w: (w != "") & keep(w))
+        tokens = rule.tokens(lowered)
     else:
-        mark = F.lit(COMPOUND_MARK)
-        trimmed = F.btrim(marked, F.lit(COMPOUND_MARK + SPACES))
-        words = F.split(trimmed, f",*[{SPACE_CLASS}][{SPACE_CLASS},]*")
-        singles = F.filter(words, lambda w: F.contains(w, mark) | keep(w))
-        joined = F.transform(
-            singles,
-            lambda w: F.when(
-                F.contains(w, mark),
-                F.array_join(F.filter(F.split(w, COMPOUND_MARK), keep), COMPOUND_MARK),
-            ).otherwise(w),
+        inner = f"[^{WORD_CLASS}{SPACE_CLASS}]+"
+        unit = f"([{WORD_CLASS}]+(?:{inner}[{WORD_CLASS}]+)*)"
+        units = F.regexp_extract_all(lowered, F.lit(unit), 1)
+
+        def is_compound(word: Column) -> Column:
+            return word.rlike(f"[^{WORD_CLASS}]")
+
+        def rejoin(word: Column) -> Column:
+            kept = F.filter(F.split(word, f"[^{WORD_CLASS}]+"), rule.keeps)
+            return F.array_join(kept, COMPOUND_MARK)
+
+        candidates = F.filter(units, lambda w: rule.keeps(w) | is_compound(w))
+        tokens = F.array_remove(
+            F.transform(candidates, lambda w: F.when(is_compound(w), rejoin(w)).otherwise(w)), ""
         )
-        tokens = F.array_remove(joined, "")
     return F.coalesce(tokens, F.array().cast("array<string>"))
 
 
@@ -199,8 +216,8 @@ def ascii_tokens(
     c: Column, stop_words: Sequence[str] = ENGLISH_STOP_WORDS, split_compound: bool = False
 ) -> Column:
     """Tokens of at least three letters a to z."""
-    keep = token_test(stop_words, alpha=True, ascii_only=True, min_length=3)
-    return compound_tokens(c, keep, split_compound)
+    rule = token_rule(stop_words, ascii_only=True, min_length=3)
+    return compound_tokens(c, rule, split_compound)
 
 
 def letter_tokens(
@@ -210,7 +227,7 @@ def letter_tokens(
     split_compound: bool = False,
 ) -> Column:
     """Tokens of letters of any script; ``alpha=False`` also keeps digits and underscores."""
-    return compound_tokens(c, token_test(stop_words, alpha=alpha), split_compound)
+    return compound_tokens(c, token_rule(stop_words, alpha=alpha), split_compound)
 
 
 def page_tokens(c: Column, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> Column:

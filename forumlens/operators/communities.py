@@ -14,9 +14,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from forumlens.session import materialise, small_side
+from forumlens.functions.numbers import comments_per_up
+from forumlens.operators.lookup import lookup_join
+from forumlens.session import BROADCAST_ROWS, materialise
 
-PART_CHARS = 64_000_000
+# A task may hold over a hundred parts at once while it collects them.
+PART_CHARS = 8_000_000
 
 
 def select_comments(
@@ -57,85 +60,90 @@ def with_parts(
     weight: Column,
     part_weight: int,
     totals: Sequence[Column] = (),
+    max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Add ``part``, and for groups of several parts the named group totals as ``_total_*``.
+    """Add ``part``, and ``_parts`` and the given group totals for groups of several parts.
 
-    Only groups above ``part_weight`` need a lookup; there are at most
-    ``sum(weight) / part_weight`` of them, and their number is counted before they
-    are broadcast. Rows are not shuffled for it unless there are too many.
+    Only groups above ``part_weight`` are looked up, of which there are at most
+    ``sum(weight) / part_weight``; all others are one part and are not joined to
+    anything, which leaves their totals null.
     """
-    hot = (
+    large = (
         df.groupBy(F.col(group).alias("_group"))
         .agg(F.sum(weight).alias("_weight"), *totals)
         .filter(F.col("_weight") > part_weight)
         .withColumn("_parts", F.ceil(F.col("_weight") / part_weight).cast("long"))
-        .drop("_weight")
     )
-    hot = small_side(materialise(hot, "large-groups"))
-    return (
-        df.join(hot, F.col(group).eqNullSafe(F.col("_group")), "left")
-        .withColumn("part", key_bucket(keys, F.coalesce("_parts", F.lit(1))))
-        .drop("_group")
+    large = materialise(large, "large-groups")
+    return lookup_join(df, large, group, "_group", "_weight", max_rows=max_rows).withColumn(
+        "part", key_bucket(keys, F.coalesce("_parts", F.lit(1)))
     )
 
 
-def _grouped(df: DataFrame, value: Column, keys: Sequence[str], part_chars: int, size: Column):
-    rows = df.select(
-        "id", *[F.col(k) for k in keys], value.alias("_value"), size.alias("_size")
-    )
-    parted = with_parts(rows, "id", keys, F.col("_size"), part_chars)
-    ordered = F.sort_array(F.collect_list(F.struct(*keys, "_value")))
+def assign_parts(
+    df: DataFrame,
+    size: Column | None = None,
+    keys: Sequence[str] = ("key",),
+    part_chars: int = PART_CHARS,
+    totals: Sequence[Column] = (),
+) -> DataFrame:
+    """Add ``part`` to comments by the length of their text.
+
+    Done on raw comments, before they are cleaned, it needs no cleaning to size them;
+    the functions below keep the parts they are given.
+    """
+    chars = F.coalesce(F.length("comments") if size is None else size, F.lit(0))
+    return with_parts(df, "id", keys, chars, part_chars, totals)
+
+
+def token_chars(tokens: Column) -> Column:
+    return F.length(F.array_join(tokens, " "))
+
+
+def _collected(
+    df: DataFrame, keys: Sequence[str], part_chars: int, size: Column | None = None
+) -> DataFrame:
+    parted = df if "part" in df.columns else assign_parts(df, size, keys, part_chars)
+    # A null value is left out, as collecting it alone would leave it out.
+    value = F.when(F.col("comments").isNotNull(), F.struct(*keys, "comments"))
     return parted.groupBy("id", "part").agg(
-        F.transform(ordered, lambda row: row["_value"]).alias("comments")
+        F.transform(F.sort_array(F.collect_list(value)), lambda row: row["comments"]).alias(
+            "comments"
+        )
     )
 
 
 def community_text(
     df: DataFrame,
     separator: str = " ",
-    column: str = "comments",
     keys: Sequence[str] = ("key",),
     part_chars: int = PART_CHARS,
 ) -> DataFrame:
     """Concatenate the texts of each community, in key order: ``id, part, comments``."""
-    size = F.coalesce(F.length(column), F.lit(0))
-    # A null text is left out, as collecting it would be; its community stays.
-    grouped = _grouped(df, F.col(column), keys, part_chars, size)
-    return grouped.withColumn("comments", F.array_join("comments", separator))
+    collected = _collected(df, keys, part_chars)
+    return collected.withColumn("comments", F.array_join("comments", separator))
 
 
 def community_token_lists(
-    df: DataFrame,
-    column: str = "comments",
-    keys: Sequence[str] = ("key",),
-    part_chars: int = PART_CHARS,
-    size: Column | None = None,
+    df: DataFrame, keys: Sequence[str] = ("key",), part_chars: int = PART_CHARS
 ) -> DataFrame:
     """Collect the token arrays of each community as an array of arrays."""
-    size = token_chars(F.col(column)) if size is None else size
-    return _grouped(df, F.col(column), keys, part_chars, size)
+    return _collected(df, keys, part_chars, token_chars(F.col("comments")))
 
 
 def community_tokens(
-    df: DataFrame,
-    column: str = "comments",
-    keys: Sequence[str] = ("key",),
-    part_chars: int = PART_CHARS,
+    df: DataFrame, keys: Sequence[str] = ("key",), part_chars: int = PART_CHARS
 ) -> DataFrame:
     """Concatenate the token arrays of each community."""
-    lists = community_token_lists(df, column, keys, part_chars)
+    lists = community_token_lists(df, keys, part_chars)
     return lists.withColumn("comments", F.flatten("comments"))
 
 
-def token_chars(tokens: Column) -> Column:
-    return F.coalesce(F.length(F.array_join(tokens, " ")), F.lit(0))
-
-
-def first_comment_tokens(
+def first_comment(
     df: DataFrame, column: str = "comments", keys: Sequence[str] = ("key",)
 ) -> DataFrame:
-    """Token array of each community's first comment, the rest left aside."""
-    return df.groupBy("id").agg(F.min_by(column, F.struct(*keys)).alias("comments"))
+    """Each community's first comment by key; whatever is made of it is made after this."""
+    return df.groupBy("id").agg(F.min_by(column, F.struct(*keys)).alias(column))
 
 
 def ups_per_community(df: DataFrame) -> DataFrame:
@@ -154,9 +162,9 @@ def community_stats(df: DataFrame) -> DataFrame:
 def community_documents(
     df: DataFrame,
     tokens: Column,
-    text: str = "comments",
     keys: Sequence[str] = ("key",),
     part_chars: int = PART_CHARS,
+    size: Column | None = None,
 ) -> DataFrame:
     """``id, part, comments, ups, comm_count``: all tokens with the community's totals.
 
@@ -164,11 +172,10 @@ def community_documents(
     totals of a community in one part are those of its only part; the totals of
     the larger ones come with their lookup.
     """
-    parted = with_parts(
-        df.select("id", *keys, text, "ups"),
-        "id",
+    parted = assign_parts(
+        df.select("id", *keys, "comments", "ups"),
+        size,
         keys,
-        F.coalesce(F.length(text), F.lit(0)),
         part_chars,
         [F.sum("ups").alias("_total_ups"), F.count("id").alias("_total_count")],
     )
@@ -203,8 +210,6 @@ def stats_of_documents(documents: DataFrame) -> DataFrame:
 
 
 def with_ratio(stats: DataFrame) -> DataFrame:
-    from forumlens.functions.numbers import comments_per_up
-
     return stats.withColumn(
         "comm_ups_ratio", comments_per_up(F.col("comm_count"), F.col("ups"))
     )

@@ -8,12 +8,16 @@ another dictionary the lemmas change, the rules do not.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.functions import arrow_udf
 
 from forumlens.functions.text import COMPOUND_MARK
 from forumlens.functions.wordlists import NOUN_ENDINGS
+from forumlens.operators.lookup import lookup_join
 from forumlens.session import BROADCAST_ROWS, materialise
 
 
@@ -64,6 +68,7 @@ def lemma_table(
     ``dictionary(word)`` holds the known nouns, ``exceptions(word, lemma)`` the
     irregular ones, whose rows replace the rules for their words.
     """
+    words = materialise(words, "words")
     known = (words if dictionary is None else dictionary).select(F.col("word").alias("form"))
     regular = words
     if exceptions is not None:
@@ -94,40 +99,23 @@ def lemma_table(
 
 
 def map_words(
-    rows: DataFrame, column: str, table: DataFrame, hot_rows: int = BROADCAST_ROWS
+    rows: DataFrame, column: str, table: DataFrame, max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """Add ``lemma`` for the word in ``column``; an unknown word is its own lemma.
+    """Add ``lemma`` for the word in ``column``; a word without one is its own lemma."""
+    joined = lookup_join(rows, table, column, "word", "n", _is_changed(), max_rows)
+    return joined.withColumn("lemma", F.coalesce("lemma", column))
 
-    A table of up to ``hot_rows`` rows is broadcast. Beyond that, the words that make
-    up at least ``1 / hot_rows`` of all occurrences are, and there cannot be more
-    than ``hot_rows`` of those. The others are joined by shuffle, where no word has
-    enough rows to be hot.
-    """
-    changed = table.filter(F.col("lemma") != F.col("word"))
-    lookup = changed.select(F.col("word").alias(column), "lemma")
-    own = F.coalesce("lemma", column).alias("lemma")
-    others = [c for c in rows.columns if c != column]
-    if changed.count() <= hot_rows:
-        return rows.join(F.broadcast(lookup), column, "left").select(*others, column, own)
-    total = table.agg(F.sum("n")).first()[0]
-    frequent = table.filter(F.col("n") * hot_rows >= total).select(
-        F.col("word").alias(column), "lemma"
-    )
-    hot = rows.join(F.broadcast(frequent), column).select(*others, column, "lemma")
-    cold = (
-        rows.join(F.broadcast(frequent.select(column)), column, "left_anti")
-        .join(lookup, column, "left")
-        .select(*others, column, own)
-    )
-    return hot.union(cold)
+
+def _is_changed() -> Column:
+    return F.col("lemma") != F.col("word")
 
 
 def lemmatise_counts(
-    counts: DataFrame, table: DataFrame, hot_rows: int = BROADCAST_ROWS
+    counts: DataFrame, table: DataFrame, max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """``id, term, n`` with terms replaced by their lemmas and added up."""
     return (
-        map_words(counts, "term", table, hot_rows)
+        map_words(counts, "term", table, max_rows)
         .groupBy("id", F.col("lemma").alias("term"))
         .agg(F.sum("n").alias("n"))
     )
@@ -138,19 +126,51 @@ def lemmatise_tokens(
     column: str,
     table: DataFrame,
     keys: Sequence[str] = ("key",),
-    hot_rows: int = BROADCAST_ROWS,
+    max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Replace the tokens of every row by their lemmas, also inside compound tokens.
 
-    Rows are spread by their unique key. Only distinct words that have another lemma
-    leave their row, and come back as one small map per row.
+    If at most ``max_rows`` words have another lemma, every task gets them and no
+    row moves. Beyond that the words that change are looked up by join.
     """
+    changed = table.filter(_is_changed()).select("word", "lemma")
+    if changed.count() <= max_rows:
+        return df.withColumn(column, _lemma_function(changed)(F.col(column)))
+    return _lemmatise_by_join(df, column, table, keys, max_rows)
+
+
+def _lemma_function(changed: DataFrame) -> Callable[[Column], Column]:
+    """A whole-batch function over token arrays, for a table that has been counted."""
+    lemmas = changed.toArrow()
+    shared = changed.sparkSession.sparkContext.broadcast(
+        (lemmas["word"].combine_chunks(), lemmas["lemma"].combine_chunks())
+    )
+
+    @arrow_udf("array<string>")
+    def replace(tokens: pa.Array) -> pa.Array:
+        words, lemmas = shared.value
+        parts = pc.split_pattern(tokens.flatten(), COMPOUND_MARK)
+        single = parts.flatten()
+        found = pc.take(lemmas, pc.index_in(single, value_set=words))
+        mapped = pa.ListArray.from_arrays(parts.offsets, pc.coalesce(found, single))
+        sizes = pc.fill_null(pc.list_value_length(tokens), 0)
+        offsets = pa.concat_arrays([pa.array([0], pa.int32()), pc.cumulative_sum(sizes)])
+        return pa.ListArray.from_arrays(offsets, pc.binary_join(mapped, COMPOUND_MARK))
+
+    return replace
+
+
+def _lemmatise_by_join(
+    df: DataFrame, column: str, table: DataFrame, keys: Sequence[str], max_rows: int
+) -> DataFrame:
+    """Rows are spread by their unique key; only distinct words that some rule applies to
+    leave them, and those with another lemma come back as one map per row."""
     rows = df.repartition(*keys)
     single = F.split(F.array_join(column, COMPOUND_MARK), COMPOUND_MARK)
-    words = rows.select(*keys, F.explode(F.array_distinct(single)).alias("word"))
-    changed = map_words(words, "word", table, hot_rows).filter(F.col("lemma") != F.col("word"))
+    words = rows.select(*keys, F.explode(F.array_distinct(single)).alias("word_"))
+    changed = map_words(words, "word_", table, max_rows).filter(F.col("lemma") != F.col("word_"))
     maps = changed.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct("word", "lemma"))).alias("_lemmas")
+        F.map_from_entries(F.collect_list(F.struct("word_", "lemma"))).alias("_lemmas")
     )
 
     def mapped(word: Column) -> Column:

@@ -25,7 +25,7 @@ ITERATIONS = 10
 SEED = 42
 DOMINANCE = 0.7
 TOP_TERMS = 10
-PART_POINTS = 1_000_000
+PART_POINTS = 100_000
 
 
 # -- models ----------------------------------------------------------------------------------

@@ -71,3 +71,9 @@ def read_communities(
 def read_result(spark: SparkSession, directory: str, schema: T.StructType) -> DataFrame:
     """A result directory: only its ``part*.csv`` files."""
     return _csv(spark, schema, False).option("pathGlobFilter", "part*.csv").csv(directory)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a plain scan that has fewer splits; a larger one is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
