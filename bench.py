@@ -71,7 +71,7 @@ def benchmarks(spark: SparkSession) -> dict:
         parted = com.assign_parts(comments()).withColumn(
             "comments", text.plain_text(F.col("comments"))
         )
-        compute(com.community_text(com.drop_empty(parted)))
+        compute(com.community_text(parted, drop_empty=True))
 
     def lemma_text() -> None:
         compute(cleaning.clean_text(comments()))

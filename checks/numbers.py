@@ -127,7 +127,8 @@ def _points(spark, sf) -> DataFrame:
     f"LEFT JOIN {POINTS_SQL} p ON p.assignment = s.assignment"
 )
 def points_with_topics(spark, sf) -> DataFrame:
-    return topics.points_with_topics(_points(spark, sf), 70)
+    joined = topics.points_with_topics(_points(spark, sf), 70)
+    return joined.select("assignment", "meta_label", "id", "x", "y")
 
 
 @query(

@@ -74,7 +74,7 @@ def documents_from_csv(spark, sf) -> DataFrame:
 
     cleaned = t.comment_texts(spark, sf).withColumn("comments", plain_text(F.col("comments")))
     path = scratch_path(spark, "documents-csv")
-    writers.write_csv(com.community_text(com.drop_empty(cleaned)).select("id", "comments"), path)
+    writers.write_csv(com.community_text(cleaned, drop_empty=True).select("id", "comments"), path)
     return readers.read_documents(spark, path)
 
 

@@ -100,7 +100,7 @@ def community_text_in_parts(spark, sf) -> DataFrame:
 def community_clean_text(spark, sf) -> DataFrame:
     """Cleaned with lemmas, empties dropped, one text per community."""
     parted = com.assign_parts(t.comment_texts(spark, sf))
-    return com.community_text(com.drop_empty(cleaning.clean_text(parted)))
+    return com.community_text(cleaning.clean_text(parted), drop_empty=True)
 
 
 @query(

@@ -101,11 +101,16 @@ def token_chars(tokens: Column) -> Column:
 
 
 def _collected(
-    df: DataFrame, keys: Sequence[str], part_chars: int, size: Column | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    part_chars: int,
+    size: Column | None = None,
+    keep: Column | None = None,
 ) -> DataFrame:
     parted = df if "part" in df.columns else assign_parts(df, size, keys, part_chars)
     # A null value is left out, as collecting it alone would leave it out.
-    value = F.when(F.col("comments").isNotNull(), F.struct(*keys, "comments"))
+    kept = F.col("comments").isNotNull() if keep is None else keep
+    value = F.when(kept, F.struct(*keys, "comments"))
     return parted.groupBy("id", "part").agg(
         F.transform(F.sort_array(F.collect_list(value)), lambda row: row["comments"]).alias(
             "comments"
@@ -118,9 +123,18 @@ def community_text(
     separator: str = " ",
     keys: Sequence[str] = ("key",),
     part_chars: int = PART_CHARS,
+    drop_empty: bool = False,
 ) -> DataFrame:
-    """Concatenate the texts of each community, in key order: ``id, part, comments``."""
-    collected = _collected(df, keys, part_chars)
+    """Concatenate the texts of each community, in key order: ``id, part, comments``.
+
+    ``drop_empty`` leaves out empty texts, and communities with nothing else, while
+    collecting. A filter on cleaned text in front of this would be pushed below the
+    cleaning and clean everything twice.
+    """
+    keep = F.col("comments") != "" if drop_empty else None
+    collected = _collected(df, keys, part_chars, keep=keep)
+    if drop_empty:
+        collected = collected.filter(F.size("comments") > 0)
     return collected.withColumn("comments", F.array_join("comments", separator))
 
 

@@ -174,12 +174,26 @@ def topic_spine(df: DataFrame, topics: int) -> DataFrame:
     return df.sparkSession.range(1, topics + 1).select(F.col("id").alias("assignment"))
 
 
+def _labelled(df: DataFrame) -> DataFrame:
+    label = F.concat(F.lit("Topic "), F.col("assignment").cast("string"))
+    return df.withColumn("meta_label", label)
+
+
+def _without_points(points: DataFrame, topics: int) -> DataFrame:
+    used = points.select("assignment").distinct()
+    return topic_spine(points, topics).join(used, "assignment", "left_anti")
+
+
 def points_with_topics(points: DataFrame, topics: int) -> DataFrame:
-    """Points joined to their topic group; topics without points stay, topic 0 is left out."""
-    spine = topic_spine(points, topics).withColumn(
-        "meta_label", F.concat(F.lit("Topic "), F.col("assignment").cast("string"))
+    """Points joined to their topic group; topics without points stay, topic 0 is left out.
+
+    The groups are a handful of rows and go to the points, so that a topic with most
+    of the points is not brought together; an outer join would have to do that.
+    """
+    joined = points.join(F.broadcast(topic_spine(points, topics)), "assignment")
+    return _labelled(
+        joined.unionByName(_without_points(points, topics), allowMissingColumns=True)
     )
-    return F.broadcast(spine).join(points, "assignment", "left")
 
 
 def nested_layout(points: DataFrame, topics: int, part_points: int = PART_POINTS) -> DataFrame:
@@ -188,16 +202,14 @@ def nested_layout(points: DataFrame, topics: int, part_points: int = PART_POINTS
     A topic of more than ``part_points`` points takes several rows, like a large
     community does.
     """
-    kept = points.filter(F.col("assignment") > 0)
+    kept = points.filter(F.col("assignment").between(1, topics))
     parted = with_parts(kept, "assignment", ["id"], F.lit(1), part_points)
     nested = parted.groupBy("assignment", "part").agg(
         F.sort_array(F.collect_list(F.struct("id", "x", "y"))).alias("data")
     )
-    spine = topic_spine(points, topics)
-    empty = F.array().cast(nested.schema["data"].dataType)
-    return spine.join(nested, "assignment", "left").select(
+    empty = _without_points(points, topics).select(
         "assignment",
-        F.coalesce("part", F.lit(0).cast("long")).alias("part"),
-        F.concat(F.lit("Topic "), F.col("assignment").cast("string")).alias("meta_label"),
-        F.coalesce("data", empty).alias("data"),
+        F.lit(0).cast("long").alias("part"),
+        F.array().cast(nested.schema["data"].dataType).alias("data"),
     )
+    return _labelled(nested.unionByName(empty)).select("assignment", "part", "meta_label", "data")

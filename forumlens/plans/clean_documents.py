@@ -25,7 +25,7 @@ def run(
     raw = readers.read_comments(spark, source, partitions)
     parted = communities.assign_parts(communities.select_comments(raw, ups=None))
     cleaned = cleaning.clean_text(parted, dictionary=dictionary)
-    texts = communities.community_text(communities.drop_empty(cleaned))
+    texts = communities.community_text(cleaned, drop_empty=True)
     writers.write_csv(texts.select("id", "comments"), output)
 
 

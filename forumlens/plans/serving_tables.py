@@ -26,7 +26,11 @@ def serving_tables(
     k: int = topics.TOPICS,
     excluded: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
-    """All tables of the page, by name. Boards are sorted again, whatever order they had."""
+    """All tables of the page, by name. Boards are sorted again, whatever order they had.
+
+    The inputs are read several times each and are therefore written once.
+    """
+    counts, ups, ratios = (materialise(df, "board") for df in (counts, ups, ratios))
     lurkers = boards.lurkers(ratios)
     tops = {
         "comment_board": boards.top_board(counts, "comm_count"),
@@ -36,7 +40,7 @@ def serving_tables(
     merged = boards.shown(
         boards.merged_board(counts, ups, lurkers), boards.shown_ids(*tops.values())
     )
-    points = topics.layout(distributions)
+    points = materialise(topics.layout(materialise(distributions, "distributions")), "layout")
     return {
         **tops,
         "totals": boards.totals_text(counts),
@@ -67,10 +71,10 @@ def run(
         parse_distribution(F.col("term_weight")).alias("term_weight"),
     )
     tables = serving_tables(
-        materialise(readers.read_result(spark, counts, schemas.COUNT_BOARD), "counts"),
-        materialise(readers.read_result(spark, ups, schemas.UPS_BOARD), "ups"),
-        materialise(readers.read_result(spark, ratios, schemas.RATIO_BOARD), "ratios"),
-        materialise(parsed, "distributions"),
+        readers.read_result(spark, counts, schemas.COUNT_BOARD),
+        readers.read_result(spark, ups, schemas.UPS_BOARD),
+        readers.read_result(spark, ratios, schemas.RATIO_BOARD),
+        parsed,
         topic_words,
         k,
         excluded,

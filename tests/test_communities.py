@@ -53,6 +53,14 @@ def test_one_part_is_in_key_order(comments):
         assert rows[id_] == ", ".join(v for _, v, _ in group if v is not None)
 
 
+def test_empty_texts_can_be_left_out(comments):
+    rows = {r["id"]: r["comments"] for r in com.community_text(comments, "|", drop_empty=True).collect()}
+    assert rows["small"] == "alpha beta"
+    assert "nothing" not in rows
+    filtered = com.community_text(com.drop_empty(comments), "|").collect()
+    assert rows == {r["id"]: r["comments"] for r in filtered}
+
+
 def test_lookup_by_shuffle_gives_the_same_parts(comments):
     size = F.coalesce(F.length("comments"), F.lit(0))
     few, many = (
