@@ -92,7 +92,7 @@ def regex_tokens(c: Column, pattern: str = r"[\W_]+", min_length: int = 4) -> Co
 
 def lower_tokens(c: Column) -> Column:
     """Lower-case and split at each whitespace character; empty tokens stay, except at the end."""
-    kept = F.regexp_replace(F.lower(c), r"\s+$", "")
+    kept = F.rtrim(F.lower(c), F.lit(" \t\n\x0b\f\r"))
     return F.when((kept == "") & (c != ""), F.array().cast("array<string>")).otherwise(
         F.split(kept, r"\s")
     )
@@ -163,7 +163,7 @@ def token_rule(
         characters = "[a-z]" if alpha else "[a-z0-9_]"
     else:
         characters = r"\p{L}" if alpha else f"[{WORD_CLASS}]"
-    return TokenRule(f"{characters}{{{min_length},}}", stop_words)
+    return TokenRule(f"{characters}{{{min_length},}}+", stop_words)
 
 
 # -- profiles --------------------------------------------------------------------------------
@@ -188,14 +188,15 @@ def compound_tokens(c: Column, rule: TokenRule, split_compound: bool = False) ->
     ``foo,bar``); ``split_compound`` gives them singly. A null text has no tokens.
 
     A unit runs from the first to the last word character of a word. Almost every
-    unit is a single token, so that only true compounds pay for a second split.
+    unit is a single token, so that only true compounds pay for a second split. The
+    pattern never gives back what it took (``++``): a unit may be a whole long line.
     """
     lowered = F.lower(c)
     if split_compound:
         tokens = rule.tokens(lowered)
     else:
-        inner = f"[^{WORD_CLASS}{SPACE_CLASS}]+"
-        unit = f"([{WORD_CLASS}]+(?:{inner}[{WORD_CLASS}]+)*)"
+        inner = f"[^{WORD_CLASS}{SPACE_CLASS}]++"
+        unit = f"([{WORD_CLASS}]++(?:{inner}[{WORD_CLASS}]++)*+)"
         units = F.regexp_extract_all(lowered, F.lit(unit), 1)
 
         def is_compound(word: Column) -> Column:

@@ -42,8 +42,9 @@ def candidate_forms(word: Column) -> Column:
     """``array<struct<round, form>>``: the word and its forms, then the forms of those.
 
     Round 0 holds the word itself and one application of the rules; a later round
-    counts only when no form of the earlier ones is in the dictionary. Each rule
-    that can be followed by another shortens the word, so its length bounds them.
+    counts only when no form of the earlier ones is in the dictionary. A rule that
+    can be followed by another takes at least one letter off the final run of ``e``
+    and ``s``, whose length therefore bounds the rounds.
     """
     start = F.struct(F.array(word).alias("last"), F.array(_form(F.lit(0), word)).alias("all"))
 
@@ -52,8 +53,8 @@ def candidate_forms(word: Column) -> Column:
         found = F.transform(last, lambda form: _form(round_ - 1, form))
         return F.struct(last.alias("last"), F.concat(state["all"], found).alias("all"))
 
-    rounds = F.sequence(F.lit(1), F.greatest(F.length(word), F.lit(1)))
-    return F.aggregate(rounds, start, extend, lambda state: state["all"])
+    run = F.length(word) - F.length(F.rtrim(word, F.lit("es")))
+    return F.aggregate(F.sequence(F.lit(1), run + 1), start, extend, lambda state: state["all"])
 
 
 def _form(round_: Column, form: Column) -> Column:

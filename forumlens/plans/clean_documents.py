@@ -11,8 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from forumlens.operators import cleaning, communities
+from forumlens.plans import inputs
 from forumlens.session import build_session
-from forumlens.sources import readers, writers
+from forumlens.sources import writers
 
 
 def run(
@@ -22,8 +23,7 @@ def run(
     partitions: int | None = None,
     dictionary: DataFrame | None = None,
 ) -> None:
-    raw = readers.read_comments(spark, source, partitions)
-    parted = communities.assign_parts(communities.select_comments(raw, ups=None))
+    parted = communities.assign_parts(inputs.comments(spark, source, partitions, ups=None))
     cleaned = cleaning.clean_text(parted, dictionary=dictionary)
     texts = communities.community_text(cleaned, drop_empty=True)
     writers.write_csv(texts.select("id", "comments"), output)
@@ -32,7 +32,7 @@ def run(
 def main() -> None:
     args = _arguments().parse_args()
     spark = build_session("clean-documents")
-    nouns = spark.read.text(args.dictionary).toDF("word") if args.dictionary else None
+    nouns = inputs.nouns(spark, args.dictionary)
     run(spark, args.source, args.output, args.partitions, nouns)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from forumlens.functions import text
 from forumlens.operators import cleaning, communities, leaderboards
+from forumlens.plans import inputs
 from forumlens.session import build_session, materialise
 from forumlens.sources import readers, writers
 
@@ -32,7 +33,7 @@ def run(
     The documents are written first and the boards are made from their narrow
     columns, so that the comments are cleaned once.
     """
-    comments = communities.select_comments(readers.read_comments(spark, source, partitions))
+    comments = inputs.comments(spark, source, partitions)
     if lemmas:
         cleaned = cleaning.clean_tokens_lemma(comments, dictionary=dictionary)
         written = materialise(cleaned, "lemma-tokens")
@@ -59,7 +60,7 @@ def main() -> None:
     parser.add_argument("--dictionary", help="text file of known nouns, one per line")
     args = parser.parse_args()
     spark = build_session("community-statistics")
-    nouns = spark.read.text(args.dictionary).toDF("word") if args.dictionary else None
+    nouns = inputs.nouns(spark, args.dictionary)
     run(
         spark,
         args.source,

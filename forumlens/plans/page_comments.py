@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from forumlens.operators import cleaning, communities, ranking
+from forumlens.plans import inputs
 from forumlens.session import build_session, materialise
 from forumlens.sources import readers, writers
 
@@ -48,7 +49,7 @@ def main() -> None:
     parser.add_argument("--dictionary", help="text file of known nouns, one per line")
     args = parser.parse_args()
     spark = build_session("page-comments")
-    nouns = spark.read.text(args.dictionary).toDF("word") if args.dictionary else None
+    nouns = inputs.nouns(spark, args.dictionary)
     run(spark, args.pages, args.output, args.rows, args.seed, nouns)
 
 

@@ -169,6 +169,19 @@ def test_page_profile(spark):
     assert one(spark, text.page_text(C), values) == [page_reference(v) for v in values]
 
 
+def test_very_long_words(spark):
+    chain = "-".join(["abc", "the", "x9"] * 60_000)
+    letters = "z" * 300_000
+    values = [chain, letters, letters + "1", "." * 300_000 + "abc", "abc" + " " * 300_000 + "abc"]
+    joined = one(spark, text.ascii_tokens(C), values)
+    assert joined[0] == [",".join(["abc"] * 60_000)]
+    assert joined[1:] == [[letters], [], ["abc"], ["abc", "abc"]]
+    single = one(spark, text.ascii_tokens(C, split_compound=True), values)
+    assert single == [["abc"] * 60_000, [letters], [], ["abc"], ["abc", "abc"]]
+    assert one(spark, text.plain_tokens(C), values)[1:] == [[letters], [], ["abc"], ["abc", "abc"]]
+    assert one(spark, text.lower_tokens(C), ["a" + " " * 300_000]) == [["a"]]
+
+
 def test_ml_tokenisers_agree(spark):
     values = [v for v in EDGES if v is not None]
     df = spark.createDataFrame([(v,) for v in values], "c string")

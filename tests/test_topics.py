@@ -113,7 +113,7 @@ def lemma_reference(word, known, exceptions=None):
 WORDS = (
     "cats cat dogs boxes box wolves wolf churches church wishes wish men man women woman ladies "
     "lady glasses glass us bus buses as classs classss zzzs quizzes buzzes feet foot children s ss "
-    "sss mens asses omens abcses leaves leaf leave"
+    "sss mens asses omens abcses leaves leaf leave sssssssssssss possesses zeses"
 ).split()
 
 
