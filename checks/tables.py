@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from forumlens.functions.wordlists import ENGLISH_STOP_WORDS, SPACE_CLASS, SPACES
+from forumlens.functions.wordlists import ENGLISH_STOP_WORDS, SPACES
 from forumlens.sources.readers import spread
 
 STOP = list(ENGLISH_STOP_WORDS)
@@ -59,7 +59,10 @@ def in_list(words) -> str:
 
 
 SPACES_SQL = quoted(SPACES)
-WS = SPACE_CLASS
+WS = (
+    r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
 STOP_SQL = in_list(STOP)
 
 COMMENTS_SQL = """(SELECT d.source AS id, d.text AS comments, d.doc_id AS key,

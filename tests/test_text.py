@@ -211,3 +211,13 @@ def test_fixed_lists():
     assert len(ENGLISH_STOP_WORDS) == len(STOP) == 179
     assert len(set(PUNCTUATION)) == 32
     assert all(unicodedata.category(ch)[0] in "PS" for ch in PUNCTUATION)
+
+
+def test_whitespace_is_what_python_splits_at(spark):
+    spaces = [chr(i) for i in range(0x3100) if chr(i).isspace()]
+    others = ["​", "᠎", "⁠", "ᚁ", "⿿", "‐"]
+    values = [f"ab{ch}cd" for ch in spaces + others]
+    assert one(spark, text.split_whitespace(C), values) == [v.split() for v in values]
+    assert one(spark, text.plain_tokens(C), values) == [plain_reference(v) for v in values]
+    assert one(spark, text.letter_tokens(C), values) == [letter_reference(v) for v in values]
+    assert one(spark, text.strip_lower(C), [ch + "a" + ch for ch in spaces]) == ["a"] * len(spaces)
