@@ -63,7 +63,7 @@ def benchmarks(spark: SparkSession) -> dict:
     written: dict[str, object] = {}
 
     def leaderboards() -> None:
-        source = stats()
+        source = materialise(stats(), "stats")
         for board in (boards.by_ups, boards.by_count, boards.by_ratio):
             compute(board(source))
 
@@ -91,7 +91,7 @@ def benchmarks(spark: SparkSession) -> dict:
         compute(topics.topic_words(written["model"], written["vocab"]))
 
     def serving() -> None:
-        source = stats()
+        source = materialise(stats(), "stats")
         made = serving_tables(
             source.select("id", "comm_count"),
             source.select("id", "ups"),

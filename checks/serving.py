@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from checks import tables as t
 from checks.registry import query
 from forumlens.operators import communities as com, leaderboards as boards
+from forumlens.session import materialise
 
 LURKERS_SQL = f"(SELECT id, 1 / comm_ups_ratio AS lurker FROM {t.ratio_sql()} WHERE comm_ups_ratio > 0)"
 MERGED_SQL = (
@@ -25,8 +26,12 @@ def _stats(spark, sf) -> DataFrame:
     return com.with_ratio(com.community_stats(t.comments(spark, sf, True)))
 
 
-def _boards(spark, sf, n: int) -> dict[str, DataFrame]:
-    stats = _stats(spark, sf)
+def _written_stats(spark, sf) -> DataFrame:
+    """For queries that use the statistics more than once."""
+    return materialise(_stats(spark, sf), "stats")
+
+
+def _boards(stats: DataFrame, n: int) -> dict[str, DataFrame]:
     return {
         "comm_count": boards.top_board(stats.select("id", "comm_count"), "comm_count", n),
         "ups": boards.top_board(stats.select("id", "ups"), "ups", n),
@@ -34,15 +39,14 @@ def _boards(spark, sf, n: int) -> dict[str, DataFrame]:
     }
 
 
-def _merged(spark, sf) -> DataFrame:
-    stats = _stats(spark, sf)
+def _merged(stats: DataFrame) -> DataFrame:
     return boards.merged_board(
         stats.select("id", "comm_count"), stats.select("id", "ups"), boards.lurkers(stats)
     )
 
 
-def _shown_ids(spark, sf) -> DataFrame:
-    return boards.shown_ids(*_boards(spark, sf, BOARD).values())
+def _shown_ids(stats: DataFrame) -> DataFrame:
+    return boards.shown_ids(*_boards(stats, BOARD).values())
 
 
 SHOWN_SQL = "(" + " UNION ".join(f"SELECT id FROM {sql.format(n=BOARD)}" for sql in TOP_SQL.values()) + ")"
@@ -87,7 +91,7 @@ def lurker_scores(spark, sf) -> DataFrame:
 def top_100_boards(spark, sf) -> DataFrame:
     tops = [
         board.select(F.lit(name).alias("board"), "id", F.col(name).cast("double").alias("value"))
-        for name, board in _boards(spark, sf, boards.BOARD_SIZE).items()
+        for name, board in _boards(_written_stats(spark, sf), boards.BOARD_SIZE).items()
     ]
     return tops[0].union(tops[1]).union(tops[2])
 
@@ -108,7 +112,7 @@ def top_100_customers(spark, sf) -> DataFrame:
     )
 )
 def leaders(spark, sf) -> DataFrame:
-    stats = _stats(spark, sf)
+    stats = _written_stats(spark, sf)
     tops = [
         boards.leader(source, name).select(F.lit(name).alias("board"), "id")
         for name, source in (
@@ -122,24 +126,27 @@ def leaders(spark, sf) -> DataFrame:
 
 @query(f"SELECT * FROM {MERGED_SQL}")
 def merged_board(spark, sf) -> DataFrame:
-    return _merged(spark, sf)
+    return _merged(_written_stats(spark, sf))
 
 
 @query(f"SELECT id FROM {SHOWN_SQL}")
 def shown_communities(spark, sf) -> DataFrame:
-    return _shown_ids(spark, sf)
+    return _shown_ids(_written_stats(spark, sf))
 
 
 @query(f"SELECT * FROM {MERGED_SQL} WHERE id IN (SELECT id FROM {SHOWN_SQL})")
 def merged_shown(spark, sf) -> DataFrame:
-    return boards.shown(_merged(spark, sf), _shown_ids(spark, sf))
+    stats = _written_stats(spark, sf)
+    return boards.shown(_merged(stats), _shown_ids(stats))
 
 
 @query(f"SELECT * FROM {MERGED_SQL} WHERE id NOT IN (SELECT id FROM {SHOWN_SQL})")
 def merged_not_shown(spark, sf) -> DataFrame:
-    return boards.not_shown(_merged(spark, sf), _shown_ids(spark, sf))
+    stats = _written_stats(spark, sf)
+    return boards.not_shown(_merged(stats), _shown_ids(stats))
 
 
 @query(f"SELECT * FROM {MERGED_SQL} WHERE id <> 'src0_en'")
 def outlier_excluded(spark, sf) -> DataFrame:
-    return boards.without_communities(_merged(spark, sf), ["src0_en"])
+    merged = _merged(_written_stats(spark, sf))
+    return boards.without_communities(merged, ["src0_en"])

@@ -208,7 +208,7 @@ def topics_em(spark, sf) -> DataFrame:
     return topics.topic_words(model, _vocabulary(spark, sf))
 
 
-def _pipeline_scores(spark, sf, name: str, make, df: DataFrame) -> DataFrame:
+def _assignments(spark, sf, name: str, make, df: DataFrame) -> DataFrame:
     model: PipelineModel = _once(spark, sf, name, lambda: make.fit(df))
     return topics.assigned(topics.distributions(model, df)).select("id", "assignment")
 
@@ -219,27 +219,27 @@ def _texts(spark, sf) -> DataFrame:
 
 
 @query()
-def hashing_pipeline(spark, sf) -> DataFrame:
+def hashed_topics(spark, sf) -> DataFrame:
     pipeline = topics.hashing_pipeline(iterations=3)
-    return _pipeline_scores(spark, sf, "hashing", pipeline, _texts(spark, sf))
+    return _assignments(spark, sf, "hashing", pipeline, _texts(spark, sf))
 
 
 @query()
-def counting_pipeline(spark, sf) -> DataFrame:
+def counted_topics(spark, sf) -> DataFrame:
     texts = _texts(spark, sf).withColumn("comments", _tokens())
     pipeline = topics.counting_pipeline(iterations=3)
-    return _pipeline_scores(spark, sf, "counting", pipeline, texts)
+    return _assignments(spark, sf, "counting", pipeline, texts)
 
 
 @query()
-def regex_pipeline(spark, sf) -> DataFrame:
+def regex_topics(spark, sf) -> DataFrame:
     pipeline = topics.regex_pipeline(iterations=3)
-    return _pipeline_scores(spark, sf, "regex", pipeline, _texts(spark, sf))
+    return _assignments(spark, sf, "regex", pipeline, _texts(spark, sf))
 
 
 @query()
-def regex_pipeline_words(spark, sf) -> DataFrame:
+def regex_topic_words(spark, sf) -> DataFrame:
     """Stages are taken from the fitted pipeline by their type."""
-    regex_pipeline(spark, sf)
+    regex_topics(spark, sf)
     model = _once(spark, sf, "regex", lambda: None)
     return topics.topic_words(topics.topics_of(model), topics.vocabulary_of(model))

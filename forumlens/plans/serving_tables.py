@@ -31,6 +31,7 @@ def serving_tables(
     The inputs are read several times each and are therefore written once.
     """
     counts, ups, ratios = (materialise(df, "board") for df in (counts, ups, ratios))
+    distributions = materialise(distributions, "distributions")
     lurkers = boards.lurkers(ratios)
     tops = {
         "comment_board": boards.top_board(counts, "comm_count"),
@@ -40,7 +41,7 @@ def serving_tables(
     merged = boards.shown(
         boards.merged_board(counts, ups, lurkers), boards.shown_ids(*tops.values())
     )
-    points = materialise(topics.layout(materialise(distributions, "distributions")), "layout")
+    points = materialise(topics.layout(distributions), "layout")
     return {
         **tops,
         "totals": boards.totals_text(counts),

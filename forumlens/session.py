@@ -26,15 +26,14 @@ def build_session(app: str) -> SparkSession:
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it."""
-    named = spark.conf.get(CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    named = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="forumlens-")
-    spark.conf.set(CHECKPOINT_DIR, own)
-    spark.sparkContext.setCheckpointDir(own)
-    return own
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="forumlens-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
