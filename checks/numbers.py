@@ -122,13 +122,15 @@ def _points(spark, sf) -> DataFrame:
 
 
 @query(
-    "SELECT s.assignment, 'Topic ' || s.assignment AS meta_label, p.id, p.x, p.y "
+    "SELECT s.assignment, 'Topic ' || s.assignment AS meta_label, "
+    "coalesce(CAST(p.id AS VARCHAR), '') AS id, p.x, p.y "
     "FROM (SELECT unnest(range(1, 71)) AS assignment) s "
     f"LEFT JOIN {POINTS_SQL} p ON p.assignment = s.assignment"
 )
 def points_with_topics(spark, sf) -> DataFrame:
     joined = topics.points_with_topics(_points(spark, sf), 70)
-    return joined.select("assignment", "meta_label", "id", "x", "y")
+    id_ = F.coalesce(F.col("id").cast("string"), F.lit("")).alias("id")
+    return joined.select("assignment", "meta_label", id_, "x", "y")
 
 
 @query(

@@ -28,7 +28,10 @@ def comments_selected(spark, sf) -> DataFrame:
     return com.select_comments(raw)
 
 
-@query("SELECT doc_id, n_chars, CAST(length(text) AS INTEGER) AS chars, length(text) - n_chars AS diff FROM documents")
+@query(
+    "SELECT doc_id, n_chars, CAST(length(text) AS INTEGER) AS chars, "
+    "length(text) - n_chars AS diff FROM documents"
+)
 def derived_columns(spark, sf) -> DataFrame:
     chars = _raw(spark, sf).select("doc_id", "n_chars", F.length("text").alias("chars"))
     return chars.withColumn("diff", F.col("chars") - F.col("n_chars"))
@@ -104,14 +107,18 @@ def community_clean_text(spark, sf) -> DataFrame:
 
 
 @query(
-    "SELECT id, CAST(0 AS BIGINT) AS part, array_to_string(flatten(list(tokens ORDER BY key)), '|') AS comments, "
+    "SELECT id, CAST(0 AS BIGINT) AS part, "
+    "array_to_string(flatten(list(tokens ORDER BY key)), '|') AS comments, "
     f"CAST(len(flatten(list(tokens ORDER BY key))) AS INTEGER) AS size FROM {ASCII_LISTS} GROUP BY id"
 )
 def community_tokens(spark, sf) -> DataFrame:
     parted = com.assign_parts(t.comment_texts(spark, sf))
     tokens = com.community_tokens(cleaning.clean_tokens(parted))
     return tokens.select(
-        "id", "part", F.array_join("comments", "|").alias("comments"), F.size("comments").alias("size")
+        "id",
+        "part",
+        F.array_join("comments", "|").alias("comments"),
+        F.size("comments").alias("size"),
     )
 
 
@@ -150,7 +157,8 @@ def lists_flattened(spark, sf) -> DataFrame:
 
 
 @query(
-    "SELECT id, CAST(0 AS BIGINT) AS part, array_to_string(flatten(list(tokens ORDER BY key)), '|') AS comments, "
+    "SELECT id, CAST(0 AS BIGINT) AS part, "
+    "array_to_string(flatten(list(tokens ORDER BY key)), '|') AS comments, "
     f"CAST(sum(ups) AS BIGINT) AS ups, count(id) AS comm_count FROM {ASCII_LISTS} GROUP BY id"
 )
 def community_documents(spark, sf) -> DataFrame:

@@ -79,7 +79,10 @@ def vocabulary(spark, sf) -> DataFrame:
     return terms.vocabulary(terms.term_counts(t.comment_texts(spark, sf, True), _tokens()))
 
 
-@query(f"SELECT c.id, v.idx, CAST(c.n AS DOUBLE) AS n FROM {COUNTS_SQL} c JOIN {VOCABULARY_SQL} v ON v.term = c.term")
+@query(
+    f"SELECT c.id, v.idx, CAST(c.n AS DOUBLE) AS n FROM {COUNTS_SQL} c "
+    f"JOIN {VOCABULARY_SQL} v ON v.term = c.term"
+)
 def count_vectors(spark, sf) -> DataFrame:
     """The entries of the vectors."""
     raw = F.unwrap_udt("features")
