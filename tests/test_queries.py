@@ -6,10 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registered
+import checks
 from tools.compare import TABLES, rows_of
 
-QUERIES = registered.queries()
-ORACLES = registered.oracle_sql()
+QUERIES = checks.QUERIES
+ORACLES = checks.ORACLES
 
 # Array functions over whole batches, as a dictionary lookup is not a built-in one.
 WITH_ARROW = {
