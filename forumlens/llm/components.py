@@ -41,12 +41,10 @@ def _proper(edges: DataFrame) -> DataFrame:
 def _tops(parents: DataFrame) -> DataFrame:
     """Each node's topmost parent."""
     while True:
-        above = parents.select(F.col("node").alias("root"), F.col("root").alias("_above"))
-        joined = parents.join(above, "root", "left").select(
-            "node", F.coalesce("_above", "root").alias("root"), (F.col("_above") != F.col("root")).alias("_moved")
-        )
-        joined = materialise(joined, "tops")
-        parents = joined.drop("_moved")
+        twice = _replaced(_replaced(parents, "root", parents), "root", parents)
+        last = parents.select("node", F.col("root").alias("_last"))
+        joined = materialise(twice.join(last, "node").withColumn("_moved", F.col("root") != F.col("_last")), "tops")
+        parents = joined.select("node", "root")
         if joined.filter("_moved").isEmpty():
             return parents
 

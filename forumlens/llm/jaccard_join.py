@@ -12,8 +12,9 @@ other segments (more than it can differ in) is complete. The rest, called poor,
 links among themselves: their segments with two or more shingles also index all subsets with
 one shingle less, which makes each count two. Those for which even that is not enough are
 compared within all their segments, empty ones too, except inside a component already found.
-In a key shared by many sets each member is compared to the least one, so that a group of
-near copies becomes one component without its pairs. Every candidate is verified on whole sets.
+In a key that many poor sets share each is compared to the least one, so that a group of near
+copies becomes one component without its pairs. A pair of complete sets is a candidate only if it
+shares as many keys as linked sets must. Every candidate is verified on whole sets.
 
 Equal sets are one class from the start; links are found between classes.
 """
@@ -26,7 +27,7 @@ from math import ceil
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from forumlens.llm.components import components
 from forumlens.llm.words import mix, row_shingles, small_batches
@@ -34,6 +35,7 @@ from forumlens.session import materialise
 
 BUCKET = 16  # sets with one key of which all pairs are candidates
 SLACK = 1.1  # segments per difference to tell apart
+HUB_ROUNDS = 1  # of comparisons to one set a key, before those between components
 GROUP = 1 << 20  # keys that one group is meant to hold
 FLUSH = 1 << 20  # keys that a task gathers before it hands them on
 MASK_BITS = 24  # of the mask of wanted documents, 2 MB whatever the input
@@ -107,10 +109,9 @@ def _sets(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
 
 
 def document_sets(documents: DataFrame) -> DataFrame:
-    """``doc_id, h1, h2, n, id, spare0, spare1`` of each document; ``n`` = 0 for an empty set.
-
-    ``spare`` is by how many the filled segments exceed what completeness needs, at the set's
-    own level and at the next one (null if it cannot link there).
+    """``doc_id, h1, h2, n, id`` of each document, and by role how many of its segments are filled
+    and the ``most`` differences it may have. Role 0 is its own level, 1 the next one (null if it
+    cannot link there). ``n`` is 0 for an empty set.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,16 +121,21 @@ def document_sets(documents: DataFrame) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names)
 
-    names = ["doc_id", "h1", "h2", "n", "id", "spare0", "spare1"]
+    names = ["doc_id", *_CLASS]
     return documents.select("doc_id", "text").mapInArrow(run, ", ".join(f"{x} long" for x in names))
 
 
 def _summary(tokens: np.ndarray) -> tuple:
     if not len(tokens):
-        return None, None, 0, None, None, None
+        return None, None, 0, *[None] * 5
     h1, h2 = class_hashes(tokens)
-    spare = [_filled(tokens, level) - most - 1 for level, most in levels_of(len(tokens))]
-    return h1, h2, len(tokens), short_id(h1), *(spare + [None])[:2]
+    levels = levels_of(len(tokens))
+    filled = [len(segments(tokens, level)[0]) for level, _ in levels]
+    most = [m for _, m in levels]
+    return h1, h2, len(tokens), short_id(h1), *(filled + [None])[:2], *(most + [None])[:2]
+
+
+_CLASS = ["h1", "h2", "n", "id", "filled0", "filled1", "most0", "most1"]
 
 
 class _Sender:
@@ -209,31 +215,40 @@ def _shared(parts: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return keys, ids, np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
 
 
-_FOUND = "a long, b long, role int, heavy long"
+_FOUND = "a long, b long, roles int, n long"
 
 
-def _candidates(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Pairs ``a, b`` of ids; and by id and role the number of keys that too many ids have."""
+def _candidates(pdf: pd.DataFrame, hubs: bool) -> pd.DataFrame:
+    """Pairs ``a, b`` of ids with their roles and the number of keys they share; and, with ``b`` =
+    -1, for each id and role the number of its keys that too many ids have.
+
+    Two ids in role 1 share no pair: they are of one size band, and meet in role 0 as well.
+    """
     keys, ids, begins = _shared(pdf["packed"])
     size = np.diff(np.append(begins, len(keys)))
     pairs = [np.zeros((0, 2), _U)]
     for n in np.unique(size[(size > 1) & (size <= BUCKET)]):
-        rows = ids[begins[size == n][:, None] + np.arange(n)] >> _U(1)
+        rows = ids[begins[size == n][:, None] + np.arange(n)]
         x, y = np.triu_indices(n, 1)
         pairs.append(np.stack([rows[:, x].ravel(), rows[:, y].ravel()], 1))
-    large = size > BUCKET
-    member = np.repeat(large, size)
-    least = np.repeat(ids[begins], size)[member]
-    pairs.append(np.stack([least >> _U(1), ids[member] >> _U(1)], 1))
-    pairs = np.sort(np.concatenate(pairs), 1)
-    pairs = np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
-    held, count = np.unique(ids[member], return_counts=True)
+    member = np.repeat(size > BUCKET, size)
+    if hubs:
+        least = np.repeat(ids[begins], size)[member]
+        pairs.append(np.stack([least, ids[member]], 1))
+    a, b = np.sort(np.concatenate(pairs), 1).T
+    kept = ((a & b & _U(1)) == 0) & (a >> _U(1) != b >> _U(1))
+    a, b = a[kept], b[kept]
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    begin = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])[: len(a)])
+    count, a, b = np.diff(np.append(begin, len(a))), a[begin], b[begin]
+    held, heavy = np.unique(ids[member], return_counts=True)
     return pd.DataFrame(
         {
-            "a": np.concatenate([pairs[:, 0], held >> _U(1)]).astype(np.int64),
-            "b": np.concatenate([pairs[:, 1].astype(np.int64), np.full(len(held), -1)]),
-            "role": np.concatenate([np.zeros(len(pairs)), (held & _U(1)).astype(float)]).astype(np.int32),
-            "heavy": np.concatenate([np.zeros(len(pairs)), count]).astype(np.int64),
+            "a": np.concatenate([a >> _U(1), held >> _U(1)]).astype(np.int64),
+            "b": np.concatenate([(b >> _U(1)).astype(np.int64), np.full(len(held), -1)]),
+            "roles": np.concatenate([(a & _U(1)) | (b & _U(1)) << _U(1), held & _U(1)]).astype(np.int32),
+            "n": np.concatenate([count, heavy]).astype(np.int64),
         }
     )
 
@@ -318,75 +333,118 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _filled(tokens: np.ndarray, level: int) -> int:
-    return len(segments(tokens, level)[0])
-
-
-def _filled_twice(tokens: np.ndarray, level: int) -> int:
-    """What the segments count for if each also indexes its subsets with one shingle less."""
-    size = np.diff(np.append(segments(tokens, level)[1], len(tokens)))
-    return int(np.minimum(size, 2).sum())
-
-
 def _packed_sets(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
     return (np.frombuffer(x.as_buffer(), _U) for x in batch.column("tokens"))
 
 
-def _twice_spare(sets: DataFrame) -> DataFrame:
+def _twice_filled(sets: DataFrame) -> DataFrame:
+    """``id, filled0, filled1``: what segments count for that also index one shingle less."""
+
+    def weight(tokens: np.ndarray, level: int) -> int:
+        size = np.diff(np.append(segments(tokens, level)[1], len(tokens)))
+        return int(np.minimum(size, 2).sum())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spare = [
-                [_filled_twice(t, level) - most - 1 for level, most in levels_of(len(t))]
-                for t in _packed_sets(batch)
-            ]
-            columns = [pa.array([(x + [None])[k] for x in spare], pa.int64()) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], ["id", "spare0", "spare1"])
-
-    return sets.select("id", "tokens").mapInArrow(run, "id long, spare0 long, spare1 long")
+            counts = [[weight(t, level) for level, _ in levels_of(len(t))] for t in _packed_sets(batch)]
+            columns = [pa.array([(x + [None])[k] for x in counts], pa.int64()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], ["id", "filled0", "filled1"])
 
+    return sets.select("id", "tokens").mapInArrow(run, "id long, filled0 long, filled1 long")
 
-def _collisions(sent: DataFrame) -> DataFrame:
-    return materialise(sent.groupBy("group").applyInPandas(_candidates, _FOUND), "candidates")
 
+def _collisions(sent: DataFrame, hubs: bool) -> DataFrame:
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        return _candidates(pdf, hubs)
 
-def _pairs(found: DataFrame) -> DataFrame:
-    return found.filter("b >= 0").select("a", "b").distinct()
+    return materialise(sent.groupBy("group").applyInPandas(run, _FOUND), "candidates")
 
 
-def _incomplete(spares: DataFrame, found: DataFrame, cost: int) -> DataFrame:
-    """Ids whose segments, without ``cost`` for each heavy key, count for too little."""
+def _light(classes: DataFrame, found: DataFrame, cost: int) -> DataFrame:
+    """``id, n, most0, most1, light0, light1``: filled segments without ``cost`` a heavy key."""
     heavy = found.filter("b < 0").groupBy(F.col("a").alias("id")).agg(
-        *[F.sum(F.when(F.col("role") == k, F.col("heavy"))).alias(f"heavy{k}") for k in (0, 1)]
+        *[F.sum(F.when(F.col("roles") == k, F.col("n"))).alias(f"heavy{k}") for k in (0, 1)]
     )
-    short = [F.col(f"spare{k}") < cost * F.coalesce(f"heavy{k}", F.lit(0)) for k in (0, 1)]
-    missing = F.coalesce(short[0], F.lit(False)) | F.coalesce(short[1], F.lit(False))
-    return spares.join(heavy, "id", "left").filter(missing).select("id").distinct()
+    light = [
+        (F.col(f"filled{k}") - cost * F.coalesce(f"heavy{k}", F.lit(0))).alias(f"light{k}") for k in (0, 1)
+    ]
+    return classes.join(heavy, "id", "left").select("id", "n", "most0", "most1", *light)
 
 
-def _across(sets: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs that share any segment, an empty one too, and are not in one component yet."""
+def _incomplete(light: DataFrame) -> DataFrame:
+    """Ids whose segments count for too little to be sure of a match."""
+    return light.filter("light0 <= most0 OR light1 <= most1").select("id").distinct()
+
+
+def _pairs(found: DataFrame, light: DataFrame, counted: bool) -> DataFrame:
+    """Pairs of fitting sizes; if ``counted``, that share the keys which linked sets must.
+
+    Sets that differ in ``d`` shingles at most agree on all light segments of each but ``d``.
+    """
+    pairs = found.filter("b >= 0").groupBy("a", "b", "roles").agg(F.sum("n").alias("shared"))
+    for end, role in (("a", F.col("roles").bitwiseAND(F.lit(1))), ("b", F.shiftright("roles", 1))):
+        own = light.select(F.col("id").alias(end), F.col("n").alias(f"n_{end}"), "light0", "light1")
+        pairs = pairs.join(own, end).withColumn(f"light_{end}", F.when(role == 0, F.col("light0")).otherwise(F.col("light1")))
+        pairs = pairs.drop("light0", "light1")
+    near = 3 * F.greatest("n_a", "n_b") <= 4 * F.least("n_a", "n_b")
+    apart = F.floor((F.col("n_a") + F.col("n_b")) / 7)
+    needed = F.greatest("light_a", "light_b") - apart if counted else F.lit(1)
+    return pairs.filter(near & (F.col("shared") >= needed)).select("a", "b").distinct()
+
+
+def _segment_keys(sets: DataFrame) -> DataFrame:
+    """``key, h1, id, role, most, n`` for all segments of each set, empty ones too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first in range(batch.num_rows):
-                some = batch.slice(first, 1)
-                for tokens in _packed_sets(some):
-                    levels = levels_of(len(tokens))
-                    keys = np.concatenate([all_keys(tokens, level) for level, _ in levels])
-                    n = len(keys)
-                    ids, tops = (np.full(n, some.column(c)[0].as_py()) for c in ("id", "root"))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys.view(np.int64)), pa.array(ids), pa.array(tops)], ["key", "id", "root"]
-                    )
-
-    named = sets.join(roots.withColumnRenamed("node", "h1"), "h1", "left").select(
-        "id", F.coalesce("root", "h1").alias("root"), "tokens"
+            h1, ids = batch.column("h1").to_pylist(), batch.column("id").to_pylist()
+            for tokens, id_, h in zip(_packed_sets(batch), ids, h1, strict=True):
+                for role, (level, most) in enumerate(levels_of(len(tokens))):
+                    keys = all_keys(tokens, level)
+                    same = (np.full(len(keys), x) for x in (h, id_, role, most, len(tokens)))
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys.view(np.int64), *same)], names)
+
+    names = ["key", "h1", "id", "role", "most", "n"]
+    made = sets.select("h1", "id", "tokens").mapInArrow(run, ", ".join(f"{c} long" for c in names))
+    return materialise(made, "keys")
+
+
+def _across(keys: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
+    """``links`` and all others between sets that agree on a segment, but for links within
+    components.
+
+    As long as components meet in large keys, one set in each key, the least by a hash that changes
+    with the round, is compared to the sets of other components there. As the hash is one for all
+    keys, near copies choose the same few sets, and soon are one component. Then each set looks
+    for others by as many of its segments as it may have differences, and one more: the ones with
+    the rarest keys.
+    """
+    for turn in range(HUB_ROUNDS + 1):
+        roots = components(links)
+        rooted = keys.join(roots.withColumnRenamed("node", "h1"), "h1", "left")
+        rooted = materialise(rooted.withColumn("root", F.coalesce("root", "h1")).drop("h1"), "rooted")
+        by = F.xxhash64("id", F.lit(turn))
+        cost = rooted.groupBy("key").agg(
+            F.count("*").alias("cost"), F.min("root").alias("lo"), F.max("root").alias("hi"),
+            F.min_by(F.struct("id", "root"), by).alias("hub"),
+        )
+        cost = materialise(cost.filter("lo < hi"), "cost")
+        if turn == HUB_ROUNDS or not cost.agg(F.max("cost") > BUCKET).first()[0]:
+            break
+        pairs = rooted.join(cost, "key").filter("root <> hub.root").select(F.col("hub.id").alias("a"), F.col("id").alias("b"))
+        links = materialise(links.union(_verified(_ordered(pairs), sets)).distinct(), "links")
+    rank = F.row_number().over(Window.partitionBy("id", "role").orderBy(F.coalesce("cost", F.lit(0)), "key"))
+    chosen = rooted.join(cost, "key", "left").withColumn("rank", rank)
+    probes = chosen.filter("rank <= most + 1 AND lo < hi").select(
+        "key", F.col("id").alias("a"), F.col("root").alias("own"), F.col("n").alias("n_a")
     )
-    keys = materialise(named.mapInArrow(run, "key long, id long, root long"), "keys")
-    mixed = keys.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    open_ = keys.join(mixed.filter("lo < hi").select("key"), "key")
-    other = open_.select("key", F.col("id").alias("b"), F.col("root").alias("other"))
-    pairs = open_.withColumnRenamed("id", "a").join(other, "key").filter("root < other")
+    others = rooted.select("key", F.col("id").alias("b"), "root", "n")
+    fits = (F.col("own") != F.col("root")) & (3 * F.greatest("n_a", "n") <= 4 * F.least("n_a", "n"))
+    pairs = probes.join(others, "key").filter(fits)
+    return materialise(links.union(_verified(_ordered(pairs), sets)).distinct(), "links")
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -400,17 +458,16 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     each a document. A null doc_id stays null and is no candidate for the least. Columns other
     than doc_id and text are not used. An empty table gives an empty result.
     """
-    spark = documents.sparkSession
-    small_batches(spark)
+    small_batches(documents.sparkSession)
     docs = materialise(document_sets(documents), "document_sets")
-    classes = docs.filter("n > 0").groupBy("h1", "h2", "n", "id", "spare0", "spare1")
-    classes = materialise(classes.agg(F.min("doc_id").alias("doc_id")), "classes")
+    classes = docs.filter("n > 0").groupBy(*_CLASS).agg(F.min("doc_id").alias("doc_id"))
+    classes = materialise(classes, "classes")
     total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    texts = documents.select("text")
-    sent = texts.mapInArrow(_send(_groups(0.7 * total), subset_keys, _sets), _SENT)
-    found = _collisions(sent)
-    poor = materialise(_incomplete(classes, found, 1), "poor")
-    pairs = _pairs(found)
+    sent = documents.select("text").mapInArrow(_send(_groups(0.7 * total), subset_keys, _sets), _SENT)
+    found = _collisions(sent, hubs=False)
+    light = materialise(_light(classes, found, 1), "light")
+    poor = materialise(_incomplete(light), "poor")
+    pairs = materialise(_pairs(found, light, counted=True), "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).union(poor).distinct()
     sets = materialise(wanted_sets(documents, classes.join(wanted, "id", "left_semi")), "sets")
     links = materialise(_verified(pairs, sets), "links")
@@ -420,14 +477,13 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
         sent = poor_sets.select("tokens").mapInArrow(
             _send(_groups(2 * moved), neighbour_keys, _packed_sets), _SENT
         )
-        found = _collisions(sent)
-        fresh = _pairs(found).join(pairs, ["a", "b"], "left_anti")
+        found = _collisions(sent, hubs=True)
+        twice = _twice_filled(poor_sets).join(classes.drop("filled0", "filled1"), "id")
+        light = materialise(_light(twice, found, 2), "light")
+        fresh = _pairs(found, light, counted=False).join(pairs, ["a", "b"], "left_anti")
         links = materialise(links.union(_verified(fresh, sets)).distinct(), "links")
-        rest = materialise(_incomplete(_twice_spare(poor_sets), found, 2), "rest")
-        if not rest.isEmpty():
-            roots = components(links)
-            across = _across(sets.join(rest, "id", "left_semi"), roots)
-            links = materialise(links.union(_verified(across, sets)).distinct(), "links")
+        rest = _incomplete(light)
+        links = _across(_segment_keys(sets.join(rest, "id", "left_semi")), sets, links)
     return _joined(docs, classes, links)
 
 
