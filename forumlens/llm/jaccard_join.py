@@ -10,8 +10,8 @@ The allocation follows the measured cost of the keys. Empty segments and keys th
 ``BUCKET`` different sets share cost too much and count nothing. A document that has enough
 other segments (more than it can differ in) is complete. The rest, called poor, can only miss
 links among themselves: their segments with two or more shingles also index all subsets with
-one shingle less, which makes each count two. Those for which even that is not enough are
-compared within all their segments, empty ones too, except inside a component already found.
+one shingle less, which makes each count two. Those for which even that is not enough take each
+shingle as a segment, and compare the rarest ones, except inside a component already found.
 In a key that many poor sets share each is compared to the least one, so that a group of near
 copies becomes one component without its pairs. A pair of complete sets is a candidate only if it
 shares as many keys as linked sets must. Every candidate is verified on whole sets.
@@ -35,7 +35,6 @@ from forumlens.session import materialise
 
 BUCKET = 16  # sets with one key of which all pairs are candidates
 SLACK = 1.1  # segments per difference to tell apart
-HUB_ROUNDS = 1  # of comparisons to one set a key, before those between components
 GROUP = 1 << 20  # keys that one group is meant to hold
 FLUSH = 1 << 20  # keys that a task gathers before it hands them on
 MASK_BITS = 24  # of the mask of wanted documents, 2 MB whatever the input
@@ -82,14 +81,6 @@ def neighbour_keys(tokens: np.ndarray, level: int) -> np.ndarray:
     return np.concatenate([_keys(segment, sums, level), less])
 
 
-def all_keys(tokens: np.ndarray, level: int) -> np.ndarray:
-    """``subset_keys``, and a key for each empty segment."""
-    sums = np.zeros(segment_count(level), _U)
-    segment, _, filled = segments(tokens, level)
-    sums[segment.astype(np.int64)] = filled
-    return _keys(np.arange(len(sums), dtype=_U), sums, level)
-
-
 def class_hashes(tokens: np.ndarray) -> tuple[int, int]:
     """128 bits that tell sets apart."""
     with np.errstate(over="ignore"):
@@ -392,60 +383,50 @@ def _pairs(found: DataFrame, light: DataFrame, counted: bool) -> DataFrame:
     return pairs.filter(near & (F.col("shared") >= needed)).select("a", "b").distinct()
 
 
-def _segment_keys(sets: DataFrame) -> DataFrame:
-    """``key, h1, id, role, most, n`` for all segments of each set, empty ones too."""
+def _rarest(sets: DataFrame) -> DataFrame:
+    """``key, h1, id, n``: each shingle a segment by itself, and of a set of ``n`` the rarest.
+
+    Linked sets share ``ceil(0.75 * n)`` shingles of each at least; so they share one of the first
+    ``n - ceil(0.75 * n) + 1`` of both in any order that is the same for all, as from rare to frequent.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             h1, ids = batch.column("h1").to_pylist(), batch.column("id").to_pylist()
             for tokens, id_, h in zip(_packed_sets(batch), ids, h1, strict=True):
-                for role, (level, most) in enumerate(levels_of(len(tokens))):
-                    keys = all_keys(tokens, level)
-                    same = (np.full(len(keys), x) for x in (h, id_, role, most, len(tokens)))
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys.view(np.int64), *same)], names)
+                same = (np.full(len(tokens), x) for x in (h, id_, len(tokens)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in (tokens.view(np.int64), *same)], ["key", "h1", "id", "n"]
+                )
 
-    names = ["key", "h1", "id", "role", "most", "n"]
-    made = sets.select("h1", "id", "tokens").mapInArrow(run, ", ".join(f"{c} long" for c in names))
-    return materialise(made, "keys")
+    made = sets.select("h1", "id", "tokens").mapInArrow(run, "key long, h1 long, id long, n long")
+    tokens = materialise(made, "tokens")
+    cost = tokens.groupBy("key").agg(F.count("*").alias("cost"))
+    rank = F.row_number().over(Window.partitionBy("id", "h1").orderBy("cost", "key"))
+    first = tokens.join(cost, "key").withColumn("rank", rank)
+    return materialise(first.filter("rank <= n - ceil(0.75 * n) + 1 AND cost > 1").drop("rank", "cost"), "keys")
 
 
 def _across(keys: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
-    """``links`` and all others between sets that agree on a segment, but for links within
-    components.
-
-    As long as components meet in large keys, one set in each key, the least by a hash that changes
-    with the round, is compared to the sets of other components there. As the hash is one for all
-    keys, near copies choose the same few sets, and soon are one component. Then each set looks
-    for others by as many of its segments as it may have differences, and one more: the ones with
-    the rarest keys.
+    """``links`` and all others between sets that share a key, but for links within components.
+
+    First one set in each key, the one with the least hash, is compared to the sets of other
+    components there: near copies choose the same few sets, and mostly are one component then.
+    All pairs that are left are compared.
     """
-    for turn in range(HUB_ROUNDS + 1):
+    for hubs in (True, False):
         roots = components(links)
         rooted = keys.join(roots.withColumnRenamed("node", "h1"), "h1", "left")
         rooted = materialise(rooted.withColumn("root", F.coalesce("root", "h1")).drop("h1"), "rooted")
-        by = F.xxhash64("id", F.lit(turn))
-        cost = rooted.groupBy("key").agg(
-            F.count("*").alias("cost"), F.min("root").alias("lo"), F.max("root").alias("hi"),
-            F.min_by(F.struct("id", "root"), by).alias("hub"),
-        )
-        cost = materialise(cost.filter("lo < hi"), "cost")
-        if turn == HUB_ROUNDS or not cost.agg(F.max("cost") > BUCKET).first()[0]:
-            break
-        pairs = rooted.join(cost, "key").filter("root <> hub.root").select(F.col("hub.id").alias("a"), F.col("id").alias("b"))
-        links = materialise(links.union(_verified(_ordered(pairs), sets)).distinct(), "links")
-    rank = F.row_number().over(Window.partitionBy("id", "role").orderBy(F.coalesce("cost", F.lit(0)), "key"))
-    chosen = rooted.join(cost, "key", "left").withColumn("rank", rank)
-    probes = chosen.filter("rank <= most + 1 AND lo < hi").select(
-        "key", F.col("id").alias("a"), F.col("root").alias("own"), F.col("n").alias("n_a")
-    )
-    others = rooted.select("key", F.col("id").alias("b"), "root", "n")
-    fits = (F.col("own") != F.col("root")) & (3 * F.greatest("n_a", "n") <= 4 * F.least("n_a", "n"))
-    pairs = probes.join(others, "key").filter(fits)
-    return materialise(links.union(_verified(_ordered(pairs), sets)).distinct(), "links")
-
-
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        hub = F.min_by(F.struct("id", "n", "root"), F.xxhash64("id"))
+        ends = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), hub.alias("hub"))
+        open_ = ends.filter("lo < hi").select("key", "hub.*") if hubs else rooted.join(ends.filter("lo < hi"), "key", "left_semi")
+        one = open_.select("key", F.col("id").alias("a"), F.col("root").alias("own"), F.col("n").alias("n_a"))
+        fits = (F.col("own") != F.col("root")) & (3 * F.greatest("n_a", "n") <= 4 * F.least("n_a", "n"))
+        pairs = one.join(rooted.withColumnRenamed("id", "b"), "key").filter(fits)
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        links = materialise(links.union(_verified(pairs, sets)).distinct(), "links")
+    return links
 
 
 def jaccard_components(documents: DataFrame) -> DataFrame:
@@ -483,7 +464,7 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
         fresh = _pairs(found, light, counted=False).join(pairs, ["a", "b"], "left_anti")
         links = materialise(links.union(_verified(fresh, sets)).distinct(), "links")
         rest = _incomplete(light)
-        links = _across(_segment_keys(sets.join(rest, "id", "left_semi")), sets, links)
+        links = _across(_rarest(sets.join(rest, "id", "left_semi")), sets, links)
     return _joined(docs, classes, links)
 
 
