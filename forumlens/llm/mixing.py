@@ -109,7 +109,8 @@ def slots(goals: DataFrame, block: int = BLOCK, shards: int = SHARDS) -> DataFra
     )
     chunk = F.explode(F.sequence(F.lit(0), F.shiftright(F.col("k") - 1, 16)))
     chunks = some.filter("k > 0").select("*", chunk.alias("chunk"))
-    spread = chunks.repartition("source", "chunk")
+    total = some.agg(F.sum("k")).first()[0] or 0
+    spread = chunks.repartition(8 + total // 65536, "source", "chunk")  # a given number is not merged
     first = F.shiftleft(F.col("chunk"), 16)
     numbers = F.explode(F.sequence(first, F.least(first + 65535, F.col("k") - 1)))
     named = spread.select("source", "n", numbers.alias("slot"))
@@ -150,7 +151,8 @@ def mix(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     drawn = slots(goals).withColumnsRenamed({"source": "of", "index": "at"})
     parts = passages(docs)
     same = parts["source"].eqNullSafe(drawn["of"]) & (parts["index"] == drawn["at"])
-    return docs, parts.join(drawn, same).select("row", "source", "round", "shard", "start", "length")
+    # the plan takes the slots for few, as they are made from a row a source
+    return docs, parts.join(drawn.hint("merge"), same).select("row", "source", "round", "shard", "start", "length")
 
 
 def taken(documents: DataFrame) -> DataFrame:

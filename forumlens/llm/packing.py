@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -21,8 +22,9 @@ from forumlens.llm.words import small_batches
 
 WINDOW = 4096
 SHARD_ROWS = 20_000  # rests that one shard is meant to hold
-KEPT_WORDS = 400_000  # words whose ids a task remembers
+KEPT_WORDS = 1_000_000  # words whose ids a worker process remembers, in some 250 MB
 
+_MARKS = ".,;:!?#%*$&|"
 _WORD = re.compile(r"[^ \t\n\r]+")
 
 
@@ -33,19 +35,53 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        ids = self.tokenizer.get_vocab().items()
+        self.last = np.zeros(1 + max(i for _, i in ids), bool)  # ids that end a word
+        self.last[[i for token, i in ids if token.endswith("</w>")]] = True
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         words = [_WORD.findall(text) for text in texts]
         if len(self.known) > KEPT_WORDS:
             self.known = {}
-        fresh = list(set(chain.from_iterable(words)).difference(self.known))
-        for first in range(0, len(fresh), 5000):
-            some = fresh[first : first + 5000]
-            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(some, found, strict=True))
+        self._learn(set(chain.from_iterable(words)).difference(self.known))
         last, ids = np.array([end], "<u4").tobytes(), self.known.__getitem__
         return [b"".join(map(ids, some)) + last for some in words]
 
+    def _learn(self, words: set[str]) -> None:
+        """Marks after letters are a token of their own, and the case of letters does not count."""
+        known, split = self.known, {}
+        for word in words:
+            core = word.rstrip(_MARKS)
+            plain = core.isalpha() and core.lower().isalpha()
+            split[word] = (core.lower() if core.isascii() else core, word[len(core) :]) if plain else (word, "")
+        fresh = {part for parts in split.values() for part in parts if part and part not in known}
+        known.update(self._runs([part for part in fresh if part.isalpha() and part.lower().isalpha()]))
+        rest = [part for part in fresh if part not in known]
+        found = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
+        known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(rest, found, strict=True))
+        for word, (core, marks) in split.items():
+            if word not in known:
+                known[word] = known[core] + known[marks] if marks else known[core]
+
+
+    def _runs(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """The ids of words of letters only, as one text, which is cut where ids end a word."""
+        for first in range(0, len(words), 2000):
+            some = words[first : first + 2000]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ends = (np.flatnonzero(self.last[ids]) + 1).tolist()
+            if len(ends) == len(some) and ends[-1] == len(ids):
+                data = ids.tobytes()
+                yield from (
+                    (w, data[4 * a : 4 * b]) for w, a, b in zip(some, [0, *ends[:-1]], ends, strict=True)
+                )
+
+
+@cache
+def _encoder(path: str) -> _Encoder:
+    """One for a worker process, so that its tasks share the words."""
+    return _Encoder(path)
+
 
 def cut(documents: DataFrame, tokenizer: str, end: int = 2, window: int = WINDOW) -> DataFrame:
     """``doc_id, start, length, ids, doc_tokens`` of full windows and the rest of each document.
@@ -58,7 +94,7 @@ def cut(documents: DataFrame, tokenizer: str, end: int = 2, window: int = WINDOW
     names = ["doc_id", "start", "length", "ids", "doc_tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _Encoder(tokenizer)
+        encoder = _encoder(tokenizer)
         for batch in batches:
             for first in range(0, batch.num_rows, 100):
                 some = batch.slice(first, 100)
