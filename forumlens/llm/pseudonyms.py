@@ -179,11 +179,14 @@ def pseudonym(kind: str, text: str, f: Feistel, back: bool = False) -> str | Non
         found = _date(text)
         if found is None:
             return None
-        day = _DAY + timedelta(f.permute((found[0] - _DAY).days, _DAYS, b"date", back))
+        places, texts = found[2], text.split(found[1])
+        loose = min(len(texts[p]) for p in places[1:]) < 2  # without leading zeros
+        day = found[0]
+        while day is found[0] or loose and min(day.month, day.day) > 9:
+            day = _DAY + timedelta(f.permute((day - _DAY).days, _DAYS, b"date", back))
         parts = [""] * 3
-        widths = [len(p) for p in text.split(found[1])]
-        for place, value in zip(found[2], (day.year, day.month, day.day), strict=True):
-            parts[place] = f"{value:0{widths[place]}d}"
+        for place, value in zip(places, (day.year, day.month, day.day), strict=True):
+            parts[place] = str(value) if loose else f"{value:02d}"
         return found[1].join(parts)
     if kind == "email":
         local, _, domain = text.partition("@")
