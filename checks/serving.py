@@ -9,17 +9,34 @@ from checks.registry import query
 from forumlens.operators import communities as com, leaderboards as boards
 from forumlens.session import materialise
 
-LURKERS_SQL = f"(SELECT id, 1 / comm_ups_ratio AS lurker FROM {t.ratio_sql()} WHERE comm_ups_ratio > 0)"
-MERGED_SQL = (
-    f"(SELECT s.id, s.comm_count, s.ups, l.lurker FROM {t.stats_sql()} s "
-    f"LEFT JOIN {LURKERS_SQL} l ON l.id = s.id)"
-)
-BOARD = 30  # the tables hold fewer than 100 communities
-TOP_SQL = {
-    "comm_count": f"(SELECT id, comm_count FROM {t.stats_sql()} ORDER BY comm_count DESC, id LIMIT {{n}})",
-    "ups": f"(SELECT id, ups FROM {t.stats_sql()} ORDER BY ups DESC NULLS LAST, id LIMIT {{n}})",
-    "lurker": f"(SELECT id, lurker FROM {LURKERS_SQL} ORDER BY lurker DESC, id LIMIT {{n}})",
-}
+
+def _lurkers_sql(source: str) -> str:
+    return f"(SELECT id, 1 / comm_ups_ratio AS lurker FROM {t.ratio_sql(source)} WHERE comm_ups_ratio > 0)"
+
+
+def _merged_sql(source: str) -> str:
+    return (
+        f"(SELECT s.id, s.comm_count, s.ups, l.lurker FROM {t.stats_sql(source)} s "
+        f"LEFT JOIN {_lurkers_sql(source)} l ON l.id IS NOT DISTINCT FROM s.id)"
+    )
+
+
+LURKERS_SQL = _lurkers_sql(t.COMMENTS_LANG_SQL)
+MERGED_SQL = _merged_sql(t.COMMENTS_LANG_SQL)
+
+
+def _top_sql(source: str) -> dict[str, str]:
+    return {
+        "comm_count": f"(SELECT id, comm_count FROM {t.stats_sql(source)} ORDER BY comm_count DESC, id LIMIT {{n}})",
+        "ups": f"(SELECT id, ups FROM {t.stats_sql(source)} ORDER BY ups DESC NULLS LAST, id LIMIT {{n}})",
+        "lurker": f"(SELECT id, lurker FROM {_lurkers_sql(source)} ORDER BY lurker DESC, id LIMIT {{n}})",
+    }
+
+
+TOP_SQL = _top_sql(t.COMMENTS_LANG_SQL)
+
+# More than 100 groups, to tell what a board shows from what it does not.
+LINES_SQL = "(SELECT l_orderkey AS id, l_linenumber - 3 AS ups FROM lineitem)"
 
 
 def _stats(spark, sf) -> DataFrame:
@@ -46,10 +63,18 @@ def _merged(stats: DataFrame) -> DataFrame:
 
 
 def _shown_ids(stats: DataFrame) -> DataFrame:
-    return boards.shown_ids(*_boards(stats, BOARD).values())
+    return boards.shown_ids(*_boards(stats, boards.BOARD_SIZE).values())
 
 
-SHOWN_SQL = "(" + " UNION ".join(f"SELECT id FROM {sql.format(n=BOARD)}" for sql in TOP_SQL.values()) + ")"
+def _line_stats(spark, sf) -> DataFrame:
+    lines = t.table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("id"), (F.col("l_linenumber") - 3).alias("ups")
+    )
+    return materialise(com.with_ratio(com.community_stats(lines)), "line-stats")
+
+
+SHOWN_SQL = "(" + " UNION ".join(f"SELECT id FROM {sql.format(n=100)}" for sql in _top_sql(LINES_SQL).values()) + ")"
+LINES_MERGED_SQL = _merged_sql(LINES_SQL)
 
 
 @query(f"SELECT id, ups FROM {t.stats_sql()} ORDER BY ups DESC, id")
@@ -131,18 +156,18 @@ def merged_board(spark, sf) -> DataFrame:
 
 @query(f"SELECT id FROM {SHOWN_SQL}")
 def shown_communities(spark, sf) -> DataFrame:
-    return _shown_ids(_written_stats(spark, sf))
+    return _shown_ids(_line_stats(spark, sf))
 
 
-@query(f"SELECT * FROM {MERGED_SQL} WHERE id IN (SELECT id FROM {SHOWN_SQL})")
+@query(f"SELECT * FROM {LINES_MERGED_SQL} WHERE id IN (SELECT id FROM {SHOWN_SQL})")
 def merged_shown(spark, sf) -> DataFrame:
-    stats = _written_stats(spark, sf)
+    stats = _line_stats(spark, sf)
     return boards.shown(_merged(stats), _shown_ids(stats))
 
 
-@query(f"SELECT * FROM {MERGED_SQL} WHERE id NOT IN (SELECT id FROM {SHOWN_SQL})")
+@query(f"SELECT * FROM {LINES_MERGED_SQL} WHERE id NOT IN (SELECT id FROM {SHOWN_SQL})")
 def merged_not_shown(spark, sf) -> DataFrame:
-    stats = _written_stats(spark, sf)
+    stats = _line_stats(spark, sf)
     return boards.not_shown(_merged(stats), _shown_ids(stats))
 
 

@@ -206,7 +206,7 @@ def topics_em(spark, sf) -> DataFrame:
         spark,
         sf,
         "em",
-        lambda: topics.fit_topics(_vectors(spark, sf), optimizer="em", iterations=5),
+        lambda: topics.fit_topics(_vectors(spark, sf), optimizer="em", iterations=20),
     )
     return topics.topic_words(model, _vocabulary(spark, sf))
 
@@ -223,26 +223,25 @@ def _texts(spark, sf) -> DataFrame:
 
 @query()
 def hashed_topics(spark, sf) -> DataFrame:
-    pipeline = topics.hashing_pipeline(iterations=3)
+    pipeline = topics.hashing_pipeline()
     return _assignments(spark, sf, "hashing", pipeline, _texts(spark, sf))
 
 
 @query()
 def counted_topics(spark, sf) -> DataFrame:
     texts = _texts(spark, sf).withColumn("comments", _tokens())
-    pipeline = topics.counting_pipeline(iterations=3)
+    pipeline = topics.counting_pipeline()
     return _assignments(spark, sf, "counting", pipeline, texts)
 
 
 @query()
 def regex_topics(spark, sf) -> DataFrame:
-    pipeline = topics.regex_pipeline(iterations=3)
+    pipeline = topics.regex_pipeline()
     return _assignments(spark, sf, "regex", pipeline, _texts(spark, sf))
 
 
 @query()
 def regex_topic_words(spark, sf) -> DataFrame:
     """Stages are taken from the fitted pipeline by their type."""
-    regex_topics(spark, sf)
-    model = _once(spark, sf, "regex", lambda: None)
+    model = _once(spark, sf, "regex", lambda: topics.regex_pipeline().fit(_texts(spark, sf)))
     return topics.topic_words(topics.topics_of(model), topics.vocabulary_of(model))

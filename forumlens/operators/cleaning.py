@@ -28,25 +28,23 @@ def _lemmatised(
     df: DataFrame,
     column: str,
     tokens: Column,
-    keys: Sequence[str],
     dictionary: DataFrame | None,
     exceptions: DataFrame | None,
 ) -> DataFrame:
     table = corpus_lemmas(df, tokens, dictionary, exceptions)
-    return lemmatise_tokens(df.withColumn(column, tokens), column, table, keys)
+    return lemmatise_tokens(df.withColumn(column, tokens), column, table)
 
 
 def clean_text(
     df: DataFrame,
     column: str = "comments",
-    keys: Sequence[str] = ("key",),
     stop_words: Sequence[str] = ENGLISH_STOP_WORDS,
     dictionary: DataFrame | None = None,
     exceptions: DataFrame | None = None,
 ) -> DataFrame:
     """Alphabetic lemmas joined by spaces; rows may come out empty."""
     tokens = text.plain_tokens(F.col(column), stop_words)
-    cleaned = _lemmatised(df, column, tokens, keys, dictionary, exceptions)
+    cleaned = _lemmatised(df, column, tokens, dictionary, exceptions)
     return cleaned.withColumn(column, text.join_tokens(F.col(column)))
 
 
@@ -63,7 +61,6 @@ def clean_tokens(
 def clean_tokens_lemma(
     df: DataFrame,
     column: str = "comments",
-    keys: Sequence[str] = ("key",),
     stop_words: Sequence[str] = ENGLISH_STOP_WORDS,
     alpha: bool = True,
     dictionary: DataFrame | None = None,
@@ -71,18 +68,17 @@ def clean_tokens_lemma(
 ) -> DataFrame:
     """Arrays of lemmas of any script; ``alpha=False`` keeps digits and underscores."""
     tokens = text.letter_tokens(F.col(column), stop_words, alpha)
-    return _lemmatised(df, column, tokens, keys, dictionary, exceptions)
+    return _lemmatised(df, column, tokens, dictionary, exceptions)
 
 
 def clean_page(
     df: DataFrame,
     column: str = "comment_message",
-    keys: Sequence[str] = ("key",),
     stop_words: Sequence[str] = ENGLISH_STOP_WORDS,
     dictionary: DataFrame | None = None,
     exceptions: DataFrame | None = None,
 ) -> DataFrame:
     """Page comments: marks, contractions, signs, digits and URLs handled, then lemmas."""
     tokens = text.page_tokens(F.col(column), stop_words)
-    cleaned = _lemmatised(df, column, tokens, keys, dictionary, exceptions)
+    cleaned = _lemmatised(df, column, tokens, dictionary, exceptions)
     return cleaned.withColumn(column, text.join_tokens(F.col(column)))

@@ -48,13 +48,20 @@ def top_board(board: DataFrame, value: str, n: int = BOARD_SIZE) -> DataFrame:
 
 
 def leader(board: DataFrame, value: str) -> DataFrame:
-    """The first community of a board, as one row."""
-    return board.agg(F.min_by("id", F.struct(-F.col(value), F.col("id"))).alias("id"))
+    """The first community of a board, as one row; unknown values come last, as on the board."""
+    order = F.struct(F.col(value).isNull(), -F.col(value), F.col("id"))
+    return board.agg(F.min_by("id", order).alias("id"))
 
 
 def merged_board(counts: DataFrame, ups: DataFrame, lurker: DataFrame) -> DataFrame:
-    """``id, comm_count, ups, lurker``; the lurker score may be missing."""
-    return counts.join(ups, "id").join(lurker, "id", "left")
+    """``id, comm_count, ups, lurker``; the lurker score may be missing. Null is a community."""
+    joined = _same_community(counts, ups, "inner")
+    return _same_community(joined, lurker, "left")
+
+
+def _same_community(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    named = right.withColumnRenamed("id", "_id")
+    return left.join(named, F.col("id").eqNullSafe(F.col("_id")), how).drop("_id")
 
 
 def shown_ids(*boards: DataFrame) -> DataFrame:
@@ -66,11 +73,11 @@ def shown_ids(*boards: DataFrame) -> DataFrame:
 
 
 def shown(merged: DataFrame, ids: DataFrame) -> DataFrame:
-    return merged.join(ids, "id", "left_semi")
+    return _same_community(merged, ids, "left_semi")
 
 
 def not_shown(merged: DataFrame, ids: DataFrame) -> DataFrame:
-    return merged.join(ids, "id", "left_anti")
+    return _same_community(merged, ids, "left_anti")
 
 
 def without_communities(df: DataFrame, excluded: Sequence[str]) -> DataFrame:

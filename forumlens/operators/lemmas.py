@@ -8,7 +8,7 @@ another dictionary the lemmas change, the rules do not.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -126,18 +126,18 @@ def lemmatise_tokens(
     df: DataFrame,
     column: str,
     table: DataFrame,
-    keys: Sequence[str] = ("key",),
     max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Replace the tokens of every row by their lemmas, also inside compound tokens.
+    """Replace the tokens of every row by their lemmas, also inside compound tokens. Null stays null.
 
     If at most ``max_rows`` words have another lemma, every task gets them and no
     row moves. Beyond that the words that change are looked up by join.
     """
     changed = table.filter(_is_changed()).select("word", "lemma")
     if changed.count() <= max_rows:
-        return df.withColumn(column, _lemma_function(changed)(F.col(column)))
-    return _lemmatise_by_join(df, column, table, keys, max_rows)
+        done = _lemma_function(changed)(F.col(column))
+        return df.withColumn(column, F.when(F.col(column).isNotNull(), done))
+    return _lemmatise_by_join(df, column, table, max_rows)
 
 
 def _lemma_function(changed: DataFrame) -> Callable[[Column], Column]:
@@ -162,11 +162,12 @@ def _lemma_function(changed: DataFrame) -> Callable[[Column], Column]:
 
 
 def _lemmatise_by_join(
-    df: DataFrame, column: str, table: DataFrame, keys: Sequence[str], max_rows: int
+    df: DataFrame, column: str, table: DataFrame, max_rows: int
 ) -> DataFrame:
-    """Rows are spread by their unique key; only distinct words that some rule applies to
+    """Rows are written with a number each; only distinct words that some rule applies to
     leave them, and those with another lemma come back as one map per row."""
-    rows = df.repartition(*keys)
+    keys = ["_row"]
+    rows = materialise(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
     single = F.split(F.array_join(column, COMPOUND_MARK), COMPOUND_MARK)
     words = rows.select(*keys, F.explode(F.array_distinct(single)).alias("word_"))
     changed = map_words(words, "word_", table, max_rows).filter(F.col("lemma") != F.col("word_"))

@@ -10,10 +10,10 @@ from pyspark.ml.feature import HashingTF
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from forumlens.operators.lookup import lookup_join
 from forumlens.operators.ranking import with_position
 from forumlens.session import small_side
 
-VOCABULARY_SIZE = 1 << 18
 HASH_BUCKETS = 1 << 18
 
 
@@ -29,16 +29,19 @@ def word_counts(df: DataFrame, tokens: Column) -> DataFrame:
 
 
 def vocabulary(
-    counts: DataFrame, size: int = VOCABULARY_SIZE, min_documents: int = 1
+    counts: DataFrame, size: int | None = None, min_documents: int = 1
 ) -> DataFrame:
-    """``idx, term, n, documents``: the most frequent terms, ties in alphabetical order."""
+    """``idx, term, n, documents``: all terms, or the ``size`` most frequent ones, by frequency;
+    ties in alphabetical order."""
     totals = (
         counts.filter(F.col("term").isNotNull())
         .groupBy("term")
         .agg(F.sum("n").alias("n"), F.count("*").alias("documents"))
         .filter(F.col("documents") >= min_documents)
     )
-    ranked = with_position(totals, [F.desc("n"), F.asc("term")], "idx").filter(F.col("idx") < size)
+    ranked = with_position(totals, [F.desc("n"), F.asc("term")], "idx")
+    if size is not None:
+        ranked = ranked.filter(F.col("idx") < size)
     return ranked.select(F.col("idx").cast("int").alias("idx"), "term", "n", "documents")
 
 
@@ -64,11 +67,12 @@ def _vectors(entries: DataFrame, size: int) -> DataFrame:
 def count_vectors(counts: DataFrame, vocab: DataFrame) -> DataFrame:
     """Term counts over a vocabulary, whose number of terms is the vector size.
 
-    A vocabulary of up to the default limit is broadcast. A larger one is joined by
-    shuffle; a term then has one row per community that uses it.
+    Terms of very many communities are joined apart from the others, and null terms not at all.
     """
-    lookup = small_side(vocab.select("term", "idx"))
-    return _vectors(counts.join(lookup, "term", "left"), vocab.count())
+    known = vocab.select(F.col("term").alias("_term"), "idx", "documents")
+    entries = lookup_join(counts.filter(F.col("term").isNotNull()), known, "term", "_term", "documents")
+    empty = counts.filter(F.col("term").isNull()).select("id", F.lit(None).cast("int").alias("idx"), "n")
+    return _vectors(entries.select("id", "idx", "n").unionByName(empty), vocab.count())
 
 
 def term_buckets(term: DataFrame, buckets: int = HASH_BUCKETS) -> DataFrame:

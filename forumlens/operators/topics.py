@@ -18,9 +18,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from forumlens.functions.numbers import dominant_topic, four_decimals, largest, topic_number
 from forumlens.operators.communities import with_parts
-from forumlens.operators.terms import HASH_BUCKETS, VOCABULARY_SIZE, terms_of
+from forumlens.operators.terms import HASH_BUCKETS, terms_of
 
 TOPICS = 10
+WHOLE_VOCABULARY = (1 << 31) - 1  # a vectoriser's largest size, which no vocabulary reaches
 ITERATIONS = 10
 SEED = 42
 DOMINANCE = 0.7
@@ -42,8 +43,14 @@ def topic_estimator(
 
 
 def fit_topics(vectors: DataFrame, **settings) -> LDAModel:
-    """Fit on ``id, features``, which should be a written table as it is read many times."""
-    return topic_estimator(**settings).fit(vectors)
+    """Fit on ``id, features``, spread over all cores and kept, as they are read many times."""
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    tasks = max(cores, vectors.rdd.getNumPartitions())
+    spread = vectors.repartition(tasks, "id").persist()
+    try:
+        return topic_estimator(**settings).fit(spread)
+    finally:
+        spread.unpersist()
 
 
 def distributions(model: LDAModel | PipelineModel, df: DataFrame) -> DataFrame:
@@ -63,7 +70,7 @@ def hashing_pipeline(buckets: int = HASH_BUCKETS, **settings) -> Pipeline:
     )
 
 
-def counting_pipeline(size: int = VOCABULARY_SIZE, **settings) -> Pipeline:
+def counting_pipeline(size: int = WHOLE_VOCABULARY, **settings) -> Pipeline:
     """Counts over a learnt vocabulary, topics; over ``id, comments ARRAY<STRING>`` rows."""
     return Pipeline(
         stages=[
@@ -73,7 +80,7 @@ def counting_pipeline(size: int = VOCABULARY_SIZE, **settings) -> Pipeline:
     )
 
 
-def regex_pipeline(size: int = VOCABULARY_SIZE, min_length: int = 4, **settings) -> Pipeline:
+def regex_pipeline(size: int = WHOLE_VOCABULARY, min_length: int = 4, **settings) -> Pipeline:
     """Regex tokens, default stop words, counts, topics; over ``id, comments STRING`` rows."""
     return Pipeline(
         stages=[

@@ -1,6 +1,6 @@
-"""The two early topic jobs, over the first comments of the input in key order.
+"""The two early topic jobs, over all comments, or the first ones in key order.
 
-    spark-submit -m forumlens.plans.prototypes INPUT OUTPUT
+    spark-submit -m forumlens.plans.prototypes INPUT OUTPUT [--limit N]
 """
 
 from __future__ import annotations
@@ -14,26 +14,26 @@ from forumlens.operators import cleaning, communities, ranking, terms, topics
 from forumlens.session import build_session, materialise
 from forumlens.sources import readers, writers
 
-FIRST_COMMENTS = 50
 
-
-def _first_comments(spark: SparkSession, source: str, limit: int) -> DataFrame:
+def _first_comments(spark: SparkSession, source: str, limit: int | None) -> DataFrame:
     raw = readers.read_comments(spark, source)
     comments = communities.select_comments(raw, ups=None)
-    return materialise(ranking.top_rows(comments, [F.asc("key")], limit), "first-comments")
+    if limit is not None:
+        comments = ranking.top_rows(comments, [F.asc("key")], limit)
+    return materialise(comments, "first-comments")
 
 
 def first_comment_topics(
     spark: SparkSession,
     source: str,
     output: str,
-    limit: int = FIRST_COMMENTS,
+    limit: int | None = None,
     k: int = 5,
     iterations: int = 20,
 ) -> None:
     """Topics of each community's first comment: lemmas of its single-space tokens."""
     first = communities.first_comment(_first_comments(spark, source, limit))
-    cleaned = cleaning.clean_tokens_lemma(first, keys=("id",))
+    cleaned = cleaning.clean_tokens_lemma(first)
     counts = materialise(terms.term_counts(cleaned, F.col("comments")), "term-counts")
     vocab = materialise(terms.vocabulary(counts), "vocabulary")
     vectors = materialise(terms.count_vectors(counts, vocab), "vectors")
@@ -47,7 +47,7 @@ def first_comment_topics(
 def indexed_topics(
     spark: SparkSession,
     source: str,
-    limit: int = FIRST_COMMENTS,
+    limit: int | None = None,
     k: int = topics.TOPICS,
     iterations: int = 20,
 ) -> tuple[DataFrame, DataFrame]:
@@ -72,13 +72,14 @@ def main() -> None:
     parser.add_argument("source")
     parser.add_argument("output")
     parser.add_argument("--indexed", action="store_true", help="show the topic-term matrix instead")
+    parser.add_argument("--limit", type=int, help="take so many comments, in key order")
     args = parser.parse_args()
     spark = build_session("prototypes")
     if args.indexed:
-        matrix, _ = indexed_topics(spark, args.source)
+        matrix, _ = indexed_topics(spark, args.source, args.limit)
         writers.write_csv(matrix, args.output)
     else:
-        first_comment_topics(spark, args.source, args.output)
+        first_comment_topics(spark, args.source, args.output, args.limit)
 
 
 if __name__ == "__main__":

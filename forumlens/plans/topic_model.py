@@ -51,7 +51,7 @@ def run(
     bag: str = "counts",
     partitions: int | None = None,
     threshold: float | None = topics.DOMINANCE,
-    size: int = terms.VOCABULARY_SIZE,
+    size: int | None = None,
     **settings,
 ) -> None:
     """Write ``id, topicDistribution`` and, for bags with a vocabulary, the topics' words.

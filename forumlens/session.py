@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -25,15 +24,11 @@ def build_session(app: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it."""
-    context = spark.sparkContext
-    named = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="forumlens-"))
-    return context.getCheckpointDir()
+    """Folder every executor can reach, as the cluster names it; else one beside its tables."""
+    named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -174,3 +174,15 @@ def test_sample_is_exact_and_repeatable(spark, n):
 def test_top_rows(spark):
     rows = ranking.top_rows(spark.range(100), [F.desc("id")], 3).collect()
     assert [r["id"] for r in rows] == [99, 98, 97]
+
+
+def test_null_values_and_the_null_community_on_boards(spark):
+    ups = spark.createDataFrame([("a", None), ("b", 3), (None, 3), ("c", 1)], "id string, ups long")
+    assert boards.leader(ups, "ups").first()["id"] == boards.by_ups(ups).first()["id"]
+    counts = ups.select("id", F.lit(1).alias("comm_count"))
+    lurkers = ups.select("id", F.lit(0.5).alias("lurker")).limit(4)
+    merged = boards.merged_board(counts, ups, lurkers)
+    assert merged.count() == 4
+    ids = boards.shown_ids(ups.filter("id IS NULL"))
+    assert [r["id"] for r in boards.shown(merged, ids).collect()] == [None]
+    assert sorted(r["id"] for r in boards.not_shown(merged, ids).collect()) == ["a", "b", "c"]

@@ -165,7 +165,16 @@ def test_lemmatised_tokens_by_function_and_by_join(spark, max_rows):
         return ",".join(known.get(w, w) for w in token.split(","))
 
     for key, tokens in TOKEN_ROWS:
-        assert (found[key] or []) == [lemma(token) for token in tokens or []]
+        assert found[key] == (None if tokens is None else [lemma(token) for token in tokens])
+
+
+@pytest.mark.parametrize("max_rows", [1000, 1])
+def test_lemmas_do_not_need_a_key(spark, max_rows):
+    table = lemmas.lemma_table(words_table(spark, ["cats", "dogs", "cat", "dog"]))
+    rows = [(None, ["cats"]), (1, ["dogs"]), (1, ["cats,dogs"]), (None, None)]
+    df = spark.createDataFrame(rows, "key long, comments array<string>")
+    done = lemmas.lemmatise_tokens(df, "comments", table, max_rows=max_rows).collect()
+    assert sorted(map(str, (r["comments"] for r in done))) == ["None", "['cat']", "['cat,dog']", "['dog']"]
 
 
 @pytest.mark.parametrize("max_rows", [1000, 2])
