@@ -367,16 +367,24 @@ def _incomplete(light: DataFrame) -> DataFrame:
     return light.filter("light0 <= most0 OR light1 <= most1").select("id").distinct()
 
 
+def _with_end(pairs: DataFrame, light: DataFrame, end: str) -> DataFrame:
+    role = F.col("roles").bitwiseAND(F.lit(1)) if end == "a" else F.shiftright("roles", 1)
+    weight = F.when(role == 0, F.col("light0")).otherwise(F.col("light1")).alias(f"light_{end}")
+    own = light.select(F.col("id").alias(end), F.col("n").alias(f"n_{end}"), "light0", "light1")
+    return pairs.join(own, end).select(*pairs.columns, f"n_{end}", weight)
+
+
 def _pairs(found: DataFrame, light: DataFrame, counted: bool) -> DataFrame:
-    """Pairs of fitting sizes; if ``counted``, that share the keys which linked sets must.
+    """Pairs of fitting sizes with a complete end; if ``counted``, that share the keys which linked sets must.
 
     Sets that differ in ``d`` shingles at most agree on all light segments of each but ``d``.
+    Pairs without a complete end are found by what is done with the incomplete sets later.
     """
-    pairs = found.filter("b >= 0").groupBy("a", "b", "roles").agg(F.sum("n").alias("shared"))
-    for end, role in (("a", F.col("roles").bitwiseAND(F.lit(1))), ("b", F.shiftright("roles", 1))):
-        own = light.select(F.col("id").alias(end), F.col("n").alias(f"n_{end}"), "light0", "light1")
-        pairs = pairs.join(own, end).withColumn(f"light_{end}", F.when(role == 0, F.col("light0")).otherwise(F.col("light1")))
-        pairs = pairs.drop("light0", "light1")
+    shared = found.filter("b >= 0").groupBy("a", "b", "roles").agg(F.sum("n").alias("shared"))
+    complete = light.join(_incomplete(light), "id", "left_anti")
+    pairs = _with_end(_with_end(shared, complete, "a"), light, "b").unionByName(
+        _with_end(_with_end(shared, complete, "b"), light, "a")
+    )
     near = 3 * F.greatest("n_a", "n_b") <= 4 * F.least("n_a", "n_b")
     apart = F.floor((F.col("n_a") + F.col("n_b")) / 7)
     needed = F.greatest("light_a", "light_b") - apart if counted else F.lit(1)
@@ -384,7 +392,7 @@ def _pairs(found: DataFrame, light: DataFrame, counted: bool) -> DataFrame:
 
 
 def _rarest(sets: DataFrame) -> DataFrame:
-    """``key, h1, id, n``: each shingle a segment by itself, and of a set of ``n`` the rarest.
+    """``key, h1, id, n, rank``: each shingle a segment by itself, and of a set of ``n`` the rarest.
 
     Linked sets share ``ceil(0.75 * n)`` shingles of each at least; so they share one of the first
     ``n - ceil(0.75 * n) + 1`` of both in any order that is the same for all, as from rare to frequent.
@@ -404,13 +412,13 @@ def _rarest(sets: DataFrame) -> DataFrame:
     cost = tokens.groupBy("key").agg(F.count("*").alias("cost"))
     rank = F.row_number().over(Window.partitionBy("id", "h1").orderBy("cost", "key"))
     first = tokens.join(cost, "key").withColumn("rank", rank)
-    return materialise(first.filter("rank <= n - ceil(0.75 * n) + 1 AND cost > 1").drop("rank", "cost"), "keys")
+    return materialise(first.filter("rank <= n - ceil(0.75 * n) + 1 AND cost > 1").drop("cost"), "keys")
 
 
 def _across(keys: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
     """``links`` and all others between sets that share a key, but for links within components.
 
-    First one set in each key, the one with the least hash, is compared to the sets of other
+    First one set in each key, one that has it early, is compared to the sets of other
     components there: near copies choose the same few sets, and mostly are one component then.
     All pairs that are left are compared.
     """
@@ -418,11 +426,12 @@ def _across(keys: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
         roots = components(links)
         rooted = keys.join(roots.withColumnRenamed("node", "h1"), "h1", "left")
         rooted = materialise(rooted.withColumn("root", F.coalesce("root", "h1")).drop("h1"), "rooted")
-        hub = F.min_by(F.struct("id", "n", "root"), F.xxhash64("id"))
+        hub = F.min_by(F.struct("id", "n", "root", "rank"), F.struct(F.col("rank") / F.col("n"), F.xxhash64("id")))
         ends = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), hub.alias("hub"))
         open_ = ends.filter("lo < hi").select("key", "hub.*") if hubs else rooted.join(ends.filter("lo < hi"), "key", "left_semi")
-        one = open_.select("key", F.col("id").alias("a"), F.col("root").alias("own"), F.col("n").alias("n_a"))
-        fits = (F.col("own") != F.col("root")) & (3 * F.greatest("n_a", "n") <= 4 * F.least("n_a", "n"))
+        one = open_.select("key", F.col("id").alias("a"), F.col("root").alias("own"), F.col("n").alias("n_a"), F.col("rank").alias("rank_a"))
+        left = 1 + F.least(F.col("n_a") - F.col("rank_a"), F.col("n") - F.col("rank"))
+        fits = (F.col("own") != F.col("root")) & (175 * left >= 75 * (F.col("n_a") + F.col("n")))
         pairs = one.join(rooted.withColumnRenamed("id", "b"), "key").filter(fits)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         links = materialise(links.union(_verified(pairs, sets)).distinct(), "links")
