@@ -134,11 +134,12 @@ def points_with_topics(spark, sf) -> DataFrame:
 
 
 @query(
-    "SELECT s.assignment, CAST(0 AS BIGINT) AS part, 'Topic ' || s.assignment AS meta_label, "
+    "SELECT s.assignment, coalesce(p.part, 0) AS part, 'Topic ' || s.assignment AS meta_label, "
     "count(p.id) AS points, coalesce(string_agg(CAST(p.id AS VARCHAR), ',' ORDER BY p.id), '') AS ids, "
     "min(p.x) AS x, max(p.y) AS y "
     "FROM (SELECT unnest(range(1, 71)) AS assignment) s "
-    f"LEFT JOIN {POINTS_SQL} p ON p.assignment = s.assignment GROUP BY s.assignment"
+    "LEFT JOIN (SELECT *, (row_number() OVER (PARTITION BY assignment ORDER BY id) - 1) // 100000 AS part "
+    f"FROM {POINTS_SQL}) p ON p.assignment = s.assignment GROUP BY s.assignment, p.part"
 )
 def nested_layout(spark, sf) -> DataFrame:
     nested = topics.nested_layout(_points(spark, sf), 70)

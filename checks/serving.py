@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from checks import tables as t
 from checks.registry import query
 from forumlens.operators import communities as com, leaderboards as boards
-from forumlens.session import materialise
+from forumlens.plans import serving_tables as job
+from forumlens.session import materialise, scratch_path
+from forumlens.sources import writers
 
 
 def _lurkers_sql(source: str) -> str:
@@ -175,3 +177,64 @@ def merged_not_shown(spark, sf) -> DataFrame:
 def outlier_excluded(spark, sf) -> DataFrame:
     merged = _merged(_written_stats(spark, sf))
     return boards.without_communities(merged, ["src0_en"])
+
+
+# -- the tables of the page, written and read back ---------------------------------------------
+
+
+def _served(spark, sf) -> str:
+    """All serving tables, from statistics and with embeddings as distributions and weights."""
+    stats = _written_stats(spark, sf)
+    vectors = t.fixed_distributions(spark, sf)
+    words = vectors.select(
+        F.col("id").cast("int").alias("topic"),
+        F.transform("topicDistribution", lambda _, i: F.concat(F.lit("term,"), i)).alias("term_words"),
+        F.col("topicDistribution").alias("term_weight"),
+    )
+    tables = job.serving_tables(
+        stats.select("id", "comm_count"),
+        stats.select("id", "ups"),
+        stats.select("id", "comm_ups_ratio"),
+        vectors,
+        words,
+        70,
+        ["src0_en"],
+    )
+    path = scratch_path(spark, "serving")
+    writers.write_serving_tables(tables, path)
+    return path
+
+
+@query(
+    f"SELECT * FROM {MERGED_SQL} WHERE id <> 'src0_en' AND id IN ("
+    + " UNION ".join(f"SELECT id FROM {sql.format(n=100)}" for sql in TOP_SQL.values())
+    + ")"
+)
+def serving_tables(spark, sf) -> DataFrame:
+    return spark.read.parquet(f"{_served(spark, sf)}/merged")
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{board}' AS board, id, CAST({name} AS DOUBLE) AS value FROM {TOP_SQL[name].format(n=100)}"
+        for board, name in (("comment_board", "comm_count"), ("ups_board", "ups"), ("lurker_board", "lurker"))
+    )
+)
+def serving_boards(spark, sf) -> DataFrame:
+    path = _served(spark, sf)
+    tops = [
+        spark.read.parquet(f"{path}/{board}").select(
+            F.lit(board).alias("board"), "id", F.col(name).cast("double").alias("value")
+        )
+        for board, name in (("comment_board", "comm_count"), ("ups_board", "ups"), ("lurker_board", "lurker"))
+    ]
+    return tops[0].union(tops[1]).union(tops[2])
+
+
+@query(
+    "SELECT vec_id + 1 AS topic_num, list_transform(range(0, 3), lambda i: 'term,' || i) AS words FROM embeddings"
+)
+def serving_topic_words(spark, sf) -> DataFrame:
+    """Terms with a comma keep it."""
+    words = spark.read.parquet(f"{_served(spark, sf)}/topic_words")
+    return words.select(F.col("topic_num").cast("long").alias("topic_num"), F.col("dists.word").alias("words"))

@@ -64,18 +64,20 @@ def submissions_from_json(spark, sf) -> DataFrame:
 
 
 @query(
-    "SELECT id, string_agg(comments, ' ' ORDER BY key) AS comments FROM "
-    f"(SELECT id, key, {t.joined(t.plain_tokens_sql('comments'), ' ')} AS comments "
-    f"FROM {t.COMMENTS_SQL}) WHERE comments <> '' GROUP BY id"
+    "SELECT id, string_agg(comments, ' ' ORDER BY key) AS comments, part FROM "
+    f"(SELECT id, part, key, {t.joined(t.plain_tokens_sql('comments'), ' ')} AS comments "
+    f"FROM {t.PARTS_SQL}) WHERE comments <> '' GROUP BY id, part"
 )
 def documents_from_csv(spark, sf) -> DataFrame:
     """Cleaned community texts, written without a header and read back."""
     from forumlens.functions.text import plain_text
 
-    cleaned = t.comment_texts(spark, sf).withColumn("comments", plain_text(F.col("comments")))
+    parted = com.assign_parts(t.comment_texts(spark, sf))
+    cleaned = parted.withColumn("comments", plain_text(F.col("comments")))
     path = scratch_path(spark, "documents-csv")
-    writers.write_csv(com.community_text(cleaned, drop_empty=True).select("id", "comments"), path)
-    return readers.read_documents(spark, path)
+    texts = com.community_text(cleaned, drop_empty=True)
+    writers.write_csv(texts.select("id", "comments", "part"), path)
+    return readers.read_documents(spark, path, schema=schemas.DOCUMENT_PARTS)
 
 
 @query("SELECT doc_id, text FROM documents")
@@ -109,11 +111,11 @@ def page_union_from_csv(spark, sf) -> DataFrame:
 
 
 @query(
-    "SELECT id, CAST(0 AS BIGINT) AS part, "
+    "SELECT id, part, "
     + "array_to_string(flatten(list(tokens ORDER BY key)), '|') AS comments, "
-    "CAST(sum(ups) AS BIGINT) AS ups, count(id) AS comm_count FROM (SELECT id, key, ups, "
+    "CAST(sum(ups) AS BIGINT) AS ups, count(id) AS comm_count FROM (SELECT id, part, key, ups, "
     + t.compound_tokens_sql("comments", t.LETTER_TEST)
-    + f" AS tokens FROM {t.COMMENTS_SQL}) GROUP BY id"
+    + f" AS tokens FROM {t.PARTS_SQL}) GROUP BY id, part"
 )
 def communities_from_parquet(spark, sf) -> DataFrame:
     from forumlens.functions.text import letter_tokens
@@ -134,14 +136,6 @@ def ratio_board_from_result(spark, sf) -> DataFrame:
     return readers.read_result(spark, path, schemas.RATIO_BOARD)
 
 
-@query(f"SELECT id, ups, comm_count FROM {t.stats_sql()}")
-def serving_tables(spark, sf) -> DataFrame:
-    stats = com.community_stats(t.comments(spark, sf, True))
-    path = scratch_path(spark, "serving")
-    writers.write_serving_tables({"merged": stats}, path)
-    return spark.read.parquet(f"{path}/merged")
-
-
 @query(
     "SELECT doc_id, "
     + t.joined(t.compound_tokens_sql("text", t.ASCII_TEST))

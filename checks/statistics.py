@@ -12,9 +12,9 @@ from forumlens.operators import cleaning, communities as com, ranking
 from forumlens.operators.leaderboards import totals_text
 
 ASCII_LISTS = (
-    "(SELECT id, key, ups, "
+    "(SELECT id, part, key, ups, "
     + t.compound_tokens_sql("comments", t.ASCII_TEST)
-    + f" AS tokens FROM {t.COMMENTS_SQL})"
+    + f" AS tokens FROM {t.PARTS_SQL})"
 )
 
 
@@ -57,8 +57,8 @@ def columns_dropped(spark, sf) -> DataFrame:
 
 def _concat_sql(separator: str) -> str:
     return (
-        f"SELECT id, CAST(0 AS BIGINT) AS part, string_agg(comments, '{separator}' ORDER BY key) AS comments "
-        f"FROM {t.COMMENTS_SQL} GROUP BY id"
+        f"SELECT id, part, string_agg(comments, '{separator}' ORDER BY key) AS comments "
+        f"FROM {t.PARTS_SQL} GROUP BY id, part"
     )
 
 
@@ -78,10 +78,7 @@ def community_text_comma(spark, sf) -> DataFrame:
 
 
 _PARTED_SQL = f"""WITH rows AS (SELECT * FROM {t.COMMENTS_SQL}),
- sizes AS (SELECT id, greatest(ceil(sum(length(comments)) / 20000.0), 1) AS parts
-   FROM rows GROUP BY id),
- parted AS (SELECT r.*, CAST(CAST('0x' || substr(md5(CAST(key AS VARCHAR)), 1, 8) AS UBIGINT)
-   % CAST(s.parts AS BIGINT) AS BIGINT) AS part FROM rows r JOIN sizes s ON s.id = r.id)
+ parted AS (SELECT * FROM {t.parted_sql("rows", 20_000)})
 """
 
 
@@ -96,9 +93,9 @@ def community_text_in_parts(spark, sf) -> DataFrame:
 
 
 @query(
-    f"SELECT c.id, CAST(0 AS BIGINT) AS part, string_agg(v.value, ' ' ORDER BY v.key) AS comments FROM "
-    f"({CLEAN_TEXT_SQL}) v JOIN {t.COMMENTS_SQL} c ON c.key = v.key "
-    "WHERE v.value <> '' GROUP BY c.id"
+    f"SELECT c.id, c.part, string_agg(v.value, ' ' ORDER BY v.key) AS comments FROM "
+    f"({CLEAN_TEXT_SQL}) v JOIN {t.PARTS_SQL} c ON c.key = v.key "
+    "WHERE v.value <> '' GROUP BY c.id, c.part"
 )
 def community_clean_text(spark, sf) -> DataFrame:
     """Cleaned with lemmas, empties dropped, one text per community."""
@@ -107,9 +104,9 @@ def community_clean_text(spark, sf) -> DataFrame:
 
 
 @query(
-    "SELECT id, CAST(0 AS BIGINT) AS part, "
+    "SELECT id, part, "
     "array_to_string(flatten(list(tokens ORDER BY key)), '|') AS comments, "
-    f"CAST(len(flatten(list(tokens ORDER BY key))) AS INTEGER) AS size FROM {ASCII_LISTS} GROUP BY id"
+    f"CAST(len(flatten(list(tokens ORDER BY key))) AS INTEGER) AS size FROM {ASCII_LISTS} GROUP BY id, part"
 )
 def community_tokens(spark, sf) -> DataFrame:
     parted = com.assign_parts(t.comment_texts(spark, sf))
@@ -123,12 +120,13 @@ def community_tokens(spark, sf) -> DataFrame:
 
 
 @query(
-    "SELECT id, CAST(0 AS BIGINT) AS part, array_to_string(list_transform(list(tokens ORDER BY key), "
+    "SELECT id, part, array_to_string(list_transform(list(tokens ORDER BY key), "
     "lambda l: coalesce(array_to_string(l, '|'), '')), '#') AS comments, CAST(count(*) AS INTEGER) AS size "
-    f"FROM {ASCII_LISTS} GROUP BY id"
+    f"FROM {ASCII_LISTS} GROUP BY id, part"
 )
 def community_token_lists(spark, sf) -> DataFrame:
-    lists = com.community_token_lists(cleaning.clean_tokens(t.comment_texts(spark, sf)))
+    parted = com.assign_parts(t.comment_texts(spark, sf))
+    lists = com.community_token_lists(cleaning.clean_tokens(parted))
     joined = F.transform("comments", lambda tokens: F.array_join(tokens, "|"))
     return lists.select(
         "id", "part", F.array_join(joined, "#").alias("comments"), F.size("comments").alias("size")
@@ -157,9 +155,9 @@ def lists_flattened(spark, sf) -> DataFrame:
 
 
 @query(
-    "SELECT id, CAST(0 AS BIGINT) AS part, "
+    "SELECT id, part, "
     "array_to_string(flatten(list(tokens ORDER BY key)), '|') AS comments, "
-    f"CAST(sum(ups) AS BIGINT) AS ups, count(id) AS comm_count FROM {ASCII_LISTS} GROUP BY id"
+    f"CAST(sum(ups) AS BIGINT) AS ups, count(id) AS comm_count FROM {ASCII_LISTS} GROUP BY id, part"
 )
 def community_documents(spark, sf) -> DataFrame:
     documents = com.community_documents(
@@ -214,8 +212,11 @@ def role_stats(spark, sf) -> DataFrame:
 
 
 @query(
-    "SELECT id, CAST(0 AS BIGINT) AS part, string_agg(comments, ' ' ORDER BY conv_id, turn) AS comments FROM "
-    "(SELECT role AS id, text AS comments, conv_id, turn FROM conversations) GROUP BY id"
+    "SELECT id, part, string_agg(comments, ' ' ORDER BY conv_id, turn) AS comments FROM "
+    + t.parted_sql(
+        "(SELECT role AS id, text AS comments, conv_id, turn FROM conversations)", order="conv_id, turn"
+    )
+    + " GROUP BY id, part"
 )
 def role_text(spark, sf) -> DataFrame:
     turns = t.table(spark, sf, "conversations").select(

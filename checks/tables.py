@@ -71,6 +71,21 @@ COMMENTS_SQL = """(SELECT d.source AS id, d.text AS comments, d.doc_id AS key,
 COMMENTS_LANG_SQL = COMMENTS_SQL.replace("d.source AS id", "d.source || '_' || d.lang AS id")
 
 
+PART_CHARS = 8_000_000
+
+
+def parted_sql(source: str, chars: int = PART_CHARS, order: str = "key") -> str:
+    """The rows with their part: characters before them in their community, over ``chars``."""
+    size = "coalesce(length(comments), 0)"
+    return (
+        f"(SELECT *, CAST((sum({size}) OVER (PARTITION BY id ORDER BY {order} "
+        f"ROWS UNBOUNDED PRECEDING) - {size}) // {chars} AS BIGINT) AS part FROM {source})"
+    )
+
+
+PARTS_SQL = parted_sql(COMMENTS_SQL)
+
+
 def stats_sql(source: str = COMMENTS_LANG_SQL) -> str:
     return (
         "(SELECT id, CAST(sum(ups) AS BIGINT) AS ups, count(id) AS comm_count "

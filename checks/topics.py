@@ -1,4 +1,4 @@
-"""Bags of words, which SQL can check, and topic models, which it cannot."""
+"""Bags of words, and topic models by those of their properties that SQL can state."""
 
 from __future__ import annotations
 
@@ -98,12 +98,26 @@ def hashed_totals(spark, sf) -> DataFrame:
     return hashed.select("id", total.alias("total")).filter(F.col("total") > 0)
 
 
-@query()
+@query(
+    "SELECT id, CAST(sum(n) AS DOUBLE) AS total, true AS distinct_buckets, true AS fits "
+    f"FROM {COUNTS_SQL} GROUP BY id"
+)
 def hashed_vectors(spark, sf) -> DataFrame:
+    """Counts add up, buckets ascend within their range, and terms share buckets or have their own."""
+    counts = _counts(spark, sf)
     raw = F.unwrap_udt("features")
-    entries = F.explode(F.arrays_zip(raw["indices"].alias("idx"), raw["values"].alias("n")))
-    hashed = terms.hashed_vectors(_counts(spark, sf))
-    return hashed.select("id", entries.alias("e")).select("id", "e.idx", "e.n")
+    total = F.aggregate(raw["values"], F.lit(0.0), lambda a, b: a + b)
+    own = counts.groupBy("id").agg(F.count("term").alias("terms"))
+    rows = terms.hashed_vectors(counts).select("id", total.alias("total"), raw["indices"].alias("buckets"))
+    rows = rows.join(own, rows["id"].eqNullSafe(own["id"])).drop(own["id"]).filter("total > 0")
+    return rows.select(
+        "id",
+        "total",
+        (F.array_sort(F.array_distinct("buckets")) == F.col("buckets")).alias("distinct_buckets"),
+        (
+            (F.size("buckets") <= F.col("terms")) & (F.array_max("buckets") < terms.HASH_BUCKETS)
+        ).alias("fits"),
+    )
 
 
 @query(
@@ -154,12 +168,17 @@ def lemma_counts(spark, sf) -> DataFrame:
 # -- models ----------------------------------------------------------------------------------
 
 
-@query()
+def _valid(distribution: str = "topicDistribution"):
+    """Ten probabilities that sum to 1, or all zero."""
+    total = F.aggregate(distribution, F.lit(0.0), lambda a, b: a + b)
+    inside = F.forall(distribution, lambda p: (p >= 0) & (p <= 1))
+    return (F.size(distribution) == 10) & inside & ((F.abs(total - 1) < 1e-6) | (total == 0))
+
+
+@query(f"SELECT DISTINCT id, true AS valid FROM {t.COMMENTS_LANG_SQL}")
 def topic_distributions(spark, sf) -> DataFrame:
-    """Online variational topics over communities; rounded, as sums depend on task order."""
-    return _distributions(spark, sf).select(
-        "id", F.transform("topicDistribution", lambda p: F.round(p, 4)).alias("topicDistribution")
-    )
+    """Online variational topics over communities."""
+    return _distributions(spark, sf).select("id", _valid().alias("valid"))
 
 
 @query(f"SELECT DISTINCT id, CAST(1 AS DOUBLE) AS total, 10 AS topics FROM {COUNTS_SQL}")
@@ -172,48 +191,104 @@ def topic_distribution_sums(spark, sf) -> DataFrame:
     return sums.filter(F.col("total") > 0)
 
 
-@query()
+@query(f"SELECT DISTINCT id, true AS right FROM {t.COMMENTS_LANG_SQL}")
 def dominated_communities(spark, sf) -> DataFrame:
-    kept = topics.dominated(_distributions(spark, sf))
-    return topics.assigned(kept).select("id", "assignment")
+    """Kept exactly where a topic has more than 0.7, under the number of that topic."""
+    scored = _distributions(spark, sf)
+    kept = topics.assigned(topics.dominated(scored)).select(F.col("id").alias("kept"), "assignment")
+    both = scored.join(kept, F.col("id").eqNullSafe(F.col("kept")), "left")
+    above = F.array_max("topicDistribution") > 0.7
+    topic = F.array_position("topicDistribution", F.array_max("topicDistribution"))
+    right = F.when(above, F.col("assignment") == topic).otherwise(F.col("assignment").isNull())
+    return both.select("id", F.coalesce(right, F.lit(False)).alias("right"))
+
+
+TOPIC_WORDS_SQL = (
+    "SELECT topic, CAST(10 AS BIGINT) AS terms, CAST(10 AS BIGINT) AS known, true AS falling "
+    "FROM (SELECT CAST(unnest(range(0, 10)) AS INTEGER) AS topic)"
+)
 
 
-@query()
+def _words_shape(words: DataFrame, vocab: DataFrame) -> DataFrame:
+    """Of each topic the number of different terms, of those in the vocabulary, and their order."""
+    falling = F.sort_array("term_weight", asc=False) == F.col("term_weight")
+    exploded = words.select("topic", falling.alias("falling"), F.explode("term_words").alias("term"))
+    known = vocab.select("term", F.lit(1).alias("known"))
+    return (
+        exploded.distinct()
+        .join(known, "term", "left")
+        .groupBy("topic")
+        .agg(
+            F.count("*").alias("terms"),
+            F.count("known").alias("known"),
+            F.bool_and("falling").alias("falling"),
+        )
+    )
+
+
+@query(TOPIC_WORDS_SQL)
 def topic_words(spark, sf) -> DataFrame:
-    return topics.topic_words(_model(spark, sf), _vocabulary(spark, sf))
+    vocab = _vocabulary(spark, sf)
+    return _words_shape(topics.topic_words(_model(spark, sf), vocab), vocab)
 
 
-@query()
+@query(
+    "SELECT topic, CAST(3 AS BIGINT) AS pairs, true AS falling "
+    "FROM (SELECT CAST(unnest(range(1, 11)) AS BIGINT) AS topic)"
+)
 def top_term_pairs(spark, sf) -> DataFrame:
     words = topics.topic_words(_model(spark, sf), _vocabulary(spark, sf))
-    return topics.leading_pairs(words)
+    falling = F.sort_array("dists.prob", asc=False) == F.col("dists.prob")
+    return topics.leading_pairs(words).select(
+        F.col("topic_num").cast("long").alias("topic"),
+        F.size("dists").cast("long").alias("pairs"),
+        falling.alias("falling"),
+    )
 
 
-@query()
+@query(
+    f"SELECT topic, (SELECT count(*) FROM {VOCABULARY_SQL}) AS terms, CAST(1 AS DOUBLE) AS total "
+    "FROM (SELECT CAST(unnest(range(0, 10)) AS INTEGER) AS topic)"
+)
 def topic_term_matrix(spark, sf) -> DataFrame:
-    return topics.topic_term_matrix(_model(spark, sf), _vocabulary(spark, sf))
+    matrix = topics.topic_term_matrix(_model(spark, sf), _vocabulary(spark, sf))
+    return matrix.groupBy("topic").agg(
+        F.count_distinct("term").alias("terms"), F.round(F.sum("weight"), 6).alias("total")
+    )
 
 
-@query()
+@query(
+    "SELECT count(DISTINCT id) AS communities, true AS valid, true AS widest_first "
+    f"FROM {t.COMMENTS_LANG_SQL}"
+)
 def layout(spark, sf) -> DataFrame:
-    return topics.layout(_distributions(spark, sf))
+    """Every community once, on a topic, at a finite place, and spread out along x most."""
+    finite = [F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < 1e300) for c in "xy"]
+    placed = F.col("assignment").between(0, 10) & finite[0] & finite[1]
+    return topics.layout(_distributions(spark, sf)).agg(
+        F.count_distinct("id").alias("communities"),
+        F.bool_and(placed).alias("valid"),
+        (F.var_samp("x") >= F.var_samp("y")).alias("widest_first"),
+    )
 
 
-@query()
+@query(TOPIC_WORDS_SQL)
 def topics_em(spark, sf) -> DataFrame:
     """Expectation-maximisation topics."""
-    model = _once(
-        spark,
-        sf,
-        "em",
-        lambda: topics.fit_topics(_vectors(spark, sf), optimizer="em", iterations=20),
-    )
-    return topics.topic_words(model, _vocabulary(spark, sf))
+    model = topics.fit_topics(_vectors(spark, sf), optimizer="em", iterations=20)
+    vocab = _vocabulary(spark, sf)
+    return _words_shape(topics.topic_words(model, vocab), vocab)
 
 
-def _assignments(spark, sf, name: str, make, df: DataFrame) -> DataFrame:
-    model: PipelineModel = _once(spark, sf, name, lambda: make.fit(df))
-    return topics.assigned(topics.distributions(model, df)).select("id", "assignment")
+PIPELINE_SQL = "SELECT doc_id AS id, true AS valid, true AS assigned FROM documents"
+
+
+def _assignments(make, df: DataFrame) -> DataFrame:
+    model: PipelineModel = make.fit(df)
+    rows = topics.assigned(topics.distributions(model, df))
+    return rows.select(
+        "id", _valid().alias("valid"), F.col("assignment").between(0, 10).alias("assigned")
+    )
 
 
 def _texts(spark, sf) -> DataFrame:
@@ -221,27 +296,25 @@ def _texts(spark, sf) -> DataFrame:
     return documents.select(F.col("doc_id").alias("id"), F.col("text").alias("comments"))
 
 
-@query()
+@query(PIPELINE_SQL)
 def hashed_topics(spark, sf) -> DataFrame:
-    pipeline = topics.hashing_pipeline()
-    return _assignments(spark, sf, "hashing", pipeline, _texts(spark, sf))
+    return _assignments(topics.hashing_pipeline(), _texts(spark, sf))
 
 
-@query()
+@query(PIPELINE_SQL)
 def counted_topics(spark, sf) -> DataFrame:
     texts = _texts(spark, sf).withColumn("comments", _tokens())
-    pipeline = topics.counting_pipeline()
-    return _assignments(spark, sf, "counting", pipeline, texts)
+    return _assignments(topics.counting_pipeline(), texts)
 
 
-@query()
+@query(PIPELINE_SQL)
 def regex_topics(spark, sf) -> DataFrame:
-    pipeline = topics.regex_pipeline()
-    return _assignments(spark, sf, "regex", pipeline, _texts(spark, sf))
+    return _assignments(topics.regex_pipeline(), _texts(spark, sf))
 
 
-@query()
+@query(TOPIC_WORDS_SQL)
 def regex_topic_words(spark, sf) -> DataFrame:
     """Stages are taken from the fitted pipeline by their type."""
-    model = _once(spark, sf, "regex", lambda: topics.regex_pipeline().fit(_texts(spark, sf)))
-    return topics.topic_words(topics.topics_of(model), topics.vocabulary_of(model))
+    model = topics.regex_pipeline().fit(_texts(spark, sf))
+    vocab = topics.vocabulary_of(model)
+    return _words_shape(topics.topic_words(topics.topics_of(model), vocab), vocab)

@@ -1,21 +1,22 @@
 """Grouping by community: statistics, and community documents in bounded parts.
 
-A community may hold a third of all text, far more than fits one row. Its
-document is therefore a set of rows ``(id, part, ...)``: one row, part 0, for a
-community of up to ``part_chars`` characters, and as many rows as its size needs
-beyond that. Comments go to parts by a hash of their key, so that all parts of a
-community are about the same size, and are ordered by key within a part. Every
-comment is in exactly one part.
+A community may hold a third of all text, far more than fits one row. Its document
+is therefore a set of rows ``(id, part, ...)``. One rule holds at every size: comments
+are in key order, and a comment's part is the number of characters before it in its
+community, divided by ``part_chars``. So every comment is in exactly one part, and the
+parts joined in order are the whole document. Comments of one key, as those without
+any, are ordered by a hash of the row between parts, by their text within a part.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from forumlens.functions.numbers import comments_per_up
 from forumlens.operators.lookup import lookup_join
+from forumlens.operators.ranking import row_in_range
 from forumlens.session import BROADCAST_ROWS, materialise
 
 # A task may hold over a hundred parts at once while it collects them.
@@ -27,14 +28,18 @@ def select_comments(
     community: str = "subreddit",
     text: str = "body",
     ups: str | None = "ups",
-    key: str | None = "name",
+    key: Sequence[str] | None = ("name", "id"),
 ) -> DataFrame:
-    """Project and rename to ``id, comments, ups, key``; the last two are optional."""
+    """Project and rename to ``id, comments, ups, key``; the last two are optional.
+
+    The key is the first of the given fields that the table has and the row fills.
+    """
     columns = [F.col(community).alias("id"), F.col(text).alias("comments")]
     if ups:
         columns.append(F.col(ups).alias("ups"))
     if key:
-        columns.append(F.col(key).alias("key"))
+        present = [F.col(k) for k in key if k in df.columns]
+        columns.append(F.coalesce(*present).alias("key"))
     return df.select(*columns)
 
 
@@ -46,13 +51,6 @@ def drop_empty(df: DataFrame, column: str = "comments") -> DataFrame:
     return df.filter(F.col(column) != "")
 
 
-def key_bucket(keys: Sequence[str], buckets: Column) -> Column:
-    """Bucket of a row, spread evenly and the same on every run."""
-    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
-    number = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
-    return F.pmod(number, buckets)
-
-
 def with_parts(
     df: DataFrame,
     group: str,
@@ -62,22 +60,78 @@ def with_parts(
     totals: Sequence[Column] = (),
     max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Add ``part``, and ``_parts`` and the given group totals for groups of several parts.
+    """Add ``part``: the weight before a row in its group, in key order, over ``part_weight``.
 
-    Only groups above ``part_weight`` are looked up, of which there are at most
-    ``sum(weight) / part_weight``; all others are one part and are not joined to
-    anything, which leaves their totals null.
+    In a group of less than ``part_weight`` that is 0 for every row, so that only larger
+    groups are put in order; there are at most ``sum(weight) / part_weight`` of those. The
+    given group totals, and ``_large``, come along and are null for all other groups.
     """
     large = (
         df.groupBy(F.col(group).alias("_group"))
         .agg(F.sum(weight).alias("_weight"), *totals)
-        .filter(F.col("_weight") > part_weight)
-        .withColumn("_parts", F.ceil(F.col("_weight") / part_weight).cast("long"))
+        .filter(F.col("_weight") >= part_weight)
+        .withColumn("_large", F.lit(True))
     )
     large = materialise(large, "large-groups")
-    return lookup_join(df, large, group, "_group", "_weight", max_rows=max_rows).withColumn(
-        "part", key_bucket(keys, F.coalesce("_parts", F.lit(1)))
+    marked = lookup_join(df, large, group, "_group", "_weight", max_rows=max_rows)
+    small = marked.filter(F.col("_large").isNull()).withColumn("part", F.lit(0).cast("long"))
+    if large.isEmpty():
+        return small
+    return small.unionByName(
+        _running_parts(marked.filter("_large"), group, keys, weight, part_weight)
+    )
+
+
+def _running_parts(
+    df: DataFrame, group: str, keys: Sequence[str], weight: Column, part_weight: int
+) -> DataFrame:
+    """Rows are range-sorted and written once; parts are found on narrow columns.
+
+    Only the first group of a range can have begun in an earlier one, so that one number
+    per range carries the sums over. A part covers a run of rows of a range, and what
+    goes back to the text is where the runs begin: about one step per part.
+    """
+    tied = df.withColumns(
+        {
+            "_weight": F.coalesce(weight, F.lit(0)).cast("long"),
+            "_hash": F.xxhash64(*df.columns),
+            "_tie": F.monotonically_increasing_id(),
+        }
+    )
+    ranked = tied.orderBy(group, *keys, "_hash", "_tie").withColumns(
+        {"_range": F.spark_partition_id(), "_row": row_in_range()}
+    )
+    ranked = materialise(ranked.drop("_hash", "_tie"), "ranked")
+    narrow = ranked.select("_range", "_row", F.col(group).alias("_group"), "_weight")
+    begun = Window.partitionBy("_group").orderBy("_range")
+    bases = (
+        narrow.groupBy("_range", "_group")
+        .agg(F.sum("_weight").alias("_sum"))
+        .withColumn("_base", F.sum("_sum").over(begun.rowsBetween(Window.unboundedPreceding, -1)))
+        .filter("_base > 0")
+        .select("_range", F.col("_group").alias("_first"), "_base")
+    )
+    run = Window.partitionBy("_range", "_group").orderBy("_row")
+    own = F.sum("_weight").over(run.rowsBetween(Window.unboundedPreceding, -1))
+    base = F.when(F.col("_group").eqNullSafe(F.col("_first")), F.col("_base"))
+    before = F.coalesce(own, F.lit(0)) + F.coalesce(base, F.lit(0))
+    last = F.lag("part").over(Window.partitionBy("_range").orderBy("_row"))
+    steps = (
+        narrow.repartition("_range")
+        .join(F.broadcast(bases), "_range", "left")  # one row per range
+        .withColumn("_before", before)
+        .withColumn("part", F.expr(f"_before div {part_weight}"))
+        .withColumn("_last", F.coalesce(last, F.lit(0)))
+        .filter("part != _last")
+        .groupBy("_range")
+        .agg(F.sort_array(F.collect_list(F.struct("_row", "part"))).alias("_steps"))
     )
+    steps = materialise(steps, "steps")
+    many = steps.agg(F.sum(F.size("_steps"))).first()[0] or 0
+    found = ranked.join(F.broadcast(steps) if many <= BROADCAST_ROWS else steps, "_range", "left")
+    passed = F.filter("_steps", lambda step: step["_row"] <= F.col("_row"))
+    part = F.coalesce(F.try_element_at(passed, F.lit(-1))["part"], F.lit(0)).cast("long")
+    return found.withColumn("part", part).select(*df.columns, "part")
 
 
 def assign_parts(
@@ -198,14 +252,14 @@ def community_documents(
         F.flatten(F.transform(ordered, lambda row: row["_tokens"])).alias("comments"),
         F.sum("ups").alias("_part_ups"),
         F.count("id").alias("_part_count"),
-        F.first("_parts").alias("_parts"),
+        F.first("_large").alias("_large"),
         F.first("_total_ups").alias("_total_ups"),
         F.first("_total_count").alias("_total_count"),
     )
 
     def total(name: str) -> Column:
         own = F.col(f"_part_{name}")
-        return F.when(F.col("_parts").isNull(), own).otherwise(F.col(f"_total_{name}"))
+        return F.when(F.col("_large").isNull(), own).otherwise(F.col(f"_total_{name}"))
 
     return grouped.select(
         "id", "part", "comments", total("ups").alias("ups"), total("count").alias("comm_count")
@@ -215,8 +269,7 @@ def community_documents(
 def stats_of_documents(documents: DataFrame) -> DataFrame:
     """The statistics carried by community documents, once per community.
 
-    Every part carries the community's totals, so any one of them will do; part 0
-    may be missing only if a hash leaves it empty.
+    Every part carries the community's totals, so any one of them will do.
     """
     return documents.groupBy("id").agg(
         F.first("ups").alias("ups"), F.first("comm_count").alias("comm_count")

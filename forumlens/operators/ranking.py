@@ -12,14 +12,18 @@ _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33
 SAMPLE_BUCKET_DIGITS = 5  # hexadecimal digits: about a million buckets
 
 
+def row_in_range() -> Column:
+    """Number of a row within its task, from 0."""
+    return F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+
+
 def with_position(df: DataFrame, order: Sequence[Column], name: str = "position") -> DataFrame:
     """Number all rows from 0 in the given order, which must be total.
 
     Rows are range-sorted and written once, which fixes the ranges; the offset of
     each range is a running sum over one count per range.
     """
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    ranked = df.orderBy(*order).withColumns({"_range": F.spark_partition_id(), "_row": row})
+    ranked = df.orderBy(*order).withColumns({"_range": F.spark_partition_id(), "_row": row_in_range()})
     ranked = materialise(ranked, "ranked")
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

@@ -206,8 +206,7 @@ def points_with_topics(points: DataFrame, topics: int) -> DataFrame:
 def nested_layout(points: DataFrame, topics: int, part_points: int = PART_POINTS) -> DataFrame:
     """``assignment, part, meta_label, data``: the points of every topic as nested arrays.
 
-    A topic of more than ``part_points`` points takes several rows, like a large
-    community does.
+    A row holds up to ``part_points`` points, in the order of their ids.
     """
     kept = points.filter(F.col("assignment").between(1, topics))
     parted = with_parts(kept, "assignment", ["id"], F.lit(1), part_points)

@@ -26,7 +26,7 @@ def run(
     parted = communities.assign_parts(inputs.comments(spark, source, partitions, ups=None))
     cleaned = cleaning.clean_text(parted, dictionary=dictionary)
     texts = communities.community_text(cleaned, drop_empty=True)
-    writers.write_csv(texts.select("id", "comments"), output)
+    writers.write_csv(texts.select("id", "comments", "part"), output)
 
 
 def main() -> None:

@@ -1,4 +1,4 @@
-"""Leaderboards, distributions and topic words, as CSV results, to serving tables in parquet.
+"""Leaderboards and distributions (CSV) and topic words (parquet) to serving tables in parquet.
 
     spark-submit -m forumlens.plans.serving_tables COUNTS UPS RATIOS DISTRIBUTIONS WORDS OUTPUT
 """
@@ -66,11 +66,7 @@ def run(
     parsed = readers.read_result(spark, distributions, schemas.DISTRIBUTIONS).withColumn(
         "topicDistribution", parse_distribution(F.col("topicDistribution"))
     )
-    topic_words = readers.read_result(spark, words, schemas.TOPIC_WORDS).select(
-        "topic",
-        F.split("term_words", ",").alias("term_words"),
-        parse_distribution(F.col("term_weight")).alias("term_weight"),
-    )
+    topic_words = spark.read.parquet(words)
     tables = serving_tables(
         readers.read_result(spark, counts, schemas.COUNT_BOARD),
         readers.read_result(spark, ups, schemas.UPS_BOARD),

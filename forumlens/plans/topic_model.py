@@ -1,4 +1,5 @@
-"""Community documents to topic distributions and topic words, as CSV.
+"""Community documents to topic distributions and topic words: the former as CSV, the latter
+with their arrays as parquet, as a term may hold a comma.
 
     spark-submit -m forumlens.plans.topic_model INPUT DISTRIBUTIONS WORDS
 """
@@ -78,12 +79,7 @@ def run(
         scored.select("id", as_text(F.col("topicDistribution")).alias("topicDistribution")), output
     )
     if words and vocab is not None:
-        described = topics.topic_words(model, vocab).select(
-            "topic",
-            F.array_join("term_words", ",").alias("term_words"),
-            numbers.distribution_text(F.col("term_weight")).alias("term_weight"),
-        )
-        writers.write_csv(described, words)
+        writers.write_parquet(topics.topic_words(model, vocab), words)
     vectors.unpersist()
 
 

@@ -39,16 +39,10 @@ SUBMISSIONS = _record(
 )
 
 DOCUMENTS = _record("id:string comments:string")
+DOCUMENT_PARTS = _record("id:string comments:string part:long")
 UPS_BOARD = _record("id:string ups:long")
 COUNT_BOARD = _record("id:string comm_count:long")
 RATIO_BOARD = T.StructType(
     [T.StructField("id", T.StringType()), T.StructField("comm_ups_ratio", T.DoubleType())]
 )
 DISTRIBUTIONS = _record("id:string topicDistribution:string")
-TOPIC_WORDS = T.StructType(
-    [
-        T.StructField("topic", T.IntegerType()),
-        T.StructField("term_words", T.StringType()),
-        T.StructField("term_weight", T.StringType()),
-    ]
-)

@@ -47,6 +47,30 @@ def test_small_limit_splits_only_large_communities(comments):
         assert words[id_] == sorted(w for _, value, _ in group for w in (value or "").split())
 
 
+@pytest.mark.parametrize("part_chars", [1, 40, 500, 10_000_000])
+def test_parts_in_order_are_the_document(comments, part_chars):
+    rows = com.community_text(comments, part_chars=part_chars).orderBy("id", "part").collect()
+    for id_, group in EXPECTED.items():
+        before, parts = 0, defaultdict(list)
+        for _, value, _ in group:
+            parts[before // part_chars].append(value)
+            before += len(value or "")
+        want = [(p, " ".join(v for v in vs if v is not None)) for p, vs in sorted(parts.items())]
+        assert [(r["part"], r["comments"]) for r in rows if r["id"] == id_] == want
+
+
+def test_comments_without_keys_are_spread_over_their_parts(spark):
+    rows = spark.createDataFrame([("a", f"text {i:04d}", None) for i in range(2000)], "id string, comments string, key string")
+    sizes = [len(r["comments"]) for r in com.community_text(rows, part_chars=450).collect()]
+    assert len(sizes) == 40
+    assert max(sizes) < 600
+
+
+def test_key_is_the_first_filled_field(spark):
+    raw = spark.createDataFrame([("s", "b", 1, "n", "i"), ("s", "b", 1, None, "j")], "subreddit string, body string, ups long, name string, id string")
+    assert sorted(r["key"] for r in com.select_comments(raw).collect()) == ["j", "n"]
+
+
 def test_one_part_is_in_key_order(comments):
     rows = {r["id"]: r["comments"] for r in com.community_text(comments, ", ").collect()}
     for id_, group in EXPECTED.items():
