@@ -174,19 +174,30 @@ def mixed_documents(documents: DataFrame) -> DataFrame:
     docs, mixed = mix(documents)
     span = F.sort_array(F.collect_list(F.struct("start", "length")))
     spans = mixed.groupBy("row", "round").agg(span.alias("_spans"), F.sum("length").alias("_taken"))
-    keys = docs.select("row", "size", *[F.col(c).alias(f"_k{c}") for c in ("doc_id", "source", "hash")])
+    lead = F.lit(BLOCK) - F.col("before") % BLOCK
+    keys = docs.select("row", "size", lead.alias("_lead"), *[F.col(c).alias(f"_k{c}") for c in ("doc_id", "source", "hash")])
     asked = keys.join(spans, "row").drop("row", "round")
     named = documents.withColumn("_hash", F.xxhash64("text"))
     others = [c for c in documents.columns if c not in ("doc_id", "source")]
     once = named.groupBy("doc_id", "source", "_hash").agg(F.first(F.struct(*others)).alias("_doc"))
     same = [F.col(c).eqNullSafe(F.col(k)) for c, k in (("doc_id", "_kdoc_id"), ("source", "_ksource"), ("_hash", "_khash"))]
     both = once.join(asked, same)
-    pieces = F.regexp_extract_all(F.col("_doc.text"), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
-    parts = F.flatten(F.transform("_spans", lambda s: F.slice("_pieces", s["start"].cast("int") + 1, s["length"].cast("int"))))
+    # the document's part of its first block, then whole blocks
+    word = r"[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++"
+    pattern = F.format_string(f"^(?:{word}){{1,%d}}+|(?:{word}){{1,{BLOCK}}}+", "_lead")
+    pieces = F.regexp_extract_all(F.col("_doc.text"), pattern, F.lit(0))
     whole = F.col("_taken") == F.col("size")
-    cut = both.withColumn("_pieces", F.when(~whole, pieces))
-    text = F.when(whole, F.col("_doc.text")).otherwise(F.array_join(parts, ""))
-    made = cut.withColumn("_text", text)
+
+    def joined(found: Column) -> Column:
+        def piece(span: Column) -> Column:
+            later = 1 + F.floor((span["start"] - F.col("_lead")) / BLOCK)
+            return F.get(found, F.when(span["start"] == 0, 0).otherwise(later).cast("int"))
+
+        return F.array_join(F.transform("_spans", piece), "")
+
+    # as an array's only element the pieces are found once; in the function of the spans, once a span
+    cut = F.get(F.transform(F.array(pieces), joined), 0)
+    made = both.withColumn("_text", F.when(whole, F.col("_doc.text")).otherwise(cut))
     return made.select(
         *[F.col("_text").alias("text") if c == "text" else F.col(f"_doc.`{c}`") if c in others else F.col(c) for c in documents.columns]
     )
