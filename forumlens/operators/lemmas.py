@@ -38,23 +38,31 @@ def shorter_forms(word: Column) -> Column:
     return F.array_compact(F.array(*forms))
 
 
-def candidate_forms(word: Column) -> Column:
-    """``array<struct<round, form>>``: the word and its forms, then the forms of those.
+def first_forms(word: Column) -> Column:
+    """The word itself and its forms by one application of the rules."""
+    return F.concat(F.array(word), shorter_forms(word))
 
-    Round 0 holds the word itself and one application of the rules; a later round
-    counts only when no form of the earlier ones is in the dictionary. A rule that
-    can be followed by another takes at least one letter off the final run of ``e``
+
+def later_forms(word: Column) -> Column:
+    """``array<struct<round, form>>``: the forms of the forms, and so on, from round 1.
+
+    A later round counts only when no form of the earlier ones is in the dictionary. A rule
+    that can be followed by another takes at least one letter off the final run of ``e``
     and ``s``, whose length therefore bounds the rounds.
     """
-    start = F.struct(F.array(word).alias("last"), F.array(_form(F.lit(0), word)).alias("all"))
+    start = F.struct(
+        shorter_forms(word).alias("last"),
+        F.array().cast("array<struct<round: int, form: string>>").alias("all"),
+    )
 
     def extend(state: Column, round_: Column) -> Column:
         last = F.flatten(F.transform(state["last"], shorter_forms))
-        found = F.transform(last, lambda form: _form(round_ - 1, form))
+        found = F.transform(last, lambda form: _form(round_, form))
         return F.struct(last.alias("last"), F.concat(state["all"], found).alias("all"))
 
     run = F.length(word) - F.length(F.rtrim(word, F.lit("es")))
-    return F.aggregate(F.sequence(F.lit(1), run + 1), start, extend, lambda state: state["all"])
+    rounds = F.when(run > 0, F.sequence(F.lit(1), run)).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(rounds, start, extend, lambda state: state["all"])
 
 
 def _form(round_: Column, form: Column) -> Column:
@@ -70,15 +78,13 @@ def lemma_table(
     irregular ones, whose rows replace the rules for their words.
     """
     words = materialise(words, "words")
-    known = (words if dictionary is None else dictionary).select(F.col("word").alias("form"))
-    regular = words
+    known = (words if dictionary is None else dictionary).select(F.col("word").alias("form")).distinct()
+    regular = words.filter(can_change(F.col("word")))
     if exceptions is not None:
-        regular = words.join(exceptions, "word", "left_anti")
-    candidates = (
-        regular.filter(can_change(F.col("word")))
-        .select("word", F.posexplode(candidate_forms(F.col("word"))).alias("pos", "candidate"))
-        .select("word", "pos", "candidate.round", "candidate.form")
-    )
+        regular = regular.join(exceptions, "word", "left_anti")
+    candidates = regular.select(
+        "word", F.posexplode(first_forms(F.col("word"))).alias("pos", "form")
+    ).select("word", "pos", F.lit(0).alias("round"), "form")
     if exceptions is not None:
         own = words.select("word").join(exceptions.select("word").distinct(), "word")
         candidates = candidates.union(
@@ -88,17 +94,28 @@ def lemma_table(
             .join(exceptions, "word")
             .select("word", F.lit(1).alias("pos"), F.lit(0).alias("round"), F.col("lemma"))
         )
-    best = (
-        candidates.join(known.distinct(), "form", "left_semi")
-        .groupBy("word")
-        .agg(F.min_by("form", F.struct("round", F.length("form"), "pos")).alias("lemma"))
-    )
+    best = _nearest(candidates, known)
+    if dictionary is not None:  # else every word is its own first form
+        best = materialise(best, "first_lemmas")
+        later = (
+            regular.join(best, "word", "left_anti")
+            .select("word", F.posexplode(later_forms(F.col("word"))).alias("pos", "candidate"))
+            .select("word", "pos", "candidate.round", "candidate.form")
+        )
+        best = best.union(_nearest(later, known))
     table = words.join(best, "word", "left").select(
         "word", "n", F.coalesce("lemma", "word").alias("lemma")
     )
     return materialise(table, "lemmas")
 
 
+def _nearest(candidates: DataFrame, known: DataFrame) -> DataFrame:
+    """``word, lemma``: the shortest known form of the earliest round that has one."""
+    found = candidates.join(known, "form", "left_semi")
+    best = F.min_by("form", F.struct("round", F.length("form"), "pos"))
+    return found.groupBy("word").agg(best.alias("lemma"))
+
+
 def map_words(
     rows: DataFrame, column: str, table: DataFrame, max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:

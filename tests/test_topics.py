@@ -142,6 +142,14 @@ def test_lemma_table_follows_the_rules(spark, name, irregular):
     assert found == {w: lemma_reference(w, set(known or WORDS), by_word) for w in set(WORDS)}
 
 
+def test_a_word_in_the_dictionary_needs_no_further_round(spark):
+    """Its forms are not made, however long its run of letters that the rules take off."""
+    long = "s" * 300_000
+    table = lemmas.lemma_table(words_table(spark, [long, "cats", "cat"]))
+    found = {r["word"]: r["lemma"] for r in table.collect()}
+    assert found == {long: long, "cats": "cat", "cat": "cat"}
+
+
 TOKEN_ROWS = [
     (1, ["cats", "boxes,men", "dog", "zebra"]),
     (2, []),
