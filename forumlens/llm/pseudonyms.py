@@ -9,7 +9,7 @@ of the key can go back. Separators, case and length stay.
 | kind | valid | what is permuted |
 |---|---|---|
 | card | 13 to 19 digits, first one 2 to 6, Luhn sum | all digits but the first and the check digit, which is made anew |
-| phone | +1 and ten digits, area and exchange from 200 | area, exchange and line |
+| phone | ten digits | all ten; area and exchange from 200 become such, all others others |
 | ssn | ddd-dd-dddd; not 000, 666 or 9xx, 00, 0000 | the three groups |
 | ip | four numbers up to 255 | all but the first number |
 | iban | country, check digits by 97 | the digits and letters after these, each in its class |
@@ -128,6 +128,10 @@ def _iban_ok(plain: str) -> bool:
     return 15 <= len(plain) <= 34 and int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def _usual_phone(digits: str) -> bool:
+    return digits[0] >= "2" and digits[3] >= "2"
+
+
 def _date(text: str) -> tuple[date, str, list[int]] | None:
     mark = re.sub(r"[0-9]", "", text)[0]
     parts = [int(p) for p in text.split(mark)]
@@ -149,11 +153,14 @@ def pseudonym(kind: str, text: str, f: Feistel, back: bool = False) -> str | Non
         return _filled(text, body + str(-_luhn(body + "0") % 10))
     if kind == "phone":
         body = only[-10:]
-        parts = [int(body[:3]) - 200, int(body[3:6]) - 200, int(body[6:])]
-        if parts[0] < 0 or parts[1] < 0:
-            return None
-        a, e, line = _mixed(f, parts, [800, 800, 10000], b"phone", back)
-        return _filled(text, only[:-10] + f"{a + 200}{e + 200}{line:04d}")
+        if _usual_phone(body):
+            parts = [int(body[:3]) - 200, int(body[3:6]) - 200, int(body[6:])]
+            a, e, line = _mixed(f, parts, [800, 800, 10000], b"phone", back)
+            body = f"{a + 200}{e + 200}{line:04d}"
+        else:
+            while _usual_phone(body := f.digits(body, b"other phone", back)):
+                pass
+        return _filled(text, only[:-10] + body)
     if kind == "ssn":
         a, g, s = int(only[:3]), int(only[3:5]), int(only[5:])
         if a in (0, 666) or a >= 900 or not g or not s:

@@ -222,6 +222,19 @@ def test_pseudonyms():
     assert pseudonyms.replaced(pseudonyms.replaced(dates, f)[0], f, back=True)[0] == dates
 
 
+def test_phones_with_any_area():
+    f = pseudonyms.Feistel(b"k")
+    rng = np.random.default_rng(3)
+    some = [f"+1 ({a:03d}) {e:03d}-{n:04d}" for a, e, n in zip(*rng.integers(0, [[250], [250], [10_000]], (3, 200)), strict=True)]
+    for text in ("+1 (017) 555-7713", "(743) 199-0000", "+1 000 000 0000", "100-555-7713", *some):
+        new, spans = pseudonyms.replaced(f"call {text} now", f)
+        assert [s["kind"] for s in spans] == ["phone"] and new != f"call {text} now"
+        assert re.sub(r"\d", "0", new) == re.sub(r"\d", "0", f"call {text} now")
+        assert pseudonyms.replaced(new, f, back=True)[0] == f"call {text} now"
+    same = {re.sub(r"\D", "", pseudonyms.replaced(t, f)[0])[-10:] for t in ("+1 (017) 555-7713", "(017) 555-7713", "017-555-7713")}
+    assert len(same) == 1
+
+
 def test_pseudonyms_of_a_table(spark, docs, none):
     mail = spark.createDataFrame([(1, "to a1@b.org"), (2, "see a1@b.org"), (3, None)], "doc_id long, text string")
     got = pseudonyms.pseudonymise(mail.withColumn("spans", F.lit("old"))).orderBy("doc_id").collect()
