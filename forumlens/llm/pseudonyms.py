@@ -8,14 +8,19 @@ of the key can go back. Separators, case and length stay.
 
 | kind | valid | what is permuted |
 |---|---|---|
-| card | 13 to 19 digits, first one 2 to 6, Luhn sum | all digits but the first and the check digit, which is made anew |
+| card | 13 to 19 digits, first one 2 to 6, Luhn sum | all digits but the first and the check digit, which is made anew; the Luhn sum one place on stays |
 | phone | ten digits | all ten; area and exchange from 200 become such, all others others |
 | ssn | ddd-dd-dddd; not 000, 666 or 9xx, 00, 0000 | the three groups |
 | ip | four numbers up to 255 | all but the first number |
-| iban | country, check digits by 97 | the digits and letters after these, each in its class |
+| iban | country, check digits by 97 | the digits and letters after these, each in its class; the check digits stay |
 | date | a calendar day of 1800 to 2199, y-m-d, d.m.y or m/d/y | the day |
 | email | local@domain | the letters and digits of the local part, each in its class |
 | secret | 32 to 64 hexadecimal digits with a digit and a letter | all digits |
+
+A card or IBAN may be found together with a number or word behind it. If the whole is not valid,
+its shorter ends at a separator are tried, the longest first. What stays the same (see above) makes
+a longer end as valid or not after the change as before, so that going back finds the same end;
+only if what is behind is itself part of another value can going back find a different one.
 """
 
 from __future__ import annotations
@@ -41,9 +46,9 @@ _FINDER = re.compile(
     r"(?P<email>(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.)+[A-Za-z]{2,24})"
     r"|(?<![A-Za-z0-9])(?:(?P<iban>[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
     r"|(?P<secret>(?:[0-9a-f]{32,64}|[0-9A-F]{32,64}))(?![A-Za-z0-9]))"
-    r"|(?<![\w.])(?:(?P<date>[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})"
-    r"|(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})"
-    r"|(?P<ip>[0-9]{1,3}(?:\.[0-9]{1,3}){3}))(?![\w]|\.[0-9])"
+    r"|(?<![\w.])(?:(?P<date>[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})(?=T[0-9]|(?![\w]|\.[0-9]))"
+    r"|(?:(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})"
+    r"|(?P<ip>[0-9]{1,3}(?:\.[0-9]{1,3}){3}))(?![\w]|\.[0-9]))"
     r"|(?P<phone>(?<![\w+])\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
     r"|(?<![\w+])\([0-9]{3}\) ?[0-9]{3}[.-][0-9]{4}(?![0-9])|(?<![\w+.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![\w-]))"
     r"|(?P<card>(?<![\w.+-])[2-6](?:[ -]?[0-9]){12,18}(?![\w]))"
@@ -149,8 +154,12 @@ def pseudonym(kind: str, text: str, f: Feistel, back: bool = False) -> str | Non
     if kind == "card":
         if not 13 <= len(only) <= 19 or _luhn(only):
             return None
-        body = only[0] + f.digits(only[1:-1], b"card", back)
-        return _filled(text, body + str(-_luhn(body + "0") % 10))
+        shifted = _luhn(only + "0")
+        while True:
+            body = only[0] + f.digits(only[1:-1], b"card", back)
+            only = body + str(-_luhn(body + "0") % 10)
+            if _luhn(only + "0") == shifted:
+                return _filled(text, only)
     if kind == "phone":
         body = only[-10:]
         if _usual_phone(body):
@@ -179,8 +188,9 @@ def pseudonym(kind: str, text: str, f: Feistel, back: bool = False) -> str | Non
         if not _iban_ok(plain):
             return None
         body = f.characters(plain[4:], b"iban" + plain[:2].encode(), back)
-        check = 98 - int("".join(str(int(c, 36)) for c in body + plain[:2] + "00")) % 97
-        left = iter(f"{plain[:2]}{check:02d}{body}")
+        while not _iban_ok(plain[:4] + body):
+            body = f.characters(body, b"iban" + plain[:2].encode(), back)
+        left = iter(plain[:4] + body)
         return "".join(c if c == " " else next(left) for c in text)
     if kind == "date":
         found = _date(text)
@@ -205,13 +215,23 @@ def pseudonym(kind: str, text: str, f: Feistel, back: bool = False) -> str | Non
     raise ValueError(kind)
 
 
+def _stops(kind: str, text: str) -> list[int]:
+    """Where a value found as ``text`` may end: after all of it, or before a separator."""
+    if kind not in ("card", "iban"):
+        return [len(text)]
+    return [len(text), *(i for i in range(len(text) - 1, 12, -1) if text[i] in " -")]
+
+
 def replaced(text: str, f: Feistel, back: bool = False) -> tuple[str, list[dict]]:
     """The text with pseudonyms, and where they are in it."""
     out, spans, end, length = [], [], 0, 0
     at = 0
     while (m := _FINDER.search(text, at)) is not None:
         kind = m.lastgroup
-        new = pseudonym(kind, m.group(), f, back)
+        new = None
+        for stop in _stops(kind, m.group()):
+            if (new := pseudonym(kind, m.group()[:stop], f, back)) is not None:
+                break
         if new is None:  # what follows the first character may hold another value
             at = m.start() + max(1, re.match(r"[A-Za-z0-9]*", m.group()).end())
             continue
@@ -219,7 +239,7 @@ def replaced(text: str, f: Feistel, back: bool = False) -> tuple[str, list[dict]
         length += m.start() - end
         spans.append({"kind": kind, "start": length, "end": length + len(new)})
         length += len(new)
-        at = end = m.end()
+        at = end = m.start() + stop
     return "".join([*out, text[end:]]), spans
 
 

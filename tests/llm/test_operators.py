@@ -235,6 +235,28 @@ def test_phones_with_any_area():
     assert len(same) == 1
 
 
+def test_values_followed_by_more():
+    f = pseudonyms.Feistel(b"k")
+    cases = [
+        ("card", "4111111111111111", " 123"), ("card", "4111 1111 1111 1111", " 12/25"), ("card", "4111111111111111", " 08"),
+        ("card", "4111-1111-1111-1111", "-7"), ("iban", "BE68 5390 0754 7034", " BANK"), ("iban", "BE68539007547034", " EUR"),
+        ("iban", "GB82 WEST 1234 5698 7654 32", " BANK"), ("date", "2020-01-31", "T12:00:00Z"), ("date", "2020-01-31", "T12:00"),
+    ]
+    cases += [("card", "4111111111111111", f" {n:0{w}d}") for w in (1, 2, 3) for n in range(10**w)]
+    cases += [("iban", "BE68 5390 0754 7034", f" {n:04d}") for n in range(0, 10_000, 71)]
+    found = {}
+    for kind, value, behind in cases:
+        text = f"see {value}{behind} end"
+        new, spans = pseudonyms.replaced(text, f)
+        assert [s["kind"] for s in spans] == [kind] and value not in new
+        assert pseudonyms.replaced(new, f, back=True)[0] == text
+        if spans[0]["end"] == 4 + len(value):
+            found.setdefault(re.sub(r"\W", "", value), set()).add(re.sub(r"\W", "", new[4 : spans[0]["end"]]))
+    assert all(len(x) == 1 for x in found.values()) and len(found) == 4
+    for text in ("2020-01-31Tx", "2020-01-31x", "4111111111111112 123", "BE68 5390 0754 7035 BANK"):
+        assert pseudonyms.replaced(text, f) == (text, [])
+
+
 def test_pseudonyms_of_a_table(spark, docs, none):
     mail = spark.createDataFrame([(1, "to a1@b.org"), (2, "see a1@b.org"), (3, None)], "doc_id long, text string")
     got = pseudonyms.pseudonymise(mail.withColumn("spans", F.lit("old"))).orderBy("doc_id").collect()
