@@ -1,7 +1,7 @@
 """Licence recognition: known sentences first, then rules over their sequence.
 
-Texts are cut into sentences, these are normalised and looked up among known licence
-sentences. A document's identifiers, in order, are matched to licence rules: from the first
+Texts are normalised and known licence sentences are looked for in them, from a sentence's
+or line's beginning to such an end; they may go on over single line breaks. A document's identifiers, in order, are matched to licence rules: from the first
 rule on, each occurrence of a rule's sequence of consecutive identifiers is one recognition
 and is taken out. What no rule explains stays as unknown identifiers.
 """
@@ -57,14 +57,75 @@ RULES = [
     ("Proprietary", ["AllRights"]),
 ]
 
-# A sentence ends with a line, or at . ! ? ; before white space.
-ENDS = r"\n+|[.!?;]+[ \t\r]+"
+_GPL = "the terms of the gnu general public license"
+_FSF = "as published by the free software foundation"
+_FREE = ["this program is free software you can", "you can", "you may"]
+
+# Sentences of the licences' own texts and notices. A ; is a sentence mark or none;
+# several identifiers are in order. These are beside the short forms, which the SQL has too.
+STANDARD = [
+    (
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+        "documentation files the software to deal in the software without restriction including without limitation "
+        "the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to "
+        "permit persons to whom the software is furnished to do so subject to the following conditions",
+        "MitGrant",
+    ),
+    (
+        "the software is provided as is without warranty of any kind express or implied including but not limited to "
+        "the warranties of merchantability fitness for a particular purpose and noninfringement",
+        "MitAsIs",
+    ),
+    *[
+        (f"redistribution and use in source and binary forms with or without modification are permitted{end}", "BsdGrant")
+        for end in ("", " provided that the following conditions are met")
+    ],
+    ("licensed under the apache license version 2 0 the license", "Apache2Ref"),
+    (
+        "licensed under the apache license version 2 0 the license; you may not use this file except in compliance "
+        "with the license",
+        "Apache2Ref ApacheUse",
+    ),
+    *[(f"you may obtain a copy of the license at {http} www apache org licenses license 2 0", "ApacheCopy") for http in ("http", "https")],
+    *[
+        (f"{free} redistribute it and or modify it under {_GPL} {which}", found)
+        for free in _FREE
+        for v, name in (("2", "Gpl2Ref"), ("3", "Gpl3Ref"))
+        for which, found in (
+            (f"{_FSF}; either version {v} of the license or at your option any later version", f"{name} OrLater"),
+            (f"{_FSF}; either version {v}; or at your option any later version", f"{name} OrLater"),
+            (f"version {v} or at your option any later version {_FSF}", f"{name} OrLater"),
+            (f"{_FSF}; version {v} of the license", name),
+            (f"{_FSF}; version {v}", name),
+            (f"{_FSF} version {v} only", name),
+            (f"version {v} {_FSF}", name),
+            (f"version {v} only {_FSF}", name),
+        )
+    ],
+]
+
+# Tried before RULES.
+STANDARD_RULES = [
+    ("BSD", ["AllRights", "BsdGrant"]),  # the notice that goes before the grant
+]
+
+
+def normalised(texts: Column) -> Column:
+    """A-Z in lower case; runs of all but ASCII letters and digits as one space, ``\n`` or ``|``.
+
+    ``\n`` is for a single line break, ``|`` for a blank line or for . ! ? ; before white
+    space, as also for : after "software", since notices go on there.
+    """
+    low = F.translate(texts, "ABCDEFGHIJKLMNOPQRSTUVWXYZ|", "abcdefghijklmnopqrstuvwxyz ")
+    plain = F.regexp_replace(F.regexp_replace(low, r"(?:[.!?;]|(?<=software):)[ \t\r\n]", "|\n"), r"[^a-z0-9|\n]+", " ")
+    breaks = F.regexp_replace(plain, r"\n[ \n]*\n", "|")
+    return F.regexp_replace(F.regexp_replace(breaks, r"[ \n|]*\|[ \n|]*", "|"), r" ?\n ?", "\n")
 
 
-def normalised(sentence: Column) -> Column:
-    """A-Z in lower case; runs of all but ASCII letters and digits as one space; trimmed."""
-    low = F.translate(sentence, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.trim(F.regexp_replace(low, "[^a-z0-9]+", " "))
+def _pattern(known: Sequence[tuple[str, str]]) -> str:
+    """Known sentences from break to break; of two from the same place the longer one."""
+    some = sorted({s for s, _ in known}, key=lambda s: (-len(s), s))
+    return "(?:^ ?|[\n|])(" + "|".join(s.replace(" ", r"[ \n]").replace(";[", "[|") for s in some) + ")(?= ?$|[\n|])"
 
 
 def _words(sequence: Sequence[str]) -> str:
@@ -73,8 +134,8 @@ def _words(sequence: Sequence[str]) -> str:
 
 def recognise(
     documents: DataFrame,
-    known: Sequence[tuple[str, str]] = SENTENCES,
-    rules: Sequence[tuple[str, Sequence[str]]] = RULES,
+    known: Sequence[tuple[str, str]] = (*SENTENCES, *STANDARD),
+    rules: Sequence[tuple[str, Sequence[str]]] = (*STANDARD_RULES, *RULES),
 ) -> DataFrame:
     """``doc_id, identifiers, licences, unknown`` of every document, as arrays in order.
 
@@ -83,9 +144,10 @@ def recognise(
     are rows each. Columns other than doc_id and text are not used.
     """
     rows = documents.select("doc_id", "text")
-    array = F.filter(F.transform(F.split("text", ENDS), normalised), lambda s: s.isin(*[s for s, _ in known]))
-    names = F.create_map(*[F.lit(x) for pair in known for x in pair])
-    ids = F.coalesce(F.transform(array, lambda s: F.element_at(names, s)), F.array().cast("array<string>"))
+    array = F.regexp_extract_all(normalised(F.col("text")), F.lit(_pattern(known)), F.lit(1))
+    names = F.create_map(*[F.lit(x) for s, ids in dict(known).items() for x in (s.replace(";", ""), ids)])
+    found = F.flatten(F.transform(array, lambda s: F.split(F.element_at(names, F.translate(s, "\n|", "  ")), " ")))
+    ids = F.coalesce(found, F.array().cast("array<string>"))
     return _ruled(rows.select("doc_id", ids.alias("identifiers")), rules)
 
 

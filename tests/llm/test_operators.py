@@ -281,6 +281,80 @@ def test_licences(spark, docs, none):
     assert licences.recognise(docs).count() == len(rows()) and not licences.recognise(none).collect()
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Some Body
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE.
+"""
+BSD = """Copyright (c) 2020, Some Body
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice.
+"""
+APACHE = """   Copyright 2020 Some Body
+
+   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+
+       http://www.apache.org/licenses/LICENSE-2.0
+
+   Unless required by applicable law or agreed to in writing, software
+"""
+GPL = """This file is part of Some Tool.
+
+Some Tool is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+Some Tool is distributed in the hope that it will be useful.
+"""
+
+
+def test_licences_of_standard_texts(spark):
+    gpl2 = GPL.replace("software:", "software;").replace("Foundation,", "Foundation;").replace("version 3", "version 2")
+    lesser = GPL.replace("GNU General", "GNU Lesser General")
+    wanted = [
+        (MIT, ["MIT"], ["MitGrant", "MitAsIs"]), (BSD, ["BSD"], ["AllRights", "BsdGrant"]),
+        (APACHE, ["Apache-2.0"], ["Apache2Ref", "ApacheUse", "ApacheCopy"]), (GPL, ["GPL-3.0-or-later"], ["Gpl3Ref", "OrLater"]),
+        (gpl2, ["GPL-2.0-or-later"], ["Gpl2Ref", "OrLater"]), (GPL.replace("Some Tool is free", "This program is free"), ["GPL-3.0-or-later"], None),
+        (gpl2.replace("either version 2 of the License, or\n(at your option) any later version", "version 2"), ["GPL-2.0-only"], None),
+        (lesser, [], []), ("x\nReleased under the MIT License\ny", ["MIT"], ["MitRef"]), ("not Released under the MIT License", [], []),
+        ("Released\n\nunder the MIT License", [], []), (None, [], []), (" ;\n \n" * 9, [], []),
+    ]
+    changes = [
+        lambda t: t, lambda t: t.replace("\n", "\r\n"), lambda t: "".join(f"# {x}\n" for x in t.split("\n")),
+        lambda t: t if "\n\nunder" in t or "x\n" in t else "\n\n".join(" ".join(x.split()) for x in t.split("\n\n")),
+    ]
+    texts = [(k, n, t and change(t)) for n, change in enumerate(changes) for k, (t, _, _) in enumerate(wanted)]
+    df = spark.createDataFrame([(n * 100 + k, t) for k, n, t in texts], "doc_id long, text string")
+    for r in licences.recognise(df).collect():
+        n, k = divmod(r["doc_id"], 100)
+        if n == 3 and "All rights" in (wanted[k][0] or ""):  # no sentence of its own when on one line with the holder
+            assert r["licences"] == ["BSD"]
+            continue
+        assert (r["licences"], r["unknown"]) == (wanted[k][1], []), (n, wanted[k][0])
+        assert wanted[k][2] is None or r["identifiers"] == wanted[k][2]
+
+
 def brute_capacity(sizes, shards):
     for capacity in range(max(sizes), sum(sizes) + 1):
         used, room = 0, 0
