@@ -20,7 +20,6 @@ from forumlens.llm.words import mix, slices, small_batches, spans, word_hashes
 
 HASH_BITS = 20
 TRAIN_ROWS = 2000  # of each label at most: those with the smallest hashes
-TRAIN_WORDS = 1000  # evenly spread sentences of a longer training text hold about so many words
 STEPS = 120
 GAIN = 16.0  # likelihood ratio from which a feature is looked at
 DECAY = 1e-4
@@ -91,34 +90,40 @@ class Model:
 
 
 def fit(texts: pa.Array, toxic: np.ndarray) -> Model:
-    """Full-batch training by Adam on the log loss of the noisy-or."""
-    parts, base = [], 0
+    """Full-batch training by Adam on the log loss of the noisy-or, over all sentences.
+
+    Texts are read twice, slice by slice, so that only telling features are kept of them.
+    """
+    n = len(texts)
+    used = _telling(texts, toxic)
+    place = np.zeros(1 << HASH_BITS, np.int32)
+    place[used] = np.arange(1, len(used) + 1)
+    plain = np.zeros(n)  # sentences without a telling feature, which all score the same
+    features, sentences, owners, m = [], [], [], 0
     for first, offsets, data in slices(texts):
         feature, sentence, firsts = sentence_words(data, offsets)
-        row = np.repeat(np.arange(len(offsets) - 1), np.diff(firsts)) + first
-        parts.append((feature, sentence + base, row))
-        base += int(sentence[-1]) + 1 if len(sentence) else 0
-    feature, sentence, row = (np.concatenate(x, axis=-1) for x in zip(*parts, strict=True))
-    keep = _spread(sentence, row, len(texts))
-    row = row[keep]
-    used, feature = _telling(feature[:, keep], row, toxic)
-    _, sentence = np.unique(sentence[keep], return_inverse=True)
-    n, m = len(texts), int(sentence.max()) + 1
-    owner = np.zeros(m, np.int64)
-    owner[sentence] = row
-    says = feature.any(0)  # words without such a feature change nothing
-    feature, sentence = feature[:, says], sentence[says]
+        feature = place[feature]
+        owner = _rows(firsts)[np.flatnonzero(np.diff(sentence, prepend=-1))] + first
+        says = feature.any(0)  # words without such a feature change nothing
+        told, sentence = np.unique(sentence[says], return_inverse=True)
+        plain += np.bincount(owner, minlength=n) - np.bincount(owner[told], minlength=n)
+        features.append(feature[:, says])
+        sentences.append(sentence.astype(np.int32) + m)
+        owners.append(owner[told])
+        m += len(told)
+    feature, sentence, owner = (np.concatenate(x, axis=-1) for x in (features, sentences, owners))
     share = np.where(toxic, TOXIC_SHARE / max(1, toxic.sum()), (1 - TOXIC_SHARE) / max(1, (1 - toxic).sum()))
     w, g1, g2 = (np.zeros(len(used) + 2) for _ in range(3))
     w[-1] = -4.0
     for step in range(1, STEPS + 1):
-        logits = w[-1] + np.bincount(sentence, w[feature].sum(0), m)
+        logits = w[-1] + np.bincount(sentence, sum(w[kind] for kind in feature), m)
         p = 1 / (1 + np.exp(-logits))
-        none = np.exp(-np.bincount(owner, np.logaddexp(0, logits), n))
+        none = np.exp(-np.bincount(owner, np.logaddexp(0, logits), n) - plain * np.logaddexp(0, w[-1]))
         # d loss / d sum(log(1 - p)) is 1 - y / (1 - none), with the product as none
         outer = share * (1 - toxic / np.maximum(1 - none, 1e-9))
         inner = outer[owner] * p
-        grad = np.append(np.bincount(feature.ravel(), np.tile(inner[sentence], len(feature)), len(used) + 1), inner.sum())
+        grad = sum(np.bincount(kind, inner[sentence], len(used) + 1) for kind in feature)
+        grad = np.append(grad, inner.sum() + (outer * plain).sum() / (1 + np.exp(-w[-1])))
         grad[0] = 0  # all other features
         grad[:-1] += DECAY * w[:-1]
         g1, g2 = 0.9 * g1 + 0.1 * grad, 0.99 * g2 + 0.01 * grad**2
@@ -128,21 +133,23 @@ def fit(texts: pa.Array, toxic: np.ndarray) -> Model:
     return Model(weights, float(w[-1]))
 
 
-def _telling(feature: np.ndarray, row: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Features that tell labels apart by the likelihood ratio of their documents' counts.
+def _rows(firsts: np.ndarray) -> np.ndarray:
+    """The row of each word."""
+    return np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
 
-    The words' features are given as 1 for the first of these, and so on, and as 0 for others.
-    """
-    pairs = np.unique(row[None, :] << HASH_BITS | feature)
-    found, doc = pairs & ((1 << HASH_BITS) - 1), pairs >> HASH_BITS
-    yes = np.bincount(found, toxic[doc], 1 << HASH_BITS)
-    no = np.bincount(found, 1 - toxic[doc], 1 << HASH_BITS)
+
+def _telling(texts: pa.Array, toxic: np.ndarray) -> np.ndarray:
+    """Features that tell labels apart by the likelihood ratio of their documents' counts."""
+    yes, no = np.zeros(1 << HASH_BITS), np.zeros(1 << HASH_BITS)
+    for first, offsets, data in slices(texts):
+        feature, _, firsts = sentence_words(data, offsets)
+        pairs = np.unique(_rows(firsts) << HASH_BITS | feature)  # a row is in one slice
+        found, doc = pairs & ((1 << HASH_BITS) - 1), (pairs >> HASH_BITS) + first
+        yes += np.bincount(found, toxic[doc], 1 << HASH_BITS)
+        no += np.bincount(found, 1 - toxic[doc], 1 << HASH_BITS)
     a, b = max(1, toxic.sum()), max(1, (1 - toxic).sum())
     gain = _ratio(yes, no, a, b) + _ratio(a - yes, b - no, a, b)
-    used = np.flatnonzero(gain >= GAIN)
-    place = np.zeros(1 << HASH_BITS, np.int64)
-    place[used] = np.arange(1, len(used) + 1)
-    return used, place[feature]
+    return np.flatnonzero(gain >= GAIN)
 
 
 def _ratio(yes: np.ndarray, no: np.ndarray, a: int, b: int) -> np.ndarray:
@@ -151,17 +158,11 @@ def _ratio(yes: np.ndarray, no: np.ndarray, a: int, b: int) -> np.ndarray:
     return sum(2 * x * np.log(np.maximum(x, 1e-9) / np.maximum(e, 1e-9)) for x, e in pairs)
 
 
-def _spread(sentence: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
-    """Marks words of every k-th sentence, so that long training texts stay bounded."""
-    every = np.bincount(row, minlength=n) // TRAIN_WORDS + 1
-    return sentence % every[row] == 0
-
-
 def train(documents: DataFrame, labels: DataFrame) -> Model | None:
     """A model from labelled documents outside the held-out quarter; None if a label is missing.
 
     At most ``TRAIN_ROWS`` rows of each label, the ones with the smallest hash of their text,
-    go to one task: a bounded sample. Scores are for all documents. Of labels with several
+    go to one task: a bounded sample, of which all sentences count. Scores are for all documents. Of labels with several
     rows for a document the largest counts; null labels are left out.
     """
     marks = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(

@@ -8,6 +8,7 @@ import zlib
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -415,6 +416,22 @@ def test_toxicity(spark, docs, none):
     assert {r["score"] for r in toxicity.judge(df, labels.limit(0)).collect()} == {0.0}
 
 
+def test_toxicity_trains_on_all_sentences(monkeypatch):
+    rng = np.random.default_rng(5)
+    texts, toxic = [], np.arange(80) % 4 // 3
+    for y in toxic:
+        sentences = [" ".join(f"w{rng.integers(50)}" for _ in range(7)) for _ in range(300)]
+        sentences[100] += " vile" * y  # the only toxic one of 2,100 words
+        texts.append(". ".join(sentences))
+    whole = toxicity.fit(pa.array(texts), toxic)
+    scores = whole.scores(pa.array(texts))
+    assert scores[toxic == 1].min() > 0.5 and scores[toxic == 0].max() < 0.1
+    monkeypatch.setattr(words, "SLICE_BYTES", 40_000)
+    cut = toxicity.fit(pa.array(texts), toxic)
+    assert np.allclose(whole.weights, cut.weights, atol=1e-4) and abs(whole.bias - cut.bias) < 1e-6
+    assert toxicity.fit(pa.array([" ", "\n"]), np.array([0, 1])).scores(pa.array([" "])) == [0]
+
+
 def test_graph_search(spark):
     rng = np.random.default_rng(6)
     x = rng.normal(size=(700, 16)).astype(np.float32)
