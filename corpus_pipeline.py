@@ -21,11 +21,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).filter(F.col("score") < toxicity.THRESHOLD).select(COLUMNS)
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each group of linked ones."""
-    found = jaccard_join.jaccard_components(docs.select("doc_id", "text"))
-    kept = found.filter(F.col("doc_id").isNull() | (F.col("component_id") == F.col("doc_id")))
-    ids = kept.select(F.col("doc_id").alias("kept")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("kept")), "left_semi").select(COLUMNS)
+    """One row of each group of linked ones: with the least doc_id (null last), then row hash.
+
+    Equal texts are linked, so that repeated rows and rows with null or shared ids leave one too.
+    Rows without a word are linked with nothing, and all stay.
+    """
+    rows = materialise(docs.select(COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "rows")
+    found = jaccard_join.jaccard_components(rows.select(F.col("_row").alias("doc_id"), "text"))
+    found = found.select(F.col("doc_id").alias("_row"), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64(*COLUMNS).alias("hash"), "_row")
+    named = rows.select("_row", order.alias("order")).join(found, "_row")
+    kept = named.groupBy("component_id").agg(F.min("order").alias("order")).select("order._row")
+    return rows.join(kept, "_row", "left_semi").select(COLUMNS)
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with pseudonyms."""

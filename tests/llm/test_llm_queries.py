@@ -53,3 +53,18 @@ def test_pipeline(spark, small, tmp_path):
             assert sum(r["length"] for r in after) == sum({(r["doc_id"], r["doc_tokens"], r["start"], r["sequence_id"], r["offset"]): r["length"] for r in after}.values())
         before = after
     assert after
+
+
+def test_near_copies_with_null_and_repeated_ids(spark, small):
+    text = " ".join(f"word{i}" for i in range(60))
+    other = " ".join(f"other{i}" for i in range(60))
+    data = [
+        (None, text), (None, text + " end"), (7, text), (3, text + " tail"), (7, text),  # one group
+        (3, other), (3, other), (None, other + " x"), (None, "alone here"), (None, "alone here"), (9, ""), (None, None),
+    ]
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in data]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for docs in (df, df.orderBy("text"), df.repartition(5)):
+        got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, docs, small).collect()]
+        wanted = [(3, text + " tail"), (3, other), (None, "alone here"), (9, ""), (None, None)]
+        assert sorted(got, key=str) == sorted(wanted, key=str)
