@@ -10,6 +10,7 @@ from forumlens.llm import (
     graph_search,
     jaccard_join,
     licences,
+    line_dedup,
     mixing,
     packing,
     pseudonyms,
@@ -183,3 +184,20 @@ SELECT doc_id, array_to_string(identifiers, ',') AS identifiers, array_to_string
 
 
 ORACLES["op6_licences"] = _licence_sql()
+
+
+@query
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.deduplicated(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLES["op13_line_dedup"] = rf"""
+WITH l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+x AS (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS place FROM l),
+k AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), '{_UPPER}', '{_LOWER}') AS key FROM x),
+m AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 20 GROUP BY 1 HAVING count(DISTINCT doc_id) >= 3)
+SELECT doc_id, count(*) AS n_lines, count(*) - count(stays) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (stays), '')) AS kept_sha256
+FROM (SELECT k.*, CASE WHEN last IS NULL OR last = doc_id THEN true END AS stays FROM k LEFT JOIN m USING (key)) GROUP BY 1
+"""
