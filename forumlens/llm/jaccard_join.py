@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from forumlens.llm.components import components
-from forumlens.llm.words import mix, row_shingles, small_batches
+from forumlens.llm.words import mix, row_shingles, small_batches, tidy
 from forumlens.session import materialise
 
 BUCKET = 16  # sets with one key of which all pairs are candidates
@@ -113,7 +113,7 @@ def document_sets(documents: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names)
 
     names = ["doc_id", *_CLASS]
-    return documents.select("doc_id", "text").mapInArrow(run, ", ".join(f"{x} long" for x in names))
+    return documents.select("doc_id", "text").mapInArrow(tidy(run), ", ".join(f"{x} long" for x in names))
 
 
 def _summary(tokens: np.ndarray) -> tuple:
@@ -288,7 +288,7 @@ def wanted_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
                     ["doc_id", "h1", "h2", "tokens"],
                 )
 
-    made = hashed.mapInArrow(run, "doc_id long, h1 long, h2 long, tokens binary").alias("m")
+    made = hashed.mapInArrow(tidy(run), "doc_id long, h1 long, h2 long, tokens binary").alias("m")
     asked = wanted.select("id", "n", *[F.col(c).alias(f"w_{c}") for c in ("doc_id", "h1", "h2")])
     same = [F.col(f"m.{c}").eqNullSafe(F.col(f"w_{c}")) for c in ("doc_id", "h1", "h2")]
     # one row a class also where a document id is repeated
@@ -317,7 +317,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield batch.select(["h1_a", "h1_b"]).filter(pa.array(keep, pa.bool_()))
 
     linked = both.select("h1_a", "h1_b", "tokens_a", "tokens_b").mapInArrow(
-        run, "h1_a long, h1_b long"
+        tidy(run), "h1_a long, h1_b long"
     )
     return linked.select(
         F.least("h1_a", "h1_b").alias("a"), F.greatest("h1_a", "h1_b").alias("b")
@@ -341,7 +341,7 @@ def _twice_filled(sets: DataFrame) -> DataFrame:
             columns = [pa.array([(x + [None])[k] for x in counts], pa.int64()) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], ["id", "filled0", "filled1"])
 
-    return sets.select("id", "tokens").mapInArrow(run, "id long, filled0 long, filled1 long")
+    return sets.select("id", "tokens").mapInArrow(tidy(run), "id long, filled0 long, filled1 long")
 
 
 def _collisions(sent: DataFrame, hubs: bool) -> DataFrame:
@@ -407,7 +407,7 @@ def _rarest(sets: DataFrame) -> DataFrame:
                     [pa.array(x) for x in (tokens.view(np.int64), *same)], ["key", "h1", "id", "n"]
                 )
 
-    made = sets.select("h1", "id", "tokens").mapInArrow(run, "key long, h1 long, id long, n long")
+    made = sets.select("h1", "id", "tokens").mapInArrow(tidy(run), "key long, h1 long, id long, n long")
     tokens = materialise(made, "tokens")
     cost = tokens.groupBy("key").agg(F.count("*").alias("cost"))
     rank = F.row_number().over(Window.partitionBy("id", "h1").orderBy("cost", "key"))
@@ -453,7 +453,7 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     classes = docs.filter("n > 0").groupBy(*_CLASS).agg(F.min("doc_id").alias("doc_id"))
     classes = materialise(classes, "classes")
     total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    sent = documents.select("text").mapInArrow(_send(_groups(0.7 * total), subset_keys, _sets), _SENT)
+    sent = documents.select("text").mapInArrow(tidy(_send(_groups(0.7 * total), subset_keys, _sets)), _SENT)
     found = _collisions(sent, hubs=False)
     light = materialise(_light(classes, found, 1), "light")
     poor = materialise(_incomplete(light), "poor")
@@ -465,7 +465,7 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
         poor_sets = sets.join(poor, "id", "left_semi")
         moved = poor_sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
         sent = poor_sets.select("tokens").mapInArrow(
-            _send(_groups(2 * moved), neighbour_keys, _packed_sets), _SENT
+            tidy(_send(_groups(2 * moved), neighbour_keys, _packed_sets)), _SENT
         )
         found = _collisions(sent, hubs=True)
         twice = _twice_filled(poor_sets).join(classes.drop("filled0", "filled1"), "id")

@@ -10,19 +10,18 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import cache
 from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from forumlens.llm.words import small_batches
+from forumlens.llm.words import small_batches, tidy
 
 WINDOW = 4096
 SHARD_ROWS = 20_000  # rests that one shard is meant to hold
-KEPT_WORDS = 1_000_000  # words whose ids a worker process remembers, in some 250 MB
+KEPT_BYTES = 64 << 20  # of words and their ids that a task remembers at once
 
 _MARKS = ".,;:!?#%*$&|"
 _WORD = re.compile(r"[^ \t\n\r]+")
@@ -34,16 +33,18 @@ class _Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.known, self.kept = Tokenizer.from_file(path), {}, 0
         ids = self.tokenizer.get_vocab().items()
         self.last = np.zeros(1 + max(i for _, i in ids), bool)  # ids that end a word
         self.last[[i for token, i in ids if token.endswith("</w>")]] = True
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         words = [_WORD.findall(text) for text in texts]
-        if len(self.known) > KEPT_WORDS:
-            self.known = {}
-        self._learn(set(chain.from_iterable(words)).difference(self.known))
+        if self.kept > KEPT_BYTES:
+            self.known, self.kept = {}, 0
+        fresh = set(chain.from_iterable(words)).difference(self.known)
+        self._learn(fresh)
+        self.kept += sum(map(len, fresh)) + sum(len(self.known[w]) for w in fresh) + 250 * len(fresh)
         last, ids = np.array([end], "<u4").tobytes(), self.known.__getitem__
         return [b"".join(map(ids, some)) + last for some in words]
 
@@ -77,12 +78,6 @@ class _Encoder:
                 )
 
 
-@cache
-def _encoder(path: str) -> _Encoder:
-    """One for a worker process, so that its tasks share the words."""
-    return _Encoder(path)
-
-
 def cut(documents: DataFrame, tokenizer: str, end: int = 2, window: int = WINDOW) -> DataFrame:
     """``doc_id, start, length, ids, doc_tokens`` of full windows and the rest of each document.
 
@@ -94,7 +89,7 @@ def cut(documents: DataFrame, tokenizer: str, end: int = 2, window: int = WINDOW
     names = ["doc_id", "start", "length", "ids", "doc_tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer)
+        encoder = _Encoder(tokenizer)  # of one task: workers outlive tasks, and would keep its words
         for batch in batches:
             for first in range(0, batch.num_rows, 100):
                 some = batch.slice(first, 100)
@@ -110,7 +105,7 @@ def cut(documents: DataFrame, tokenizer: str, end: int = 2, window: int = WINDOW
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
     return documents.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, start long, length long, ids binary, doc_tokens long"
+        tidy(run), "doc_id long, start long, length long, ids binary, doc_tokens long"
     )
 
 
@@ -168,13 +163,15 @@ def pack(pieces: DataFrame, window: int = WINDOW, shard_rows: int = SHARD_ROWS)
     ``sequence_id`` and ``offset`` there, gapless from 0.
 
     Columns named ``sequence_id`` or ``offset`` before are replaced. Equal rows are packed each.
-    Equal lengths are placed by doc_id (null last) and start. An empty table gives no row.
+    Equal lengths are placed by doc_id (null last) and start. An empty table gives no row. Shards
+    are dealt by all columns and the row's number, so that null or repeated ids are spread too;
+    ``pieces`` should be a written table, whose rows a lost task finds in the same order again.
     """
     pieces = pieces.drop("sequence_id", "offset", "_shard")
     n = pieces.count()
     shards = -(-n // shard_rows) or 1
-    schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
-    shard = F.pmod(F.xxhash64("doc_id", "start"), F.lit(shards))
+    shard = F.pmod(F.xxhash64(*pieces.columns, F.monotonically_increasing_id()), F.lit(shards))
+    schema = T.StructType([*pieces.schema, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         order = pdf.sort_values(["length", "doc_id", "start"], ascending=[False, True, True])

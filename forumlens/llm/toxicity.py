@@ -12,14 +12,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from forumlens.llm.words import mix, slices, small_batches, spans, word_hashes
+from forumlens.llm.words import give_back, mix, slices, small_batches, spans, tidy, word_hashes
 
 HASH_BITS = 20
-TRAIN_ROWS = 2000  # of each label at most: those with the smallest hashes
+TRAIN_ROWS = 2000  # of each label at most: those whose ids have the smallest hashes
+TRAIN_CHARS = 12_000_000  # of each label's sampled texts together at most; the first text always counts
 STEPS = 120
 GAIN = 16.0  # likelihood ratio from which a feature is looked at
 DECAY = 1e-4
@@ -89,7 +89,7 @@ class Model:
         return np.concatenate(found)
 
 
-def fit(texts: pa.Array, toxic: np.ndarray) -> Model:
+def fit(texts: pa.ChunkedArray, toxic: np.ndarray) -> Model:
     """Full-batch training by Adam on the log loss of the noisy-or, over all sentences.
 
     Texts are read twice, slice by slice, so that only telling features are kept of them.
@@ -161,10 +161,12 @@ def _ratio(yes: np.ndarray, no: np.ndarray, a: int, b: int) -> np.ndarray:
 def train(documents: DataFrame, labels: DataFrame) -> Model | None:
     """A model from labelled documents outside the held-out quarter; None if a label is missing.
 
-    At most ``TRAIN_ROWS`` rows of each label, the ones with the smallest hash of their text,
-    go to one task: a bounded sample, of which all sentences count. Scores are for all documents. Of labels with several
-    rows for a document the largest counts; null labels are left out.
+    At most ``TRAIN_ROWS`` documents of each label, and at most ``TRAIN_CHARS`` characters of them,
+    go to one task, those whose doc_id has the smallest hash: a bounded sample, of which all
+    sentences count. Scores are for all documents. Of labels with several rows for a document the
+    largest counts, of documents with several rows the least text; null labels are left out.
     """
+    small_batches(documents.sparkSession)
     marks = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(
         (F.max("toxic") > 0).cast("int").alias("toxic")
     )
@@ -174,16 +176,22 @@ def train(documents: DataFrame, labels: DataFrame) -> Model | None:
     for label in (0, 1):
         some = chosen.filter(F.col("toxic") == label).orderBy("at", "doc_id").limit(TRAIN_ROWS)
         few = some if few is None else few.union(some)
-    rows = known.join(F.broadcast(few.select("doc_id", "toxic")), "doc_id").select("text", "toxic")
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        if pdf["toxic"].nunique() < 2:
-            return pd.DataFrame({"bias": [], "weights": []})
-        pdf = pdf.sort_values(["toxic", "text"])
-        model = fit(pa.array(pdf["text"], pa.large_string()), pdf["toxic"].to_numpy(np.int64))
-        return pd.DataFrame({"bias": [model.bias], "weights": [model.weights.tobytes()]})
+    # a repeated id is one row before anything is brought together
+    rows = known.join(F.broadcast(few), "doc_id").groupBy("doc_id", "toxic", "at").agg(F.min("text").alias("text"))
+    so_far = Window.partitionBy("toxic").orderBy("at", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("before", F.coalesce(F.sum(F.length("text")).over(so_far), F.lit(0)))
+    fits = (F.col("before") == 0) | (F.col("before") + F.length("text") <= TRAIN_CHARS)
+    rows = rows.filter(fits).select("text", "toxic").coalesce(1).sortWithinPartitions("toxic", "text")
 
-    found = rows.groupBy(F.lit(0).alias("one")).applyInPandas(run, "bias double, weights binary").collect()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches, pa.schema([("text", pa.string()), ("toxic", pa.int32())]))
+        toxic = table.column("toxic").to_numpy()
+        if len(np.unique(toxic)) < 2:
+            return
+        model = fit(table.column("text"), toxic.astype(np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array([model.bias]), pa.array([model.weights.tobytes()])], ["bias", "weights"])
+
+    found = rows.mapInArrow(tidy(run), "bias double, weights binary").collect()
     if not found:
         return None
     return Model(np.frombuffer(found[0]["weights"], np.float32), found[0]["bias"])
@@ -201,8 +209,13 @@ def score(documents: DataFrame, model: Model | None) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast((model.weights, model.bias))
 
     @F.arrow_udf("double")
-    def run(texts: pa.Array) -> pa.Array:
-        return pa.array(Model(*shared.value).scores(texts))
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = Model(*shared.value)
+        try:
+            for texts in batches:
+                yield pa.array(known.scores(texts))
+        finally:
+            give_back()
 
     return documents.withColumn("score", run("text"))
 
@@ -211,7 +224,8 @@ def offending_sentences(documents: DataFrame, model: Model | None, threshold: fl
     """``doc_id, start, end, score`` of sentences that score ``threshold`` or more.
 
     ``start`` and ``end`` are places in the text's UTF-8 bytes, from the sentence's first word
-    to before the next sentence's.
+    to before the next sentence's. Null texts and texts without words have no sentence, a repeated
+    row has its sentences again, and a null doc_id stays null.
     """
     small_batches(documents.sparkSession)
     schema = "doc_id long, start long, end long, score double"
@@ -240,7 +254,7 @@ def offending_sentences(documents: DataFrame, model: Model | None, threshold: fl
                     ["doc_id", "start", "end", "score"],
                 )
 
-    return documents.select("doc_id", "text").mapInArrow(run, schema)
+    return documents.select("doc_id", "text").mapInArrow(tidy(run), schema)
 
 
 def judge(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

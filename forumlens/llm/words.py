@@ -7,14 +7,16 @@ longer text is a slice of its own), so that memory stays bounded by the longest
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import ctypes.util
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 20
 SHINGLE = 5
 
 _SPACE = np.zeros(256, bool)
@@ -32,6 +34,29 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Spark keeps Python workers for later tasks, which share it."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(ctypes.util.find_library("c"))
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def tidy(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """A function over a task's batches that leaves its worker small."""
+
+    def wrapped(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit (the splitmix finaliser)."""
     x = (x ^ (x >> np.uint64(30))) * _A
@@ -39,10 +64,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def slices(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def slices(texts: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """``(first row, offsets from 0, bytes in lower case)`` of consecutive rows."""
     if isinstance(texts, pa.ChunkedArray):
-        texts = texts.combine_chunks()
+        before = 0
+        for chunk in texts.chunks:
+            yield from ((before + first, offsets, data) for first, offsets, data in slices(chunk))
+            before += len(chunk)
+        return
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     if not len(texts):
         return
