@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from forumlens.llm import (
+    conversation_trie,
     graph_search,
     jaccard_join,
     licences,
@@ -201,3 +202,39 @@ SELECT doc_id, count(*) AS n_lines, count(*) - count(stays) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (stays), '')) AS kept_sha256
 FROM (SELECT k.*, CASE WHEN last IS NULL OR last = doc_id THEN true END AS stays FROM k LEFT JOIN m USING (key)) GROUP BY 1
 """
+
+
+@query
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+# DuckDB has no crc32, so that each conversation's number of borrowed turns is worked out bit by bit
+ORACLES["op12_conversation_trie"] = rf"""
+WITH RECURSIVE t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i,
+    coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+table_of AS (SELECT n, n AS v, 0 AS k FROM range(256) r(n) UNION ALL
+  SELECT n, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM table_of WHERE k < 8),
+crc AS (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS s, 4294967295 AS v, 1 AS k FROM t UNION ALL
+  SELECT conv_id, s, xor(crc.v >> 8, table_of.v), crc.k + 1 FROM crc JOIN table_of
+  ON table_of.k = 8 AND table_of.n = xor(crc.v, ascii(s[crc.k])) & 255 WHERE crc.k <= length(s)),
+h AS (SELECT conv_id AS c, conv_id - conv_id % 100 AS base, xor(v, 4294967295) % 6 AS h FROM crc WHERE k = length(s) + 1),
+b AS (SELECT h.c, h.h, count(t.i) AS m FROM h LEFT JOIN t ON t.conv_id = h.base AND t.i <= h.h GROUP BY 1, 2),
+r AS (SELECT h.c, t.i AS d, role, text FROM h JOIN t ON t.conv_id = h.base AND t.i <= h.h
+  UNION ALL SELECT b.c, t.i - b.h + b.m, role, text FROM b JOIN t ON t.conv_id = b.c AND t.i > b.h),
+p AS (SELECT c, CAST(0 AS BIGINT) AS d, '' AS p, CAST(NULL AS VARCHAR) AS q, CAST(0 AS BIGINT) AS chars FROM h UNION ALL
+  SELECT r.c, r.d, md5(p.p || length(role) || '/' || role || text), p.p, length(text)
+  FROM p JOIN r ON r.c = p.c AND r.d = p.d + 1),
+n AS (SELECT d, p, min(c) AS conv_id, any_value(q) AS q, count(*) AS n_convs, any_value(chars) AS chars FROM p GROUP BY 1, 2),
+kids AS (SELECT d - 1 AS d, q AS p, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1, 2),
+w AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kids USING (d, p)),
+up AS (SELECT p.d, p.p, CASE WHEN w.n_children = 0 THEN 1 ELSE 0 END AS leaf, (w.n_convs - 1) * w.chars AS saved
+  FROM w JOIN p ON p.c = w.conv_id AND p.d <= w.d),
+sums AS (SELECT d, p, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens FROM up GROUP BY 1, 2),
+last AS (SELECT c, max(d) AS d, max_by(p, d) AS p FROM p GROUP BY 1),
+ends AS (SELECT d, p, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS e FROM last GROUP BY 1, 2)
+SELECT w.conv_id, CAST(w.d AS BIGINT) AS depth, above.conv_id AS parent_conv_id, w.n_convs, w.n_children,
+  CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, coalesce(e, sha256('')) AS ends_sha256
+FROM w JOIN sums USING (d, p) LEFT JOIN n above ON above.d = w.d - 1 AND above.p = w.q LEFT JOIN ends ON ends.d = w.d AND ends.p = w.p
+"""
