@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from forumlens.llm import (
+    alignment,
     conversation_trie,
     graph_search,
     jaccard_join,
@@ -35,10 +36,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer() -> str:
+def tokenizer(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 @query
@@ -204,6 +205,12 @@ FROM (SELECT k.*, CASE WHEN last IS NULL OR last = doc_id THEN true END AS stays
 """
 
 
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return alignment.align(documents, tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
 @query
 def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"))
