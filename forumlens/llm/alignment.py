@@ -5,19 +5,18 @@ to the token's number is made for each; the keys in both, sorted, cut the two id
 of the same bytes, and each group gives the links of its tokens that end together. Ids that are
 linked are counted over all documents.
 
-Texts are aligned piece by piece. A piece begins at a space that follows a non-space and is followed
-by a letter: there both tokenizers begin a token, whatever comes before (byte-level words take one
-space at their front; no piece of the other vocabulary has a space behind anything else, which is
-checked). So memory is bounded by the longest piece, and equal pieces of a batch are aligned once.
+Long texts are aligned piece by piece. A piece begins at a space that follows a non-space and is
+followed by a letter: there both tokenizers begin a token, whatever comes before (byte-level words
+take one space at their front; no piece of the other vocabulary has a space behind anything else,
+which is checked). So memory is bounded by the longest text without such a place.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import re
-from collections.abc import Iterator
-from itertools import accumulate
-from operator import attrgetter
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +26,12 @@ from forumlens.llm.words import give_back, small_batches
 from forumlens.operators.lookup import lookup_join
 from forumlens.session import materialise
 
-KEPT_BYTES = 32 << 20  # of pieces and their alignments that a task remembers at once
+PIECE_CHARS = 1 << 16  # from which a text is cut
 PAIR_BITS = 24  # of a pair's number that hold the second id
 
 _CUT = re.compile(r"(?<=\S) (?=[^\W\d_])")
+# Fixed value: how byte-level vocabularies of this kind cut a text into words.
+_WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _SPACE = "▁"  # stands for a space in the second vocabulary's pieces
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 _ROWS = "doc_id long, row long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<long>"
@@ -44,74 +45,94 @@ def byte_level_alphabet() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
+def byte_level(file: str) -> tuple[list[bytes], Callable[[str], list[int]]]:
+    """The bytes of each id of a byte-level vocabulary, and a function from a text to its ids.
+
+    Where ids follow the merges, as is usual, they are all that the faster of two libraries needs.
+    """
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    with open(file, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    letters = byte_level_alphabet()
+    known = {i: bytes(letters[c] for c in entry) for entry, i in model["vocab"].items() if all(c in letters for c in entry)}
+    merges = [pair if isinstance(pair, str) else " ".join(pair) for pair in model["merges"]]
+    follows = all(model["vocab"].get(pair.replace(" ", "")) == 256 + k for k, pair in enumerate(merges))
+    slow = Tokenizer.from_file(file)
+    slow.encode_special_tokens = True  # their strings in texts are plain text
+    all_bytes = [known.get(i) if i in known else (slow.id_to_token(i) or "").encode() for i in range(slow.get_vocab_size())]
+    if follows:
+        ranks = {all_bytes[i]: i for i in range(256 + len(merges))}
+        return all_bytes, tiktoken.Encoding("byte level", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    return all_bytes, lambda text: slow.encode(text, add_special_tokens=False).ids
+
+
 class Aligner:
     """Two tokenizers, and the bytes of their tokens."""
 
     def __init__(self, byte_file: str, piece_file: str):
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(byte_file)
-        self.a.encode_special_tokens = True  # their strings in texts are plain text
+        self.bytes_a, self.encode_a = byte_level(byte_file)
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_file)
-        letters = byte_level_alphabet()
-        self.bytes_a = {}
-        for entry, i in self.a.get_vocab().items():
-            known = all(c in letters for c in entry)
-            self.bytes_a[i] = bytes(letters[c] for c in entry) if known else entry.encode()
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = []
         for piece in pieces:
             one = _BYTE.fullmatch(piece)
             self.bytes_b.append(bytes.fromhex(one[1]) if one else piece.replace(_SPACE, " ").encode())
         self.cuts = not any(_SPACE in piece.lstrip(_SPACE) for piece in pieces)
-        self.known: dict[str, tuple | None] = {}
-        self.kept = 0
-
-    def pieces(self, text: str) -> list[str]:
-        """Parts between the spaces at which both begin a token; each is encoded with one space ahead."""
-        return _CUT.split(text) if self.cuts else [text]
-
-    def learn(self, pieces: set[str]) -> None:
-        if self.kept > KEPT_BYTES:
-            self.known, self.kept = {}, 0
-        fresh = [p for p in pieces if p not in self.known]
-        for first in range(0, len(fresh), 1000):
-            some = fresh[first : first + 1000]
-            ids_a = map(attrgetter("ids"), self.a.encode_batch_fast([" " + p for p in some], add_special_tokens=False))
-            ids_b = self.b.encode(some, num_threads=1)
-            for piece, a, b in zip(some, ids_a, ids_b, strict=True):
-                self.known[piece] = found = self.aligned(piece, a, b)
-                self.kept += len(piece) + 250 + (2 * len(found[2]) + len(found[3]) if found else 0)
-
-    def aligned(self, piece: str, a: list[int], b: list[int]) -> tuple[int, int, str, bytes, int] | None:
-        """Numbers of ids, groups as text, linked pairs, number of groups; None if bytes differ."""
-        parts_a, parts_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        whole = b" " + piece.encode("utf-8", "surrogatepass")
-        if b"".join(parts_a) != whole or b"".join(parts_b) != whole:
+        self.long_a, self.long_b = (np.array([len(x) for x in some]) for some in (self.bytes_a, self.bytes_b))
+        # an id with what follows it: another id of its group, the other side, or the next group
+        self.written = [f"{i}{mark}" for some, marks in ((self.bytes_a, ",|"), (self.bytes_b, ",;")) for i in range(len(some)) for mark in marks]
+
+    def pieces(self, text: str, chars: int = PIECE_CHARS) -> Iterator[str]:
+        """Parts between places at which both begin a token; each is encoded with one space ahead."""
+        first = 0
+        while self.cuts and (cut := _CUT.search(text, first + chars)):
+            yield text[first : cut.start()]
+            first = cut.end()
+        yield text[first:]
+
+    def aligned(self, piece: str) -> tuple[int, int, int, str, np.ndarray] | None:
+        """Numbers of ids and groups, the groups as text, linked pairs; None if bytes differ."""
+        a, b = self.encode_a(" " + piece), self.b.encode(piece)
+        whole = b" " + piece.encode()
+        if b"".join(map(self.bytes_a.__getitem__, a)) != whole or b"".join(map(self.bytes_b.__getitem__, b)) != whole:
             return None
-        at_a = dict(zip(accumulate(map(len, parts_a)), range(1, len(a) + 1), strict=True))
-        at_b = dict(zip(accumulate(map(len, parts_b)), range(1, len(b) + 1), strict=True))
-        i = j = 0
-        groups, links = [], []
-        for end in sorted(at_a.keys() & at_b.keys()):
-            k, m = at_a[end], at_b[end]
-            groups.append(",".join(map(str, a[i:k])) + "|" + ",".join(map(str, b[j:m])))
-            links.append(a[k - 1] << PAIR_BITS | b[m - 1])  # of a group only the last two end together
-            i, j = k, m
-        return len(a), len(b), ";".join(groups), np.array(links, "<i8").tobytes(), len(groups)
+        a, b = np.array(a), np.array(b)
+        at_a = dict(zip(np.cumsum(self.long_a[a]).tolist(), range(len(a)), strict=True))
+        at_b = dict(zip(np.cumsum(self.long_b[b]).tolist(), range(len(b)), strict=True))
+        ends = sorted(at_a.keys() & at_b.keys())
+        # the last tokens of each group, which alone of it end together
+        last_a = np.fromiter(map(at_a.__getitem__, ends), np.int64, len(ends))
+        last_b = np.fromiter(map(at_b.__getitem__, ends), np.int64, len(ends))
+        many_a, many_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
+        code_a, code_b = 2 * a, 2 * b + 2 * len(self.bytes_a)
+        code_a[last_a] += 1
+        code_b[last_b] += 1
+        codes = np.empty(len(a) + len(b), np.int64)  # a group's ids of one side, then of the other
+        codes[np.arange(len(a)) + np.repeat(last_b + 1 - many_b, many_a)] = code_a
+        codes[np.arange(len(b)) + np.repeat(last_a + 1, many_b)] = code_b
+        groups = "".join(map(self.written.__getitem__, codes.tolist()))
+        return len(a), len(b), len(ends), groups, a[last_a] << PAIR_BITS | b[last_b]
 
     def document(self, text: str | None) -> tuple:
-        """``n_a, n_b, n_groups, n_links, groups_sha256, pairs, times`` of a text whose pieces are known."""
-        found = [self.known[p] for p in self.pieces(text)] if text else [None]
-        if None in found:
-            return 0, 0, 0, 0, "", [], []
-        a, b, groups, links, n = zip(*found, strict=True)
-        digest = hashlib.sha256()
-        for k, some in enumerate(groups):
-            digest.update((";" + some if k else some).encode())
-        pairs, times = np.unique(np.frombuffer(b"".join(links), "<i8"), return_counts=True)
-        return sum(a), sum(b), sum(n), int(times.sum()), digest.hexdigest(), pairs, times
+        """``n_a, n_b, n_groups, n_links, groups_sha256, pairs, times`` of a text."""
+        nothing = (0, 0, 0, 0, "", [], [])
+        if not text:
+            return nothing
+        digest, links, sums, mark = hashlib.sha256(), [], np.zeros(3, np.int64), ""
+        for piece in self.pieces(text):
+            found = self.aligned(piece)
+            if found is None:
+                return nothing
+            digest.update((mark + found[3][:-1]).encode())
+            mark = ";"
+            sums += found[:3]
+            links.append(found[4])
+        pairs, times = np.unique(np.concatenate(links), return_counts=True)
+        return *sums.tolist(), int(times.sum()), digest.hexdigest(), pairs, times
 
 
 def aligned_documents(documents: DataFrame, byte_file: str, piece_file: str) -> DataFrame:
@@ -130,9 +151,7 @@ def aligned_documents(documents: DataFrame, byte_file: str, piece_file: str) ->
         for batch in batches:
             for first in range(0, batch.num_rows, 50):
                 some = batch.slice(first, 50)
-                texts = some.column("text").to_pylist()
-                aligner.learn({p for text in texts if text for p in aligner.pieces(text)})
-                columns = zip(*map(aligner.document, texts), strict=True)
+                columns = zip(*map(aligner.document, some.column("text").to_pylist()), strict=True)
                 arrays = [some.column("doc_id"), *columns]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(arrays, types, strict=True)], names)
         del aligner

@@ -195,28 +195,27 @@ def test_alignment(spark, small):
     assert sorted(map(tuple, got.collect()), key=str) == slow_alignment(rows)
 
 
-def test_alignment_forgets(monkeypatch):
-    monkeypatch.setattr(alignment, "KEPT_BYTES", 100)
+@pytest.mark.parametrize("chars", [1, 20])
+def test_pieces_change_nothing(monkeypatch, chars):
     aligner = alignment.Aligner(*map(tokenizer, FILES))
-    sizes = []
-    for k in range(5):
-        aligner.learn({f"word{k}", "other"})
-        sizes.append(len(aligner.known))
-    assert max(sizes) == 2
+    whole = [tuple(map(str, aligner.document(t))) for t in ODD]
+    cut = aligner.pieces
+    monkeypatch.setattr(aligner, "pieces", lambda text: cut(text, chars))
+    assert [tuple(map(str, aligner.document(t))) for t in ODD] == whole
+    assert max(len(list(cut(t, chars))) for t in ODD if t) > 50
 
 
 def test_alignment_of_nothing(spark):
     assert not alignment.align(spark.createDataFrame([], "doc_id long, text string"), *map(tokenizer, FILES)).collect()
 
 
-def test_no_crossing_of_pieces():
-    """A text cut into pieces has the ids of the whole text."""
-    aligner = alignment.Aligner(*map(tokenizer, FILES))
-    for text in filter(None, ODD):
-        parts = aligner.pieces(text)
-        whole = aligner.a.encode(" " + text, add_special_tokens=False).ids
-        assert whole == [i for p in parts for i in aligner.a.encode(" " + p, add_special_tokens=False).ids]
-        assert aligner.b.encode(text) == [i for p in parts for i in aligner.b.encode(p)]
+def test_both_libraries_give_the_same_ids(small):
+    from tokenizers import Tokenizer
+
+    slow = Tokenizer.from_file(tokenizer(FILES[0]))
+    slow.encode_special_tokens = True
+    encode = alignment.Aligner(*map(tokenizer, FILES)).encode_a
+    assert all(encode(" " + t) == slow.encode(" " + t, add_special_tokens=False).ids for t in filter(None, ODD))
 
 
 def test_place_of_long_lines(spark):
