@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from checks import tables as t
 from checks.registry import query
 from forumlens.functions import text
-from forumlens.operators import lemmas, terms, topics
+from forumlens.operators import lemmas, terms, topic_tables, topics
 from forumlens.session import materialise
 
 COUNTS_SQL = (
@@ -280,6 +280,54 @@ def topics_em(spark, sf) -> DataFrame:
     return _words_shape(topics.topic_words(model, vocab), vocab)
 
 
+# -- models whose state is a table by term ---------------------------------------------------
+
+
+def _tables(spark, sf) -> topic_tables.TopicTables:
+    return _once(spark, sf, "tables", lambda: topic_tables.fit_topic_tables(_counts(spark, sf), rounds=5))
+
+
+@query(TOPIC_WORDS_SQL)
+def table_topic_words(spark, sf) -> DataFrame:
+    return _words_shape(_tables(spark, sf).words(), _vocabulary(spark, sf))
+
+
+@query(
+    f"SELECT topic, (SELECT count(*) FROM {VOCABULARY_SQL}) AS terms, CAST(1 AS DOUBLE) AS total "
+    "FROM (SELECT CAST(unnest(range(0, 10)) AS INTEGER) AS topic)"
+)
+def table_topic_matrix(spark, sf) -> DataFrame:
+    """Every topic's weights over the whole vocabulary, which never passes through the driver."""
+    return _tables(spark, sf).matrix().groupBy("topic").agg(
+        F.count("term").alias("terms"), F.round(F.sum("weight"), 6).alias("total")
+    )
+
+
+@query(f"SELECT DISTINCT id, true AS valid FROM {t.COMMENTS_LANG_SQL}")
+def table_topic_distributions(spark, sf) -> DataFrame:
+    return _tables(spark, sf).scores(_counts(spark, sf), rounds=3).select("id", _valid().alias("valid"))
+
+
+@query(
+    "SELECT lang, true AS pure FROM documents WHERE regexp_matches(text, '[a-z]') AND lang IS NOT NULL GROUP BY lang"
+)
+def planted_topics(spark, sf) -> DataFrame:
+    """Languages as planted topics: words carry their language, so that no two languages share one.
+
+    Each language has a topic whose ten heaviest terms are all its own.
+    """
+    words = F.regexp_extract_all("text", F.lit("[a-z]{1,3}"), F.lit(0))
+    marked = F.transform(words, lambda w: F.concat("lang", F.lit("/"), F.substring(w, F.lit(1), F.lit(2))))
+    rows = t.table(spark, sf, "documents").filter("lang IS NOT NULL").select("doc_id", "lang", marked.alias("words"))
+    community = F.concat("lang", F.lit("/"), (F.col("doc_id") % 10).cast("string"))
+    counts = terms.term_counts(rows.withColumn("community", community), F.col("words"), "community")
+    model = topic_tables.fit_topic_tables(counts, k=8, rounds=12)
+    top = model.words(10).select("topic", F.explode("term_words").alias("term"))
+    langs = F.array_distinct(F.collect_list(F.substring_index("term", "/", 1)))
+    pure = top.groupBy("topic").agg(langs.alias("langs")).filter(F.size("langs") == 1)
+    return pure.select(F.col("langs")[0].alias("lang"), F.lit(True).alias("pure")).distinct()
+
+
 PIPELINE_SQL = "SELECT doc_id AS id, true AS valid, true AS assigned FROM documents"
 
 

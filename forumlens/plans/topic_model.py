@@ -11,7 +11,7 @@ import argparse
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from forumlens.functions import numbers, text
-from forumlens.operators import terms, topics
+from forumlens.operators import terms, topic_tables, topics
 from forumlens.session import build_session, materialise
 from forumlens.sources import readers, writers
 
@@ -53,14 +53,25 @@ def run(
     partitions: int | None = None,
     threshold: float | None = topics.DOMINANCE,
     size: int | None = None,
+    tables: bool = False,
     **settings,
 ) -> None:
     """Write ``id, topicDistribution`` and, for bags with a vocabulary, the topics' words.
 
-    With a threshold, only communities that one topic dominates are written.
+    With a threshold, only communities that one topic dominates are written. ``tables`` keeps
+    the model as a table by term (see ``operators.topic_tables``) for vocabularies of any size.
     """
     rows = read_input(spark, source, kind, partitions)
     counts = materialise(terms.term_counts(rows, tokens_of(kind, bag)), "term-counts")
+    if tables:
+        model = topic_tables.fit_topic_tables(counts, settings["k"], settings["iterations"], settings["seed"])
+        scored = model.scores(counts)
+        scored = scored if threshold is None else topics.dominated(scored, threshold)
+        text = numbers.distribution_text(F.col("topicDistribution"))
+        writers.write_csv(scored.select("id", text.alias("topicDistribution")), output)
+        if words:
+            writers.write_parquet(model.words(), words)
+        return
     if bag == "hashed":
         vocab = None
         vectors = terms.hashed_vectors(counts)
@@ -96,6 +107,7 @@ def main() -> None:
     parser.add_argument("--topics", type=int, default=topics.TOPICS)
     parser.add_argument("--iterations", type=int, default=topics.ITERATIONS)
     parser.add_argument("--seed", type=int, default=topics.SEED)
+    parser.add_argument("--tables", action="store_true", help="keep the model as a table by term")
     parser.add_argument("--optimizer", choices=("online", "em"), default="online")
     args = parser.parse_args()
     run(
@@ -107,6 +119,7 @@ def main() -> None:
         args.bag,
         args.partitions,
         None if args.all else args.threshold,
+        tables=args.tables,
         k=args.topics,
         iterations=args.iterations,
         seed=args.seed,
