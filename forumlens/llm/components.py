@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from forumlens.session import materialise
+from forumlens.operators.lookup import lookup_join
+from forumlens.session import BROADCAST_ROWS, materialise
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -50,7 +51,16 @@ def _tops(parents: DataFrame) -> DataFrame:
 
 
 def _replaced(df: DataFrame, column: str, roots: DataFrame) -> DataFrame:
-    above = roots.select(F.col("node").alias(column), F.col("root").alias("_top"))
-    return df.join(above, column, "left").withColumn(column, F.coalesce("_top", column)).drop("_top").select(
-        df.columns
-    )
+    """``df`` with the tops of its nodes in ``column``.
+
+    A node may have most of the edges, or be the top of most nodes: beyond what is broadcast whole,
+    its weight is counted, and the join splits it off.
+    """
+    above = roots.select(F.col("node").alias("_node"), F.col("root").alias("_top"))
+    if roots.count() > BROADCAST_ROWS:
+        weights = df.groupBy(F.col(column).alias("_node")).agg(F.count("*").alias("_weight"))
+        above = materialise(above.join(weights, "_node"), "tops")
+    else:
+        above = above.withColumn("_weight", F.lit(1))
+    joined = lookup_join(df, above, column, "_node", "_weight")
+    return joined.withColumn(column, F.coalesce("_top", column)).drop("_top").select(df.columns)

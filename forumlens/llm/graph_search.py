@@ -142,20 +142,22 @@ def exact_scores(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return total
 
 
-_GRAPH = "dim int, shard int, vectors binary, members binary, edges binary, starts binary"
-_FOUND = "query_id long, vec_id long, score double"
+_GRAPH = "dim int, shard int, vectors binary, members binary, rows binary, edges binary, starts binary"
+_FOUND = "query_id long, query_row long, vec_id long, row long, score double"
 
 
 def index(vectors: DataFrame, shard_rows: int = SHARD_ROWS, keep: int = K + 1) -> DataFrame:
-    """One row a shard: vectors, the ids with each vector (the ``keep`` least, -1 for none), graph.
+    """One row a shard: vectors, ids and rows with each vector (the ``keep`` least), graph.
 
-    ``vectors`` has ``vec_id, embedding``. Every usable vector is in one shard of its dimension;
-    of equal vectors only the least ids can be among the nearest, as ties go to the smaller id.
+    ``vectors`` has ``vec_id, row, embedding``, a row a candidate, and is a written table. Every usable
+    vector is in one shard of its dimension; of equal vectors only the least ids can be among the
+    nearest, as ties go to the smaller id.
     """
-    named = vectors.filter(usable(F.col("embedding")) & F.col("vec_id").isNotNull()).select("vec_id", "embedding")
-    rank = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))
+    named = vectors.filter(usable(F.col("embedding")) & F.col("vec_id").isNotNull()).select("vec_id", "row", "embedding")
+    rank = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id", "row"))
     few = named.withColumn("rank", rank).filter(F.col("rank") <= keep)
-    same = few.groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("members"))
+    same = few.groupBy("embedding").agg(F.sort_array(F.collect_list(F.struct("vec_id", "row"))).alias("members"))
+    same = same.select("embedding", F.col("members.vec_id").alias("members"), F.col("members.row").alias("rows"))
     nodes = materialise(same.withColumn("dim", F.size("embedding")), "nodes")
     per_dim = {r["dim"]: -(-r["count"] // shard_rows) for r in nodes.groupBy("dim").count().collect()}
     shards = F.lit(1)
@@ -165,13 +167,13 @@ def index(vectors: DataFrame, shard_rows: int = SHARD_ROWS, keep: int = K + 1) -
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         x = np.stack(pdf["embedding"].to_numpy()).astype(np.float64)
-        members = np.full((len(x), keep), -1, np.int64)
-        for row, ids in enumerate(pdf["members"]):
-            members[row, : len(ids)] = ids
-        order = np.argsort(members[:, 0], kind="stable")
-        x, members = x[order], members[order]
+        members, rows = np.zeros((len(x), keep), np.int64), np.full((len(x), keep), -1, np.int64)
+        for k, (ids, places) in enumerate(zip(pdf["members"], pdf["rows"], strict=True)):
+            members[k, : len(ids)], rows[k, : len(ids)] = ids, places
+        order = np.lexsort((rows[:, 0], members[:, 0]))
+        x, members, rows = x[order], members[order], rows[order]
         edges, start = build(lengthened(x))
-        packed = (x, members, edges, start)
+        packed = (x, members, rows, edges, start)
         return pd.DataFrame([(*key, *(a.tobytes() for a in packed))], columns=[c.split()[0] for c in _GRAPH.split(", ")])
 
     return dealt.groupBy("dim", "shard").applyInPandas(run, _GRAPH)
@@ -180,26 +182,29 @@ def index(vectors: DataFrame, shard_rows: int = SHARD_ROWS, keep: int = K + 1) -
 def search(graph: DataFrame, queries: DataFrame, k: int = K, beam: int = BEAM) -> DataFrame:
     """``query_id, rank, vec_id, score``: the nearest of other rows found, for each query.
 
-    ``graph`` is a written ``index``; ``queries`` has ``vec_id, embedding``, usable or not: those
-    that are not take no part. Queries go in blocks to every shard of their dimension.
+    ``graph`` is a written ``index``; ``queries`` has ``vec_id, row, embedding``, usable or not: those
+    that are not take no part. Each row is a query, and its own row no candidate. Queries go in
+    blocks to every shard of their dimension.
     """
     asked = queries.filter(usable(F.col("embedding")) & F.col("vec_id").isNotNull())
-    asked = asked.select("vec_id", "embedding", F.size("embedding").alias("dim"))
+    asked = asked.select("vec_id", "row", "embedding", F.size("embedding").alias("dim"))
     blocks = -(-asked.count() // QUERY_ROWS) or 1
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id", "row"), F.lit(blocks)).cast("int"))
     numbers = graph.select((F.col("dim") + 0).alias("dim"), (F.col("shard") + 0).alias("shard"))
     sent = asked.join(F.broadcast(numbers), "dim")  # one row a shard, of some thousand vectors
     copies = graph.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
+    names = [c.split()[0] for c in _FOUND.split(", ")]
+
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            return pd.DataFrame({name: [] for name in names})
         row = left.iloc[0]
         x = np.frombuffer(row["vectors"]).reshape(-1, int(row["dim"]))
-        members = np.frombuffer(row["members"], np.int64).reshape(len(x), -1)
+        members, rows = (np.frombuffer(row[c], np.int64).reshape(len(x), -1) for c in ("members", "rows"))
         edges = np.frombuffer(row["edges"], np.int64).reshape(len(x), -1)
         start, points = np.frombuffer(row["starts"], np.int64), lengthened(x)
-        found = [pd.DataFrame({"query_id": [], "vec_id": [], "score": []})]
+        found = [pd.DataFrame({name: [] for name in names})]
         for first in range(0, len(right), BATCH):
             some = right.iloc[first : first + BATCH]
             q = np.stack(some["embedding"].to_numpy()).astype(np.float64)
@@ -209,17 +214,18 @@ def search(graph: DataFrame, queries: DataFrame, k: int = K, beam: int = BEAM) -
             at, place = np.nonzero(ids >= 0)
             node = ids[at, place]
             score = exact_scores(q[at], x[node])
-            asked_by = some["vec_id"].to_numpy()[at]
-            all_ids = members[node]
-            keep = (all_ids >= 0) & (all_ids != asked_by[:, None])
+            asked_by, asked_row = some["vec_id"].to_numpy()[at], some["row"].to_numpy()[at]
+            all_ids, all_rows = members[node], rows[node]
+            keep = (all_rows >= 0) & (all_rows != asked_row[:, None])
             hit, column = np.nonzero(keep)
-            frame = pd.DataFrame({"query_id": asked_by[hit], "vec_id": all_ids[hit, column], "score": score[hit]})
-            frame = frame.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
-            found.append(frame.groupby("query_id").head(k))
+            columns = (asked_by[hit], asked_row[hit], all_ids[hit, column], all_rows[hit, column], score[hit])
+            frame = pd.DataFrame(dict(zip(names, columns, strict=True)))
+            frame = frame.sort_values(["query_row", "score", "vec_id", "row"], ascending=[True, False, True, True])
+            found.append(frame.groupby("query_row").head(k))
         return pd.concat(found)
 
     pairs = copies.groupBy("dim", "shard", "block").cogroup(sent.groupBy("dim", "shard", "block")).applyInPandas(run, _FOUND)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
+    best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
     return pairs.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score"
     )
@@ -229,9 +235,11 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = K) -> DataFrame:
     """The ``k`` nearest of all other rows for each row whose vec_id is divisible by ``every``.
 
     Null, zero and non-finite vectors, and null ids, take no part; vectors are compared within
-    their dimension. Rows with equal vectors are rows each; of rows with one vec_id the least
-    vector counts. Fewer candidates than ``k``: all of them. No usable vector: no row.
+    their dimension. Every row is a candidate, also where vectors or ids are repeated, and each
+    row of a repeated query id is a query. Fewer candidates than ``k``: all of them. No usable
+    vector: no row. Columns other than ``vec_id, embedding`` are not used.
     """
-    vectors = vectors.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    numbered = vectors.select("vec_id", "embedding").withColumn("row", F.monotonically_increasing_id())
+    vectors = materialise(numbered, "vectors")
     graph = materialise(index(vectors, keep=k + 1), "graph")
     return search(graph, vectors.filter(F.col("vec_id") % every == 0), k)

@@ -1,10 +1,12 @@
 """Mixing sources to target weights in blocks of words.
 
-A source's documents, in order, are one row of words cut into blocks of ``BLOCK``. A target
-gives a source so many slots; each slot is thrown into one of the output shards by its own
-hash, so that a shard's source counts are multinomial draws. A source's slots run through a
-pseudorandom permutation of its block indexes, and through another one for the next round,
-so that no block is used twice before all are used once. Slots and blocks join by index.
+A source's documents, in order, are one row of words cut into blocks of ``BLOCK``, of which the
+last may be shorter. A target gives a source so many slots; each slot is thrown into one of the
+output shards by its own hash, so that a shard's source counts are multinomial draws. A source's
+slots run through a pseudorandom permutation of its whole blocks' indexes, then take the shorter
+block, and go through another permutation in the next round, so that no block is used twice before
+all are used once. The last slot takes only as many words of its block as the target still lacks,
+so that a source of any size gets its target to the word. Slots and blocks join by index.
 """
 
 from __future__ import annotations
@@ -97,48 +99,55 @@ def placed(documents: DataFrame) -> DataFrame:
 
 
 def slots(goals: DataFrame, block: int = BLOCK, shards: int = SHARDS) -> DataFrame:
-    """``source, slot, round, index, shard``: the block that each slot of a source takes.
+    """``source, slot, round, index, most, shard``: the block that each slot of a source takes.
 
-    The number of slots makes the taken words nearest to the target, given the blocks' mean
-    length; it is at most ``MOST`` times the number of blocks. Slots are made in chunks of
-    65,536, so that no task makes all those of a large source.
+    A slot takes the first ``most`` words of its block. All slots of a source take the rounded target
+    together. Slots are made in chunks of 65,536, so that no task makes all those of a large source.
     """
-    n = F.ceil(F.col("source_size") / block)
     some = goals.filter("source_size > 0").select(
-        "source", n.alias("n"), F.round(F.col("target") * n / F.col("source_size")).cast("long").alias("k")
+        "source", "source_size", F.round("target").cast("long").alias("words"), F.floor(F.col("source_size") / block).alias("wholes")
     )
+    some = some.withColumn("n", F.ceil(F.col("source_size") / block))
+    rest = F.ceil((F.col("words") % F.col("source_size")) / block)
+    some = some.withColumn("k", F.floor(F.col("words") / F.col("source_size")) * F.col("n") + rest)
     chunk = F.explode(F.sequence(F.lit(0), F.shiftright(F.col("k") - 1, 16)))
     chunks = some.filter("k > 0").select("*", chunk.alias("chunk"))
     total = some.agg(F.sum("k")).first()[0] or 0
     spread = chunks.repartition(8 + total // 65536, "source", "chunk")  # a given number is not merged
     first = F.shiftleft(F.col("chunk"), 16)
     numbers = F.explode(F.sequence(first, F.least(first + 65535, F.col("k") - 1)))
-    named = spread.select("source", "n", numbers.alias("slot"))
+    named = spread.select("source", "source_size", "words", "wholes", "n", numbers.alias("slot"))
     key = F.coalesce(F.col("source"), F.lit("\x00null"))
-    turn = F.floor(F.col("slot") / F.col("n"))
+    turn, place = F.floor(F.col("slot") / F.col("n")), F.col("slot") % F.col("n")
+    shuffled = permuted(place, F.greatest(F.col("wholes"), F.lit(1)), key, turn)
     return named.select(
         "source",
         "slot",
         turn.alias("round"),
-        permuted(F.col("slot") % F.col("n"), F.col("n"), key, turn).alias("index"),
+        F.when(place < F.col("wholes"), shuffled).otherwise(F.col("wholes")).alias("index"),
+        F.least(F.lit(block), F.col("words") - turn * F.col("source_size") - place * block).alias("most"),
         F.pmod(F.xxhash64(F.lit(SEED + 2), key, "slot"), F.lit(shards)).alias("shard"),
     )
 
 
 def passages(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """``row, source, index, start, length`` of the documents' parts in each block of a source."""
+    """``row, source, index, ahead, start, length`` of the documents' parts in each block of a source.
+
+    ``ahead`` is the number of words before the part in its block.
+    """
     first, last = F.floor(F.col("before") / block), F.floor((F.col("before") + F.col("size") - 1) / block)
     parts = docs.filter("size > 0").withColumn("index", F.explode(F.sequence(first, last)))
     start = F.greatest(F.lit(0), F.col("index") * block - F.col("before"))
     end = F.least(F.col("size"), (F.col("index") + 1) * block - F.col("before"))
-    return parts.select("row", "source", "index", start.alias("start"), (end - start).alias("length"))
+    ahead = F.greatest(F.lit(0), F.col("before") - F.col("index") * block)
+    return parts.select("row", "source", "index", ahead.alias("ahead"), start.alias("start"), (end - start).alias("length"))
 
 
 def mix(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The documents as ``placed`` with their ``target``, and the mix.
 
-    The mix has a row for each passage taken: ``row, source, round, shard, start, length``, in
-    words of the document. A document is used at most ``MOST`` times. Null texts and texts without
+    The mix has a row for each passage taken: ``row, source, round, shard, start, length, is_cut``, in
+    words of the document; ``is_cut`` marks one of which words at the end are not taken. A document is used at most ``MOST`` times. Null texts and texts without
     words have size 0 and no passage; the null source is a source; sources without words
     have target 0. Equal rows are documents each. Reruns agree as long as rows differ in
     source, doc_id or text. Columns other than doc_id, text and source are not used.
@@ -152,7 +161,10 @@ def mix(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     parts = passages(docs)
     same = parts["source"].eqNullSafe(drawn["of"]) & (parts["index"] == drawn["at"])
     # the plan takes the slots for few, as they are made from a row a source
-    return docs, parts.join(drawn.hint("merge"), same).select("row", "source", "round", "shard", "start", "length")
+    room = F.col("most") - F.col("ahead")
+    met = parts.join(drawn.hint("merge"), same).filter(room > 0)
+    length = F.least("length", room)
+    return docs, met.select("row", "source", "round", "shard", "start", length.alias("length"), (room < F.col("length")).alias("is_cut"))
 
 
 def taken(documents: DataFrame) -> DataFrame:
@@ -167,20 +179,20 @@ def taken(documents: DataFrame) -> DataFrame:
 def mixed_documents(documents: DataFrame) -> DataFrame:
     """``documents`` as the mix takes them: a row a document and round, with its passages' text.
 
-    All other columns stay. A passage keeps the white space before each of its words. Documents of
+    All other columns stay, whatever their names but for ``_mixing_hash``. A passage keeps the white space before each of its words. Documents of
     which nothing is taken go. Texts meet their passages by doc_id, source and the text's hash;
     of rows equal in these the other columns are those of one.
     """
     docs, mixed = mix(documents)
-    span = F.sort_array(F.collect_list(F.struct("start", "length")))
+    span = F.sort_array(F.collect_list(F.struct("start", "length", "is_cut")))
     spans = mixed.groupBy("row", "round").agg(span.alias("_spans"), F.sum("length").alias("_taken"))
     lead = F.lit(BLOCK) - F.col("before") % BLOCK
     keys = docs.select("row", "size", lead.alias("_lead"), *[F.col(c).alias(f"_k{c}") for c in ("doc_id", "source", "hash")])
     asked = keys.join(spans, "row").drop("row", "round")
-    named = documents.withColumn("_hash", F.xxhash64("text"))
+    named = documents.withColumn("_mixing_hash", F.xxhash64("text"))
     others = [c for c in documents.columns if c not in ("doc_id", "source")]
-    once = named.groupBy("doc_id", "source", "_hash").agg(F.first(F.struct(*others)).alias("_doc"))
-    same = [F.col(c).eqNullSafe(F.col(k)) for c, k in (("doc_id", "_kdoc_id"), ("source", "_ksource"), ("_hash", "_khash"))]
+    once = named.groupBy("doc_id", "source", "_mixing_hash").agg(F.first(F.struct(*others)).alias("_doc"))
+    same = [F.col(c).eqNullSafe(F.col(k)) for c, k in (("doc_id", "_kdoc_id"), ("source", "_ksource"), ("_mixing_hash", "_khash"))]
     both = once.join(asked, same)
     # the document's part of its first block, then whole blocks
     word = r"[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++"
@@ -191,7 +203,9 @@ def mixed_documents(documents: DataFrame) -> DataFrame:
     def joined(found: Column) -> Column:
         def piece(span: Column) -> Column:
             later = 1 + F.floor((span["start"] - F.col("_lead")) / BLOCK)
-            return F.get(found, F.when(span["start"] == 0, 0).otherwise(later).cast("int"))
+            found_here = F.get(found, F.when(span["start"] == 0, 0).otherwise(later).cast("int"))
+            first_words = F.format_string(f"^(?:{word}){{%d}}+", span["length"])
+            return F.when(span["is_cut"], F.call_function("regexp_extract", found_here, first_words, F.lit(0))).otherwise(found_here)
 
         return F.array_join(F.transform("_spans", piece), "")
 
