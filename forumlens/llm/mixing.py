@@ -107,7 +107,7 @@ def slots(goals: DataFrame, block: int = BLOCK, shards: int = SHARDS) -> DataFra
     some = goals.filter("source_size > 0").select(
         "source", "source_size", F.round("target").cast("long").alias("words"), F.floor(F.col("source_size") / block).alias("wholes")
     )
-    some = some.withColumn("n", F.ceil(F.col("source_size") / block))
+    some = some.withColumns({"n": F.ceil(F.col("source_size") / block), "m": F.greatest("wholes", F.lit(1))})
     rest = F.ceil((F.col("words") % F.col("source_size")) / block)
     some = some.withColumn("k", F.floor(F.col("words") / F.col("source_size")) * F.col("n") + rest)
     chunk = F.explode(F.sequence(F.lit(0), F.shiftright(F.col("k") - 1, 16)))
@@ -116,10 +116,10 @@ def slots(goals: DataFrame, block: int = BLOCK, shards: int = SHARDS) -> DataFra
     spread = chunks.repartition(8 + total // 65536, "source", "chunk")  # a given number is not merged
     first = F.shiftleft(F.col("chunk"), 16)
     numbers = F.explode(F.sequence(first, F.least(first + 65535, F.col("k") - 1)))
-    named = spread.select("source", "source_size", "words", "wholes", "n", numbers.alias("slot"))
+    named = spread.select("source", "source_size", "words", "wholes", "n", "m", numbers.alias("slot"))
     key = F.coalesce(F.col("source"), F.lit("\x00null"))
     turn, place = F.floor(F.col("slot") / F.col("n")), F.col("slot") % F.col("n")
-    shuffled = permuted(place, F.greatest(F.col("wholes"), F.lit(1)), key, turn)
+    shuffled = permuted(place, F.col("m"), key, turn)  # m is made once a source
     return named.select(
         "source",
         "slot",
