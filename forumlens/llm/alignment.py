@@ -8,7 +8,8 @@ linked are counted over all documents.
 Long texts are aligned piece by piece. A piece begins at a space that follows a non-space and is
 followed by a letter: there both tokenizers begin a token, whatever comes before (byte-level words
 take one space at their front; no piece of the other vocabulary has a space behind anything else,
-which is checked). So memory is bounded by the longest text without such a place.
+which is checked). So memory is bounded by the longest text without such a place. For the same reason a
+word between two such places is aligned once, and found again by its text.
 """
 
 from __future__ import annotations
@@ -28,8 +29,12 @@ from forumlens.session import materialise
 
 PIECE_CHARS = 1 << 16  # from which a text is cut
 PAIR_BITS = 24  # of a pair's number that hold the second id
+NUMBER_BITS = 32  # of a word's two numbers of ids that hold the second
+KEPT_WORDS = 200_000  # aligned words that a task keeps; beyond that it begins anew
+KEPT_CHARS = 32  # longer words are aligned wherever they are met
 
 _CUT = re.compile(r"(?<=\S) (?=[^\W\d_])")
+_INNER = re.compile(r"[^\W\d_](?:.*\S)?", re.DOTALL)  # what may stand between two cuts
 # Fixed value: how byte-level vocabularies of this kind cut a text into words.
 _WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _SPACE = "▁"  # stands for a space in the second vocabulary's pieces
@@ -68,6 +73,9 @@ def byte_level(file: str) -> tuple[list[bytes], Callable[[str], list[int]]]:
     return all_bytes, lambda text: slow.encode(text, add_special_tokens=False).ids
 
 
+Entry = tuple[int, str, bytes]  # of a word: how many ids of each side, its groups, its linked pairs
+
+
 class Aligner:
     """Two tokenizers, and the bytes of their tokens."""
 
@@ -83,8 +91,10 @@ class Aligner:
             self.bytes_b.append(bytes.fromhex(one[1]) if one else piece.replace(_SPACE, " ").encode())
         self.cuts = not any(_SPACE in piece.lstrip(_SPACE) for piece in pieces)
         self.long_a, self.long_b = (np.array([len(x) for x in some]) for some in (self.bytes_a, self.bytes_b))
+        self.known: dict[str, Entry] = {}
         # an id with what follows it: another id of its group, the other side, or the next group
         self.written = [f"{i}{mark}" for some, marks in ((self.bytes_a, ",|"), (self.bytes_b, ",;")) for i in range(len(some)) for mark in marks]
+        self.long_written = np.array([len(x) for x in self.written])
 
     def pieces(self, text: str, chars: int = PIECE_CHARS) -> Iterator[str]:
         """Parts between places at which both begin a token; each is encoded with one space ahead."""
@@ -94,8 +104,12 @@ class Aligner:
             first = cut.end()
         yield text[first:]
 
-    def aligned(self, piece: str) -> tuple[int, int, int, str, np.ndarray] | None:
-        """Numbers of ids and groups, the groups as text, linked pairs; None if bytes differ."""
+    def aligned(self, words: list[str]) -> list[Entry] | None:
+        """What each of the words gives that a text is made of; None if a byte differs.
+
+        The words are encoded as one text with a space ahead of each, and must all end a group.
+        """
+        piece = " ".join(words)
         a, b = self.encode_a(" " + piece), self.b.encode(piece)
         whole = b" " + piece.encode()
         if b"".join(map(self.bytes_a.__getitem__, a)) != whole or b"".join(map(self.bytes_b.__getitem__, b)) != whole:
@@ -114,25 +128,63 @@ class Aligner:
         codes = np.empty(len(a) + len(b), np.int64)  # a group's ids of one side, then of the other
         codes[np.arange(len(a)) + np.repeat(last_b + 1 - many_b, many_a)] = code_a
         codes[np.arange(len(b)) + np.repeat(last_a + 1, many_b)] = code_b
-        groups = "".join(map(self.written.__getitem__, codes.tolist()))
-        return len(a), len(b), len(ends), groups, a[last_a] << PAIR_BITS | b[last_b]
+        word_ends = np.cumsum([len(word.encode()) + 1 for word in words])
+        last = np.minimum(np.searchsorted(ends, word_ends), len(ends) - 1)  # each word's last group
+        if not np.array_equal(np.array(ends)[last], word_ends):
+            return None
+        n_a, n_b = last_a[last] + 1, last_b[last] + 1
+        text = "".join(map(self.written.__getitem__, codes.tolist()))
+        text_ends = np.cumsum(self.long_written[codes])[n_a + n_b - 1].tolist()
+        pairs = (a[last_a] << PAIR_BITS | b[last_b]).tobytes()
+        pair_ends = (8 * (last + 1)).tolist()
+        numbers = (np.diff(n_a, prepend=0) << NUMBER_BITS | np.diff(n_b, prepend=0)).tolist()
+        texts = map(text.__getitem__, map(slice, [0, *text_ends], text_ends))
+        linked = map(pairs.__getitem__, map(slice, [0, *pair_ends], pair_ends))
+        return list(zip(numbers, texts, linked, strict=False))
+
+    def words_of(self, piece: str) -> list[Entry] | None:
+        """The entries of a piece's words, in order; new words are aligned together and kept."""
+        words = _CUT.split(piece) if self.cuts else [piece]
+        if len(self.known) > KEPT_WORDS:
+            self.known.clear()
+        new = set(words).difference(self.known)
+        # the first and the last word of a piece may begin or end with anything
+        alone = {word for word in (words[0], words[-1]) if word in new and not _INNER.fullmatch(word)}
+        together = list(new - alone)
+        entries = self.aligned(together) if together else []
+        if entries is None:
+            alone, together, entries = new, [], []
+        fresh = dict(zip(together, entries, strict=True))
+        for word in alone:
+            one = self.aligned([word])
+            if one is None:
+                return None
+            fresh[word] = one[0]
+        self.known.update(fresh)
+        found = list(map(self.known.__getitem__, words))
+        for word in new:
+            if len(word) > KEPT_CHARS:
+                del self.known[word]
+        return found
 
     def document(self, text: str | None) -> tuple:
         """``n_a, n_b, n_groups, n_links, groups_sha256, pairs, times`` of a text."""
         nothing = (0, 0, 0, 0, "", [], [])
         if not text:
             return nothing
-        digest, links, sums, mark = hashlib.sha256(), [], np.zeros(3, np.int64), ""
+        digest, links, numbers, mark = hashlib.sha256(), [], 0, ""
         for piece in self.pieces(text):
-            found = self.aligned(piece)
+            found = self.words_of(piece)
             if found is None:
                 return nothing
-            digest.update((mark + found[3][:-1]).encode())
+            some, written, pairs = zip(*found, strict=True)
+            digest.update((mark + "".join(written)[:-1]).encode())
             mark = ";"
-            sums += found[:3]
-            links.append(found[4])
+            numbers += sum(some)
+            links.append(np.frombuffer(b"".join(pairs), np.int64))
         pairs, times = np.unique(np.concatenate(links), return_counts=True)
-        return *sums.tolist(), int(times.sum()), digest.hexdigest(), pairs, times
+        n = int(times.sum())  # a group has one link
+        return numbers >> NUMBER_BITS, numbers & (1 << NUMBER_BITS) - 1, n, n, digest.hexdigest(), pairs, times
 
 
 def aligned_documents(documents: DataFrame, byte_file: str, piece_file: str) -> DataFrame:

@@ -205,6 +205,17 @@ def test_pieces_change_nothing(monkeypatch, chars):
     assert max(len(list(cut(t, chars))) for t in ODD if t) > 50
 
 
+def test_kept_words_change_nothing(monkeypatch):
+    aligner = alignment.Aligner(*map(tokenizer, FILES))
+    whole = [tuple(map(str, aligner.document(t))) for t in ODD]
+    assert aligner.known and [tuple(map(str, aligner.document(t))) for t in ODD] == whole
+    monkeypatch.setattr(alignment, "KEPT_WORDS", 2)
+    monkeypatch.setattr(alignment, "KEPT_CHARS", 3)
+    aligner.known.clear()
+    assert [tuple(map(str, aligner.document(t))) for t in ODD] == whole
+    assert max(map(len, aligner.known)) <= 3
+
+
 def test_alignment_of_nothing(spark):
     assert not alignment.align(spark.createDataFrame([], "doc_id long, text string"), *map(tokenizer, FILES)).collect()
 
