@@ -127,6 +127,43 @@ def communities_from_parquet(spark, sf) -> DataFrame:
     return read.withColumn("comments", F.array_join("comments", "|"))
 
 
+_CUT_LINE_SQL = "'{\"name\":\"t1_' || key || '\",\"ups\":'"
+
+
+@query(
+    f"SELECT CASE WHEN ups < 0 THEN {_CUT_LINE_SQL} ELSE 't1_' || key END AS record, "
+    "CASE WHEN ups < 0 THEN NULL ELSE ups END AS ups, ups < 0 AS malformed FROM " + t.COMMENTS_SQL
+)
+def malformed_lines_apart(spark, sf) -> DataFrame:
+    """Comments with a negative sum of upvotes are lines that break off."""
+    comments = t.comments(spark, sf)
+    whole = F.to_json(
+        F.struct(
+            F.concat(F.lit("t1_"), F.col("key").cast("string")).alias("name"),
+            F.col("id").alias("subreddit"),
+            F.col("comments").alias("body"),
+            "ups",
+        )
+    )
+    cut = F.concat(F.lit('{"name":"t1_'), F.col("key").cast("string"), F.lit('","ups":'))
+    path = scratch_path(spark, "lines")
+    comments.select(F.when(F.col("ups") < 0, cut).otherwise(whole).alias("value")).write.text(path)
+    records, malformed = readers.read_lines_apart(spark, path)
+    good = records.select(F.col("name").alias("record"), "ups", F.lit(False).alias("malformed"))
+    bad = malformed.select("line", F.lit(None).cast("long"), F.lit(True))
+    return good.union(bad)
+
+
+@query(f"SELECT id, ups, comm_count FROM {t.stats_sql()}")
+def published_statistics(spark, sf) -> DataFrame:
+    """The second of two published versions is read, whole."""
+    directory = scratch_path(spark, "published")
+    stats = com.community_stats(t.comments(spark, sf, True))
+    writers.publish_tables({"stats": stats.limit(0)}, directory)
+    writers.publish_tables({"stats": stats}, directory)
+    return writers.published_tables(spark, directory)["stats"].select("id", "ups", "comm_count")
+
+
 @query(f"SELECT id, comm_ups_ratio FROM {t.ratio_sql()}")
 def ratio_board_from_result(spark, sf) -> DataFrame:
     """A result directory of CSV parts, read by its fixed layout."""

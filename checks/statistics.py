@@ -284,3 +284,16 @@ def seeded_sample_of_10000(spark, sf) -> DataFrame:
 def index_by_frequency(spark, sf) -> DataFrame:
     """Numeric community index, as a long."""
     return ranking.index_by_frequency(t.comments(spark, sf, True))
+
+
+_CONTENT_SQL = "md5(coalesce(md5(source), '-') || '|' || coalesce(md5(lang), '-'))"
+
+
+@query(
+    "SELECT source, lang FROM (SELECT *, row_number() OVER (PARTITION BY content) AS occurrence FROM "
+    f"(SELECT source, lang, {_CONTENT_SQL} AS content FROM documents)) "
+    "ORDER BY md5('10|' || content || '|' || occurrence), content, occurrence LIMIT 500"
+)
+def content_sample(spark, sf) -> DataFrame:
+    """A sample of rows that are repeated very often and have no key."""
+    return ranking.content_sample(t.table(spark, sf, "documents").select("source", "lang"), 500)

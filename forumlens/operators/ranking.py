@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from forumlens.session import materialise
+from forumlens.session import materialise, small_side
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
+OCCURRENCES = 10_000  # of a repeated row that are numbered at once
 SAMPLE_BUCKET_DIGITS = 5  # hexadecimal digits: about a million buckets
 
 
@@ -69,6 +70,28 @@ def seeded_sample(df: DataFrame, keys: Sequence[str], n: int, seed: int = 10) ->
     )
 
 
+def content_sample(df: DataFrame, n: int, seed: int = 10) -> DataFrame:
+    """Exactly ``n`` rows (or all, if fewer) of a table without a key, whatever its order or splits.
+
+    A row's key is a digest of its columns, and equal rows are told apart by an occurrence number:
+    they are alike, so that only how many of them are taken matters. Digests are counted before
+    they are shuffled, each occurrence has a seeded hash, and the ``n`` smallest are found by
+    merging each task's smallest. Rows come back by a join with these digests, ``n`` at most.
+    """
+    content = F.md5(F.concat_ws("|", *[F.coalesce(F.md5(F.col(c).cast("string")), F.lit("-")) for c in df.columns]))
+    keyed = df.withColumn("_content", content)
+    counts = keyed.groupBy("_content").agg(F.count("*").alias("_count"))
+    # two steps, so that no array is long however often a row is repeated
+    blocks = counts.withColumn("_first", F.explode(F.sequence(F.lit(1), F.col("_count"), F.lit(OCCURRENCES))))
+    last = F.least(F.col("_count"), F.col("_first") + OCCURRENCES - 1)
+    each = blocks.select("_content", F.explode(F.sequence("_first", last)).alias("_occurrence"))
+    hashed = F.md5(F.concat_ws("|", F.lit(str(seed)), "_content", F.col("_occurrence").cast("string")))
+    smallest = each.orderBy(hashed, "_content", "_occurrence").limit(n)
+    taken = materialise(smallest.groupBy("_content").agg(F.count("*").alias("_taken")), "taken")
+    rows = keyed.join(small_side(taken), "_content").dropDuplicates(["_content"])
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_taken")))).select(*df.columns)
+
+
 def index_by_frequency(df: DataFrame, column: str = "id", name: str = "index") -> DataFrame:
     """``column, n, index``: 0 for the most frequent value, ties in alphabetical order."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))

@@ -27,13 +27,20 @@ def run(
     partitions: int | None = None,
     lemmas: bool = False,
     dictionary: DataFrame | None = None,
+    malformed: str | None = None,
 ) -> None:
     """The boards refuse targets that exist; the documents replace theirs.
 
     The documents are written first and the boards are made from their narrow
-    columns, so that the comments are cleaned once.
+    columns, so that the comments are cleaned once. With ``malformed``, lines that are no
+    comments are written there, as ``file, line``, and count nowhere.
     """
-    comments = inputs.comments(spark, source, partitions)
+    if malformed is None:
+        comments = inputs.comments(spark, source, partitions)
+    else:
+        records, lines = readers.read_lines_apart(spark, source, partitions=partitions)
+        writers.write_parquet(lines, malformed)
+        comments = materialise(communities.select_comments(records), "comments")  # parsed once more, not each time
     if lemmas:
         cleaned = cleaning.clean_tokens_lemma(comments, dictionary=dictionary)
         written = materialise(cleaned, "lemma-tokens")
@@ -58,6 +65,7 @@ def main() -> None:
     parser.add_argument("--partitions", type=int, help="after input that cannot be split")
     parser.add_argument("--lemmas", action="store_true", help="letters of any script, lemmatised")
     parser.add_argument("--dictionary", help="text file of known nouns, one per line")
+    parser.add_argument("--malformed", help="folder for lines that are no comments")
     args = parser.parse_args()
     spark = build_session("community-statistics")
     nouns = inputs.nouns(spark, args.dictionary)
@@ -71,6 +79,7 @@ def main() -> None:
         args.partitions,
         args.lemmas,
         nouns,
+        args.malformed,
     )
 
 

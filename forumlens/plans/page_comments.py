@@ -27,14 +27,10 @@ def run(
     seed: int = SAMPLE_SEED,
     dictionary: DataFrame | None = None,
 ) -> None:
-    """Comments have no key, so that their place in the input tells equal ones apart.
-
-    The sample is the same for the same files, read in the same splits.
-    """
+    """Comments have no key; the sample depends on what they say, not on files, order or splits."""
     comments = readers.read_pages(spark, pages).filter(F.col("comment_message").isNotNull())
-    keyed = comments.withColumn("key", F.monotonically_increasing_id())
-    keyed = materialise(keyed, "page-comments")
-    sample = materialise(ranking.seeded_sample(keyed, ["key"], rows, seed), "sample")
+    comments = materialise(comments, "page-comments")  # multi-line CSV is parsed once
+    sample = materialise(ranking.content_sample(comments, rows, seed), "sample")
     cleaned = cleaning.clean_page(sample, dictionary=dictionary)
     kept = communities.drop_empty(cleaned, "comment_message")
     writers.write_csv(kept.select("comment_message"), output)

@@ -62,7 +62,9 @@ def run(
     output: str,
     k: int = topics.TOPICS,
     excluded: Sequence[str] = (),
+    versioned: bool = False,
 ) -> None:
+    """``versioned`` publishes all tables at once, so that no reader sees old and new ones together."""
     parsed = readers.read_result(spark, distributions, schemas.DISTRIBUTIONS).withColumn(
         "topicDistribution", parse_distribution(F.col("topicDistribution"))
     )
@@ -76,7 +78,8 @@ def run(
         k,
         excluded,
     )
-    writers.write_serving_tables(tables, output)
+    write = writers.publish_tables if versioned else writers.write_serving_tables
+    write(tables, output)
 
 
 def main() -> None:
@@ -85,6 +88,7 @@ def main() -> None:
         parser.add_argument(name)
     parser.add_argument("--topics", type=int, default=topics.TOPICS)
     parser.add_argument("--exclude", nargs="*", default=(), help="communities left out")
+    parser.add_argument("--versioned", action="store_true", help="publish a new version of all tables at once")
     args = parser.parse_args()
     run(
         build_session("serving-tables"),
@@ -96,6 +100,7 @@ def main() -> None:
         args.output,
         args.topics,
         args.exclude,
+        args.versioned,
     )
 
 

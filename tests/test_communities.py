@@ -210,3 +210,19 @@ def test_null_values_and_the_null_community_on_boards(spark):
     ids = boards.shown_ids(ups.filter("id IS NULL"))
     assert [r["id"] for r in boards.shown(merged, ids).collect()] == [None]
     assert sorted(r["id"] for r in boards.not_shown(merged, ids).collect()) == ["a", "b", "c"]
+
+
+def test_content_sample_does_not_depend_on_splits(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "OCCURRENCES", 7)
+    rows = [("hot", 1)] * 300 + [(f"row {k}", k % 3) for k in range(200)] + [(None, None)] * 5 + [("", None)]
+    df = spark.createDataFrame(rows, "text string, _other int")
+    samples = [
+        sorted(map(tuple, ranking.content_sample(part, 100).collect()), key=str)
+        for part in (df.coalesce(1), df.repartition(7), df.repartition(50, "text").orderBy(F.rand()))
+    ]
+    assert samples[0] == samples[1] == samples[2]
+    assert len(samples[0]) == 100
+    assert 30 < samples[0].count(("hot", 1)) < 85  # 59 of 100 are expected
+    assert sorted(map(tuple, ranking.content_sample(df, 1000).collect()), key=str) == sorted(rows, key=str)
+    assert samples[0] != sorted(map(tuple, ranking.content_sample(df, 100, seed=11).collect()), key=str)
+    assert not ranking.content_sample(df.limit(0), 10).collect()

@@ -196,3 +196,65 @@ def test_prototypes(spark, small, tmp_path):
     matrix, index = prototypes.indexed_topics(spark, source, k=3, iterations=2)
     assert index.count() == 20
     assert matrix.select("topic").distinct().count() == 3
+
+
+LINES = [
+    '{"name": "t1_1", "ups": 3, "subreddit": "a", "body": "one", "unknown": [1]}',
+    '{"name": "t1_2", "ups": null}',
+    "{}",
+    '{"name": "t1_3", "ups": ',
+    '{"name": "t1_4", "ups": "many"}',
+    "no JSON at all",
+    "null",
+    "17",
+    "",
+    "  \t",
+]
+
+
+def test_malformed_lines_are_kept_apart(spark, tmp_path):
+    path = str(tmp_path / "lines.json")
+    with open(path, "w") as out:
+        out.write("\n".join(LINES))
+    records, malformed = readers.read_lines_apart(spark, path)
+    assert records.schema.names == schemas.COMMENTS.names
+    got = sorted((r["name"] or "", r["ups"]) for r in records.collect())
+    assert got == [("", None), ("t1_1", 3), ("t1_2", None)]
+    assert records.select("name").count() == 3  # the same for any columns
+    assert sorted(r["line"] for r in malformed.collect()) == sorted(LINES[3:8])
+    assert {os.path.basename(r["file"]) for r in malformed.collect()} == {"lines.json"}
+
+
+def test_malformed_lines_of_nothing(spark, tmp_path):
+    path = str(tmp_path / "none.json")
+    open(path, "w").close()
+    assert [df.count() for df in readers.read_lines_apart(spark, path)] == [0, 0]
+
+
+def test_statistics_without_malformed_lines(spark, json_path, tmp_path):
+    mixed = str(tmp_path / "mixed.json")
+    with gzip.open(json_path, "rt") as whole, open(mixed, "w") as out:
+        out.write(whole.read() + "\n" + "\n".join(LINES[3:8]))
+    names = ("documents", "counts", "ups", "ratios")
+    one, two = ([str(tmp_path / f"{k}-{name}") for name in names] for k in (1, 2))
+    community_statistics.run(spark, json_path, *one)
+    community_statistics.run(spark, mixed, *two, malformed=str(tmp_path / "malformed"))
+    for first, second in zip(one[1:], two[1:], strict=True):
+        rows = [sorted(map(tuple, spark.read.csv(path).collect()), key=str) for path in (first, second)]
+        assert rows[0] == rows[1]
+    assert spark.read.parquet(str(tmp_path / "malformed")).count() == 5
+
+
+def test_published_versions(spark, tmp_path):
+    directory = str(tmp_path / "served")
+    assert writers.published_tables(spark, directory) == {}
+    old = {"a": spark.range(3), "b": spark.range(4)}
+    writers.publish_tables(old, directory)
+    reading = writers.published_tables(spark, directory)
+    broken = spark.range(5).select(F.raise_error(F.lit("no table")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="no table"):
+        writers.publish_tables({"a": spark.range(9), "b": broken}, directory)
+    assert {k: df.count() for k, df in writers.published_tables(spark, directory).items()} == {"a": 3, "b": 4}
+    writers.publish_tables({"a": spark.range(1), "b": spark.range(2)}, directory)
+    assert {k: df.count() for k, df in writers.published_tables(spark, directory).items()} == {"a": 1, "b": 2}
+    assert {k: df.count() for k, df in reading.items()} == {"a": 3, "b": 4}  # not disturbed
