@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
@@ -18,7 +19,7 @@ from pyspark.sql.functions import arrow_udf
 from forumlens.functions.text import COMPOUND_MARK
 from forumlens.functions.wordlists import NOUN_ENDINGS
 from forumlens.operators.lookup import lookup_join
-from forumlens.session import BROADCAST_ROWS, materialise
+from forumlens.session import BROADCAST_BYTES, BROADCAST_ROWS, materialise
 
 
 def can_change(word: Column) -> Column:
@@ -144,14 +145,17 @@ def lemmatise_tokens(
     column: str,
     table: DataFrame,
     max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Replace the tokens of every row by their lemmas, also inside compound tokens. Null stays null.
 
-    If at most ``max_rows`` words have another lemma, every task gets them and no
-    row moves. Beyond that the words that change are looked up by join.
+    If the words that have another lemma are at most ``max_rows`` and, with their lemmas, at most
+    ``max_bytes``, every task gets them and no row moves. Beyond that they are looked up by join.
     """
     changed = table.filter(_is_changed()).select("word", "lemma")
-    if changed.count() <= max_rows:
+    size = F.sum(F.octet_length("word") + F.octet_length("lemma"))
+    rows, total = changed.agg(F.count("*"), F.coalesce(size, F.lit(0))).first()
+    if rows <= max_rows and total <= max_bytes:
         done = _lemma_function(changed)(F.col(column))
         return df.withColumn(column, F.when(F.col(column).isNotNull(), done))
     return _lemmatise_by_join(df, column, table, max_rows)
@@ -181,27 +185,30 @@ def _lemma_function(changed: DataFrame) -> Callable[[Column], Column]:
 def _lemmatise_by_join(
     df: DataFrame, column: str, table: DataFrame, max_rows: int
 ) -> DataFrame:
-    """Rows are written with a number each; only distinct words that some rule applies to
-    leave them, and those with another lemma come back as one map per row."""
-    keys = ["_row"]
+    """Rows are written with a number each. Words leave them with their place; those with another
+    lemma come back as lists of places and lemmas, and are put there in time linear in the row."""
     rows = materialise(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    single = F.split(F.array_join(column, COMPOUND_MARK), COMPOUND_MARK)
-    words = rows.select(*keys, F.explode(F.array_distinct(single)).alias("word_"))
+    single = F.split(F.array_join(column, COMPOUND_MARK, ""), COMPOUND_MARK)
+    words = rows.select("_row", F.posexplode(single).alias("_place", "word_"))
     changed = map_words(words, "word_", table, max_rows).filter(F.col("lemma") != F.col("word_"))
-    maps = changed.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct("word_", "lemma"))).alias("_lemmas")
-    )
-
-    def mapped(word: Column) -> Column:
-        return F.coalesce(F.col("_lemmas")[word], word)
-
-    def token(token: Column) -> Column:
-        parts = F.transform(F.split(token, COMPOUND_MARK), mapped)
-        compound = F.contains(token, F.lit(COMPOUND_MARK))
-        return F.when(compound, F.array_join(parts, COMPOUND_MARK)).otherwise(mapped(token))
-
-    joined = rows.join(maps, list(keys), "left")
-    replaced = F.when(F.col("_lemmas").isNull(), F.col(column)).otherwise(
-        F.transform(column, token)
-    )
-    return joined.withColumn(column, replaced).select(*df.columns)
+    found = changed.groupBy("_row").agg(F.collect_list(F.struct("_place", "lemma")).alias("_found"))
+    done = _put_lemmas(F.col(column), F.col("_found._place"), F.col("_found.lemma"))
+    replaced = F.when(F.col("_found").isNull(), F.col(column)).otherwise(done)
+    return rows.join(found, "_row", "left").withColumn(column, replaced).select(*df.columns)
+
+
+@arrow_udf("array<string>")
+def _put_lemmas(tokens: pa.Array, places: pa.Array, lemmas: pa.Array) -> pa.Array:
+    """Token lists with lemmas at the given places of their single words."""
+    flat = tokens.flatten()
+    parts = pc.split_pattern(pc.fill_null(flat, ""), COMPOUND_MARK)
+    single, part_offsets = parts.flatten(), np.asarray(parts.offsets)
+    offsets = np.cumsum([0, *pc.fill_null(pc.list_value_length(tokens), 0).to_pylist()])
+    firsts = part_offsets[offsets[:-1]]
+    at = np.repeat(firsts, pc.fill_null(pc.list_value_length(places), 0)) + np.asarray(places.flatten())
+    source = np.arange(len(single))
+    source[at] = len(single) + np.arange(len(at))
+    words = pa.concat_arrays([single, lemmas.flatten().cast(single.type)]).take(pa.array(source))
+    joined = pc.binary_join(pa.ListArray.from_arrays(parts.offsets, words), COMPOUND_MARK)
+    joined = pc.if_else(flat.is_null(), pa.scalar(None, joined.type), joined)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), joined)

@@ -10,6 +10,8 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 # A side is broadcast only when it is known to hold at most this many rows.
 BROADCAST_ROWS = 300_000
+# A table of words is sent to every task only up to this many bytes of text.
+BROADCAST_BYTES = 32 << 20
 
 
 def build_session(app: str) -> SparkSession:

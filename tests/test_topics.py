@@ -299,3 +299,23 @@ def test_pipelines(spark, small, name):
         assert topics.fitted_stage(model, CountVectorizerModel)
         words = topics.topic_words(topics.topics_of(model), topics.vocabulary_of(model))
         assert all(None not in r["term_words"] for r in words.collect())
+
+
+def test_lemmas_beyond_the_byte_bound(spark):
+    rows = [(1, ["cats", None, "cats,dog", "", "x"]), (2, []), (3, None), (4, ["cats"] * 3), (5, [None]), (6, ["x", "dog,cats"])]
+    df = spark.createDataFrame(rows, "id int, comments array<string>")
+    table = spark.createDataFrame([("cats", 9, "cat"), ("x", 2, "x")], "word string, n long, lemma string")
+    want = [(1, ["cat", None, "cat,dog", "", "x"]), (2, []), (3, None), (4, ["cat"] * 3), (5, [None]), (6, ["x", "dog,cat"])]
+    joined = lemmas.lemmatise_tokens(df, "comments", table, max_bytes=6)  # cats and cat have 7
+    assert "Join" in joined._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, joined.collect())) == want
+
+
+def test_lemmas_of_a_row_of_a_million_words(spark):
+    words = F.transform(F.sequence(F.lit(1), F.lit(1_000_000)), lambda i: F.concat(F.lit("w"), i.cast("string"), F.lit("s")))
+    df = spark.range(1).select("id", words.alias("comments"))
+    word = F.concat(F.lit("w"), F.col("id").cast("string"), F.lit("s"))
+    lemma = F.when(F.col("id") % 2 == 0, F.concat(F.lit("w"), F.col("id").cast("string"))).otherwise(word)
+    table = spark.range(1, 1_000_001).select(word.alias("word"), F.lit(1).cast("long").alias("n"), lemma.alias("lemma"))
+    done = lemmas.lemmatise_tokens(df, "comments", table).select(F.size("comments"), F.slice("comments", 999_997, 4)).first()
+    assert list(done) == [1_000_000, ["w999997s", "w999998", "w999999s", "w1000000"]]
