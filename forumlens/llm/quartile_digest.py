@@ -113,7 +113,7 @@ def compare_with_next(documents: DataFrame) -> DataFrame:
         )
         heads = ranged.join(F.broadcast(before), "place").filter(F.col("doc_id").eqNullSafe(F.col("least")))
         rows = rows.union(heads.select("back", F.lit(1), "doc_id", "text"))
-    dealt = rows.repartition(max(1, len(firsts)), "place").sortWithinPartitions(
+    dealt = rows.repartitionById(len(cuts) + 1, F.col("place")).sortWithinPartitions(  # a range is a task
         "place", "after", F.asc_nulls_first("doc_id"), "text"
     )
     return dealt.mapInArrow(_compared, _SCHEMA)

@@ -114,20 +114,49 @@ def _address(url: str) -> str:
     )
 
 
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _path(url: str) -> str:
+    rest = f"substr({url}, instr({url}, '://') + 3)"
+    return f"CASE WHEN contains({url}, '://') THEN regexp_extract({rest}, '^[^/?#]*([^?#]*)', 1) ELSE '' END"
+
+
+def _undotted(target: str) -> str:
+    found = f"regexp_extract({target}, '^([^?#]*)', 1)"
+    parts = rf"string_split(substr(regexp_replace({found}, '/(\.\.?)$', '/\1/'), 2), '/')"
+    step = r"CASE y WHEN '..' THEN regexp_replace(x, '/[^/]*$', '') WHEN '.' THEN x ELSE x || '/' || y END"
+    return f"list_reduce({parts}, lambda x, y: {step}, '') || substr({target}, length({found}) + 1)"
+
+
+def _elements(tag: str, kind: str, value: str) -> str:
+    some = f"list_filter(regexp_extract_all(html, {_quoted(tag)}), lambda e: regexp_matches(e, {_quoted(kind)}))"
+    ends = "'\"'' ' || chr(9) || chr(10) || chr(12) || chr(13)"
+    return f"list_transform({some}, lambda e: replace(trim(regexp_extract(e, {_quoted(value)}, 1), {ends}), '&amp;', '&'))"
+
+
+_SITE = f"regexp_extract(url, {_quoted(url_aliases.SITE)}, 1)"
+_LINKS = rf"""
+links AS (SELECT address AS a, {_address("t")} AS b FROM (SELECT address, CASE
+    WHEN regexp_matches(t, '{url_aliases.SCHEME}//') THEN t WHEN starts_with(t, '//') THEN 'http:' || t
+    WHEN regexp_matches(t, '{url_aliases.SCHEME}') OR starts_with(t, '#') OR t = '' THEN NULL
+    WHEN starts_with(t, '?') THEN {_SITE} || path || t WHEN starts_with(t, '/') THEN {_SITE} || {_undotted("t")}
+    ELSE {_SITE} || {_undotted("f")} END AS t
+  FROM (SELECT *, CASE WHEN contains(path, '/') THEN regexp_extract(path, '(?s)^(.*/)', 1) ELSE '/' END || t AS f
+    FROM (SELECT address, url, {_path("url")} AS path, unnest(list_concat(
+      {_elements(url_aliases.LINK, url_aliases.REL, url_aliases.HREF)},
+      {_elements(url_aliases.META, url_aliases.REFRESH, url_aliases.TARGET)})) AS t FROM n)))),"""
+
 ORACLES["op1_url_aliases"] = rf"""
 WITH RECURSIVE u AS (
-  SELECT page_id, html, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest,
+  SELECT page_id, html, url, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest,
     {_address("url")} AS address FROM pages),
-n AS (SELECT page_id, html, address,
+n AS (SELECT page_id, html, url, address,
     translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host,
     regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM u),
 rules(rhost, rpath, verdict) AS (VALUES {_RULES}),
-links AS (
-  SELECT address AS a, {_address("t")} AS b FROM (
-    SELECT address, unnest([
-      regexp_extract(regexp_extract(html, '(?i)<link\s[^>]*rel\s*=\s*["'']?canonical["''\s][^>]*>'), '(?i)\shref\s*=\s*["'']?([^"''\s>]+)', 1),
-      regexp_extract(regexp_extract(html, '(?i)<meta\s[^>]*http-equiv\s*=\s*["'']?refresh["''\s][^>]*>'), '(?i)url\s*=\s*["'']?([^"''\s>]+)', 1)]) AS t
-    FROM n)),
+{_LINKS}
 e AS (SELECT a, b FROM links WHERE a <> b UNION SELECT b, a FROM links WHERE a <> b),
 sites AS (SELECT DISTINCT address, host, path FROM n WHERE address IS NOT NULL UNION
   SELECT a, regexp_extract(a, '^([^/?#]*)', 1), regexp_extract(a, '^[^/?#]*([^?#]*)', 1) FROM e),
@@ -162,21 +191,29 @@ SELECT r.doc_id, n_shingles, min(m) AS component_id FROM r JOIN n USING (doc_id)
 
 
 def _licence_sql() -> str:
-    names = ", ".join(f"'{s}': '{i}'" for s, i in licences.SENTENCES)
+    """The same sentences, names and rules. RE2 cannot look ahead, so that breaks are doubled."""
+    known, names = dict(licences.ALL_KNOWN), licences.NAMED
+    pattern = licences.pattern(licences.ALL_KNOWN, list(names), r"(?: |\n\n)", r"\|\|")
+    sentences = ", ".join(f"'{s.replace(';', '')}': {i.split(' ')}" for s, i in known.items())
+    by_name = ", ".join(f"'{s}': '{i}'" for s, i in names.items())
     steps, last = [], "b"
-    for k, (name, seq) in enumerate(licences.RULES):
+    for k, (name, seq) in enumerate(licences.ALL_RULES):
         words = "".join(f"<{x}>" for x in seq)
         steps.append(
-            f"r{k} AS (SELECT doc_id, identifiers, replace(l, '{words}', '|') AS l, CASE WHEN contains(l, '{words}') "
+            f"r{k} AS MATERIALIZED (SELECT doc_id, identifiers, replace(l, '{words}', '|') AS l, CASE WHEN contains(l, '{words}') "
             f"AND NOT list_contains(f, '{name}') THEN list_append(f, '{name}') ELSE f END AS f FROM {last})"
         )
         last = f"r{k}"
     return rf"""
-WITH p AS (SELECT doc_id, regexp_split_to_array(coalesce(text, ''), '\n+|[.!?;]+[ \t\r]+') AS p FROM documents),
-s AS (SELECT doc_id, list_transform(p, lambda t:
-  trim(regexp_replace(translate(t, '{_UPPER}', '{_LOWER}'), '[^a-z0-9]+', ' ', 'g'), ' ')) AS s FROM p),
-m AS (SELECT MAP {{{names}}} AS m),
-i AS (SELECT doc_id, list_filter(list_transform(s, lambda t: m[t]), lambda t: t IS NOT NULL) AS identifiers FROM s, m),
+WITH a AS (SELECT doc_id, translate(coalesce(text, ''), '{_UPPER}|', '{_LOWER} ') AS t FROM documents),
+p AS (SELECT doc_id, regexp_replace(regexp_replace(t, 'software:[ \t\r\n]', 'software|' || chr(10), 'g'), '[.!?;][ \t\r\n]', '|' || chr(10), 'g') AS t FROM a),
+q AS (SELECT doc_id, regexp_replace(regexp_replace(t, '[^a-z0-9|\n]+', ' ', 'g'), '\n[ \n]*\n', '|', 'g') AS t FROM p),
+d AS (SELECT doc_id, regexp_replace(regexp_replace(t, '[ \n|]*\|[ \n|]*', '||', 'g'), ' ?\n ?', chr(10) || chr(10), 'g') AS t FROM q),
+s AS (SELECT doc_id, list_transform(regexp_extract_all(t, '(?:^ ?|[\n|])({pattern})(?: ?$|[\n|])', 1),
+  lambda x: replace(replace(x, chr(10) || chr(10), ' '), '||', ' ')) AS s FROM d),
+m AS (SELECT MAP {{{sentences}}} AS m, MAP {{{by_name}}} AS w),
+i AS (SELECT doc_id, coalesce(flatten(list_transform(s, lambda x: coalesce(m[x], list_transform(
+  regexp_extract_all(regexp_replace(x, '{licences.AFTER}', ''), '{licences.names_pattern(list(names))}', 1), lambda n: w[n])))), []) AS identifiers FROM s, m),
 b AS (SELECT doc_id, identifiers, array_to_string(list_transform(identifiers, lambda t: '<' || t || '>'), '') AS l,
   CAST([] AS VARCHAR[]) AS f FROM i),
 {", ".join(steps)}

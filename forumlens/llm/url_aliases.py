@@ -22,10 +22,15 @@ RULES = [
 ]
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_CANONICAL = r"""(?i)<link\s[^>]*rel\s*=\s*["']?canonical["'\s][^>]*>"""
-_HREF = r"""(?i)\shref\s*=\s*["']?([^"'\s>]+)"""
-_REFRESH = r"""(?i)<meta\s[^>]*http-equiv\s*=\s*["']?refresh["'\s][^>]*>"""
-_TARGET = r"""(?i)url\s*=\s*["']?([^"'\s>]+)"""
+# patterns that Java and RE2 read alike, so that the SQL has them too
+LINK, META = r"(?i)<link\s[^>]*>", r"(?i)<meta\s[^>]*>"
+REL = r"""(?i)\srel\s*=\s*(?:"\s*|"[^"]*\s|'\s*|'[^']*\s|)canonical(?:["'\s/>])"""
+REFRESH = r"""(?i)\shttp-equiv\s*=\s*["']?\s*refresh(?:["'\s/>])"""
+HREF = r"""(?i)\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+TARGET = r"""(?i)url\s*=\s*["']?([^"'\s>]+)"""
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
+SITE = r"(?s)^(.*?://[^/?#]*)"
+AROUND = "\"' \t\r\n\f"  # taken off both ends of an attribute's value
 
 
 def _rest(url: Column) -> Column:
@@ -50,18 +55,55 @@ def address(url: Column) -> Column:
     return F.when(F.contains(url, F.lit("://")), F.concat(host(url), path(url), query))
 
 
-def declared_links(pages: DataFrame) -> DataFrame:
-    """``a, b``: from each page's address to its canonical and its refresh address.
+def _undotted(target: Column) -> Column:
+    """A target that begins with ``/``, with the path's ``.`` and ``..`` worked out."""
+    found = F.regexp_extract(target, r"^([^?#]*)", 1)
+    parts = F.split(F.substring(F.regexp_replace(found, r"/(\.\.?)$", "/$1/"), F.lit(2), F.length(found) + 2), "/")
+
+    def step(done: Column, part: Column) -> Column:
+        up = F.when(part == "..", F.regexp_replace(done, "/[^/]*$", ""))
+        return up.when(part == ".", done).otherwise(F.concat(done, F.lit("/"), part))
+
+    rest = F.substring(target, F.length(found) + 1, F.length(target))
+    return F.concat(F.aggregate(parts, F.lit(""), step), rest)
 
-    Only absolute addresses in the html's link and meta elements count.
+
+def resolved(target: Column, url: Column) -> Column:
+    """The whole url that ``target`` means on the page ``url``.
+
+    Without a scheme a target is meant from the host (``//host/a``), the site (``/a``), the page
+    (``?q``) or its folder (``a``, ``../a``). Null: an empty target, a mere fragment, or a scheme
+    without ``://`` (such as ``mailto:``).
     """
-    found = F.array(
-        F.regexp_extract(F.regexp_extract("html", _CANONICAL, 0), _HREF, 1),
-        F.regexp_extract(F.regexp_extract("html", _REFRESH, 0), _TARGET, 1),
+    site = F.regexp_extract(url, SITE, 1)
+    folder = F.regexp_extract(path(url), "(?s)^(.*/)", 1)
+    folder = F.when(folder == "", F.lit("/")).otherwise(folder)
+    return (
+        F.when(target.rlike(SCHEME + "//"), target)
+        .when(target.startswith("//"), F.concat(F.lit("http:"), target))
+        .when(target.rlike(SCHEME) | target.startswith("#") | (target == ""), F.lit(None))
+        .when(target.startswith("?"), F.concat(site, path(url), target))
+        .when(target.startswith("/"), F.concat(site, _undotted(target)))
+        .otherwise(F.concat(site, _undotted(F.concat(folder, target))))
     )
+
+
+def declared_links(pages: DataFrame) -> DataFrame:
+    """``a, b``: from each page's address to all its canonical and refresh addresses.
+
+    All of the html's link and meta elements count, with ``canonical`` anywhere in ``rel``; what
+    they name is resolved against the page's url (a ``base`` element is not used).
+    """
+
+    def elements(tag: str, kind: str, value: str) -> Column:
+        some = F.filter(F.regexp_extract_all("html", F.lit(tag), F.lit(0)), lambda e: e.rlike(kind))
+        return F.transform(some, lambda e: F.replace(F.btrim(F.regexp_extract(e, value, 1), F.lit(AROUND)), F.lit("&amp;"), F.lit("&")))
+
     has = F.col("html").rlike(r"(?i)canonical|refresh")  # most pages have neither
-    ends = pages.filter(has).select(address(F.col("url")).alias("a"), F.explode(found).alias("to"))
-    return ends.select("a", address(F.col("to")).alias("b")).filter("a IS NOT NULL AND b IS NOT NULL")
+    found = F.concat(elements(LINK, REL, HREF), elements(META, REFRESH, TARGET))
+    ends = pages.filter(has).select("url", F.explode(found).alias("to"))
+    links = ends.select(address(F.col("url")).alias("a"), address(resolved(F.col("to"), F.col("url"))).alias("b"))
+    return links.filter("a IS NOT NULL AND b IS NOT NULL")
 
 
 def matched(sites: DataFrame, rules: DataFrame) -> DataFrame:

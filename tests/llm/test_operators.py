@@ -337,11 +337,11 @@ def test_licences_of_standard_texts(spark):
     gpl2 = GPL.replace("software:", "software;").replace("Foundation,", "Foundation;").replace("version 3", "version 2")
     lesser = GPL.replace("GNU General", "GNU Lesser General")
     wanted = [
-        (MIT, ["MIT"], ["MitGrant", "MitAsIs"]), (BSD, ["BSD"], ["AllRights", "BsdGrant"]),
+        (MIT, ["MIT"], ["MIT", "MitGrant", "MitAsIs"]), (BSD, ["BSD"], ["AllRights", "BsdGrant"]),
         (APACHE, ["Apache-2.0"], ["Apache2Ref", "ApacheUse", "ApacheCopy"]), (GPL, ["GPL-3.0-or-later"], ["Gpl3Ref", "OrLater"]),
         (gpl2, ["GPL-2.0-or-later"], ["Gpl2Ref", "OrLater"]), (GPL.replace("Some Tool is free", "This program is free"), ["GPL-3.0-or-later"], None),
         (gpl2.replace("either version 2 of the License, or\n(at your option) any later version", "version 2"), ["GPL-2.0-only"], None),
-        (lesser, [], []), ("x\nReleased under the MIT License\ny", ["MIT"], ["MitRef"]), ("not Released under the MIT License", [], []),
+        (lesser, ["LGPL-3.0-or-later"], ["LGPL-3.0", "OrLater"]), ("x\nReleased under the MIT License\ny", ["MIT"], ["MitRef"]), ("not Released under the MIT License", [], []),
         ("Released\n\nunder the MIT License", [], []), (None, [], []), (" ;\n \n" * 9, [], []),
     ]
     changes = [
