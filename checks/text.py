@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from checks import tables as t
 from checks.registry import add, query
 from forumlens.functions import text
+from forumlens.functions.wordlists import NOUN_ENDINGS
 from forumlens.operators import cleaning, communities
 from forumlens.operators.lemmas import lemma_table
 from forumlens.operators.terms import word_counts
@@ -207,25 +208,12 @@ def default_stop_words_removed(spark, sf) -> DataFrame:
 
 # -- lemmas ----------------------------------------------------------------------------------
 
-_ENDINGS = (
-    ("s", ""),
-    ("ses", "s"),
-    ("ves", "f"),
-    ("xes", "x"),
-    ("zes", "z"),
-    ("ches", "ch"),
-    ("shes", "sh"),
-    ("men", "man"),
-    ("ies", "y"),
-)
-
-
 def lemmas_sql(table: str, key: str, tokens: str) -> str:
     """CTEs ``toks(key, pos, sub, word)`` and ``lemmas(word, n, lemma)`` of a token list."""
     forms = "\n UNION ALL ".join(
         f"SELECT word, {i}, left(word, length(word) - {len(old)}) || '{new}' "
         f"FROM words WHERE ends_with(word, '{old}')"
-        for i, (old, new) in enumerate(_ENDINGS, 1)
+        for i, (old, new) in enumerate(NOUN_ENDINGS, 1)
     )
     return f"""WITH lists AS (SELECT {key} AS key, {tokens} AS toks FROM {table}),
  elems AS (SELECT key, unnest(toks) AS elem, generate_subscripts(toks, 1) AS pos FROM lists),

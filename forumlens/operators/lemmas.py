@@ -1,7 +1,7 @@
 """Noun lemmas as a table job.
 
-Each word has candidate forms by the published noun-ending rules; those found in a
-dictionary table stay, and the shortest wins. The dictionary is a parameter and by
+Each word has forms by the published noun-ending rules, round after round; of those found in a
+dictionary table in the earliest round, the shortest wins. The dictionary is a parameter and by
 default the words of the corpus itself, as no lexical database is at hand: with
 another dictionary the lemmas change, the rules do not.
 """
@@ -17,57 +17,55 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from forumlens.functions.text import COMPOUND_MARK
-from forumlens.functions.wordlists import NOUN_ENDINGS
 from forumlens.operators.lookup import lookup_join
 from forumlens.session import BROADCAST_BYTES, BROADCAST_ROWS, materialise
 
 
+# All endings but three leave a word's own beginning: its final run of e and s gets shorter.
+_RUN = "es"
+# These three end a chain, as no ending fits what they make: letters of the known form that are
+# replaced, letters that the longer word has there, and letters that it has beyond the form.
+_LAST = (("f", "v", "es"), ("y", "i", "es"), ("an", "en", ""))
+
+
 def can_change(word: Column) -> Column:
     """True for words that some ending rule applies to."""
     return F.endswith(word, F.lit("s")) | F.endswith(word, F.lit("men"))
 
 
-def shorter_forms(word: Column) -> Column:
-    """The forms that the ending rules give, in the order of the rules."""
-    forms = [
-        F.when(
-            F.endswith(word, F.lit(ending)),
-            F.concat(F.substring(word, F.lit(1), F.length(word) - len(ending)), F.lit(new)),
-        )
-        for ending, new in NOUN_ENDINGS
-    ]
-    return F.array_compact(F.array(*forms))
-
-
-def first_forms(word: Column) -> Column:
-    """The word itself and its forms by one application of the rules."""
-    return F.concat(F.array(word), shorter_forms(word))
+def stem(word: Column) -> Column:
+    """The word without its final run of ``e`` and ``s``, which all forms of a word share."""
+    return F.rtrim(word, F.lit(_RUN))
 
 
-def later_forms(word: Column) -> Column:
-    """``array<struct<round, form>>``: the forms of the forms, and so on, from round 1.
+def _origins(form: Column) -> Column:
+    """``array<struct<key, start, more>>``: what words with the form begin with, and their stem.
 
-    A later round counts only when no form of the earlier ones is in the dictionary. A rule
-    that can be followed by another takes at least one letter off the final run of ``e``
-    and ``s``, whose length therefore bounds the rounds.
+    A word has the form if its stem is ``key``, it begins with ``start``, and what follows are
+    steps (see ``_steps``); ``more`` is the number of endings besides these.
     """
-    start = F.struct(
-        shorter_forms(word).alias("last"),
-        F.array().cast("array<struct<round: int, form: string>>").alias("all"),
-    )
+    own = F.struct(stem(form).alias("key"), form.alias("start"), F.lit(0).alias("more"))
+    others = []
+    for end, old, rest in _LAST:
+        key = F.concat(F.substring(form, F.lit(1), F.length(form) - len(end)), F.lit(old))
+        made = F.struct(key.alias("key"), F.concat(key, F.lit(rest)).alias("start"), F.lit(1).alias("more"))
+        others.append(F.when(F.endswith(form, F.lit(end)), made))
+    return F.array_compact(F.array(own, *others))
 
-    def extend(state: Column, round_: Column) -> Column:
-        last = F.flatten(F.transform(state["last"], shorter_forms))
-        found = F.transform(last, lambda form: _form(round_, form))
-        return F.struct(last.alias("last"), F.concat(state["all"], found).alias("all"))
 
-    run = F.length(word) - F.length(F.rtrim(word, F.lit("es")))
-    rounds = F.when(run > 0, F.sequence(F.lit(1), run)).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(rounds, start, extend, lambda state: state["all"])
+def _steps(word: Column, start: Column) -> Column:
+    """How many endings lead from ``word`` back to its beginning ``start``; null if none do.
 
-
-def _form(round_: Column, form: Column) -> Column:
-    return F.struct(round_.cast("int").alias("round"), form.alias("form"))
+    Each ending takes ``s`` off, or ``es`` after s, x, z, ch or sh. So the letters between are
+    ``s`` and ``es`` one after the other: no two ``e`` meet, and the last is an ``s``. Inside the
+    run an ``es`` always follows an ``s``; the first one must follow a letter that allows it.
+    """
+    run = F.substring(word, F.length(start) + 1, F.length(word))
+    allows = F.lit(False)
+    for end in ("s", "x", "z", "ch", "sh"):
+        allows = allows | F.endswith(start, F.lit(end))
+    fits = (run == "") | (F.endswith(run, F.lit("s")) & ~F.contains(run, F.lit("ee")) & (~F.startswith(run, F.lit("e")) | allows))
+    return F.when(fits, F.length(run) - F.length(F.replace(run, F.lit("s"), F.lit(""))))
 
 
 def lemma_table(
@@ -80,41 +78,37 @@ def lemma_table(
     """
     words = materialise(words, "words")
     known = (words if dictionary is None else dictionary).select(F.col("word").alias("form")).distinct()
-    regular = words.filter(can_change(F.col("word")))
+    regular = words.filter(can_change(F.col("word"))).select("word")
     if exceptions is not None:
         regular = regular.join(exceptions, "word", "left_anti")
-    candidates = regular.select(
-        "word", F.posexplode(first_forms(F.col("word"))).alias("pos", "form")
-    ).select("word", "pos", F.lit(0).alias("round"), "form")
+    candidates = _known_forms(regular, known)
     if exceptions is not None:
         own = words.select("word").join(exceptions.select("word").distinct(), "word")
-        candidates = candidates.union(
-            own.select("word", F.lit(0).alias("pos"), F.lit(0).alias("round"), F.col("word"))
-        ).union(
-            words.select("word")
-            .join(exceptions, "word")
-            .select("word", F.lit(1).alias("pos"), F.lit(0).alias("round"), F.col("lemma"))
-        )
-    best = _nearest(candidates, known)
-    if dictionary is not None:  # else every word is its own first form
-        best = materialise(best, "first_lemmas")
-        later = (
-            regular.join(best, "word", "left_anti")
-            .select("word", F.posexplode(later_forms(F.col("word"))).alias("pos", "candidate"))
-            .select("word", "pos", "candidate.round", "candidate.form")
+        irregular = own.select("word", F.lit(0).alias("steps"), F.col("word").alias("form")).union(
+            words.select("word").join(exceptions, "word").select("word", F.lit(1), "lemma")
         )
-        best = best.union(_nearest(later, known))
+        candidates = candidates.unionByName(irregular.join(known, "form", "left_semi"))
+    # the first round is the word itself and one ending; a later one counts if no earlier form is known
+    order = F.struct(F.greatest(F.col("steps"), F.lit(1)), F.length("form"), "steps", "form")
+    best = candidates.groupBy("word").agg(F.min_by("form", order).alias("lemma"))
     table = words.join(best, "word", "left").select(
         "word", "n", F.coalesce("lemma", "word").alias("lemma")
     )
     return materialise(table, "lemmas")
 
 
-def _nearest(candidates: DataFrame, known: DataFrame) -> DataFrame:
-    """``word, lemma``: the shortest known form of the earliest round that has one."""
-    found = candidates.join(known, "form", "left_semi")
-    best = F.min_by("form", F.struct("round", F.length("form"), "pos"))
-    return found.groupBy("word").agg(best.alias("lemma"))
+def _known_forms(words: DataFrame, known: DataFrame) -> DataFrame:
+    """``word, steps, form``: every known form of every word, by whatever number of endings.
+
+    Words and known forms meet by stem, so that a word's forms are never listed: the work is
+    linear in the length of a word and in the known forms of its stem.
+    """
+    origins = known.select("form", F.explode(_origins(F.col("form"))).alias("o")).select("form", "o.*")
+    pairs = words.withColumn("key", stem(F.col("word"))).join(origins, "key")
+    pairs = pairs.filter(F.startswith("word", "start"))
+    return pairs.select("word", (_steps(F.col("word"), F.col("start")) + F.col("more")).alias("steps"), "form").filter(
+        F.col("steps").isNotNull()
+    )
 
 
 def map_words(

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import random
 from collections import Counter
+from itertools import product
 
 import pytest
 from pyspark.ml.clustering import LDAModel
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 
 from checks import tables as t
 from forumlens.functions import text
+from forumlens.functions.wordlists import NOUN_ENDINGS
 from forumlens.operators import cleaning, lemmas, terms, topics
 from forumlens.session import materialise
 
@@ -85,8 +88,6 @@ def test_hashed_vectors_agree_with_the_ml_stage(rows, counts, buckets):
 
 # -- lemmas ----------------------------------------------------------------------------------
 
-ENDINGS = "s: ses:s ves:f xes:x zes:z ches:ch shes:sh men:man ies:y".split()
-
 
 def lemma_reference(word, known, exceptions=None):
     """The rules as published, one round after another."""
@@ -95,7 +96,7 @@ def lemma_reference(word, known, exceptions=None):
         return [
             f[: len(f) - len(old)] + new
             for f in forms
-            for old, new in (e.split(":") for e in ENDINGS)
+            for old, new in NOUN_ENDINGS
             if f.endswith(old)
         ]
 
@@ -117,6 +118,11 @@ WORDS = (
 ).split()
 
 
+# All words of these letters up to a length have every chain of endings among them.
+CHAINS = ["".join(w) for n in range(1, 7) for w in product("esxvin", repeat=n) if w[-1] in "sn"]
+CHAINS += [f"{w}{end}" for w in ("ch", "sh", "me", "h", "men", "c") for n in range(5) for end in map("".join, product("es", repeat=n))]
+
+
 def words_table(spark, words=WORDS):
     counted = Counter(words)
     return spark.createDataFrame([(w, n) for w, n in counted.items()], "word string, n long")
@@ -159,6 +165,25 @@ TOKEN_ROWS = [
 ]
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_lemmas_of_all_chains(spark, seed):
+    rng = random.Random(seed)
+    short = {"".join(w) for n in range(0, 5) for w in product("esxvinfy", repeat=n)}
+    known = sorted(rng.sample(sorted(short), 400)) + ["ch", "shs", "man", "mane", "mans", "he", "c"]
+    dictionary = spark.createDataFrame([(w,) for w in known], "word string")
+    table = lemmas.lemma_table(words_table(spark, CHAINS), dictionary)
+    found = {r["word"]: r["lemma"] for r in table.collect()}
+    assert found == {w: lemma_reference(w, set(known)) for w in set(CHAINS)}
+
+
+def test_long_words_with_a_dictionary(spark):
+    """The work is linear in a word's length."""
+    words = ["b" + "s" * 300_000, "x" + "es" * 150_000, "lad" + "ies" + "s" * 300_000, "cats"]
+    dictionary = spark.createDataFrame([("b",), ("x",), ("lady",), ("cat",), ("bsss",)], "word string")
+    found = {r["word"]: r["lemma"] for r in lemmas.lemma_table(words_table(spark, words), dictionary).collect()}
+    assert [found[w] for w in words] == ["bsss", "x", "lady", "cat"]
+
+
 @pytest.mark.parametrize("max_rows", [1000, 3, 1])
 def test_lemmatised_tokens_by_function_and_by_join(spark, max_rows):
     nouns = spark.createDataFrame([(w,) for w in DICTIONARIES["nouns"]], "word string")
