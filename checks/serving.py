@@ -50,14 +50,6 @@ def _written_stats(spark, sf) -> DataFrame:
     return materialise(_stats(spark, sf), "stats")
 
 
-def _boards(stats: DataFrame, n: int) -> dict[str, DataFrame]:
-    return {
-        "comm_count": boards.top_board(stats.select("id", "comm_count"), "comm_count", n),
-        "ups": boards.top_board(stats.select("id", "ups"), "ups", n),
-        "lurker": boards.top_board(boards.lurkers(stats), "lurker", n),
-    }
-
-
 def _merged(stats: DataFrame) -> DataFrame:
     return boards.merged_board(
         stats.select("id", "comm_count"), stats.select("id", "ups"), boards.lurkers(stats)
@@ -65,7 +57,7 @@ def _merged(stats: DataFrame) -> DataFrame:
 
 
 def _shown_ids(stats: DataFrame) -> DataFrame:
-    return boards.shown_ids(*_boards(stats, boards.BOARD_SIZE).values())
+    return boards.shown_ids(boards.top_boards(stats))
 
 
 def _line_stats(spark, sf) -> DataFrame:
@@ -116,11 +108,10 @@ def lurker_scores(spark, sf) -> DataFrame:
     )
 )
 def top_100_boards(spark, sf) -> DataFrame:
-    tops = [
-        board.select(F.lit(name).alias("board"), "id", F.col(name).cast("double").alias("value"))
-        for name, board in _boards(_written_stats(spark, sf), boards.BOARD_SIZE).items()
-    ]
-    return tops[0].union(tops[1]).union(tops[2])
+    value = F.when(F.col("board") == "lurker", F.col("lurker"))
+    for name in ("comm_count", "ups"):
+        value = value.when(F.col("board") == name, F.col(name).cast("double"))
+    return boards.top_boards(_stats(spark, sf)).select("board", "id", value.alias("value"))
 
 
 @query(
@@ -139,16 +130,7 @@ def top_100_customers(spark, sf) -> DataFrame:
     )
 )
 def leaders(spark, sf) -> DataFrame:
-    stats = _written_stats(spark, sf)
-    tops = [
-        boards.leader(source, name).select(F.lit(name).alias("board"), "id")
-        for name, source in (
-            ("comm_count", stats),
-            ("ups", stats),
-            ("lurker", boards.lurkers(stats)),
-        )
-    ]
-    return tops[0].union(tops[1]).union(tops[2])
+    return boards.top_boards(_stats(spark, sf), 1).select("board", "id")
 
 
 @query(f"SELECT * FROM {MERGED_SQL}")

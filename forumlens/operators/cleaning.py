@@ -10,6 +10,7 @@ from forumlens.functions import text
 from forumlens.functions.wordlists import ENGLISH_STOP_WORDS
 from forumlens.operators.lemmas import lemma_table, lemmatise_tokens
 from forumlens.operators.terms import word_counts
+from forumlens.session import materialise
 
 
 def corpus_lemmas(
@@ -31,8 +32,9 @@ def _lemmatised(
     dictionary: DataFrame | None,
     exceptions: DataFrame | None,
 ) -> DataFrame:
-    table = corpus_lemmas(df, tokens, dictionary, exceptions)
-    return lemmatise_tokens(df.withColumn(column, tokens), column, table)
+    """Tokens are made once and written, as both the lemmas and the rows need them."""
+    rows = materialise(df.withColumn(column, tokens), "tokens")
+    return lemmatise_tokens(rows, column, corpus_lemmas(rows, F.col(column), dictionary, exceptions))
 
 
 def clean_text(

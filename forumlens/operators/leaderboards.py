@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from forumlens.functions.numbers import lurker_score, thousands
 from forumlens.operators.communities import grand_totals
 from forumlens.operators.ranking import top_rows
 
 BOARD_SIZE = 100
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def _descending(value: str):
@@ -47,6 +48,29 @@ def top_board(board: DataFrame, value: str, n: int = BOARD_SIZE) -> DataFrame:
     return top_rows(board, _descending(value), n)
 
 
+def top_boards(stats_with_ratio: DataFrame, n: int = BOARD_SIZE) -> DataFrame:
+    """``board, place, id, comm_count, ups, lurker``: the first ``n`` of each board, from 1, in one pass.
+
+    The boards are ``comm_count``, ``ups`` and ``lurker`` (positive ratios only). The statistics are
+    read once. Each task keeps its first ``n`` of every board and only these are shuffled, once, to be
+    merged; Spark does so up to the size in ``GROUP_LIMIT``, and a larger ``n`` is refused
+    (``top_board`` takes any). Unknown values come last, ties by id. An empty table gives no row.
+    """
+    most = int(stats_with_ratio.sparkSession.conf.get(GROUP_LIMIT))
+    if n > most:
+        raise ValueError(f"boards of at most {most} rows are merged in one pass, not {n}")
+    lurker = F.when(F.col("comm_ups_ratio") > 0, lurker_score(F.col("comm_ups_ratio")))
+    known = stats_with_ratio.select("id", "comm_count", "ups", lurker.alias("lurker"))
+    names = F.array(F.lit("comm_count"), F.lit("ups"), F.when(F.col("lurker").isNotNull(), F.lit("lurker")))
+    each = known.withColumn("board", F.explode(F.array_compact(names)))
+    # whole numbers and scores are ordered by a column each, so that none loses digits
+    whole = F.when(F.col("board") == "comm_count", F.col("comm_count")).when(F.col("board") == "ups", F.col("ups"))
+    score = F.when(F.col("board") == "lurker", F.col("lurker"))
+    order = Window.partitionBy("board").orderBy(F.desc("_whole"), F.desc("_score"), F.asc("id"))
+    placed = each.withColumns({"_whole": whole, "_score": score}).withColumn("place", F.row_number().over(order))
+    return placed.filter(F.col("place") <= n).select("board", "place", "id", "comm_count", "ups", "lurker")
+
+
 def leader(board: DataFrame, value: str) -> DataFrame:
     """The first community of a board, as one row; unknown values come last, as on the board."""
     order = F.struct(F.col(value).isNull(), -F.col(value), F.col("id"))

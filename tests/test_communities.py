@@ -200,6 +200,28 @@ def test_top_rows(spark):
     assert [r["id"] for r in rows] == [99, 98, 97]
 
 
+@pytest.mark.parametrize("n", [1, 3, 100])
+def test_top_boards_in_one_pass(spark, n):
+    """Ties, unknown values, the null community, and numbers that a double cannot tell apart."""
+    big = 1 << 60
+    rows = [(f"c{i}", i % 7, i % 5 - 2, round(i % 6 / 7, 3)) for i in range(200)]
+    rows += [(None, 9, None, 0.5), ("x", 9, big + 1, None), ("y", 9, big, 0.5), ("z", None, big + 1, -1.0)]
+    stats = spark.createDataFrame(rows, "id string, comm_count long, ups long, comm_ups_ratio double").repartition(7)
+    got = boards.top_boards(stats, n)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and plan.count("Exchange hashpartitioning") == 1
+    found = defaultdict(list)
+    for r in got.orderBy("board", "place").collect():
+        found[r["board"]].append((r["id"], r[r["board"]]))
+    sources = {"comm_count": stats, "ups": stats, "lurker": boards.lurkers(stats)}
+    for name, source in sources.items():
+        wanted = boards.top_board(source.select("id", name), name, n).collect()
+        assert found[name] == [(r["id"], r[name]) for r in wanted]
+    assert not boards.top_boards(stats.limit(0), n).collect()
+    with pytest.raises(ValueError):
+        boards.top_boards(stats, 1_000_000)
+
+
 def test_null_values_and_the_null_community_on_boards(spark):
     ups = spark.createDataFrame([("a", None), ("b", 3), (None, 3), ("c", 1)], "id string, ups long")
     assert boards.leader(ups, "ups").first()["id"] == boards.by_ups(ups).first()["id"]
