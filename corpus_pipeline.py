@@ -16,7 +16,11 @@ from forumlens.session import materialise
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below the threshold, empty ones too."""
+    """Documents that score below the threshold.
+
+    Null and empty texts score 0 and stay. Repeated rows score alike. Without labelled documents
+    of both kinds there is no model, and all stay. An empty table gives no row.
+    """
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).filter(F.col("score") < toxicity.THRESHOLD).select(COLUMNS)
 
@@ -24,7 +28,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """One row of each group of linked ones: with the least doc_id (null last), then row hash.
 
     Equal texts are linked, so that repeated rows and rows with null or shared ids leave one too.
-    Rows without a word are linked with nothing, and all stay.
+    Rows without a word are linked with nothing, and all stay. An empty table gives no row.
     """
     rows = materialise(docs.select(COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "rows")
     found = jaccard_join.jaccard_components(rows.select(F.col("_row").alias("doc_id"), "text"))
@@ -35,16 +39,28 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return rows.join(kept, "_row", "left_semi").select(COLUMNS)
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with pseudonyms."""
-    made = pseudonyms.pseudonymise(docs)
+    """All documents, with pseudonyms by the session's key, or by the trial key if none is set.
+
+    Null texts stay null and have a null ``n_chars``. Repeated rows stay alike, as equal values
+    have equal pseudonyms. An empty table gives no row.
+    """
+    made = pseudonyms.pseudonymise(docs, pseudonyms.key_of(spark, pseudonyms.TRIAL_KEY))
     return made.withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix takes: a row for each round in which a document is used, with that text."""
+    """What the mix takes: a row for each round in which a document is used, with that text.
+
+    Null texts and texts without a word give nothing to mix, and go. The null source is a source.
+    Repeated rows are documents each. An empty table gives no row.
+    """
     return mixing.mixed_documents(docs).withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces in sequences, as ``op4_packing`` returns them."""
+    """Pieces in sequences, as ``op4_packing`` returns them.
+
+    A null or empty text is its end token. Repeated rows and null ids are packed like all others.
+    An empty table gives no row.
+    """
     pieces = packing.cut(docs, tokenizer()).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.pack(materialise(pieces, "pieces"))
 

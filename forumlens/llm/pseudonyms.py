@@ -27,17 +27,18 @@ from __future__ import annotations
 
 import hmac
 import re
-from collections.abc import Iterator
+import warnings
 from datetime import date, timedelta
 from math import prod
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from forumlens.llm.words import small_batches
 
 ROUNDS = 10
-KEY = b"replace this key"
+KEY_SETTING = "spark.forumlens.pseudonyms.key"
+TRIAL_KEY = b"public key for trial runs"
 KINDS = ("email", "iban", "secret", "date", "ssn", "ip", "phone", "card")
 
 _DAY = date(1800, 1, 1)
@@ -259,21 +260,41 @@ def _column(key: bytes, back: bool, text: Column) -> Column:
     return run(text)
 
 
-def pseudonymise(documents: DataFrame, key: bytes = KEY) -> DataFrame:
+def key_of(spark: SparkSession, otherwise: bytes | None = None) -> bytes:
+    """The key in ``spark.forumlens.pseudonyms.key``, or else the given one; neither is an error.
+
+    Whoever knows the key can go back. With ``TRIAL_KEY``, which is in this file, that is everyone.
+    """
+    named = spark.conf.get(KEY_SETTING, None)
+    if named:
+        return named.encode()
+    if otherwise is None:
+        raise ValueError(f"{KEY_SETTING} is not set")
+    if otherwise == TRIAL_KEY:
+        warnings.warn(f"{KEY_SETTING} is not set: pseudonyms by a public key can be undone", stacklevel=2)
+    return otherwise
+
+
+def pseudonymise(documents: DataFrame, key: bytes | None = None) -> DataFrame:
     """All columns of ``documents`` with pseudonyms in ``text``, and ``spans`` of these there.
 
-    Spans are in characters of the new text. Whole texts are searched; a null text stays null,
-    with no spans. An earlier column ``spans`` is replaced. Repeated rows stay as they are.
+    Without a ``key`` that of the session's setting is taken, and there must be one. Spans are in
+    characters of the new text. Whole texts are searched; a null text stays null, with no spans. An
+    earlier column ``spans`` is replaced. Repeated rows stay as they are; an empty table gives no row.
     """
     return _changed(documents, key, False)
 
 
-def reveal(documents: DataFrame, key: bytes = KEY) -> DataFrame:
+def reveal(documents: DataFrame, key: bytes | None = None) -> DataFrame:
     """Undoes ``pseudonymise`` with the same key."""
     return _changed(documents, key, True)
 
 
-def _changed(documents: DataFrame, key: bytes, back: bool) -> DataFrame:
-    small_batches(documents.sparkSession)
-    made = documents.drop("spans").withColumn("_made", _column(key, back, F.col("text")))
-    return made.withColumns({"text": F.col("_made.text"), "spans": F.col("_made.spans")}).drop("_made")
+def _changed(documents: DataFrame, key: bytes | None, back: bool) -> DataFrame:
+    spark = documents.sparkSession
+    small_batches(spark)
+    made = "_made"
+    while made in documents.columns:
+        made += "_"
+    kept = documents.drop("spans").withColumn(made, _column(key or key_of(spark), back, F.col("text")))
+    return kept.withColumns({"text": F.col(f"{made}.text"), "spans": F.col(f"{made}.spans")}).drop(made)

@@ -167,7 +167,13 @@ def shard(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def write_shards(documents: DataFrame, path: str, shards: int = SHARDS) -> None:
-    """Write all columns of ``documents`` to one folder a shard."""
+    """Write all columns of ``documents`` to one folder a shard, ``shard=0`` and so on.
+
+    A column ``shard`` (in any case) would meet the folders' names when they are read: that is refused.
+    An empty table writes no folder of a shard. Null texts count as empty; repeated rows are all written.
+    """
+    if "shard" in [c.lower() for c in documents.columns]:
+        raise ValueError("documents have a column named shard")
     groups = materialise(sized(documents).groupBy("hash").agg(F.sum("size").alias("size")), "groups")
     number = F.lit(0)
     for first in cuts(groups, shards):

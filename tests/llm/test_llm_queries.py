@@ -68,3 +68,12 @@ def test_near_copies_with_null_and_repeated_ids(spark, small):
         got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, docs, small).collect()]
         wanted = [(3, text + " tail"), (3, other), (None, "alone here"), (9, ""), (None, None)]
         assert sorted(got, key=str) == sorted(wanted, key=str)
+
+
+def test_pipeline_of_nothing(spark, small, tmp_path):
+    docs = spark.read.parquet(f"{small}/documents.parquet").limit(0)
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        path = str(tmp_path / str(k))
+        stage(spark, docs, small).write.parquet(path)
+        docs = spark.read.parquet(path)
+        assert docs.isEmpty()

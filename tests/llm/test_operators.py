@@ -263,12 +263,27 @@ def test_values_followed_by_more():
 
 def test_pseudonyms_of_a_table(spark, docs, none):
     mail = spark.createDataFrame([(1, "to a1@b.org"), (2, "see a1@b.org"), (3, None)], "doc_id long, text string")
-    got = pseudonyms.pseudonymise(mail.withColumn("spans", F.lit("old"))).orderBy("doc_id").collect()
+    got = pseudonyms.pseudonymise(mail.withColumns({"spans": F.lit("old"), "_made": F.lit("kept")}), b"k").orderBy("doc_id").collect()
+    assert {r["_made"] for r in got} == {"kept"}
     assert got[0]["text"][3:] == got[1]["text"][4:] != "a1@b.org" and got[2]["text"] is None and got[2]["spans"] == []
-    same = pseudonyms.pseudonymise(docs).collect()
+    same = pseudonyms.pseudonymise(docs, b"k").collect()
     assert sorted(str(r["text"]) for r in same) == sorted(str(r[1]) for r in rows())
-    assert pseudonyms.reveal(pseudonyms.pseudonymise(mail)).select("text").collect() == mail.select("text").collect()
-    assert not pseudonyms.pseudonymise(none).collect()
+    assert pseudonyms.reveal(pseudonyms.pseudonymise(mail, b"k"), b"k").select("text").collect() == mail.select("text").collect()
+    assert not pseudonyms.pseudonymise(none, b"k").collect()
+
+
+def test_key_from_a_setting(spark):
+    mail = spark.createDataFrame([(1, "to a1@b.org")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="not set"):
+        pseudonyms.pseudonymise(mail)
+    with pytest.warns(UserWarning, match="public key"):
+        assert pseudonyms.key_of(spark, pseudonyms.TRIAL_KEY) == pseudonyms.TRIAL_KEY
+    spark.conf.set(pseudonyms.KEY_SETTING, "k")
+    try:
+        assert pseudonyms.key_of(spark, pseudonyms.TRIAL_KEY) == b"k"
+        assert pseudonyms.pseudonymise(mail).collect() == pseudonyms.pseudonymise(mail, b"k").collect()
+    finally:
+        spark.conf.unset(pseudonyms.KEY_SETTING)
 
 
 def test_licences(spark, docs, none):
