@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from forumlens.llm.components import components
 from forumlens.llm.words import mix, row_shingles, small_batches, tidy
+from forumlens.operators.lookup import lookup_join
 from forumlens.session import materialise
 
 BUCKET = 16  # sets with one key of which all pairs are candidates
@@ -478,23 +479,28 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
 
 
 def _joined(docs: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+    """Each row of ``docs`` with its class's component; classes of many copies and components of
+    many classes are looked up by their weight, so that none of them is brought together."""
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(
         F.count("*").alias("n_links")
     )
+    copies = docs.filter("n > 0").groupBy(F.col("h1").alias("node")).agg(F.count("*").alias("copies"))
+    # a class is one value of h1 but for rows whose other hash differs
+    ids = classes.groupBy(F.col("h1").alias("node")).agg(F.min("doc_id").alias("doc_id"))
     roots = components(links)
-    named = classes.select(F.col("h1").alias("node"), "doc_id").join(roots, "node", "left")
-    named = named.withColumn("root", F.coalesce("root", "node"))
-    least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    known = named.join(least, "root").join(degree, "node", "left")
-    known = known.groupBy(F.col("node").alias("h1")).agg(
-        F.min("component_id").alias("component_id"), F.max("n_links").alias("n_links")
+    named = ids.join(copies, "node").join(degree, "node", "left").join(roots, "node", "left")
+    named = materialise(named.withColumn("root", F.coalesce("root", "node")), "named")
+    least = named.groupBy(F.col("root").alias("_root")).agg(
+        F.min("doc_id").alias("component_id"), F.count("*").alias("_classes")
     )
-    return docs.join(known, "h1", "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+    known = lookup_join(named.drop("doc_id"), materialise(least, "least"), "root", "_root", "_classes")
+    known = materialise(known.drop("root").withColumnRenamed("node", "_node"), "known")
+    worded = lookup_join(docs.filter("n > 0"), known, "h1", "_node", "copies")
+    found = worded.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    alone = docs.filter("n = 0").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links")
     )
+    return found.unionByName(alone)
 
 
 _SENT = "group long, packed binary"

@@ -8,7 +8,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from forumlens.llm import pseudonyms, toxicity
+from forumlens.llm import jaccard_join, pseudonyms, toxicity
+from forumlens.operators.lookup import lookup_join
 
 WORD = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 PHONES = {f"+0{a}{area}{b}000{c}0000" for a in ("", " ", ".", "-") for area in ("000", "(000)") for b in ("", " ", ".", "-") for c in ("", " ", ".", "-")}
@@ -268,3 +269,18 @@ def test_weights_are_those_of_a_slow_descent():
     assert model.weights[used] == pytest.approx(want[:-1], abs=0.02)
     scores = np.array([slow_score(t, model.weights, model.bias) for t in texts])
     assert scores[toxic == 1].min() > 0.5 > scores[toxic == 0].max()
+
+
+@pytest.mark.parametrize("bound", [300_000, 5])
+def test_copies_and_components_are_looked_up_by_weight(spark, monkeypatch, bound):
+    """Most rows are copies of one text, most classes one component; null ids and empty rows too."""
+    base = [f"word{k}" for k in range(60)]
+    texts = [" ".join(base)] * 200 + [" ".join([*base, f"end{k}"]) for k in range(40)]
+    texts += [" ".join(f"other{k}x{j}" for j in range(9)) for k in range(20)] + [None, "", " "] * 10
+    rows = [(None if k % 7 == 0 else 5_000 - k, text) for k, text in enumerate(texts)]
+    monkeypatch.setattr(lookup_join, "__defaults__", (None, bound))
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    near = min(i for i, _ in rows[:240] if i is not None)
+    want = [(i, 60 - 4 + (k >= 200), near) for k, (i, _) in enumerate(rows[:240])]
+    want += [(i, 5, i) for i, _ in rows[240:260]] + [(i, 0, i) for i, _ in rows[260:]]
+    assert sorted(str((r["doc_id"], r["n_shingles"], r["component_id"])) for r in got) == sorted(map(str, want))
