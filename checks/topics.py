@@ -79,6 +79,12 @@ def vocabulary(spark, sf) -> DataFrame:
     return terms.vocabulary(terms.term_counts(t.comment_texts(spark, sf, True), _tokens()))
 
 
+@query(f"SELECT idx, term, n, documents FROM {VOCABULARY_SQL} WHERE idx < 1000")
+def vocabulary_of_1000(spark, sf) -> DataFrame:
+    """The most frequent terms by shared counters first, a top-k report."""
+    return terms.vocabulary(_counts(spark, sf), 1000)
+
+
 @query(
     f"SELECT c.id, v.idx, CAST(c.n AS DOUBLE) AS n FROM {COUNTS_SQL} c "
     f"JOIN {VOCABULARY_SQL} v ON v.term = c.term"

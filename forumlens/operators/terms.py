@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from forumlens.operators.lookup import lookup_join
 from forumlens.operators.ranking import with_position
-from forumlens.session import small_side
+from forumlens.session import materialise, small_side
 
 HASH_BUCKETS = 1 << 18
+COUNT_BUCKETS = 1 << 18  # counters that terms share; a table of so many rows may be broadcast
 
 
 def term_counts(df: DataFrame, tokens: Column, community: str = "id") -> DataFrame:
@@ -32,19 +33,48 @@ def vocabulary(
     counts: DataFrame, size: int | None = None, min_documents: int = 1
 ) -> DataFrame:
     """``idx, term, n, documents``: all terms, or the ``size`` most frequent ones, by frequency;
-    ties in alphabetical order."""
-    totals = (
-        counts.filter(F.col("term").isNotNull())
-        .groupBy("term")
-        .agg(F.sum("n").alias("n"), F.count("*").alias("documents"))
-        .filter(F.col("documents") >= min_documents)
-    )
+    ties in alphabetical order. With a ``size``, ``counts`` is read three times and should be written."""
+    known = counts.filter(F.col("term").isNotNull())
+    if size is None:
+        totals = _totals(known, min_documents)
+    else:
+        totals = _frequent(known, size, min_documents)
     ranked = with_position(totals, [F.desc("n"), F.asc("term")], "idx")
     if size is not None:
         ranked = ranked.filter(F.col("idx") < size)
     return ranked.select(F.col("idx").cast("int").alias("idx"), "term", "n", "documents")
 
 
+def _totals(known: DataFrame, min_documents: int) -> DataFrame:
+    totals = known.groupBy("term").agg(F.sum("n").alias("n"), F.count("*").alias("documents"))
+    return totals.filter(F.col("documents") >= min_documents)
+
+
+def _frequent(
+    known: DataFrame, size: int, min_documents: int, buckets: int = COUNT_BUCKETS
+) -> DataFrame:
+    """Exact totals of all terms that may be among the ``size`` most frequent, and few others.
+
+    Terms share counters by their hash. These add up within tasks, and there is a fixed number of
+    them. A counter is at least the count of each of its terms. Terms of the ``size`` largest are
+    counted by themselves; the ``size``-th count of these is one that every wanted term
+    reaches, so that only terms of counters that reach it are counted again. Rare terms of low
+    counters are never shuffled. If no such count is known, all terms are counted.
+    """
+    bucket = F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")
+    marked = known.withColumn("_bucket", bucket)
+    sums = materialise(marked.groupBy("_bucket").agg(F.sum("n").alias("_most")), "counters")
+
+    def counted(chosen: DataFrame) -> DataFrame:
+        few = F.broadcast(chosen.select("_bucket"))  # ``buckets`` rows at most
+        return _totals(marked.join(few, "_bucket", "left_semi"), min_documents)
+
+    largest = with_position(sums, [F.desc("_most"), F.asc("_bucket")], "_place").filter(F.col("_place") < size)
+    ranked = with_position(counted(largest), [F.desc("n"), F.asc("term")], "_place")
+    reached = ranked.filter(F.col("_place") == size - 1).select("n").first()
+    return counted(sums.filter(F.col("_most") >= (reached["n"] if reached else 0)))
+
+
 def _vectors(entries: DataFrame, size: int) -> DataFrame:
     """``id, idx, n`` to ``id, features``; a null index adds no entry.
 

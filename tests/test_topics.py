@@ -4,6 +4,7 @@ import random
 from collections import Counter
 from itertools import product
 
+import numpy as np
 import pytest
 from pyspark.ml.clustering import LDAModel
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, HashingTF
@@ -51,6 +52,26 @@ def test_vocabulary_order_size_and_minimum(counts):
     assert listed(min_documents=2) == [(0, "y")]
 
 
+@pytest.mark.parametrize("buckets", [1, 7, 64, terms.COUNT_BUCKETS])
+def test_frequent_terms_are_those_of_the_full_count(spark, buckets):
+    """Shared counters leave out no term, ties, few terms and a minimum of documents included."""
+    rng = np.random.default_rng(8)
+    rows = [(f"c{rng.integers(9)}", f"t{int(x)}", int(rng.integers(1, 4))) for x in rng.zipf(1.3, 1500) % 400]
+    table = spark.createDataFrame([*rows, ("c0", None, 0)], "id string, term string, n long")
+    table = materialise(table.groupBy("id", "term").agg(F.sum("n").alias("n")), "counts")
+    known = table.filter("term IS NOT NULL")
+    for size, least in ((1, 1), (10, 1), (10, 5), (60, 2), (1000, 1)):
+        full = [tuple(r) for r in terms.vocabulary(table, min_documents=least).orderBy("idx").limit(size).collect()]
+        found = terms._frequent(known, size, least, buckets)
+        best = found.orderBy(F.desc("n"), "term").limit(size).collect()
+        assert [(k, r["term"], r["n"], r["documents"]) for k, r in enumerate(best)] == full
+        if buckets > 64 and size == 1:
+            assert found.count() < 10
+    assert [tuple(r) for r in terms.vocabulary(table, 10, 5).orderBy("idx").collect()] == [
+        tuple(r) for r in terms.vocabulary(table, min_documents=5).orderBy("idx").limit(10).collect()
+    ]
+
+
 def grouped(rows):
     """One array per community, as a vectoriser wants it; small fixtures only."""
     whole = F.flatten(F.collect_list(F.coalesce("comments", F.array().cast("array<string>"))))
