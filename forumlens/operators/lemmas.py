@@ -13,7 +13,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.functions import arrow_udf
 
 from forumlens.functions.text import COMPOUND_MARK
@@ -191,7 +191,7 @@ def _lemmatise_by_join(
     return rows.join(found, "_row", "left").withColumn(column, replaced).select(*df.columns)
 
 
-@arrow_udf("array<string>")
+@arrow_udf(T.ArrayType(T.StringType()))  # a type by name would need a session at import
 def _put_lemmas(tokens: pa.Array, places: pa.Array, lemmas: pa.Array) -> pa.Array:
     """Token lists with lemmas at the given places of their single words."""
     flat = tokens.flatten()

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+
 import duckdb
 import pytest
 
@@ -55,3 +59,10 @@ def test_entry(spark):
     rows = registered.entry(spark).collect()
     assert len(rows) == 20
     assert rows[0]["comm_count"] == max(r["comm_count"] for r in rows)
+
+
+def test_the_entry_is_imported_without_a_session():
+    """In a process of its own, as this one has a session."""
+    code = "import __spark_entry__ as e; assert e.queries() and e.oracle_sql()"
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
