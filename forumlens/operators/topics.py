@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import LDA, LDAModel
+from pyspark.ml.clustering import LDAModel
 from pyspark.ml.feature import (
     PCA,
     CountVectorizer,
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from forumlens.functions.numbers import dominant_topic, four_decimals, largest, topic_number
 from forumlens.operators.communities import with_parts
+from forumlens.operators.online_topics import TermTopicsModel, TopicEstimator
 from forumlens.operators.terms import HASH_BUCKETS, terms_of
 
 TOPICS = 10
@@ -38,22 +39,22 @@ def topic_estimator(
     seed: int = SEED,
     optimizer: str = "online",
     features: str = "features",
-) -> LDA:
-    return LDA(k=k, maxIter=iterations, seed=seed, optimizer=optimizer, featuresCol=features)
+) -> TopicEstimator:
+    return TopicEstimator(k, iterations, seed, optimizer, features)
 
 
-def fit_topics(vectors: DataFrame, **settings) -> LDAModel:
-    """Fit on ``id, features``, which should be a written table, as it is read in every iteration.
-
-    Each task returns weights for all topics and terms, so that vectors are not spread further:
-    80 vectors over 190,000 terms took 14 s in 5 tasks, and 23 to 29 s dealt to 8 by ``id``.
-    """
+def fit_topics(vectors: DataFrame, **settings) -> TermTopicsModel:
+    """Fit on ``id, features``; the weights of the model are a written table by term."""
     return topic_estimator(**settings).fit(vectors)
 
 
 def distributions(model: LDAModel | PipelineModel, df: DataFrame) -> DataFrame:
     """``id, topicDistribution`` as an array; all zero for a community without terms."""
-    scored = model.transform(df)
+    if isinstance(model, PipelineModel):
+        *before, model = model.stages
+        for stage in before:
+            df = stage.transform(df)
+    scored = model.transform(df.select("id", "features"))  # of the columns only what is needed is written
     return scored.select("id", vector_to_array("topicDistribution").alias("topicDistribution"))
 
 
@@ -104,28 +105,19 @@ def topics_of(model: PipelineModel) -> LDAModel:
 def vocabulary_of(model: PipelineModel) -> DataFrame:
     """``idx, term`` of a fitted pipeline; its size is bounded by the vectoriser's own limit."""
     terms = fitted_stage(model, CountVectorizerModel).vocabulary
-    spark = topics_of(model).describeTopics(1).sparkSession
+    spark = topics_of(model).terms.sparkSession
     return spark.createDataFrame(list(enumerate(terms)), "idx int, term string")
 
 
 # -- topic terms -----------------------------------------------------------------------------
 
 
-def topic_terms(model: LDAModel, vocab: DataFrame, n: int = TOP_TERMS) -> DataFrame:
+def topic_terms(model: TermTopicsModel, vocab: DataFrame, n: int = TOP_TERMS) -> DataFrame:
     """``topic, position, term, weight``: the heaviest terms of every topic."""
-    described = model.describeTopics(n).select(
-        "topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("position", "_pair")
-    )
-    indexed = described.select(
-        "topic",
-        "position",
-        F.col("_pair.termIndices").alias("idx"),
-        F.col("_pair.termWeights").alias("weight"),
-    )
-    return terms_of(indexed, vocab).select("topic", "position", "term", "weight")
+    return terms_of(model.top_terms(n), vocab).select("topic", "position", "term", "weight")
 
 
-def topic_words(model: LDAModel, vocab: DataFrame, n: int = TOP_TERMS) -> DataFrame:
+def topic_words(model: TermTopicsModel, vocab: DataFrame, n: int = TOP_TERMS) -> DataFrame:
     """``topic, term_words, term_weight`` as arrays of up to ``n`` entries."""
     entries = F.sort_array(F.collect_list(F.struct("position", "term", "weight")))
     grouped = topic_terms(model, vocab, n).groupBy("topic").agg(entries.alias("_entries"))
@@ -136,9 +128,9 @@ def topic_words(model: LDAModel, vocab: DataFrame, n: int = TOP_TERMS) -> DataFr
     )
 
 
-def topic_term_matrix(model: LDAModel, vocab: DataFrame) -> DataFrame:
-    """``topic, term, weight`` for all terms."""
-    return topic_terms(model, vocab, model.vocabSize()).select("topic", "term", "weight")
+def topic_term_matrix(model: TermTopicsModel, vocab: DataFrame) -> DataFrame:
+    """``topic, term, weight`` for all terms, which need no order for it."""
+    return terms_of(model.term_weights(), vocab).select("topic", "term", "weight")
 
 
 def leading_pairs(words: DataFrame, n: int = 3) -> DataFrame:
