@@ -18,7 +18,7 @@ from pyspark.sql.functions import arrow_udf
 
 from forumlens.functions.text import COMPOUND_MARK
 from forumlens.operators.lookup import lookup_join
-from forumlens.session import BROADCAST_BYTES, BROADCAST_ROWS, materialise
+from forumlens.session import BROADCAST_BYTES, BROADCAST_ROWS, materialise, small_batches
 
 
 # All endings but three leave a word's own beginning: its final run of e and s gets shorter.
@@ -145,7 +145,9 @@ def lemmatise_tokens(
 
     If the words that have another lemma are at most ``max_rows`` and, with their lemmas, at most
     ``max_bytes``, every task gets them and no row moves. Beyond that they are looked up by join.
+    Either way Python works on batches of some 8 MB, or one longer row.
     """
+    small_batches(df.sparkSession)
     changed = table.filter(_is_changed()).select("word", "lemma")
     size = F.sum(F.octet_length("word") + F.octet_length("lemma"))
     rows, total = changed.agg(F.count("*"), F.coalesce(size, F.lit(0))).first()
@@ -171,6 +173,7 @@ def _lemma_function(changed: DataFrame) -> Callable[[Column], Column]:
         mapped = pa.ListArray.from_arrays(parts.offsets, pc.coalesce(found, single))
         sizes = pc.fill_null(pc.list_value_length(tokens), 0)
         offsets = pa.concat_arrays([pa.array([0], pa.int32()), pc.cumulative_sum(sizes)])
+        pa.default_memory_pool().release_unused()  # workers outlive tasks, and share their memory
         return pa.ListArray.from_arrays(offsets, pc.binary_join(mapped, COMPOUND_MARK))
 
     return replace

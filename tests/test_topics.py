@@ -365,3 +365,16 @@ def test_lemmas_of_a_row_of_a_million_words(spark):
     table = spark.range(1, 1_000_001).select(word.alias("word"), F.lit(1).cast("long").alias("n"), lemma.alias("lemma"))
     done = lemmas.lemmatise_tokens(df, "comments", table).select(F.size("comments"), F.slice("comments", 999_997, 4)).first()
     assert list(done) == [1_000_000, ["w999997s", "w999998", "w999999s", "w1000000"]]
+
+
+@pytest.mark.parametrize("max_rows", [1000, 1])
+def test_lemmas_by_small_batches(spark, max_rows):
+    """A Python worker holds some copies of a batch: it gets a thousand rows at most, whatever was set before."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(1 << 30))
+    table = lemmas.lemma_table(words_table(spark, ["cats", "dogs", "cat", "dog"]))
+    df = spark.range(3000).select("id", F.array(F.lit("cats"), F.lit("x,dogs")).alias("comments"))
+    done = lemmas.lemmatise_tokens(df, "comments", table, max_rows=max_rows)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
+    assert [tuple(r["comments"]) for r in done.collect()] == [("cat", "x,dog")] * 3000
