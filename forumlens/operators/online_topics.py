@@ -2,8 +2,8 @@
 passes through the driver, and no task holds a matrix of it.
 
 The online fit is Spark's: in each iteration a share of the documents is drawn, topics of these are found,
-and the weights of all terms move towards what the draw gives. Entries of drawn documents meet
-the weights of their terms by a join, of which the first terms' part is a broadcast.
+and the weights of all terms move towards what the draw gives. The weights of the first terms, a fixed number
+of them, are sent to the tasks; other entries of drawn documents meet the weights of their terms by a join.
 """
 
 from __future__ import annotations
@@ -20,12 +20,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from forumlens.functions.variational import STEP_ENTRIES, digamma_of, document_topics, trigamma_of
 from forumlens.operators.topic_tables import digamma, fit_topic_tables
-from forumlens.session import materialise
+from forumlens.session import materialise, small_batches
 
 DRAWN = 0.05  # Spark's defaults, as are the next two
 OFFSET = 1024
 DECAY = 0.51
-SHARED_TERMS = 100_000  # terms, the most frequent ones of a vocabulary, whose weights go to all tasks
+SHARED_TERMS = 100_000  # terms, the most frequent ones of a vocabulary, whose weights go to all tasks: 4 MB
 
 
 def _numbered(df: DataFrame) -> DataFrame:
@@ -33,33 +33,73 @@ def _numbered(df: DataFrame) -> DataFrame:
     return materialise(df.withColumn("_row", F.monotonically_increasing_id()), "numbered-rows")
 
 
-def _entries(rows: DataFrame, features: str) -> DataFrame:
-    """``_row, idx, n``."""
+def _places(features: str) -> tuple[Column, Column]:
+    """Indices, which ascend, and values of a vector."""
     raw = F.unwrap_udt(features)
     dense = F.transform(raw["values"], lambda _, i: i)
-    places = F.when(raw["type"] == 0, raw["indices"]).otherwise(dense)
-    pairs = F.explode(F.arrays_zip(places.alias("idx"), raw["values"].alias("n")))
-    return rows.select("_row", pairs.alias("e")).select("_row", "e.idx", "e.n").filter("n > 0")
+    return F.when(raw["type"] == 0, raw["indices"]).otherwise(dense), raw["values"]
 
 
-def _with_shares(entries: DataFrame, shares: DataFrame) -> DataFrame:
-    """Entries with ``b`` of their term. First terms are the frequent ones: theirs are not shuffled."""
-    first = F.col("idx") < SHARED_TERMS
-    often = entries.filter(first).join(F.broadcast(shares.filter(first)), "idx")
-    return often.unionByName(entries.filter(~first).join(shares.filter(~first), "idx"))
+def _entries(rows: DataFrame, features: str, since: int = 0) -> DataFrame:
+    """``_row, idx, n`` of the terms from ``since`` on."""
+    places, values = _places(features)
+    if since:
+        skipped = F.size(F.filter(places, lambda i: i < since))
+        places, values = (F.slice(x, skipped + 1, F.greatest(F.size(x), F.lit(1))) for x in (places, values))
+    pairs = F.explode(F.arrays_zip(places.alias("idx"), values.alias("n")))
+    return rows.select("_row", pairs.alias("e")).select("_row", "e.idx", "e.n").filter("n > 0")
 
 
-def _by_document(known: DataFrame, prior: np.ndarray, learning: bool) -> DataFrame:
+def _by_document(
+    rows: DataFrame, features: str, shares: DataFrame, size: int, prior: np.ndarray, learning: bool
+) -> DataFrame:
     """Topics of whole documents: ``_row, g``, or for learning ``idx, s``, the counts dealt to topics.
 
     With the latter a row of index -1 has the documents' logarithms of topics and their number.
+    ``shares`` has ``b`` of each of the ``size`` terms. Those of the first terms, the frequent ones, go to
+    all tasks, and a document's entries of these are one row; only the other entries are joined.
     """
-    together = known.select("_row", "idx", "n", "b").repartition("_row").sortWithinPartitions("_row")
+    small_batches(rows.sparkSession)
+    places, values = _places(features)
+    places = F.filter(places, lambda i: i < SHARED_TERMS)
+    none = F.array().cast("array<float>")
+    known = rows.select("_row", places.alias("idx"), F.slice(values, 1, F.size(places)).alias("n"), none.alias("b"))
+    if size > SHARED_TERMS:
+        rest = _entries(rows, features, SHARED_TERMS).join(shares.filter(F.col("idx") >= SHARED_TERMS).hint("merge"), "idx")
+        known = known.unionByName(rest.select("_row", F.array("idx").alias("idx"), F.array("n").alias("n"), "b"))
+    together = known.repartition("_row").sortWithinPartitions("_row")
     schema = "idx int, s array<double>" if learning else "_row long, g array<double>"
-    return together.mapInArrow(_steps(prior, learning), schema)
-
-
-def _steps(prior: np.ndarray, learning: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    return together.mapInArrow(_steps(prior, learning, _first_shares(shares, len(prior))), schema)
+
+
+def _first_shares(shares: DataFrame, k: int) -> np.ndarray:
+    """``b`` of the terms that go to all tasks, by index: a few MB, however large the vocabulary."""
+    first = shares.filter(F.col("idx") < SHARED_TERMS).toArrow()
+    idx = first["idx"].to_numpy()
+    held = np.zeros((int(idx.max(initial=-1)) + 1, k), np.float32)
+    held[idx] = first["b"].combine_chunks().flatten().to_numpy().reshape(-1, k)
+    return held
+
+
+def _flat(batch: pa.RecordBatch, k: int, shared: np.ndarray | None) -> list[np.ndarray]:
+    """Rows, indices, counts and shares of a batch's entries, of which a row may hold many."""
+    row, idx, n, b = batch.columns
+    given = b.flatten().to_numpy().reshape(-1, k)
+    if not pa.types.is_list(idx.type):
+        return [row.to_numpy(), idx.to_numpy(), n.to_numpy(), given]
+    number = idx.value_lengths().to_numpy()
+    own = np.repeat(b.value_lengths().to_numpy() > 0, number)
+    idx, n = idx.flatten().to_numpy(), n.flatten().to_numpy()
+    share = np.empty((len(idx), k), np.float32)
+    share[own] = given
+    share[~own] = shared[idx[~own]]
+    some = n > 0
+    return [x[some] for x in (np.repeat(row.to_numpy(), number), idx, n, share)]
+
+
+def _steps(
+    prior: np.ndarray, learning: bool, shared: np.ndarray | None = None
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     k = len(prior)
 
     def lists(values: np.ndarray) -> pa.Array:
@@ -84,11 +124,11 @@ def _steps(prior: np.ndarray, learning: bool) -> Callable[[Iterator[pa.RecordBat
             return [np.concatenate(parts) for parts in zip(*waiting, strict=True)]
 
         for batch in batches:
-            if not batch.num_rows:
+            columns = _flat(batch, k, shared)
+            if not len(columns[0]):
                 continue
-            row, idx, n = (batch.column(c).to_numpy() for c in range(3))
-            waiting.append((row, idx, n, batch.column(3).flatten().to_numpy().reshape(-1, k)))
-            size += len(row)
+            waiting.append(columns)
+            size += len(columns[0])
             if size >= enough:
                 columns = joined()
                 last = int(np.searchsorted(columns[0], columns[0][-1]))  # this document may go on
@@ -146,12 +186,12 @@ class TermTopicsModel(LDAModel):
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         rows = _numbered(dataset)
-        scored = _by_document(_with_shares(_entries(rows, self.features), self.shares()), self.prior, False)
+        scored = _by_document(rows, self.features, self.shares(), self.size, self.prior, False)
         whole = F.aggregate("g", F.lit(0.0), lambda a, b: a + b)
         none = F.array(*[F.lit(0.0)] * len(self.totals))
         found = scored.select("_row", F.transform("g", lambda g: g / whole).alias("_found"))
         shown = array_to_vector(F.coalesce("_found", none)).alias("topicDistribution")
-        return rows.join(found, "_row", "left").select(*dataset.columns, shown)
+        return rows.join(found.hint("merge"), "_row", "left").select(*dataset.columns, shown)
 
 
 def _shares(terms: DataFrame, totals: list[float]) -> DataFrame:
@@ -220,15 +260,15 @@ class TopicEstimator(Estimator):
         for step in range(1, self.iterations + 1):
             chance = F.pmod(F.xxhash64(F.lit(self.seed), F.lit(step), "_row"), F.lit(1_000_003))
             drawn = rows.filter(chance < int(DRAWN * 1_000_003))
-            known = _with_shares(_entries(drawn, self.features), _shares(terms, totals))
             sums = F.array(*[F.sum(F.get("s", F.lit(i))) for i in range(k + 1)])
-            dealt = materialise(_by_document(known, prior, True).groupBy("idx").agg(sums.alias("s")), "dealt")
+            found = _by_document(drawn, self.features, _shares(terms, totals), size, prior, True)
+            dealt = materialise(found.groupBy("idx").agg(sums.alias("s")), "dealt")
             logs = dealt.filter("idx = -1").first()
             if logs is None:  # no document with terms was drawn
                 continue
             *logs, documents = logs["s"]
             rate = float((OFFSET + step) ** -DECAY)
-            moved = terms.join(dealt.filter("idx >= 0"), "idx", "left").select("idx", self._moved(rate, corpus / documents).alias("l"))
+            moved = terms.join(dealt.filter("idx >= 0").hint("merge"), "idx", "left").select("idx", self._moved(rate, corpus / documents).alias("l"))
             terms = materialise(moved, "topic-terms")
             totals = _totals(terms, k)
             prior = _moved_prior(prior, np.array(logs), documents, rate)

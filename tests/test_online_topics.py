@@ -148,3 +148,13 @@ def test_pipelines_write_vectors_before_the_iterations(spark):
     texts = spark.createDataFrame([(i, "alpha beta gamma") for i in range(20)], "id int, comments string")
     topics.hashing_pipeline(64, k=2, iterations=6).fit(texts.withColumn("comments", same.asNondeterministic()("comments")))
     assert seen.value == 20
+
+
+def test_no_weights_of_terms_are_broadcast_by_the_driver(spark, monkeypatch):
+    """Joins with the weights of terms are shuffled, whatever their size; the first terms' go with the function."""
+    monkeypatch.setattr(ot, "SHARED_TERMS", 5)
+    rows = [(f"c{i}", Vectors.sparse(12, [((i + j) % 12, 1.0 + j) for j in range(4)])) for i in range(30)]
+    vectors = materialise(spark.createDataFrame(rows, SCHEMA), "vectors")
+    model = topics.fit_topics(vectors, k=2, iterations=2)
+    plan = topics.distributions(model, vectors)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
