@@ -75,14 +75,14 @@ def _frequent(
     return counted(sums.filter(F.col("_most") >= (reached["n"] if reached else 0)))
 
 
-def _vectors(entries: DataFrame, size: int) -> DataFrame:
-    """``id, idx, n`` to ``id, features``; a null index adds no entry.
+def vectors_of(entries: DataFrame, size: int, key: str = "id") -> DataFrame:
+    """``key, idx, n`` to ``key, features``; a null index adds no entry.
 
     An array has no built-in way to a sparse vector, but a JSON reader makes one from
     the vector's own layout.
     """
     entry = F.when(F.col("idx").isNotNull(), F.struct("idx", F.col("n").cast("double").alias("n")))
-    packed = entries.groupBy("id").agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
+    packed = entries.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
     layout = F.struct(
         F.lit(0).alias("type"),
         F.lit(size).alias("size"),
@@ -91,7 +91,7 @@ def _vectors(entries: DataFrame, size: int) -> DataFrame:
     )
     holder = T.StructType([T.StructField("features", VectorUDT())])
     parsed = F.from_json(F.to_json(F.struct(layout.alias("features"))), holder)
-    return packed.select("id", parsed["features"].alias("features"))
+    return packed.select(key, parsed["features"].alias("features"))
 
 
 def count_vectors(counts: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -102,7 +102,7 @@ def count_vectors(counts: DataFrame, vocab: DataFrame) -> DataFrame:
     known = vocab.select(F.col("term").alias("_term"), "idx", "documents")
     entries = lookup_join(counts.filter(F.col("term").isNotNull()), known, "term", "_term", "documents")
     empty = counts.filter(F.col("term").isNull()).select("id", F.lit(None).cast("int").alias("idx"), "n")
-    return _vectors(entries.select("id", "idx", "n").unionByName(empty), vocab.count())
+    return vectors_of(entries.select("id", "idx", "n").unionByName(empty), vocab.count())
 
 
 def term_buckets(term: DataFrame, buckets: int = HASH_BUCKETS) -> DataFrame:
@@ -120,7 +120,7 @@ def term_buckets(term: DataFrame, buckets: int = HASH_BUCKETS) -> DataFrame:
 def hashed_vectors(counts: DataFrame, buckets: int = HASH_BUCKETS) -> DataFrame:
     """Term counts over hash buckets; terms that share a bucket are added up."""
     bucketed = term_buckets(counts, buckets).groupBy("id", "idx").agg(F.sum("n").alias("n"))
-    return _vectors(bucketed, buckets)
+    return vectors_of(bucketed, buckets)
 
 
 def terms_of(indices: DataFrame, vocab: DataFrame, index: str = "idx") -> DataFrame:

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.clustering import LDAModel
 from pyspark.ml.feature import (
     PCA,
-    CountVectorizer,
-    CountVectorizerModel,
     HashingTF,
     RegexTokenizer,
     StopWordsRemover,
@@ -20,6 +18,7 @@ from forumlens.functions.numbers import dominant_topic, four_decimals, largest,
 from forumlens.operators.communities import with_parts
 from forumlens.operators.online_topics import TermTopicsModel, TopicEstimator
 from forumlens.operators.terms import HASH_BUCKETS, terms_of
+from forumlens.operators.vectoriser import TermTableModel, TermVectoriser
 
 TOPICS = 10
 WHOLE_VOCABULARY = (1 << 31) - 1  # a vectoriser's largest size, which no vocabulary reaches
@@ -53,14 +52,26 @@ def distributions(model: LDAModel | PipelineModel, df: DataFrame) -> DataFrame:
     if isinstance(model, PipelineModel):
         *before, model = model.stages
         for stage in before:
-            df = stage.transform(df)
+            df = stage.transform(df).select("id", stage.getOutputCol())
     scored = model.transform(df.select("id", "features"))  # of the columns only what is needed is written
     return scored.select("id", vector_to_array("topicDistribution").alias("topicDistribution"))
 
 
+class TopicPipeline(Pipeline):
+    """A pipeline whose stages are given the column they read and no other: some of them write it."""
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        *before, last = self.getStages()
+        fitted = []
+        for stage in before:
+            fitted.append(stage.fit(dataset) if isinstance(stage, Estimator) else stage)
+            dataset = fitted[-1].transform(dataset).select(stage.getOutputCol())
+        return PipelineModel([*fitted, last.fit(dataset)])
+
+
 def hashing_pipeline(buckets: int = HASH_BUCKETS, **settings) -> Pipeline:
     """Whitespace tokens, hashed counts, topics; over ``id, comments STRING`` rows."""
-    return Pipeline(
+    return TopicPipeline(
         stages=[
             Tokenizer(inputCol="comments", outputCol="words"),
             HashingTF(inputCol="words", outputCol="features", numFeatures=buckets),
@@ -71,9 +82,9 @@ def hashing_pipeline(buckets: int = HASH_BUCKETS, **settings) -> Pipeline:
 
 def counting_pipeline(size: int = WHOLE_VOCABULARY, **settings) -> Pipeline:
     """Counts over a learnt vocabulary, topics; over ``id, comments ARRAY<STRING>`` rows."""
-    return Pipeline(
+    return TopicPipeline(
         stages=[
-            CountVectorizer(inputCol="comments", outputCol="features", vocabSize=size),
+            TermVectoriser("comments", "features", size),
             topic_estimator(**settings),
         ]
     )
@@ -81,13 +92,13 @@ def counting_pipeline(size: int = WHOLE_VOCABULARY, **settings) -> Pipeline:
 
 def regex_pipeline(size: int = WHOLE_VOCABULARY, min_length: int = 4, **settings) -> Pipeline:
     """Regex tokens, default stop words, counts, topics; over ``id, comments STRING`` rows."""
-    return Pipeline(
+    return TopicPipeline(
         stages=[
             RegexTokenizer(
                 inputCol="comments", outputCol="words", pattern=r"[\W_]+", minTokenLength=min_length
             ),
             StopWordsRemover(inputCol="words", outputCol="filtered"),
-            CountVectorizer(inputCol="filtered", outputCol="features", vocabSize=size),
+            TermVectoriser("filtered", "features", size),
             topic_estimator(**settings),
         ]
     )
@@ -103,10 +114,8 @@ def topics_of(model: PipelineModel) -> LDAModel:
 
 
 def vocabulary_of(model: PipelineModel) -> DataFrame:
-    """``idx, term`` of a fitted pipeline; its size is bounded by the vectoriser's own limit."""
-    terms = fitted_stage(model, CountVectorizerModel).vocabulary
-    spark = topics_of(model).terms.sparkSession
-    return spark.createDataFrame(list(enumerate(terms)), "idx int, term string")
+    """``idx, term`` of a fitted pipeline: the written table of its vectoriser."""
+    return fitted_stage(model, TermTableModel).terms.select("idx", "term")
 
 
 # -- topic terms -----------------------------------------------------------------------------

@@ -7,11 +7,12 @@ import math
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F, types as T
 
 from forumlens.functions import variational as v
-from forumlens.operators import online_topics as ot, topic_tables as tt, topics
+from forumlens.operators import online_topics as ot, topic_tables as tt, topics, vectoriser
 from forumlens.session import materialise
 
 SCHEMA = T.StructType([T.StructField("id", T.StringType()), T.StructField("features", VectorUDT())])
@@ -158,3 +159,25 @@ def test_no_weights_of_terms_are_broadcast_by_the_driver(spark, monkeypatch):
     model = topics.fit_topics(vectors, k=2, iterations=2)
     plan = topics.distributions(model, vectors)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_vectoriser_by_tables_is_sparks(spark, monkeypatch):
+    """The same counts as Spark's class, whether terms are joined by shuffle or not, and no list of them on the driver."""
+    words = [["b", "a", "b"], [], ["c", "a", "zz", "b"], ["only"], ["a"] * 5]
+    df = spark.createDataFrame([(i % 2, w) for i, w in enumerate(words)], "id int, comments array<string>")
+    spark_model = CountVectorizer(inputCol="comments", outputCol="features").fit(df)
+
+    def counted(made, vocabulary):
+        return sorted((r["id"], sorted((vocabulary[i], float(r["features"][int(i)])) for i in r["features"].indices)) for r in made.collect())
+
+    want = counted(spark_model.transform(df), spark_model.vocabulary)
+    monkeypatch.setattr(CountVectorizerModel, "vocabulary", property(lambda self: pytest.fail("all terms on the driver")))
+    for shared in (100, 1):
+        monkeypatch.setattr(vectoriser, "SHARED_TERMS", shared)
+        pipeline = topics.counting_pipeline(k=2, iterations=1).fit(df)
+        terms = {r["idx"]: r["term"] for r in topics.vocabulary_of(pipeline).collect()}
+        assert [terms[i] for i in range(5)] == ["a", "b", "c", "only", "zz"]
+        assert counted(pipeline.stages[0].transform(df), terms) == want
+    cut = topics.counting_pipeline(size=2, k=2, iterations=1).fit(df)
+    assert sorted(map(tuple, topics.vocabulary_of(cut).collect())) == [(0, "a"), (1, "b")]
+    assert topics.distributions(cut, df).count() == 5
