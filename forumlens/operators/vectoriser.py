@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.ml import Estimator
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from forumlens.operators.lookup import lookup_join
 from forumlens.operators.ranking import with_position
-from forumlens.operators.terms import vectors_of, word_counts
-from forumlens.session import materialise
+from forumlens.operators.terms import word_counts
+from forumlens.session import materialise, scratch_path
 
 SHARED_TERMS = 20_000  # rows of the vocabulary that may go to all tasks: the frequent ones, or a small one
 
@@ -38,9 +39,24 @@ class TermTableModel(CountVectorizerModel):
         known = self.terms.select(F.col("term").alias("_term"), "idx", "n")
         found = lookup_join(tokens, known, "term", "_term", "n", max_rows=SHARED_TERMS).select("_row", "idx").filter("idx IS NOT NULL")
         every = found.unionByName(rows.select("_row", F.lit(None).cast("int").alias("idx")))  # also rows without a term
-        counts = every.repartition("_row").groupBy("_row", "idx").agg(F.count("idx").alias("n"))
-        made = vectors_of(counts, self.size, "_row").withColumnRenamed("features", self.output)
-        return rows.join(made.hint("merge"), "_row").select(*dataset.columns, self.output)
+        counts = every.repartition("_row").groupBy("_row", "idx").agg(F.count("idx").cast("double").alias("n"))
+        return rows.join(self._vectors(counts).hint("merge"), "_row").select(*dataset.columns, self.output)
+
+    def _vectors(self, counts: DataFrame) -> DataFrame:
+        """``_row`` and its vector. A file holds vectors by their own layout, so that a written struct is read as one."""
+        entry = F.when(F.col("idx").isNotNull(), F.struct("idx", "n"))
+        packed = counts.groupBy("_row").agg(F.sort_array(F.collect_list(entry)).alias("e"))
+        layout = F.struct(
+            F.lit(0).cast("byte").alias("type"),
+            F.lit(self.size).alias("size"),
+            F.col("e.idx").alias("indices"),
+            F.col("e.n").alias("values"),
+        )
+        spark = counts.sparkSession
+        path = scratch_path(spark, "token-vectors")
+        packed.select("_row", layout.alias(self.output)).write.parquet(path)
+        schema = T.StructType([T.StructField("_row", T.LongType()), T.StructField(self.output, VectorUDT())])
+        return spark.read.schema(schema).parquet(path)
 
 
 class TermVectoriser(Estimator):
