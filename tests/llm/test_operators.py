@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import zlib
 from collections import Counter
@@ -27,6 +28,7 @@ from forumlens.llm import (
     url_aliases,
     words,
 )
+from forumlens.llm.alignment import byte_level_alphabet
 from forumlens.llm.queries import tokenizer
 from forumlens.operators import lookup
 from forumlens.session import materialise
@@ -189,6 +191,58 @@ def test_packing(docs, none):
     assert not packing.pack(packing.cut(none, tokenizer())).collect()
 
 
+ODD_PARTS = [
+    *"aabeéÉsStTmMdDrReEvVlL''''’ \n\t\r.,;!12½²ΣσİßñÑſかっー가中😀\xa0\x85\x0b\x1c\u200b\u3000\u0301\u0331\u3099\u1100\u1161\u11a8\u2126\ufb01Ａ９",
+    "<|endoftext|>", "<|EndOfText|>", "don't", "I'LL", "''re", "the", "ing",
+]
+
+
+def test_packing_ids_are_the_tokenizers(monkeypatch):
+    monkeypatch.setattr(packing, "SLICE_CHARS", 500)
+    encoder = packing._Encoder(tokenizer())
+    common = map(chr, np.flatnonzero(encoder.kinds != packing._ODD).tolist())
+    texts = [f"a{c}b1{c}{c} {c}'s {c}" for c in common]  # all kinds of neighbours of each
+    rng = np.random.default_rng(7)
+    texts += ["".join(ODD_PARTS[k] for k in rng.integers(0, len(ODD_PARTS), rng.integers(0, 30))) for _ in range(3000)]
+    texts += ["", " \n", "a" * 3000, " ".join(texts[-200:])]
+    encode = encoder.tokenizer.encode_batch
+    want = [np.array([*e.ids, 2], "<u4").tobytes() for e in encode(texts, add_special_tokens=False)]
+    assert encoder.encode(texts, 2) == want
+    assert encoder.encode(["", ""], 2) == [want[texts.index("")]] * 2 and encoder.encode([], 2) == []
+    encoder.tokenizer = None  # common words do without it
+    some = ["Thé cat's  20 mats, (really)!", "", "Σίσυφος — “Иван”, 三十"]
+    assert encoder.encode(some, 2) == [np.array([*e.ids, 2], "<u4").tobytes() for e in encode(some, add_special_tokens=False)]
+
+
+def test_packing_ranks_give_each_entry_its_id():
+    # with ids that follow the merges, all texts' ids then are those of the merges
+    encoder = packing._Encoder(tokenizer())
+    model = json.loads(encoder.tokenizer.to_str())["model"]
+    assert all(max(model["vocab"][x] for x in pair) < 512 + k for k, pair in enumerate(model["merges"]))
+    letters, n = byte_level_alphabet(), 0
+    for entry, i in model["vocab"].items():
+        if entry.endswith("</w>") and not entry.startswith("<|") and i != model["vocab"]["Ġ</w>"]:
+            try:
+                text = bytes(map(letters.__getitem__, entry.removesuffix("</w>"))).decode()
+            except UnicodeDecodeError:
+                continue
+            assert encoder.pairs.encode(text + " ") == [i]
+            n += 1
+    assert n > 30_000
+
+
+def test_packing_of_a_vocabulary_of_another_kind(tmp_path):
+    with open(tokenizer(), encoding="utf-8") as f:
+        file = json.load(f)
+    file["normalizer"]["normalizers"].pop()  # keeps capitals
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(file), encoding="utf-8")
+    encoder = packing._Encoder(str(other))
+    assert encoder.pairs is None
+    ids = encoder.tokenizer.encode("The Cat's 20 mats", add_special_tokens=False).ids
+    assert encoder.encode(["The Cat's 20 mats"], 2) == [np.array([*ids, 2], "<u4").tobytes()]
+
+
 def test_best_fit_takes_the_tightest_window():
     rng = np.random.default_rng(1)
     lengths = np.sort(rng.integers(1, 101, 300))[::-1]
