@@ -9,7 +9,8 @@ Long texts are aligned piece by piece. A piece begins at a space that follows a
 followed by a letter: there both tokenizers begin a token, whatever comes before (byte-level words
 take one space at their front; no piece of the other vocabulary has a space behind anything else,
 which is checked). So memory is bounded by the longest text without such a place. For the same reason a
-word between two such places is aligned once, and found again by its text.
+word between two such places is aligned once, and found again by its text: among some thousand
+texts by arrays over their characters, in longer and rarer ones by a dictionary.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import hashlib
 import json
 import re
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,8 @@ PAIR_BITS = 24  # of a pair's number that hold the second id
 NUMBER_BITS = 32  # of a word's two numbers of ids that hold the second
 KEPT_WORDS = 200_000  # aligned words that a task keeps; beyond that it begins anew
 KEPT_CHARS = 32  # longer words are aligned wherever they are met
+SLICE_CHARS = 1 << 22  # of texts that a task aligns at once; longer texts are aligned alone
+CHUNK_CHARS = 1 << 13  # of distinct words that are encoded as one text
 
 _CUT = re.compile(r"(?<=\S) (?=[^\W\d_])")
 _INNER = re.compile(r"[^\W\d_](?:.*\S)?", re.DOTALL)  # what may stand between two cuts
@@ -73,6 +77,27 @@ def byte_level(file: str) -> tuple[list[bytes], Callable[[str], list[int]]]:
     return all_bytes, lambda text: slow.encode(text, add_special_tokens=False).ids
 
 
+def _kinds() -> tuple[np.ndarray, np.ndarray]:
+    """Which characters are white space, and which are letters: some are left out, so that there are fewer cuts."""
+    spaces, letters = np.zeros(0x110000, bool), np.zeros(0x110000, bool)
+    spaces[:0x3100], letters[:0x3100] = zip(*((c.isspace(), c.isalpha()) for c in map(chr, range(0x3100))), strict=True)
+    letters[0x4E00:0x9FA6] = letters[0xAC00:0xD7A4] = True
+    return spaces, letters
+
+
+def _binary(offsets: np.ndarray, data: bytes | np.ndarray | pa.Buffer) -> pa.Array:
+    offsets = pa.py_buffer(offsets.astype(np.int64))
+    return pa.Array.from_buffers(pa.large_binary(), offsets.size // 8 - 1, [None, offsets, data if isinstance(data, pa.Buffer) else pa.py_buffer(data)])
+
+
+def _offsets(binary: pa.Array) -> np.ndarray:
+    return np.frombuffer(binary.buffers()[1], np.int64)[binary.offset : binary.offset + len(binary) + 1]
+
+
+def _before(lengths: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(lengths)])
+
+
 Entry = tuple[int, str, bytes]  # of a word: how many ids of each side, its groups, its linked pairs
 
 
@@ -95,6 +120,10 @@ class Aligner:
         # an id with what follows it: another id of its group, the other side, or the next group
         self.written = [f"{i}{mark}" for some, marks in ((self.bytes_a, ",|"), (self.bytes_b, ",;")) for i in range(len(some)) for mark in marks]
         self.long_written = np.array([len(x) for x in self.written])
+        self.spaces, self.letters = _kinds()
+        self.data_a, self.data_b, self.data_written = (
+            pa.array(x, pa.large_binary()) for x in (self.bytes_a, self.bytes_b, [w.encode() for w in self.written])
+        )
 
     def pieces(self, text: str, chars: int = PIECE_CHARS) -> Iterator[str]:
         """Parts between places at which both begin a token; each is encoded with one space ahead."""
@@ -121,13 +150,7 @@ class Aligner:
         # the last tokens of each group, which alone of it end together
         last_a = np.fromiter(map(at_a.__getitem__, ends), np.int64, len(ends))
         last_b = np.fromiter(map(at_b.__getitem__, ends), np.int64, len(ends))
-        many_a, many_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
-        code_a, code_b = 2 * a, 2 * b + 2 * len(self.bytes_a)
-        code_a[last_a] += 1
-        code_b[last_b] += 1
-        codes = np.empty(len(a) + len(b), np.int64)  # a group's ids of one side, then of the other
-        codes[np.arange(len(a)) + np.repeat(last_b + 1 - many_b, many_a)] = code_a
-        codes[np.arange(len(b)) + np.repeat(last_a + 1, many_b)] = code_b
+        codes = self.groups(a, b, last_a, last_b)
         word_ends = np.cumsum([len(word.encode()) + 1 for word in words])
         last = np.minimum(np.searchsorted(ends, word_ends), len(ends) - 1)  # each word's last group
         if not np.array_equal(np.array(ends)[last], word_ends):
@@ -142,6 +165,17 @@ class Aligner:
         linked = map(pairs.__getitem__, map(slice, [0, *pair_ends], pair_ends))
         return list(zip(numbers, texts, linked, strict=False))
 
+    def groups(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> np.ndarray:
+        """What is written of each group's ids of one side, then of the other."""
+        many_a, many_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
+        code_a, code_b = 2 * a, 2 * b + 2 * len(self.bytes_a)
+        code_a[last_a] += 1
+        code_b[last_b] += 1
+        codes = np.empty(len(a) + len(b), np.int64)
+        codes[np.arange(len(a)) + np.repeat(last_b + 1 - many_b, many_a)] = code_a
+        codes[np.arange(len(b)) + np.repeat(last_a + 1, many_b)] = code_b
+        return codes
+
     def words_of(self, piece: str) -> list[Entry] | None:
         """The entries of a piece's words, in order; new words are aligned together and kept."""
         words = _CUT.split(piece) if self.cuts else [piece]
@@ -167,6 +201,101 @@ class Aligner:
                 del self.known[word]
         return found
 
+    def documents(self, texts: list[str | None]) -> list[tuple]:
+        """What ``document`` gives for each text, found for many at once where each has its tokens."""
+        made: list = [None] * len(texts)
+        some: list[int] = []
+        size = 0
+        for i, text in [*enumerate(texts), (None, None)]:
+            if some and (i is None or size + len(text or "") > SLICE_CHARS):
+                for k, found in zip(some, self.halved([texts[k] for k in some]), strict=True):
+                    made[k] = found
+                some, size = [], 0
+            if text and self.cuts and _SPACE not in text and len(text) <= SLICE_CHARS:
+                some.append(i)
+                size += len(text)
+        return [found or self.document(text) for found, text in zip(made, texts, strict=True)]
+
+    def halved(self, texts: list[str]) -> list[tuple]:
+        """``together``, with texts whose bytes differ found by halves."""
+        found = self.together(texts)
+        if found is not None:
+            return found
+        half = len(texts) // 2
+        return [*self.halved(texts[:half]), *self.halved(texts[half:])] if half else [self.document(texts[0])]
+
+    def together(self, texts: list[str]) -> list[tuple] | None:
+        """``document`` of texts with a character at least; None if a byte of one of them differs."""
+        chars = np.frombuffer(" ".join(["", *texts]).encode("utf-32-le"), "<u4")
+        bounds = _before(np.array([len(text) + 1 for text in texts]))
+        spaces, letters = self.spaces[chars], self.letters[chars]
+        starts = np.zeros(len(chars), bool)
+        starts[1:-1] = (chars[1:-1] == 32) & ~spaces[:-2] & letters[2:]
+        starts[bounds[:-1]] = True
+        starts = np.flatnonzero(starts)
+        # words with the space ahead of each; a text's first and last may begin or end with anything
+        words = _binary(4 * np.append(starts, len(chars)), chars).dictionary_encode()
+        which, firsts = words.indices.to_numpy(), np.searchsorted(starts, bounds)
+        alone = np.zeros(len(words.dictionary), bool)
+        alone[which[firsts[:-1][~letters[bounds[:-1] + 1]]]] = True
+        alone[which[firsts[1:][spaces[bounds[1:] - 1]] - 1]] = True
+        entries = self.distinct(words.dictionary, alone)
+        if entries is None:
+            return None
+        n_a, n_b, n, pairs, written = entries
+        many = n[which]
+        done = _before(many)
+        linked = pairs[np.repeat(_before(n)[which] - done[:-1], many) + np.arange(done[-1])]
+        bits = PAIR_BITS + len(self.bytes_a).bit_length()
+        rows = np.repeat(np.arange(len(texts)), np.diff(done[firsts]))
+        linked, times = np.unique(rows << bits | linked, return_counts=True)
+        ends = np.searchsorted(linked, np.arange(len(texts) + 1) << bits)
+        linked &= (1 << bits) - 1
+        written = written.take(pa.array(which))
+        marks, data = _offsets(written)[firsts].tolist(), memoryview(written.buffers()[2])
+        all_a, all_b = (np.diff(_before(x[which])[firsts]).tolist() for x in (n_a, n_b))
+        return [
+            (a, b, c, c, hashlib.sha256(data[x : y - 1]).hexdigest(), linked[p:q], times[p:q])
+            for a, b, c, x, y, p, q in zip(
+                all_a, all_b, np.diff(done[firsts]).tolist(), marks[:-1], marks[1:], ends[:-1], ends[1:], strict=True
+            )
+        ]
+
+    def distinct(self, words: pa.Array, alone: np.ndarray) -> tuple | None:
+        """How many ids of each side and groups each word has, the linked pairs and the groups of all.
+
+        The words have a space ahead, and their characters have four bytes each. None if a byte differs.
+        """
+        places = _offsets(words) // 4
+        chars = np.frombuffer(words.buffers()[2], "<u4", int(places[-1]))
+        text = chars.tobytes().decode("utf-32-le")
+        cut = np.diff(places[:-1] // CHUNK_CHARS, prepend=-1) > 0
+        cut |= alone
+        cut[1:] |= alone[:-1]
+        chunks = [*places[:-1][cut].tolist(), len(text)]
+        chunks = [text[x:y] for x, y in zip(chunks, chunks[1:], strict=False)]
+        a = np.fromiter(chain.from_iterable(map(self.encode_a, chunks)), np.int64)
+        b = np.fromiter(chain.from_iterable(self.b.encode([x[1:] for x in chunks], num_threads=1)), np.int64)
+        whole = text.encode()
+        if any(x.take(pa.array(ids)).buffers()[2].to_pybytes() != whole for x, ids in ((self.data_a, a), (self.data_b, b))):
+            return None
+        at_a, at_b = np.full(len(whole) + 1, -1), np.full(len(whole) + 1, -1)
+        at_a[np.cumsum(self.long_a[a])] = np.arange(len(a))
+        at_b[np.cumsum(self.long_b[b])] = np.arange(len(b))
+        ends = np.flatnonzero((at_a >= 0) & (at_b >= 0))
+        last_a, last_b = at_a[ends], at_b[ends]
+        codes = self.groups(a, b, last_a, last_b)
+        sizes = 1 + (chars >= 0x80) + (chars >= 0x800) + (chars >= 0x10000)
+        word_ends = np.cumsum(np.add.reduceat(sizes, places[:-1]))
+        last = np.minimum(np.searchsorted(ends, word_ends), len(ends) - 1)
+        if not np.array_equal(ends[last], word_ends):
+            return None
+        n_a, n_b = last_a[last] + 1, last_b[last] + 1
+        text_ends = _before(self.long_written[codes])[_before(np.diff(n_a + n_b, prepend=0))]
+        written = _binary(text_ends, self.data_written.take(pa.array(codes)).buffers()[2])
+        counts = (np.diff(x, prepend=0) for x in (n_a, n_b, last + 1))
+        return *counts, a[last_a] << PAIR_BITS | b[last_b], written
+
     def document(self, text: str | None) -> tuple:
         """``n_a, n_b, n_groups, n_links, groups_sha256, pairs, times`` of a text."""
         nothing = (0, 0, 0, 0, "", [], [])
@@ -201,10 +330,9 @@ def aligned_documents(documents: DataFrame, byte_file: str, piece_file: str) ->
         types = [pa.int64()] * 5 + [pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64())]
         names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"]
         for batch in batches:
-            for first in range(0, batch.num_rows, 50):
-                some = batch.slice(first, 50)
-                columns = zip(*map(aligner.document, some.column("text").to_pylist()), strict=True)
-                arrays = [some.column("doc_id"), *columns]
+            if batch.num_rows:
+                columns = zip(*aligner.documents(batch.column("text").to_pylist()), strict=True)
+                arrays = [batch.column("doc_id"), *columns]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(arrays, types, strict=True)], names)
         del aligner
         give_back()

@@ -216,6 +216,29 @@ def test_kept_words_change_nothing(monkeypatch):
     assert max(map(len, aligner.known), default=0) <= 3
 
 
+def test_texts_together_are_as_alone(monkeypatch, small):
+    import pyarrow.parquet as pq
+
+    aligner = alignment.Aligner(*map(tokenizer, FILES))
+    texts = [*ODD, *pq.read_table(f"{small}/documents.parquet").column("text").to_pylist()[:200], *ODD[:7], "Ünï ßt x 三 y", "a" * 50 + " b"]
+    whole = [tuple(map(str, aligner.document(t))) for t in texts]
+    for slice_chars, chunk, mark in ((1 << 22, 1 << 13, "▁"), (700, 40, "▁"), (1 << 22, 9, "no mark")):
+        monkeypatch.setattr(alignment, "SLICE_CHARS", slice_chars)
+        monkeypatch.setattr(alignment, "CHUNK_CHARS", chunk)
+        monkeypatch.setattr(alignment, "_SPACE", mark)  # the last: a text whose bytes differ is among others
+        assert [tuple(map(str, found)) for found in aligner.documents(texts)] == whole
+    assert aligner.documents([]) == []
+
+
+def test_a_word_of_many_texts_is_encoded_once():
+    aligner = alignment.Aligner(*map(tokenizer, FILES))
+    encode, seen = aligner.encode_a, []
+    aligner.encode_a = lambda text: seen.append(text) or encode(text)
+    aligner.documents([f"some words that many texts share and one own{chr(97 + k)}" for k in range(20)])
+    assert " ".join(seen).split().count("share") == 1 and len(seen) == 1
+    assert not aligner.known  # not one text after the other
+
+
 def test_alignment_of_nothing(spark):
     assert not alignment.align(spark.createDataFrame([], "doc_id long, text string"), *map(tokenizer, FILES)).collect()
 
