@@ -416,15 +416,17 @@ def _rarest(sets: DataFrame) -> DataFrame:
     return materialise(first.filter("rank <= n - ceil(0.75 * n) + 1 AND cost > 1").drop("cost"), "keys")
 
 
-def _across(keys: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
-    """``links`` and all others between sets that share a key, but for links within components.
+def _across(keys: DataFrame, sets: DataFrame, links: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``links`` and all others between sets that share a key, but for links within components,
+    and the ``roots`` of them all, from those of ``links``.
 
     First one set in each key, one that has it early, is compared to the sets of other
     components there: near copies choose the same few sets, and mostly are one component then.
     All pairs that are left are compared.
     """
+    if keys.isEmpty():
+        return links, roots
     for hubs in (True, False):
-        roots = components(links)
         rooted = keys.join(roots.withColumnRenamed("node", "h1"), "h1", "left")
         rooted = materialise(rooted.withColumn("root", F.coalesce("root", "h1")).drop("h1"), "rooted")
         hub = F.min_by(F.struct("id", "n", "root", "rank"), F.struct(F.col("rank") / F.col("n"), F.xxhash64("id")))
@@ -435,8 +437,9 @@ def _across(keys: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
         fits = (F.col("own") != F.col("root")) & (175 * left >= 75 * (F.col("n_a") + F.col("n")))
         pairs = one.join(rooted.withColumnRenamed("id", "b"), "key").filter(fits)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        links = materialise(links.union(_verified(pairs, sets)).distinct(), "links")
-    return links
+        fresh = materialise(_verified(pairs, sets), "links")
+        links, roots = links.union(fresh).distinct(), components(fresh, roots)
+    return links, roots
 
 
 def jaccard_components(documents: DataFrame) -> DataFrame:
@@ -462,7 +465,9 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).union(poor).distinct()
     sets = materialise(wanted_sets(documents, classes.join(wanted, "id", "left_semi")), "sets")
     links = materialise(_verified(pairs, sets), "links")
-    if not poor.isEmpty():
+    if poor.isEmpty():
+        roots = components(links)
+    else:
         poor_sets = sets.join(poor, "id", "left_semi")
         moved = poor_sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
         sent = poor_sets.select("tokens").mapInArrow(
@@ -474,11 +479,11 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
         fresh = _pairs(found, light, counted=False).join(pairs, ["a", "b"], "left_anti")
         links = materialise(links.union(_verified(fresh, sets)).distinct(), "links")
         rest = _incomplete(light)
-        links = _across(_rarest(sets.join(rest, "id", "left_semi")), sets, links)
-    return _joined(docs, classes, links)
+        links, roots = _across(_rarest(sets.join(rest, "id", "left_semi")), sets, links, components(links))
+    return _joined(docs, classes, links, roots)
 
 
-def _joined(docs: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+def _joined(docs: DataFrame, classes: DataFrame, links: DataFrame, roots: DataFrame) -> DataFrame:
     """Each row of ``docs`` with its class's component; classes of many copies and components of
     many classes are looked up by their weight, so that none of them is brought together."""
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(
@@ -487,7 +492,6 @@ def _joined(docs: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
     copies = docs.filter("n > 0").groupBy(F.col("h1").alias("node")).agg(F.count("*").alias("copies"))
     # a class is one value of h1 but for rows whose other hash differs
     ids = classes.groupBy(F.col("h1").alias("node")).agg(F.min("doc_id").alias("doc_id"))
-    roots = components(links)
     named = ids.join(copies, "node").join(degree, "node", "left").join(roots, "node", "left")
     named = materialise(named.withColumn("root", F.coalesce("root", "node")), "named")
     least = named.groupBy(F.col("root").alias("_root")).agg(

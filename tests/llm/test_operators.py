@@ -655,3 +655,32 @@ def test_url_aliases(spark):
     }
     assert url_aliases.judge(df, rules).count() == len(pages)
     assert not url_aliases.judge(df.limit(0), rules).collect()
+
+
+def test_components_of_more_edges(spark):
+    def roots(edges, known=None):
+        return components.components(spark.createDataFrame(edges, "a long, b long"), known)
+
+    first = [(2, 9), (9, 7), (5, 6), (20, 21), (None, 5)]
+    known = roots(first)
+    for more in ([(7, 1), (6, 30), (40, 41), (41, 40), (8, 8)], [(9, 2), (21, 21)], [(None, 3)], []):
+        assert sorted(roots(more, known).collect()) == sorted(roots(first + more).collect())
+    none = roots([])
+    assert sorted(roots(first, none).collect()) == sorted(known.collect()) and not roots([], none).collect()
+
+
+def test_components_start_few_queries(spark, monkeypatch):
+    """A chain takes rounds; each counts its nodes once, and asks only for what it needs to go on."""
+    kind, asked = type(spark.range(1)), Counter()
+    for name in ("count", "isEmpty"):
+        old = getattr(kind, name)
+        monkeypatch.setattr(kind, name, lambda self, name=name, old=old: (asked.update([name]), old(self))[1])
+    monkeypatch.setattr(components, "materialise", lambda df, name: (asked.update([name]), materialise(df, name))[1])
+    chain = spark.createDataFrame([(i, i + 1) for i in range(30)], "a long, b long")
+    found = components.components(chain)
+    assert {r["root"] for r in found.collect()} == {0}
+    assert asked["count"] == asked["parents"] == 1
+    assert asked["isEmpty"] == asked["edges"] + asked["tops"]
+    asked.clear()
+    components.components(chain, found)
+    assert asked == {"count": 1, "edges": 1, "isEmpty": 1}
